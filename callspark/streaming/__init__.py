@@ -1,0 +1,5 @@
+"""The analysed workload is batch only, so no streaming operator is offered.
+
+Everything in :mod:`callspark.functions` is a plain column expression, and so can be used in
+``select`` on a streaming DataFrame as it stands (``tests/test_streaming.py`` checks that).
+"""
