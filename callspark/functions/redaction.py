@@ -88,10 +88,9 @@ DIGITS = r"(?U)\b\d+\b"
 ACCOUNT = r"(?U)\b(?:\d{4}[-\s]?){2,}(?=\d{4})"
 
 _NUMBER = f"(?:{'|'.join(NUMBER_WORDS)})++\\b"
-#: Runs of number words, "and" allowed between them; space before a following word goes with them.
-SPOKEN_NUMBER = (
-    rf"(?iU)\b{_NUMBER}(?:\s++(?:and\s++)?+{_NUMBER})*+(?:\s+and\s+(?=\w)|\s+(?=\w))?"
-)
+#: Runs of number words; space before a following word goes with them. Possessive throughout, as
+#: Java would match a plain repeated group by recursion.
+SPOKEN_NUMBER = rf"(?iU)\b{_NUMBER}(?:\s*+{_NUMBER})*+(?:\s+(?=\w))?"
 
 
 def tag(recognizer: Recognizer) -> str:

@@ -140,13 +140,11 @@ def consistency(
     A matched text is treated alike if it is found in the redacted form of all the texts it was in,
     or of none.
     """
-    found = F.concat(*[
-        F.transform(
-            F.array_distinct(R.matches(original, r)),
-            lambda m, r=r: F.struct(F.lit(r.entity).alias("entity"), m.alias("match")),
-        )
-        for r in recognizers
-    ])
+    def entity_matches(r: R.Recognizer):
+        distinct = F.array_distinct(R.matches(original, r))
+        return F.transform(distinct, lambda m: F.struct(F.lit(r.entity).alias("entity"), m.alias("match")))
+
+    found = F.concat(*[entity_matches(r) for r in recognizers])
     per_match = (
         df.select(redacted, F.explode(found).alias("m"))
         .select("m.*", F.col(redacted).contains(F.col("m.match")).cast("int").alias("kept"))

@@ -244,7 +244,8 @@ NOTE = """concat(
     '.50 as a payment of $', o_custkey, '. Your confirmation number is ', o_orderkey, ', ', o_custkey,
     '. Passport AB', 1000000 + o_orderkey, ', license DL ', 100000000 + o_orderkey, ', EIN ', 100000000 + o_custkey,
     '. Say one two and three foo, or nine. Ref a-', o_orderkey, '-b_c. Card ', 1000 + o_custkey % 9000, '-',
-    1000 + o_orderkey % 9000, '-', 2000 + o_custkey % 8000, '-', 3000 + o_orderkey % 7000)"""
+    1000 + o_orderkey % 9000, '-', 2000 + o_custkey % 8000, '-', 3000 + o_orderkey % 7000,
+    '. Pay DE', lpad(CAST(o_custkey AS STRING), 20, '0'), ' or https://pay.example.com/c/', o_custkey)"""
 
 
 def texts(spark: SparkSession, d: str) -> DataFrame:
