@@ -1,10 +1,10 @@
-"""Joins and prefix sums that hold when one key owns a large share of the rows."""
+"""Joins that hold when one key owns a large share of the rows."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one key above which the key is spread over several tasks. With R rows per task a table
@@ -76,36 +76,3 @@ def lookup_join(
 
 def _hashable(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() not in ("map", "variant")
-
-
-def running_total(
-    df: DataFrame, order: list[Column], value: str, weight: str, total: str,
-    group: str, slices: int = 200,
-) -> DataFrame:
-    """Exact running total of ``weight`` per ``group`` in the order of the numeric ``value``.
-
-    A plain window would pull a whole group through one task. Here approximate quantiles of
-    ``value`` cut each group into slices, the slice totals (at most ``slices`` + 1 rows per group)
-    give every slice its offset, and the window runs inside a slice. The cut points only decide
-    where the work is done; the totals are exact whatever they are.
-    """
-    points = [i / slices for i in range(1, slices)]
-    cuts = df.groupBy(group).agg(F.percentile_approx(value, points, 10_000).alias("__cuts"))
-    sliced = (
-        df.join(cuts, group)
-        .withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < F.col(value))))
-        .drop("__cuts")
-    )
-    totals = sliced.groupBy(group, "__slice").agg(F.sum(weight).alias("__weight"))
-    before = Window.partitionBy(group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        group, "__slice", F.coalesce(F.sum("__weight").over(before), F.lit(0)).alias("__offset")
-    )
-    inside = Window.partitionBy(group, "__slice").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return (
-        sliced.join(offsets, [group, "__slice"])
-        .withColumn(total, F.col("__offset") + F.sum(weight).over(inside))
-        .drop("__slice", "__offset")
-    )
