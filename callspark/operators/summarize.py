@@ -40,12 +40,21 @@ def extract_summary(text: str, sentences: int = SUMMARY_SENTENCES, words: int =
     return " ".join(". ".join(parts[i] for i in chosen).split()[:words])
 
 
-def _over_chunks(chosen: Column, combine: Callable[[list[str]], str]) -> Column:
+def _scored(
+    df: DataFrame, pieces: Column, combine: Callable[[list[str]], str], into: str, otherwise: str | None = None
+) -> DataFrame:
+    """Adds ``combine`` of an array of texts, in Arrow batches; ``otherwise`` where it is null.
+
+    The array is read twice, in the test and by the function, which keeps it a column of its own:
+    Spark does not evaluate such an array inside the arguments of a Python function.
+    """
     @F.pandas_udf("string")
     def run(arrays: pd.Series) -> pd.Series:
         return arrays.map(lambda a: None if a is None else combine(list(a)))
 
-    return run(chosen)
+    staged = df.withColumn("__pieces", pieces)
+    result = F.when(F.col("__pieces").isNull(), F.lit(otherwise)).otherwise(run("__pieces"))
+    return staged.withColumn(into, result).drop("__pieces")
 
 
 def summary(
@@ -62,8 +71,7 @@ def summary(
         F.col("word_count") > min_words,
         F.when(F.col("token_count") > max_tokens, chunks(text, *chunk)).otherwise(F.array(text)),
     )
-    scored = _over_chunks(pieces, lambda parts: "\n".join(scorer(p) for p in parts))
-    return df.withColumn(into, F.coalesce(scored, F.lit(NO_SUMMARY)))
+    return _scored(df, pieces, lambda parts: "\n".join(scorer(p) for p in parts), into, NO_SUMMARY)
 
 
 def halves(parts: list[str], budget: int) -> list[str]:
@@ -93,7 +101,7 @@ def tree(
         return " ".join(scorer(p) for p in halves([scorer(p) for p in parts], max_tokens))
 
     pieces = F.when(F.col("token_count") < max_tokens, F.array(text)).otherwise(chunks(text, *chunk))
-    return df.withColumn(into, _over_chunks(pieces, combine))
+    return _scored(df, pieces, combine, into)
 
 
 def sentences_with(text: Column | str, words: Iterable[str]) -> Column:

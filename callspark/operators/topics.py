@@ -60,9 +60,9 @@ def _pairs(rows: pd.DataFrame, vector: str, keep: list[str], nums, names, units,
         part = rows.iloc[at:at + step]
         cos = _unit(part[vector]) @ units.T
         r, t = np.nonzero(cos > threshold)
-        out = part[keep].iloc[r].reset_index(drop=True)
-        out["topic_num"], out["topic"], out["cos_sim"] = nums[t], names[t], cos[r, t]
-        yield out
+        yield pd.DataFrame({
+            **{c: part[c].to_numpy()[r] for c in keep}, "topic_num": nums[t], "topic": names[t], "cos_sim": cos[r, t],
+        })
 
 
 def match(
@@ -112,11 +112,12 @@ def _match_blocks(narrow, topics, threshold, keep, vector, schema, size, max_com
     )
 
     def run(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        none = rows[keep].iloc[:0].assign(topic_num=[], topic=[], cos_sim=[])
+        names = schema.fieldNames()
         if not len(rows) or not len(block):
-            return none
+            return pd.DataFrame(columns=names, dtype=object)
         units = _unit(block[vector])
-        return pd.concat([none, *_pairs(rows, vector, keep, block["topic_num"], block["topic"], units, threshold)])
+        found = _pairs(rows, vector, keep, block["topic_num"], block["topic"], units, threshold)
+        return pd.concat(found)
 
     keys = ["__block", "__group"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)

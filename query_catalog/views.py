@@ -260,3 +260,87 @@ TEXTS = f"""texts AS (
 
 #: Unicode word character for an engine whose ``\w`` is ASCII.
 W = r"[\p{L}\p{M}\p{Nd}\p{Pc}]"
+
+
+# --- report -------------------------------------------------------------------------------------
+
+#: Columns of the task segments that only the report needs; the same text in both dialects.
+_WIDE = {
+    "callbackId": "concat('cb', l_suppkey)", "workItemId": "concat('wi', l_orderkey)",
+    "taskSid": "concat('ts', l_orderkey)", "segmentSid": "concat('ss', l_linenumber)",
+    "workGroupName": "l_returnflag",
+    "workGroupQueueTimestamp": "CASE WHEN l_tax > 0.06 THEN 'not a time' ELSE CAST(l_shipdate AS STRING) END",
+    "skillGroupName": "l_linestatus", "queueName": "concat(l_returnflag, l_linestatus)",
+    "queueTime": "CASE WHEN l_discount > 0.08 THEN NULL ELSE concat(l_linenumber, '.9') END",
+    "agentWrapupTimestamp": "l_shipdate", "endTimestamp": "l_shipdate", "inServiceLevel": "l_returnflag",
+    "holdTime": "l_tax * 1000", "acwTime": "l_linenumber", "handleTime": "CAST(l_linenumber AS STRING)",
+    "holdCount": "CASE WHEN l_linenumber > 5 THEN 'many' ELSE '2' END",
+    "workerSid": "concat('ws', l_suppkey)", "workerName": "concat('Worker ', l_suppkey)",
+    "workerCompany": "l_linestatus", "workerLocation": "l_returnflag", "workerManager": "l_returnflag",
+    "taskType": "'voice'", "segmentConferenceYN": "'N'", "segmentInterpreterYN": "'N'",
+    "segmentTransferredYN": "CASE WHEN l_linenumber > 1 THEN 'Y' ELSE 'N' END", "disconnectedBy": "'agent'",
+    "callbackRequeuedYN": "'N'", "insertDate": "l_shipdate",
+}
+
+
+def wide_segments(spark: SparkSession, d: str) -> DataFrame:
+    narrow = segments(spark, d).columns
+    lines = table(spark, d, "lineitem")
+    base = lines.selectExpr(
+        "l_orderkey AS taskId", "l_partkey AS callSid", "l_linenumber AS segmentId",
+        "l_shipdate AS agentConnectTimestamp",
+        """CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN NULL
+                WHEN l_linenumber = 7 THEN 'https://rec.example.com/'
+                ELSE concat('https://rec.example.com/v1/RE', l_suppkey, '-', l_linenumber) END AS taskURL""",
+        "l_quantity AS talkTime", *[f"{x} AS {name}" for name, x in _WIDE.items()],
+    )
+    return base.select(*narrow, *_WIDE)
+
+
+WIDE_SEGMENTS = f"""segments AS (
+    SELECT l_orderkey AS taskId, l_partkey AS callSid, l_linenumber AS segmentId,
+           l_shipdate AS agentConnectTimestamp,
+           CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN NULL
+                WHEN l_linenumber = 7 THEN 'https://rec.example.com/'
+                ELSE concat('https://rec.example.com/v1/RE', l_suppkey, '-', l_linenumber) END AS taskURL,
+           l_quantity AS talkTime, {', '.join(f'{x} AS {name}' for name, x in _WIDE.items())}
+    FROM lineitem)"""
+
+
+def stages(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Stage outputs per recording file, drawn from the conversations."""
+    from callspark.operators.insights import FIELDS
+
+    turns = table(spark, d, "conversations")
+    per_call = turns.groupBy("conv_id").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda t: t["text"]), " "
+        ).alias("transcription"),
+        F.max_by("text", "turn").alias("summary"),
+        F.array(F.min_by("role", "turn"), F.max_by("role", "turn")).alias("topics"),
+    )
+    files = per_call.select(
+        "*", F.explode(F.array(F.lit(1), F.lit(2))).alias("line")
+    ).withColumn("file_path", F.expr("concat('/audio/RE', conv_id, '-', line, '.wav')"))
+    return {
+        "summary": files.select("file_path", "summary"),
+        "topics": files.select("file_path", "topics"),
+        "transcription": files.select("file_path", "transcription"),
+        "insights": files.select(
+            "file_path", *[F.concat(F.lit(f"{f} of "), F.col("conv_id")).alias(f) for f in FIELDS]
+        ),
+    }
+
+
+def _stages_sql() -> str:
+    from callspark.operators.insights import FIELDS
+
+    fields = ", ".join(f"concat('{f} of ', conv_id) AS \"{'summary_concise' if f == 'Summary' else f}\"" for f in FIELDS)
+    return f"""stages AS (
+    SELECT concat('/audio/RE', conv_id, '-', line, '.wav') AS file_path, transcription, summary, topics, {fields}
+    FROM (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS transcription, arg_max(text, turn) AS summary,
+                 concat('["', arg_min(role, turn), '","', arg_max(role, turn), '"]') AS topics
+          FROM conversations GROUP BY conv_id), unnest([1, 2]) AS u(line))"""
+
+
+STAGES = _stages_sql()
