@@ -68,6 +68,14 @@ RECOGNIZERS = (
 # Tag of an entity whose name differs from it.
 TAGS = {"US_SSN_LAST4": "US_SSN"}
 
+#: Order of replacement: patterns that take in more text come before those found inside them, and
+#: the four-digit rule, which is found inside most numbers, comes last.
+PRIORITY = (
+    "URL", "EMAIL_ADDRESS", "ADDRESS", "CONFIRMATION_NUMBER", "BILL_AMOUNT", "DOLLAR_AMOUNT", "CREDIT_CARD",
+    "PHONE_NUMBER", "US_SSN", "DATE", "IP_ADDRESS", "IBAN_CODE", "DRIVERS_LICENSE", "TAX_ID", "PASSPORT",
+    "ACCOUNT_NUMBER", "TITLE", "US_SSN_LAST4",
+)
+
 #: Card numbers, IP addresses, bank accounts and links, off unless asked for.
 COMMON_RECOGNIZERS = (
     Recognizer("CREDIT_CARD", r"\b\d{4}[- ]?\d{4}[- ]?\d{4}[- ]?\d{4}\b", 0.7),
@@ -114,6 +122,11 @@ def from_config(config: dict) -> tuple[Recognizer, ...]:
     return tuple(found)
 
 
+def in_order(recognizers: Sequence[Recognizer]) -> list[Recognizer]:
+    """Recognizers by :data:`PRIORITY`; those it does not name come first, as they are given."""
+    return sorted(recognizers, key=lambda r: PRIORITY.index(r.entity) if r.entity in PRIORITY else -1)
+
+
 def matches(text: Column | str, recognizer: Recognizer) -> Column:
     """All matches of one recognizer, in the order of the text."""
     text = column(text)
@@ -124,13 +137,13 @@ def matches(text: Column | str, recognizer: Recognizer) -> Column:
 
 
 def replace_all(text: Column | str, recognizers: Sequence[Recognizer] = RECOGNIZERS) -> Column:
-    """Each match replaced by its tag, recognizer by recognizer, higher scores first.
+    """Each match replaced by its tag, recognizer by recognizer in the order of :data:`PRIORITY`.
 
     This is the fast path: it stays in the JVM, and where patterns overlap the earlier one wins.
     :func:`callspark.operators.redact.anonymize` settles overlaps by span instead.
     """
     result = column(text)
-    for recognizer in sorted(recognizers, key=lambda r: -r.score):
+    for recognizer in in_order(recognizers):
         result = _gated(result, recognizer.gate, lambda t, r=recognizer: F.regexp_replace(t, r.java, tag(r)))
     return result
 

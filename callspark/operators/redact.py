@@ -48,13 +48,20 @@ def detect(df: DataFrame, text: str, recognizers: Sequence[R.Recognizer] = R.REC
 
 
 def anonymize(
-    df: DataFrame, text: str, recognizers: Sequence[R.Recognizer] = R.RECOGNIZERS, into: str = "anonymized"
+    df: DataFrame, text: str, recognizers: Sequence[R.Recognizer] = R.RECOGNIZERS, into: str = "anonymized",
+    prefer: str = "length",
 ) -> DataFrame:
     """Adds the text with each kept span replaced by its tag.
 
-    Spans are taken by score, then length, then start; one that overlaps a span already taken is
-    left out. Equal spans are decided by the order of the recognizers.
+    ``prefer="length"`` takes spans by length, then score, then start, so that a span inside a
+    longer one gives way to it whatever the scores; ``prefer="score"`` looks at the score first.
+    A span that overlaps one already taken is left out. What is still equal is decided by the
+    order of the recognizers.
     """
+    if prefer not in ("length", "score"):
+        raise ValueError(f"unknown preference: {prefer}")
+    rank = (lambda s: (s[1] - s[2], -s[3], s[1])) if prefer == "length" else (lambda s: (-s[3], s[1] - s[2], s[1]))
+
     @F.pandas_udf("string")
     def replaced(texts: pd.Series) -> pd.Series:
         patterns = _patterns(recognizers)
@@ -64,7 +71,7 @@ def anonymize(
                 return None
             taken = bytearray(len(t))
             kept = []
-            for entity, start, end, _ in sorted(_spans(t, patterns), key=lambda s: (-s[3], s[1] - s[2], s[1])):
+            for entity, start, end, _ in sorted(_spans(t, patterns), key=rank):
                 if not any(taken[start:end]):
                     taken[start:end] = b"\1" * (end - start)
                     kept.append((start, end, entity))

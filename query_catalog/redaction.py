@@ -42,7 +42,7 @@ for _recognizer in R.RECOGNIZERS + R.COMMON_RECOGNIZERS:
 
 
 def _replaced(expression: str, recognizers=R.RECOGNIZERS) -> str:
-    for r in sorted(recognizers, key=lambda r: -r.score):
+    for r in R.in_order(recognizers):
         expression = f"regexp_replace({expression}, {pattern(r)}, '{R.tag(r)}', 'g')"
     return expression
 
