@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,14 +23,40 @@ def cer(reference: Column | str, hypothesis: Column | str) -> Column:
     return levenshtein(reference, hypothesis) / F.nullif(F.length(column(reference)), F.lit(0))
 
 
-def _as_characters(words: Column, dictionary: Column) -> Column:
-    """Each word as one character: its place in the dictionary is the code point."""
-    def character(word: Column) -> Column:
-        place = F.array_position(dictionary, word)
-        point = F.when(place < _SURROGATES, place).otherwise(place + 0x800)
+def _over_runs(ordered: Column, value: Callable[[Column], Column], make: Callable) -> Column:
+    """``make(place, first place of the run, number of the run)`` for every place of a sorted array.
+
+    A run is a stretch of places with the same ``value``. The work grows with the array and not
+    with its square, as looking every element up in the array would.
+    """
+    def runs(first: Column) -> Column:
+        def run(start: Column, k: Column) -> Column:
+            last = F.coalesce(F.get(first, k + 1), F.size(ordered)) - 1
+            return F.transform(F.sequence(start, last), lambda i: make(i, start, k))
+
+        return F.flatten(F.transform(first, run))
+
+    firsts = F.filter(
+        F.sequence(F.lit(0), F.size(ordered) - 1),
+        lambda i: (i == 0) | (value(F.get(ordered, i)) != value(F.get(ordered, i - 1))),
+    )
+    return F.when(F.size(ordered) > 0, let(firsts, runs))
+
+
+def _as_characters(words: Column) -> Column:
+    """Each word as one character, the same for equal words: its rank is the code point."""
+    def character(rank: Column) -> Column:
+        point = F.when(rank < _SURROGATES - 1, rank + 1).otherwise(rank + 0x801)
         return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
 
-    return F.array_join(F.transform(words, character), "")
+    def ranked(ordered: Column) -> Column:
+        ranks = _over_runs(
+            ordered, lambda t: t["w"], lambda i, _, k: F.struct(F.get(ordered, i)["i"].alias("i"), k.alias("k"))
+        )
+        return F.transform(F.array_sort(ranks), lambda r: character(r["k"]))
+
+    tagged = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    return let(F.array_sort(tagged), ranked)
 
 
 def word_edits(reference: Column | str, hypothesis: Column | str) -> Column:
@@ -38,10 +66,15 @@ def word_edits(reference: Column | str, hypothesis: Column | str) -> Column:
     a million distinct words.
     """
     sides = F.struct(tokens(reference).alias("r"), tokens(hypothesis).alias("h"))
-    return let(sides, lambda s: let(
-        F.array_distinct(F.concat(s["r"], s["h"])),
-        lambda words: F.levenshtein(_as_characters(s["r"], words), _as_characters(s["h"], words)),
-    ))
+
+    def distance(s: Column) -> Column:
+        n, m = F.size(s["r"]), F.size(s["h"])
+        edits = let(_as_characters(F.concat(s["r"], s["h"])), lambda c: F.levenshtein(
+            F.array_join(F.slice(c, F.lit(1), n), ""), F.array_join(F.slice(c, n + 1, m), "")
+        ))
+        return F.when((n == 0) | (m == 0), F.greatest(n, m)).otherwise(edits)
+
+    return let(sides, distance)
 
 
 def wer(reference: Column | str, hypothesis: Column | str) -> Column:
@@ -84,24 +117,11 @@ def _ngrams(words: Column, n: int) -> Column:
 
 
 def _numbered(grams: Column) -> Column:
-    """Each n-gram with the number of its occurrence, so that a set intersection counts repeats.
-
-    Sorting puts equal n-grams side by side; a run of them is numbered from its first place.
-    """
-    def by_runs(g: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(g) - 1)
-        firsts = F.filter(places, lambda i: (i == 0) | (F.get(g, i) != F.get(g, i - 1)))
-
-        def number(first: Column) -> Column:
-            def run(start: Column, k: Column) -> Column:
-                last = F.coalesce(F.get(first, k + 1), F.size(g)) - 1
-                return F.transform(F.sequence(start, last), lambda i: F.concat(F.get(g, i), F.lit(" "), i - start))
-
-            return F.flatten(F.transform(first, run))
-
-        return F.when(F.size(g) > 0, let(firsts, number)).otherwise(F.array().cast("array<string>"))
-
-    return let(F.array_sort(grams), by_runs)
+    """Each n-gram with the number of its occurrence, so that a set intersection counts repeats."""
+    numbered = let(F.array_sort(grams), lambda g: _over_runs(
+        g, lambda x: x, lambda i, start, _: F.concat(F.get(g, i), F.lit(" "), i - start)
+    ))
+    return F.coalesce(numbered, F.array().cast("array<string>"))
 
 
 def bleu(reference: Column | str, hypothesis: Column | str) -> Column:

@@ -132,54 +132,71 @@ def sample_head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 # --- distributions ------------------------------------------------------------------------------
 
 
-def quantiles(df: DataFrame, metrics: Sequence[str], probabilities: Sequence[float], slices: int = 200) -> DataFrame:
-    """Exact quantiles with linear interpolation, as (metric, probability, value); nulls do not count.
+#: Accuracy of the sketches that bracket a quantile: a rank is off by at most one in this many.
+SKETCH_ACCURACY = 10_000
 
-    No task sees a whole column. Values are counted first; approximate quantiles then cut each
-    metric into slices of about equal size, whose totals say which slices hold the wanted ranks;
-    only those are put in order. The cuts decide how the work is divided and not the result.
 
-    Broadcast here: the cuts (one row per metric) and the wanted ranks (two per metric and
-    probability), both set by the arguments and not by the data.
+def quantiles(
+    df: DataFrame, metrics: Sequence[str], probabilities: Sequence[float], accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, as (metric, probability, value); nulls do not count.
+
+    No task sees a whole column. A sketch per metric brackets every wanted rank between two values
+    that are surely below and above it; the rows under the bracket are counted, and only the values
+    inside it, some eight in ``accuracy`` of the column, are put in order. Both scans before that
+    send one row of numbers to the driver.
     """
-    values = df.select(*[F.col(f"`{m}`").cast("double").alias(m) for m in metrics])
-    long = values.unpivot([], list(metrics), "metric", "value").filter(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
-    counted = long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    # The test on n changes nothing, but lets all uses of ``counted`` share one shuffle.
-    points = [i / slices for i in range(1, slices)]
-    cuts = counted.groupBy("metric").agg(
-        F.percentile_approx(F.when(F.col("n") > 0, F.col("value")), points, 10_000).alias("cuts")
+    columns = [F.col(f"`{m}`").cast("double") for m in metrics]
+    columns = [F.when(~F.isnan(c), c) for c in columns]
+    reach = 4.0 / accuracy
+    ends = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-reach, reach)]
+    sketch = df.agg(*[
+        F.struct(
+            F.count(c).alias("n"), F.min(c).alias("least"), F.max(c).alias("most"),
+            F.percentile_approx(c, ends, accuracy).alias("ends"),
+        ).alias(f"m{i}")
+        for i, c in enumerate(columns)
+    ]).first()
+    targets = []
+    for i, metric in enumerate(metrics):
+        found = sketch[f"m{i}"]
+        for k, p in enumerate(probabilities if found["n"] else []):
+            place = (found["n"] - 1) * p
+            few = found["n"] <= accuracy
+            low = found["least"] if few or p <= reach else found["ends"][2 * k]
+            high = found["most"] if few or p >= 1 - reach else found["ends"][2 * k + 1]
+            targets.append((columns[i], metric, float(p), place, low, high))
+    schema = "metric string, probability double, value double"
+    if not targets:
+        return df.sparkSession.createDataFrame([], schema)
+
+    beside = df.agg(*[
+        F.struct(F.count(F.when(c < low, 1)).alias("below"), F.min(F.when(c > high, c)).alias("next")).alias(f"b{j}")
+        for j, (c, *_, low, high) in enumerate(targets)
+    ]).first()
+    inside = F.filter(
+        F.array(*[
+            F.struct(F.lit(j).alias("target"), F.when(c.between(low, high), c).alias("value"))
+            for j, (c, *_, low, high) in enumerate(targets)
+        ]),
+        lambda t: t["value"].isNotNull(),
     )
-    sliced = counted.join(F.broadcast(cuts), "metric").select(
-        "metric", "value", "n", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("slice")
-    )
-    totals = sliced.groupBy("metric", "slice").agg(F.sum("n").alias("rows"))
-    by_slice = Window.partitionBy("metric").orderBy("slice")
-    offsets = totals.select(
-        "metric", "slice", "rows",
-        (F.sum("rows").over(by_slice) - F.col("rows")).alias("offset"),
-        F.sum("rows").over(Window.partitionBy("metric")).alias("total"),
-    )
-    place = (F.col("total") - 1) * F.col("probability")
-    wanted = (
-        offsets.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("share", place - F.floor(place))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
-        .filter((F.col("rank") >= F.col("offset")) & (F.col("rank") < F.col("offset") + F.col("rows")))
-        .select("metric", "slice", "offset", "probability", "share", "rank")
-    )
-    inside = Window.partitionBy("metric", "slice", "probability", "rank").orderBy("value")
-    found = (
-        sliced.join(F.broadcast(wanted), ["metric", "slice"])
-        .withColumn("up_to", F.col("offset") + F.sum("n").over(inside))
-        .filter(F.col("up_to") > F.col("rank"))
-        .groupBy("metric", "probability", "share", "rank")
-        .agg(F.min("value").alias("value"))
+    bracketed = df.select(F.explode(inside).alias("t")).groupBy("t.target", "t.value").agg(F.count(F.lit(1)).alias("n"))
+    ranks = F.array(*[
+        F.struct(
+            F.lit(metric).alias("metric"), F.lit(p).alias("probability"), F.lit(beside[f"b{j}"]["below"]).alias("below"), F.lit(beside[f"b{j}"]["next"]).cast("double").alias("next"),
+            F.lit(int(place)).cast("bigint").alias("rank"), F.lit(place - int(place)).alias("share"),
+        )
+        for j, (_, metric, p, place, *_) in enumerate(targets)
+    ])
+    upto = Window.partitionBy("target").orderBy("value")
+    placed = bracketed.withColumn("w", F.get(ranks, F.col("target"))).select(
+        "w.*", "value", (F.col("w.below") + F.sum("n").over(upto)).alias("upto")
     )
-    low, high = F.min("value"), F.max("value")
-    return found.groupBy("metric", "probability", "share").agg(
+    low = F.min(F.when(F.col("upto") > F.col("rank"), F.col("value")))
+    high = F.min(F.when(F.col("upto") > F.col("rank") + 1, F.col("value")))
+    high = F.coalesce(high, F.first("next"), low)
+    return placed.groupBy("metric", "probability", "share").agg(
         (low + (high - low) * F.col("share")).alias("value")
     ).drop("share")
 
@@ -215,21 +232,20 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     The last bin holds the maximum; if all values are equal the range is one wide, around them.
     """
     v = F.col(value).cast("double")
-    limits = df.agg(F.min(v).alias("least"), F.max(v).alias("most"))
-    half = F.when(F.col("least") == F.col("most"), F.lit(0.5)).otherwise(F.lit(0.0))
-    limits = limits.select((F.col("least") - half).alias("least"), (F.col("most") + half).alias("most"))
-    least, most = limits.select("least").scalar(), limits.select("most").scalar()
+    limits = df.agg(F.min(v).alias("least"), F.max(v).alias("most")).first()
+    if limits["least"] is None:
+        return df.sparkSession.createDataFrame([], "bin bigint, low double, high double, count bigint")
+    half = 0.5 if limits["least"] == limits["most"] else 0.0
+    least, most = limits["least"] - half, limits["most"] + half
     counts = (
         df.filter(v.isNotNull())
-        .groupBy(F.least(F.width_bucket(v, least, most, F.lit(bins)), F.lit(bins).cast("bigint")).alias("bin"))
+        .groupBy(F.least(F.width_bucket(v, F.lit(least), F.lit(most), F.lit(bins)), F.lit(bins).cast("bigint")).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    width = (F.col("most") - F.col("least")) / bins
-    frame = limits.filter(F.col("least").isNotNull()).select(
-        "*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin")
-    ).select(
-        "bin", (F.col("least") + width * (F.col("bin") - 1)).alias("low"),
-        (F.col("least") + width * F.col("bin")).alias("high"),
+    width = (most - least) / bins
+    frame = df.sparkSession.range(1, bins + 1).select(
+        F.col("id").alias("bin"), (F.lit(least) + width * (F.col("id") - 1)).alias("low"),
+        (F.lit(least) + width * F.col("id")).alias("high"),
     )
     return frame.join(counts, "bin", "left").select(
         "bin", "low", "high", F.coalesce("n", F.lit(0).cast("bigint")).alias("count")

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callspark.functions import redaction as R
 from callspark.operators.skew import ROWS_PER_TASK, lookup_join
 
-SPAN = "array<struct<entity:string,start:int,end:int,score:double>>"
-
-
 def find(df: DataFrame, text: str, recognizer: R.Recognizer) -> DataFrame:
     """One row per match of a recognizer: the columns of ``df`` but the text, number, match."""
     others = [c for c in df.columns if c != text]
@@ -35,16 +33,29 @@ def _spans(text: str | None, patterns) -> list[tuple[str, int, int, float]]:
 
 
 def detect(df: DataFrame, text: str, recognizers: Sequence[R.Recognizer] = R.RECOGNIZERS) -> DataFrame:
-    """Adds ``spans``: entity, start, end and score of every match of every recognizer.
+    """One row per match of every recognizer: the columns of ``df`` but the text, entity, start, end, score.
 
-    Spark has no function for the positions of all matches, so this is an Arrow-batched UDF.
+    Spark has no function for the positions of all matches, so this runs in Arrow batches.
     """
-    @F.pandas_udf(SPAN)
-    def spans(texts: pd.Series) -> pd.Series:
-        patterns = _patterns(recognizers)
-        return texts.map(lambda t: [dict(zip(("entity", "start", "end", "score"), s)) for s in _spans(t, patterns)])
+    others = [c for c in df.columns if c != text]
+    schema = T.StructType([
+        *df.select(*others).schema.fields, T.StructField("entity", T.StringType()),
+        T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+        T.StructField("score", T.DoubleType()),
+    ])
 
-    return df.withColumn("spans", spans(text))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        patterns = _patterns(recognizers)
+        for pdf in batches:
+            found = [(i, *span) for i, t in enumerate(pdf[text]) for span in _spans(t, patterns)]
+            if found:
+                rows, entity, start, end, score = zip(*found)
+                yield pd.DataFrame({
+                    **{c: pdf[c].to_numpy()[list(rows)] for c in others},
+                    "entity": entity, "start": start, "end": end, "score": score,
+                })
+
+    return df.mapInPandas(run, schema)
 
 
 def anonymize(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callspark.functions import textmetrics as M
+from callspark.operators.evaluate import describe, histogram
+from callspark.session import cut_lineage
 
 METRICS = ("WER", "CER", "Levenshtein", "Precision", "Recall", "F1_Score", "BLEU")
 REFERENCE, HYPOTHESIS = "transcription_medium", "transcription_large"
@@ -23,7 +25,11 @@ def pair_runs(
 
 
 def with_metrics(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str = HYPOTHESIS) -> DataFrame:
-    """Adds the seven metrics; each is computed from its own row, without a shuffle."""
+    """Adds the seven metrics; each is computed from its own row, without a shuffle.
+
+    The distances cost the product of both lengths: deal few pairs over the cores with
+    :func:`callspark.session.spread` first.
+    """
     sides = (reference, hypothesis)
     return pairs.withColumns({
         "WER": M.wer(*sides), "CER": M.cer(*sides), "Levenshtein": M.levenshtein(*sides),
@@ -37,13 +43,14 @@ def sample(metrics: DataFrame, order: str = "file", n: int = 5) -> DataFrame:
 
 
 def levenshtein_histogram(metrics: DataFrame, bins: int = 30) -> DataFrame:
-    from callspark.operators.evaluate import histogram
-
-    return histogram(metrics, "Levenshtein", bins)
+    """Histogram of the character distance, which is computed once and written before it is counted."""
+    return histogram(cut_lineage(metrics.select("Levenshtein")), "Levenshtein", bins)
 
 
 def report(metrics: DataFrame) -> DataFrame:
-    """Mean, median and standard deviation of every metric, with the quartiles and the range."""
-    from callspark.operators.evaluate import describe
+    """Mean, median and standard deviation of every metric, with the quartiles and the range.
 
-    return describe(metrics.select(*[F.col(m).cast("double").alias(m) for m in METRICS]), METRICS)
+    The statistics take several scans, so the numbers are written to the checkpoint folder first.
+    """
+    numbers = metrics.select(*[F.col(m).cast("double").alias(m) for m in METRICS])
+    return describe(cut_lineage(numbers), METRICS)

@@ -34,7 +34,9 @@ def _pairs(spark, d):
     edited = turns.selectExpr(
         "concat(conv_id, '-', turn, '-edited') AS file", f"{_EDITED} AS transcription"
     )
-    return T.pair_runs(first.unionByName(copies), second.unionByName(edited))
+    pairs = T.pair_runs(first.unionByName(copies), second.unionByName(edited))
+    # A small join ends in one partition, and the distances are dear per row.
+    return pairs.repartition(spark.sparkContext.defaultParallelism, "file")
 
 
 _PAIRS = f"""pairs AS (

@@ -173,7 +173,7 @@ def _detect_sql():
 @query(f"""{_detect_sql()} SELECT text_id, entity, CAST(start AS INT) AS start, CAST(start + size AS INT) AS "end",
         score FROM spans""")
 def detect_spans(spark, d):
-    return redact.detect(v.texts(spark, d), "text").select("text_id", F.explode("spans").alias("s")).select("text_id", "s.*")
+    return redact.detect(v.texts(spark, d), "text")
 
 
 @query()

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callspark.session import spread
+
+
+#: Tables of texts, on which the work per row is dear.
+_TEXT_TABLES = ("documents", "conversations", "pages")
+
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(df) if name in _TEXT_TABLES else df
 
 
 def ts(col: str) -> Column:
@@ -250,7 +257,9 @@ NOTE = """concat(
 
 def texts(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").selectExpr("concat('d', doc_id) AS text_id", "text")
-    notes = table(spark, d, "orders").selectExpr("concat('o', o_orderkey) AS text_id", f"{NOTE} AS text")
+    notes = spread(table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+    )).selectExpr("concat('o', o_orderkey) AS text_id", f"{NOTE} AS text")
     return documents.unionByName(notes)
 
 
