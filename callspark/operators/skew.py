@@ -51,11 +51,14 @@ def lookup_join(
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     if rows_column:
-        hot = _hot(small, on, rows_column, rows_per_task)
+        hot = F.broadcast(_hot(small, on, rows_column, rows_per_task))
+        rows = F.col(rows_column)
+        copies = F.when(rows > rows_per_task, F.ceil(rows / rows_per_task)).otherwise(1).cast("int")
+        counted = small.withColumn(_COPIES, copies).drop(rows_column)
         small = small.drop(rows_column)
     else:
-        hot = hot_keys(big, on, rows_per_task)
-    hot = F.broadcast(hot)
+        hot = F.broadcast(hot_keys(big, on, rows_per_task))
+        counted = small.join(hot, on, "left").withColumn(_COPIES, F.coalesce(_COPIES, F.lit(1)))
 
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns if _hashable(big, c)])
@@ -65,9 +68,7 @@ def lookup_join(
         .when(missing, F.pmod(spread, F.lit(_NULL_SLOTS)).cast("int"))
         .otherwise(F.lit(0)),
     )
-    repeated = small.join(hot, on, "left").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_COPIES), F.lit(1)) - 1))
-    )
+    repeated = counted.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col(_COPIES) - 1)))
     joined = salted.drop(_COPIES).join(repeated.drop(_COPIES), [*on, _SALT], how).drop(_SALT)
     if how == "left_semi":
         return joined.select(*big.columns)

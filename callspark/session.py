@@ -58,6 +58,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Partitions for an explicit repartition: the shuffle setting, but no fewer than the cores."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deals the rows of a scan over all cores if it has fewer partitions than there are cores.
 

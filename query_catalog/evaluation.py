@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from callspark.functions import textmetrics as M
 from callspark.operators import evaluate as E
 from callspark.operators import textmetrics as T
+from callspark.session import parallelism
 from query_catalog import views as v
 
 QUERIES, SQL = {}, {}
@@ -36,7 +37,7 @@ def _pairs(spark, d):
     )
     pairs = T.pair_runs(first.unionByName(copies), second.unionByName(edited))
     # A small join ends in one partition, and the distances are dear per row.
-    return pairs.repartition(spark.sparkContext.defaultParallelism, "file")
+    return pairs.repartition(parallelism(spark), "file")
 
 
 _PAIRS = f"""pairs AS (

@@ -176,7 +176,23 @@ def detect_spans(spark, d):
     return redact.detect(v.texts(spark, d), "text")
 
 
-@query()
+_ORDER = " ".join(f"WHEN '{R.tag(r)[1:-1]}' THEN {i}" for i, r in reversed(list(enumerate(R.RECOGNIZERS))))
+
+_KEPT = f"""{_detect_sql().replace('WITH ', 'WITH RECURSIVE ', 1)}, ranked AS (
+    SELECT text_id, entity, CAST(start AS BIGINT) AS s, CAST(start + size AS BIGINT) AS e, row_number() OVER (
+        PARTITION BY text_id ORDER BY size DESC, score DESC, start, CASE entity {_ORDER} END) AS rn FROM spans), greedy AS (
+    SELECT DISTINCT text_id, 0::BIGINT AS rn, CAST([] AS STRUCT(s BIGINT, e BIGINT, t VARCHAR)[]) AS kept FROM ranked
+    UNION ALL
+    SELECT g.text_id, r.rn, CASE WHEN len(list_filter(g.kept, lambda k: k.s < r.e AND r.s < k.e)) = 0
+           THEN list_append(g.kept, {{'s': r.s, 'e': r.e, 't': r.entity}}) ELSE g.kept END
+    FROM greedy g JOIN ranked r ON r.text_id = g.text_id AND r.rn = g.rn + 1), final AS (
+    SELECT text_id, list_sort(arg_max(kept, rn)) AS k FROM greedy GROUP BY text_id)"""
+
+
+@query(f"""{_KEPT} SELECT text_id, CASE WHEN k IS NULL THEN text ELSE array_to_string(list_transform(k, lambda x, i:
+        substr(text, coalesce(k[i - 1].e, 0) + 1, x.s - coalesce(k[i - 1].e, 0)) || '<' || x.t || '>'), '')
+        || substr(text, k[-1].e + 1) END AS anonymized
+    FROM texts LEFT JOIN final USING (text_id)""")
 def anonymize_spans(spark, d):
     return redact.anonymize(v.texts(spark, d), "text").select("text_id", "anonymized")
 
