@@ -150,7 +150,8 @@ def with_recordings(segments: DataFrame, url: str = "taskURL") -> DataFrame:
 
 
 def attach_recordings(
-    segments: DataFrame, manifest: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    segments: DataFrame, manifest: DataFrame, rows_per_task: int = ROWS_PER_TASK,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the file of each recording, or the sentinel where it was not downloaded.
 
@@ -160,16 +161,18 @@ def attach_recordings(
     files = manifest.groupBy("RecordingSID").agg(
         F.min(F.when(F.col("file_path") != NOT_DOWNLOADED, F.col("file_path"))).alias("file_path")
     )
-    joined = lookup_join(segments, files, ["RecordingSID"], "left", rows_per_task=rows_per_task)
+    joined = lookup_join(
+        segments, files, ["RecordingSID"], "left", rows_per_task=rows_per_task, count_on=count_on
+    )
     return joined.withColumn("file_path", F.coalesce("file_path", F.lit(NOT_DOWNLOADED)))
 
 
 def metadata(
     segments: DataFrame, intent: DataFrame, key: str = "callSid",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the intent of the call (one row per call) to its segments."""
     for side, df in (("segments", segments), ("intent", intent)):
         if key not in df.columns:
             raise ValueError(f"column {key!r} is missing from the {side} side")
-    return lookup_join(segments, intent, [key], "left", rows_per_task=rows_per_task)
+    return lookup_join(segments, intent, [key], "left", rows_per_task=rows_per_task, count_on=count_on)

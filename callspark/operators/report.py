@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callspark.operators.skew import ROWS_PER_TASK, lookup_join
 from callspark.session import cut_lineage
 
 # Report columns in order, as (input name, output name, type).
@@ -123,17 +124,24 @@ def align_by_position(left: DataFrame, right: DataFrame, left_order: list[str],
     return numbered(left, left_order).join(numbered(right, right_order), "row_no").drop("row_no")
 
 
-def assemble(stages: dict[str, DataFrame], metadata: DataFrame, master: DataFrame) -> DataFrame:
+def assemble(
+    stages: dict[str, DataFrame], metadata: DataFrame, master: DataFrame, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Stage outputs, call metadata and accounts in one table.
 
+    The keys of ``metadata`` are counted before the joins, so it should be a written table.
+
     The stages share ``file_path``. The insight ``Summary`` becomes ``summary_concise``, as Spark
     does not tell it from ``summary``. The master list gives the account of a task, and may name it
     ``taskId``, ``TASK_ID`` or ``Task_ID``.
     """
     renamed = [s.withColumnRenamed("Summary", "summary_concise") if "Summary" in s.columns else s for s in stages.values()]
-    calls = align(renamed).join(metadata.drop(*IVR_COLUMNS), "file_path")
+    metadata = metadata.drop(*IVR_COLUMNS)
+    # A file may stand for many segments, above all the sentinel of recordings not downloaded.
+    calls = lookup_join(metadata, align(renamed), ["file_path"], rows_per_task=rows_per_task)
     accounts = master.withColumnsRenamed({"TASK_ID": "taskId", "Task_ID": "taskId"}).select("KY_BA", "taskId")
-    return accounts.join(calls, "taskId").drop(*INDEX_COLUMNS)
+    joined = lookup_join(calls, accounts, ["taskId"], rows_per_task=rows_per_task, count_on=metadata)
+    return joined.drop(*INDEX_COLUMNS)
 
 
 def conform(df: DataFrame, layout=LAYOUT) -> DataFrame:

@@ -40,6 +40,7 @@ def lookup_join(
     how: str = "inner",
     rows_column: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``small`` (``inner``, ``left`` or ``left_semi``) without a hot task.
 
@@ -47,6 +48,8 @@ def lookup_join(
     is run again; the ``small`` rows of that key are repeated once per salt. All other keys have
     the single salt 0. ``rows_column`` names a column of ``small`` that already holds the number
     of ``big`` rows per key and saves the counting pass; it is dropped from the result.
+    ``count_on`` is a table to count the keys on in place of ``big``, such as the table ``big`` is
+    drawn from: more rows only mean more salts, and a dear ``big`` is not computed twice.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
@@ -57,7 +60,7 @@ def lookup_join(
         counted = small.withColumn(_COPIES, copies).drop(rows_column)
         small = small.drop(rows_column)
     else:
-        hot = F.broadcast(hot_keys(big, on, rows_per_task))
+        hot = F.broadcast(hot_keys(big if count_on is None else count_on, on, rows_per_task))
         counted = small.join(hot, on, "left").withColumn(_COPIES, F.coalesce(_COPIES, F.lit(1)))
 
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
