@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -296,6 +297,14 @@ def commentary(described: DataFrame, mode: str = "reference") -> DataFrame:
     """
     if mode not in ("reference", "fixed"):
         raise ValueError(f"unknown mode: {mode}")
+    @F.pandas_udf("string")
+    def two_places(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: f"{v:.2f}")
+
+    # Java rounds the shortest decimal form, so that 6.975 becomes 6.98; the value itself is below
+    # and has to become 6.97. There is one row per metric here.
+    named = {stat: two_places(F.coalesce(stat, F.lit(float("nan")))) for stat in ("mean", "std")}
+    described = described.withColumns({f"{stat}_text": text for stat, text in named.items()})
     lowered = F.lower("metric")
     name = (
         F.concat(F.upper(F.substring(lowered, 1, 1)), F.substring(lowered, 2, 1000))
@@ -306,15 +315,14 @@ def commentary(described: DataFrame, mode: str = "reference") -> DataFrame:
         value = F.col(stat)
         sentence = None
         for limit, text in reversed(ranges):
-            filled = F.when(value.isNull(), F.lit(text.replace("%.2f", "nan"))).otherwise(F.format_string(text, value))
+            filled = F.format_string(text.replace("%.2f", "%s"), F.col(f"{stat}_text"))
             if limit is None:
                 sentence = filled
             else:
                 hit = value > limit if stat == "mean" else value < limit
                 sentence = F.when(hit, filled).otherwise(sentence)
         comment = F.when(name == metric, sentence).otherwise(comment)
-    std = F.when(F.col("std").isNull(), F.lit("nan")).otherwise(F.format_string("%.2f", F.col("std")))
     ends = [F.col(c).cast("double").cast("string") for c in ("min", "max")]
     return described.select(
-        "metric", F.concat(comment, F.format_string(RANGE_COMMENT, *ends, std)).alias("comment")
+        "metric", F.concat(comment, F.format_string(RANGE_COMMENT, *ends, F.col("std_text"))).alias("comment")
     )
