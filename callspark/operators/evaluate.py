@@ -135,17 +135,21 @@ def sample_head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 #: Accuracy of the sketches that bracket a quantile: a rank is off by at most one in this many.
 SKETCH_ACCURACY = 10_000
+#: Rows of a bracket above which it is narrowed by another sketch before its values are sorted.
+BRACKET_ROWS = 5_000_000
+_ROUNDS = 5
 
 
 def quantiles(
-    df: DataFrame, metrics: Sequence[str], probabilities: Sequence[float], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, metrics: Sequence[str], probabilities: Sequence[float], accuracy: int = SKETCH_ACCURACY,
+    bracket_rows: int = BRACKET_ROWS,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, as (metric, probability, value); nulls do not count.
 
     No task sees a whole column. A sketch per metric brackets every wanted rank between two values
-    that are surely below and above it; the rows under the bracket are counted, and only the values
-    inside it, some eight in ``accuracy`` of the column, are put in order. Both scans before that
-    send one row of numbers to the driver.
+    that are surely below and above it; the rows under the bracket are counted, a bracket that
+    still holds many rows is narrowed again, and only the distinct values inside are put in order.
+    Each of these scans sends one row of numbers to the driver.
     """
     columns = [F.col(f"`{m}`").cast("double") for m in metrics]
     columns = [F.when(~F.isnan(c), c) for c in columns]
@@ -171,10 +175,33 @@ def quantiles(
     if not targets:
         return df.sparkSession.createDataFrame([], schema)
 
-    beside = df.agg(*[
-        F.struct(F.count(F.when(c < low, 1)).alias("below"), F.min(F.when(c > high, c)).alias("next")).alias(f"b{j}")
-        for j, (c, *_, low, high) in enumerate(targets)
-    ]).first()
+    for attempt in range(_ROUNDS):
+        beside = df.agg(*[
+            F.struct(
+                F.count(F.when(c < low, 1)).alias("below"), F.min(F.when(c > high, c)).alias("next"),
+                F.count(F.when(c.between(low, high), 1)).alias("inside"),
+            ).alias(f"b{j}")
+            for j, (c, *_, low, high) in enumerate(targets)
+        ]).first()
+        wide = [
+            j for j, (*_, low, high) in enumerate(targets)
+            if beside[f"b{j}"]["inside"] > max(bracket_rows, accuracy) and low < high
+        ]
+        if not wide or attempt == _ROUNDS - 1:
+            break
+        shares = {j: (targets[j][3] - beside[f"b{j}"]["below"]) / beside[f"b{j}"]["inside"] for j in wide}
+        narrowed = df.agg(*[
+            F.percentile_approx(
+                F.when(targets[j][0].between(*targets[j][4:]), targets[j][0]),
+                [min(max(shares[j] + side, 0.0), 1.0) for side in (-reach, reach)], accuracy,
+            ).alias(f"b{j}")
+            for j in wide
+        ]).first()
+        for j in wide:
+            *kept, low, high = targets[j]
+            low = low if shares[j] <= reach else narrowed[f"b{j}"][0]
+            high = high if shares[j] >= 1 - reach else narrowed[f"b{j}"][1]
+            targets[j] = (*kept, low, high)
     inside = F.filter(
         F.array(*[
             F.struct(F.lit(j).alias("target"), F.when(c.between(low, high), c).alias("value"))

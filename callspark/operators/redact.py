@@ -19,15 +19,21 @@ def find(df: DataFrame, text: str, recognizer: R.Recognizer) -> DataFrame:
     return df.select(*others, F.posexplode(R.matches(text, recognizer)).alias("match_no", "match"))
 
 
-def _patterns(recognizers: Sequence[R.Recognizer]) -> list[tuple[str, float, re.Pattern]]:
-    return [(R.tag(r)[1:-1], r.score, re.compile(r.regex, re.IGNORECASE)) for r in recognizers]
+def _patterns(recognizers: Sequence[R.Recognizer]) -> list[tuple]:
+    return [
+        (R.tag(r)[1:-1], r.score, re.compile(r.regex, re.IGNORECASE), re.compile(r.gate.replace(r"\p{Nd}", r"\d")))
+        for r in recognizers
+    ]
 
 
 def _spans(text: str | None, patterns) -> list[tuple[str, int, int, float]]:
+    if not text:
+        return []
     return [
         (entity, m.start(), m.end(), score)
-        for entity, score, pattern in patterns
-        for m in pattern.finditer(text or "")
+        for entity, score, pattern, gate in patterns
+        if gate.search(text)
+        for m in pattern.finditer(text)
         if m.end() > m.start()
     ]
 

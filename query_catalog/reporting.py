@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from callspark.operators import calls, report
@@ -118,5 +120,5 @@ def whole_chain(spark, d):
         F.col("item_id").alias("topic_num"), F.concat(F.lit("topic "), "item_id").alias("topic"),
         F.col("text").alias("description"),
     )
-    folder = f"{ensure_checkpoint_dir(spark)}/whole_chain/{d.strip('/').replace('/', '_')}"
+    folder = f"{ensure_checkpoint_dir(spark)}/whole_chain/{uuid.uuid4().hex}"
     return _plain(chain.run_all(spark, per_file, metadata, master, taxonomy, folder, threshold=0.2))

@@ -46,9 +46,11 @@ def test_threshold_flags(spark):
 def test_quantiles_are_exact(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {r.probability: r.value for r in E.quantiles(df, ["x"], probabilities, accuracy=20).collect()}
     clean = [v for v in values if v is not None]
-    assert got == pytest.approx({p: float(np.quantile(clean, p)) for p in probabilities})
+    expected = pytest.approx({p: float(np.quantile(clean, p)) for p in probabilities})
+    for rows in (10, 10**6):
+        found = E.quantiles(df, ["x"], probabilities, accuracy=20, bracket_rows=rows)
+        assert {r.probability: r.value for r in found.collect()} == expected
 
 
 def test_describe_and_moments(spark):
