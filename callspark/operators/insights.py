@@ -131,7 +131,23 @@ def parse(df: DataFrame, answer: str, fields: Sequence[str] = FIELDS) -> DataFra
     ).drop("__parsed")
 
 
+#: Python constants as JSON writes them.
+_CONSTANTS = {"None": "null", "True": "true", "False": "false"}
+
+
+def parse_literal(col: Column | str, schema: str) -> Column:
+    """A list or dict written as a Python or JSON literal, under an array or map schema; else null.
+
+    Python's constants are only translated where the text as it stands is not readable.
+    """
+    text = column(col)
+    translated = text
+    for python, json in _CONSTANTS.items():
+        translated = F.regexp_replace(translated, rf"(?<=[\[,:{{]\s{{0,9}}){python}(?=\s*[,\]}}])", json)
+    closed = text.rlike(r"(?s)^\s*(\[.*\]|\{.*\})\s*$")
+    return F.when(closed, F.coalesce(F.from_json(text, schema), F.from_json(translated, schema)))
+
+
 def parse_list(col: Column | str) -> Column:
     """A list of texts written as a Python or JSON literal; null if it is neither."""
-    text = column(col)
-    return F.when(text.rlike(r"(?s)^\s*\[.*\]\s*$"), F.from_json(text, "array<string>"))
+    return parse_literal(col, "array<string>")

@@ -214,3 +214,13 @@ def test_parse_list(spark):
     assert {r.id: r.x for r in df.select("id", insights.parse_list("t").alias("x")).collect()} == {
         0: ["a", "b"], 1: ["a"], 2: None, 3: None
     }
+
+
+def test_parse_literal(spark):
+    texts = ["[{'a': 'x', 'b': None}, {'a': 'None, really', 'b': 'y'}]", '[{"a": "x"}]', "[1", "nothing"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = {r.id: r.x for r in df.select("id", insights.parse_literal("t", "array<struct<a:string,b:string>>").alias("x")).collect()}
+    assert [tuple(x) for x in got[0]] == [("x", None), ("None, really", "y")]
+    assert [tuple(x) for x in got[1]] == [("x", None)] and got[2] is None and got[3] is None
+    counts = df.select(insights.parse_literal(F.lit("{'a': 1, 'b': 2}"), "map<string,int>").alias("x")).first().x
+    assert counts == {"a": 1, "b": 2}
