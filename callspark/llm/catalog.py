@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callspark.llm import html_text, quality, secret_scan, toxicity
+from callspark.llm import decontaminate, html_text, jaccard_join, mixing, quality, secret_scan, sharding, toxicity, url_filter
 from callspark.llm.common import table
 
 
@@ -13,10 +13,50 @@ def op1_html_text(spark: SparkSession, d: str) -> DataFrame:
     return html_text.extract(table(spark, d, "pages"))
 
 
+def op2_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op3_sharding(spark: SparkSession, d: str) -> DataFrame:
+    return sharding.shard(table(spark, d, "documents"))[0]
+
+
+#: The rules of the contract.
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def labelled_urls(spark: SparkSession, d: str) -> DataFrame:
+    """URLs of pages whose document, named by the number in the path, has labels: 1 for toxic or of low quality."""
+    number = F.regexp_extract("url", r"^[^?#]*/(\d{1,18})(?:\.html|/)?(?:[?#]|$)", 1)
+    pages = table(spark, d, "pages", "url").withColumn("n", number).select("url", F.expr("try_cast(n AS bigint)").alias("doc_id"))
+    labels = table(spark, d, "labels", "doc_id", "quality", "toxic")
+    blocked = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    return pages.join(labels, "doc_id").select("url", blocked.cast("int").alias("label"))
+
+
+def op4_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    model = url_filter.fit(labelled_urls(spark, d))
+    return url_filter.judge(table(spark, d, "pages", "page_id", "url"), model, URL_RULES)
+
+
 def op5_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.find(table(spark, d, "documents"))
 
 
+def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixed(table(spark, d, "documents"))
+
+
+def op7_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, d, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, d, "labels")))
@@ -32,7 +72,12 @@ def op9_quality_ledger(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_text": op1_html_text,
+    "op2_decontamination": op2_decontamination,
+    "op3_sharding": op3_sharding,
+    "op4_url_filter": op4_url_filter,
     "op5_secrets": op5_secrets,
+    "op6_mixing": op6_mixing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_quality_ledger": op9_quality_ledger,
 }
