@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callspark.llm import decontaminate, html_text, jaccard_join, mixing, quality, secret_scan, sharding, toxicity, url_filter
+from callspark.llm import decontaminate, html_text, jaccard_join, mixing, quality, repeat_removal, secret_scan, sharding, toxicity, url_filter
 from callspark.llm.common import table
 
 
@@ -70,6 +70,10 @@ def op9_quality_ledger(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op10_repeat_removal(spark: SparkSession, d: str) -> DataFrame:
+    return repeat_removal.report(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_decontamination": op2_decontamination,
@@ -80,6 +84,79 @@ QUERIES = {
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_quality_ledger": op9_quality_ledger,
+    "op10_repeat_removal": op10_repeat_removal,
 }
 
-SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SQL = {
+    "op2_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        sized AS (SELECT item_id, w, least(10, len(w)) AS k FROM i WHERE len(w) > 0),
+        windows AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[s : s + k - 1], ' ') AS g
+            FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM sized)),
+        spots AS (
+            SELECT doc_id, k, s, array_to_string(w[s : s + k - 1], ' ') AS g
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
+                  FROM d, (SELECT DISTINCT k FROM windows))),
+        found AS (SELECT doc_id, item_id, s, k FROM spots JOIN windows USING (k, g)),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM found) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS all_items
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(all_items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_jaccard_join": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        g AS (
+            SELECT DISTINCT doc_id, array_to_string(w[s : s + 4], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached AS (
+            SELECT doc_id AS node, doc_id AS other FROM d
+            UNION
+            SELECT r.node, l.b FROM reached r JOIN both_ways l ON l.a = r.other)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+        FROM d LEFT JOIN n USING (doc_id)
+        JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reached GROUP BY node) c USING (doc_id)""",
+    "op9_quality_ledger": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_SPACED} AS w FROM documents),
+        lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+        line_counts AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+                  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        windows AS (SELECT doc_id, s, array_to_string(w[s : s + 7], ' ') AS g
+                    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS s FROM d)),
+        again AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
+        repeated AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+                     FROM (SELECT doc_id, unnest(range(s, s + 8)) AS p FROM again) GROUP BY doc_id),
+        m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                     CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                     coalesce(n_lines, 0) AS n_lines,
+                     length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals
+              FROM d LEFT JOIN line_counts USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+        f AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END
+                 + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+                 + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END
+                 + CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
+                 + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) THEN 16 ELSE 0 END
+                 + CASE WHEN n_words > 0 AND 2 * n_capitals > word_chars THEN 32 ELSE 0 END AS failed
+              FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               failed & 3 != 0 AS base_failed, failed = 0 AS kept, failed FROM f""",
+}
