@@ -19,24 +19,36 @@ class Recognizer:
     """A pattern for one kind of personal data.
 
     ``gate`` is a cheap pattern without which ``regex`` cannot match; texts that lack it skip the
-    expensive one.
+    expensive one. ``linear`` has the same matches in a form for Java that neither recurses nor tries
+    the same characters again and again on long runs.
     """
 
     entity: str
     regex: str
     score: float
     gate: str = r"\p{Nd}"
+    linear: str | None = None
 
     @property
     def java(self) -> str:
-        return f"(?iU){self.regex}"
+        return f"(?iU){self.linear or self.regex}"
 
 
 # Entities, patterns and scores.
 RECOGNIZERS = (
     Recognizer("TITLE", r"\b(?:Mr\.|Mrs\.|Miss\b)", 1.0, "(?i)m[ri]"),
     Recognizer("PHONE_NUMBER", r"\(?\b\d{3}\)?[-.]?\s?\d{3}[-.]?\s?\d{4}\b", 0.5),
-    Recognizer("EMAIL_ADDRESS", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", 0.5, "@"),
+    Recognizer(
+        "EMAIL_ADDRESS",
+        r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
+        0.5,
+        "@",
+        # A start fails where an earlier one in the same run of characters failed: after marks behind
+        # a word, and after a word behind a mark, unless an address that ended here may have begun
+        # less than 1,000 characters ago.
+        r"\b(?<![A-Za-z0-9_][.%+\-]{1,64})(?!(?<=[^@]{1000})(?<=[.%+\-][A-Za-z0-9_]{1,64}))"
+        r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
+    ),
     Recognizer("ACCOUNT_NUMBER", r"\b\d{8,12}\b", 0.5),
     Recognizer(
         "DATE",
@@ -49,6 +61,10 @@ RECOGNIZERS = (
         "ADDRESS",
         r"\b\d{1,5}\s([a-zA-Z\s]{1,})\b,?\s([a-zA-Z\s]{1,}),?\s([A-Z]{2}),?\s\d{5}\b",
         0.85,
+        # The look-ahead asks for letters, spaces and at most three commas up to five digits, before
+        # all ways to cut a long run of words are tried.
+        linear=r"\b\d{1,5}\s(?=(?:[a-zA-Z\s]++,?+){1,4}+\d{5}\b)"
+        r"([a-zA-Z\s]{1,})\b,?\s([a-zA-Z\s]{1,}),?\s([A-Z]{2}),?\s\d{5}\b",
     ),
     Recognizer("US_SSN", r"\b\d{3}-\d{2}-\d{4}\b", 0.85),
     Recognizer("US_SSN_LAST4", r"\b\d{4}\b", 0.85),
@@ -59,6 +75,8 @@ RECOGNIZERS = (
         r"confirmation\snumber\s(?:is\s)?((?:\d+|\w+)(?:,\s?(?:\d+|\w+))*)",
         0.9,
         "(?i)confirmation",
+        # Items of different lengths in a plain repeated group would be matched by recursion.
+        r"confirmation\snumber\s(?:is\s)?((?:\d++|\w++)(?:,\s?+(?:\d++|\w++))*+)",
     ),
     Recognizer("PASSPORT", r"\b[A-Z]{1,2}\d{7,8}\b", 0.85),
     Recognizer("DRIVERS_LICENSE", r"\b[A-Z]{2}\d{7,8}\b|\bDL\s?\d{8,12}\b", 0.85),
@@ -89,11 +107,13 @@ JOINED_MARK = "***"
 NUMBER_MARK = "[REDACTED]"
 NUMBER_WORDS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "zero")
 
-#: A token with a word character at both ends and a joining character inside. Written without a
-#: repeated group, which Java would match by recursion.
-JOINED = r"(?U)\b\w[\w.*\-]*[.*\-_][\w.*\-]*\w\b"
+# Fixed values as well; written with possessive groups, which Java matches without recursion and
+# without trying the same characters again.
+#: Word characters at both ends and a joining character inside.
+JOINED = r"(?U)\b(?:\w++(?:[.*\-]++\w++)++|\w+_\w+)"
 DIGITS = r"(?U)\b\d+\b"
-ACCOUNT = r"(?U)\b(?:\d{4}[-\s]?){2,}(?=\d{4})"
+#: Each group of four digits is followed by four more, so that a last group is left.
+ACCOUNT = r"(?U)\b(?:\d{4}[-\s]?(?=\d{4})){2,}+"
 
 _NUMBER = f"(?:{'|'.join(NUMBER_WORDS)})++\\b"
 #: Runs of number words; space before a following word goes with them. Possessive throughout, as
@@ -136,6 +156,13 @@ def matches(text: Column | str, recognizer: Recognizer) -> Column:
     return F.when(text.rlike(recognizer.gate), found).otherwise(F.array().cast("array<string>"))
 
 
+def match_count(text: Column | str, recognizer: Recognizer) -> Column:
+    """Number of matches of one recognizer."""
+    text = column(text)
+    found = F.regexp_count(text, F.lit(recognizer.java))
+    return found if not recognizer.gate else F.when(text.rlike(recognizer.gate), found).otherwise(0)
+
+
 def replace_all(text: Column | str, recognizers: Sequence[Recognizer] = RECOGNIZERS) -> Column:
     """Each match replaced by its tag, recognizer by recognizer in the order of :data:`PRIORITY`.
 

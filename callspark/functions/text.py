@@ -59,9 +59,12 @@ def sentences_by_mark(text: Column | str) -> Column:
 def chunks(text: Column | str, size: int = 3200, max_tokens: int = 3800, overlap: int = 50) -> Column:
     """Chunks of ``size`` tokens, each going on for ``overlap`` tokens while more follow them.
 
-    A chunk starts at every multiple of ``size``. With ``max_tokens`` below ``size`` the tokens
-    between the end of a chunk and the next start are in no chunk.
+    A chunk starts at every multiple of ``size`` and has at most ``max_tokens``, which may not be
+    less than ``size``: tokens would be in no chunk.
     """
+    if max_tokens < size:
+        raise ValueError(f"chunks of {size} tokens do not fit {max_tokens}")
+
     def cut(words: Column) -> Column:
         n = F.size(words)
 

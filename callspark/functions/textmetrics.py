@@ -46,7 +46,9 @@ def _over_runs(ordered: Column, value: Callable[[Column], Column], make: Callabl
 def _as_characters(words: Column) -> Column:
     """Each word as one character, the same for equal words: its rank is the code point."""
     def character(rank: Column) -> Column:
-        point = F.when(rank < _SURROGATES - 1, rank + 1).otherwise(rank + 0x801)
+        point = F.when(rank < _SURROGATES - 1, rank + 1).when(rank + 0x801 <= 0x10FFFF, rank + 0x801).otherwise(
+            F.raise_error(F.lit("a pair of texts has more distinct words than there are characters")).cast("int")
+        )
         return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
 
     def ranked(ordered: Column) -> Column:
@@ -62,8 +64,8 @@ def _as_characters(words: Column) -> Column:
 def word_edits(reference: Column | str, hypothesis: Column | str) -> Column:
     """Word edits between the texts.
 
-    Words become characters, so that the built-in character distance counts words. A pair may hold
-    a million distinct words.
+    Words become characters, so that the built-in character distance counts words. There are
+    1,112,063 characters; a pair with more distinct words is an error, not a wrong number.
     """
     sides = F.struct(tokens(reference).alias("r"), tokens(hypothesis).alias("h"))
 

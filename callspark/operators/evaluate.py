@@ -37,18 +37,25 @@ BELOW, ABOVE = "below-threshold", "above-threshold"
 
 
 def score_schema(metrics: Iterable[str]) -> str:
-    return ", ".join(f"`{m}` struct<score:double>" for m in metrics)
+    """Each metric as text, as it may be an object with a score or the bare number."""
+    return ", ".join(f"`{m}` string" for m in metrics)
+
+
+def _score(value: Column) -> Column:
+    return F.coalesce(F.get_json_object(value, "$.score").try_cast("double"), value.try_cast("double"))
 
 
 def parse_scores(df: DataFrame, response: str, metrics: Sequence[str], into: str = "eval") -> DataFrame:
     """Adds the judge's answer as a struct of ``metric.score``.
 
-    JSON and Python quoting are both read. An answer that is not one object, or has none of the
-    metrics, scores -1 throughout; a metric missing from a readable answer is null.
+    JSON and Python quoting are both read, and a metric may hold an object with a score or the
+    score alone. An answer that is not one object, or has none of the metrics, scores -1 throughout;
+    a metric missing from a readable answer is null.
     """
-    parsed = F.from_json(response, score_schema(metrics))
+    answer = F.from_json(response, score_schema(metrics))
+    parsed = F.struct(*[F.struct(_score(answer[m]).alias("score")).alias(m) for m in metrics])
     readable = F.col(response).rlike(r"(?s)^\s*\{.*\}\s*$")
-    any_score = F.coalesce(*[parsed[m]["score"] for m in metrics]).isNotNull()
+    any_score = F.coalesce(*[_score(answer[m]) for m in metrics]).isNotNull()
     failed = F.struct(*[F.struct(F.lit(FAILED).alias("score")).alias(m) for m in metrics])
     return df.withColumn(into, F.when(readable & any_score, parsed).otherwise(failed))
 
@@ -334,7 +341,7 @@ def commentary(described: DataFrame, mode: str = "reference") -> DataFrame:
     described = described.withColumns({f"{stat}_text": text for stat, text in named.items()})
     lowered = F.lower("metric")
     name = (
-        F.concat(F.upper(F.substring(lowered, 1, 1)), F.substring(lowered, 2, 1000))
+        F.concat(F.upper(F.substring(lowered, 1, 1)), F.substr(lowered, F.lit(2)))
         if mode == "reference" else F.initcap(F.replace(lowered, F.lit("_"), F.lit(" ")))
     )
     comment = F.format_string(PLAIN_COMMENT, name)

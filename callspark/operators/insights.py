@@ -8,12 +8,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callspark.functions.text import column, sentences_by_mark, token_count
+from callspark.functions.text import column, let, token_count
 from callspark.operators.sentiment import LEXICON, label_text
-from callspark.operators.summarize import ACTION_WORDS, sentences_with
+from callspark.operators.summarize import ACTION_WORDS, extract_summary, sentences_with
 
 # Fields, sentinel, shortest text, value sets.
 FIELDS = (
@@ -28,8 +29,6 @@ CATEGORIES = (
     "BILLING", "BUSINESS ACCOUNTS", "COLLECTIONS", "COMMERCIAL", "ENERGY", "ON TRACK", "POWER",
     "STANDARD OFFER", "START OR STOP OR TRANSFER SERVICE",
 )
-URGENCIES = ("High", "Medium", "Low")
-RESOLUTIONS = ("Resolved", "Unresolved")
 
 
 @dataclass(frozen=True)
@@ -93,17 +92,29 @@ def extract(
     lexicon: dict = LEXICON, action_words: Iterable[str] = ACTION_WORDS,
     problem_words: Iterable[str] = PROBLEM_WORDS, follow_up_words: Iterable[str] = FOLLOW_UP_WORDS,
 ) -> DataFrame:
-    """Adds the fourteen fields; texts below ``min_tokens`` tokens get the sentinel in all."""
+    """Adds the fourteen fields; texts below ``min_tokens`` tokens get the sentinel in all.
+
+    The summary, and the main issue of a text without a problem word, come from the extractive
+    scorer over the whole text.
+    """
     body = column(text)
-    first = F.get(sentences_by_mark(body), F.lit(0))
     none = F.lit("None")
 
+    @F.pandas_udf("summary string, main string")
+    def scored(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({
+            "summary": texts.map(lambda t: None if t is None else extract_summary(t)),
+            "main": texts.map(lambda t: None if t is None else extract_summary(t, sentences=1)),
+        })
+
+    df = df.withColumn("__scored", scored(body))
+
     def listed(words: Iterable[str]) -> Column:
         return F.nullif(sentences_with(body, list(words)), F.lit(""))
 
     fields = {
-        "Summary": F.array_join(F.slice(sentences_by_mark(body), 1, 2), ". "),
-        "Main Issue": F.coalesce(listed(problem_words), first),
+        "Summary": F.col("__scored.summary"),
+        "Main Issue": F.coalesce(listed(problem_words), F.col("__scored.main")),
         "Steps Taken": F.coalesce(listed(action_words), none),
         "Sentiment": label_text(body, lexicon),
         "Follow-Up Actions": F.coalesce(listed(follow_up_words), none),
@@ -112,7 +123,7 @@ def extract(
     return df.withColumns({
         f: F.when(enough, fields.get(f, by_rules(body, f, rules, DEFAULTS.get(f)))).otherwise(F.lit(NOT_GENERATED))
         for f in FIELDS
-    })
+    }).drop("__scored")
 
 
 def parse(df: DataFrame, answer: str, fields: Sequence[str] = FIELDS) -> DataFrame:
@@ -133,17 +144,27 @@ def parse(df: DataFrame, answer: str, fields: Sequence[str] = FIELDS) -> DataFra
 
 #: Python constants as JSON writes them.
 _CONSTANTS = {"None": "null", "True": "true", "False": "false"}
+#: Quoted strings, what lies between them, and quotes that are never closed.
+_PIECES = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|[^"']++|["']"""
 
 
 def parse_literal(col: Column | str, schema: str) -> Column:
     """A list or dict written as a Python or JSON literal, under an array or map schema; else null.
 
-    Python's constants are only translated where the text as it stands is not readable.
+    Python's constants are only translated where the text as it stands is not readable, and only
+    outside quotes.
     """
     text = column(col)
-    translated = text
-    for python, json in _CONSTANTS.items():
-        translated = F.regexp_replace(translated, rf"(?<=[\[,:{{]\s{{0,9}}){python}(?=\s*[,\]}}])", json)
+
+    def outside(piece: Column) -> Column:
+        for python, json in _CONSTANTS.items():
+            piece = F.regexp_replace(piece, rf"\b{python}\b", json)
+        return piece
+
+    translated = let(
+        F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)),
+        lambda pieces: F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^[\"']"), p).otherwise(outside(p))), ""),
+    )
     closed = text.rlike(r"(?s)^\s*(\[.*\]|\{.*\})\s*$")
     return F.when(closed, F.coalesce(F.from_json(text, schema), F.from_json(translated, schema)))
 

@@ -141,8 +141,8 @@ def quality(
         F.sum(F.regexp_count(redacted, F.lit(marks))).alias("marks"),
     ]
     for r in recognizers:
-        sums.append(F.sum(F.size(R.matches(original, r))).alias(f"matches:{r.entity}"))
-        sums.append(F.sum(F.size(R.matches(redacted, r))).alias(f"residual:{r.entity}"))
+        sums.append(F.sum(R.match_count(original, r)).alias(f"matches:{r.entity}"))
+        sums.append(F.sum(R.match_count(redacted, r)).alias(f"residual:{r.entity}"))
     totals = df.agg(*sums)
     before, after = (
         sum((F.col(f"`{kind}:{r.entity}`") for r in recognizers), F.lit(0)) for kind in ("matches", "residual")

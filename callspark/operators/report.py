@@ -92,9 +92,19 @@ def _typed(col: Column, type_: str, source_type: str) -> Column:
     return col.cast("string")
 
 
-def align(stages: list[DataFrame], key: str = "file_path") -> DataFrame:
-    """Stage outputs side by side, joined by the key they all carry."""
-    return reduce(lambda a, b: a.join(b, key), stages)
+def align(stages: list[DataFrame], key: str = "file_path", how: str = "inner", unique: bool = False) -> DataFrame:
+    """Stage outputs side by side, joined by the key they all carry.
+
+    ``how="full"`` keeps a call that a stage lacks, with nulls. ``unique=True`` first makes sure
+    that no stage repeats a key, which would multiply rows.
+    """
+    if how not in ("inner", "full"):
+        raise ValueError(f"unsupported join type: {how}")
+    for number, stage in enumerate(stages if unique else ()):
+        repeated = stage.groupBy(key).count().filter("count > 1").limit(1).collect()
+        if repeated:
+            raise ValueError(f"stage {number} has {repeated[0]['count']} rows for {key} {repeated[0][key]}")
+    return reduce(lambda a, b: a.join(b, key, how), stages)
 
 
 def numbered(df: DataFrame, order: list[str], into: str = "row_no") -> DataFrame:
@@ -120,8 +130,11 @@ def numbered(df: DataFrame, order: list[str], into: str = "row_no") -> DataFrame
 
 
 def align_by_position(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str]) -> DataFrame:
-    """Rows side by side by their place in a stated order, for files without a key."""
-    return numbered(left, left_order).join(numbered(right, right_order), "row_no").drop("row_no")
+    """Rows side by side by their place in a stated order, for files without a key.
+
+    Where one side has fewer rows its columns are null.
+    """
+    return numbered(left, left_order).join(numbered(right, right_order), "row_no", "full").drop("row_no")
 
 
 def assemble(
@@ -138,7 +151,7 @@ def assemble(
     renamed = [s.withColumnRenamed("Summary", "summary_concise") if "Summary" in s.columns else s for s in stages.values()]
     metadata = metadata.drop(*IVR_COLUMNS)
     # A file may stand for many segments, above all the sentinel of recordings not downloaded.
-    calls = lookup_join(metadata, align(renamed), ["file_path"], rows_per_task=rows_per_task)
+    calls = lookup_join(metadata, align(renamed, unique=True), ["file_path"], rows_per_task=rows_per_task)
     accounts = master.withColumnsRenamed({"TASK_ID": "taskId", "Task_ID": "taskId"}).select("KY_BA", "taskId")
     joined = lookup_join(calls, accounts, ["taskId"], rows_per_task=rows_per_task, count_on=metadata)
     return joined.drop(*INDEX_COLUMNS)

@@ -112,10 +112,11 @@ def label_rows(
     """Label per text with a word list (word, score) of any size.
 
     Words are counted per sentence before they meet the list, and the join spreads frequent ones.
+    A null text is neutral.
     """
-    sentences = rows.select(*group, F.posexplode(sentences_by_mark(text)).alias("position", "sentence"))
+    sentences = rows.select(*group, F.posexplode_outer(sentences_by_mark(text)).alias("position", "sentence"))
     words = (
-        sentences.select(
+        sentences.filter("sentence IS NOT NULL").select(
             *group, "position",
             F.explode(F.regexp_extract_all(F.lower("sentence"), F.lit(_WORDS), F.lit(0))).alias("word"),
         )

@@ -22,7 +22,6 @@ MAX_TOKENS = 3900
 NO_SUMMARY = "No summary generated"
 NO_ACTIONS = "No actions generated"
 
-SUMMARY_WORDS = 150
 SUMMARY_SENTENCES = 3
 ACTION_WORDS = (
     "check", "checked", "update", "updated", "transfer", "transferred", "schedule", "scheduled",
@@ -31,13 +30,19 @@ ACTION_WORDS = (
 )
 
 
-def extract_summary(text: str, sentences: int = SUMMARY_SENTENCES, words: int = SUMMARY_WORDS) -> str:
-    """The sentences with the highest summed word frequency, in text order, cut at a word limit."""
+def extract_summary(text: str, sentences: int = SUMMARY_SENTENCES, words: int | None = None) -> str:
+    """The sentences with the highest summed word frequency, in text order.
+
+    With ``words`` the last of them are left out as long as there are more words than that; no
+    sentence is cut, and the first stays.
+    """
     parts = [p for p in re.split(r"[.!?]\s+", text) if p.split()]
     counts = Counter(text.lower().split())
     scored = sorted((-sum(counts[w] for w in p.lower().split()), i) for i, p in enumerate(parts))
     chosen = sorted(i for _, i in scored[:sentences])
-    return " ".join(". ".join(parts[i] for i in chosen).split()[:words])
+    while words is not None and len(chosen) > 1 and sum(len(parts[i].split()) for i in chosen) > words:
+        chosen.pop()
+    return " ".join(". ".join(parts[i] for i in chosen).split())
 
 
 def _scored(
@@ -112,18 +117,40 @@ def sentences_with(text: Column | str, words: Iterable[str]) -> Column:
 
 def actions(
     df: DataFrame, text: str = "transcription", words: Iterable[str] = ACTION_WORDS,
-    min_words: int = MIN_WORDS, max_tokens: int = MAX_TOKENS, into: str = "actions_taken",
+    min_words: int = MIN_WORDS, max_tokens: int | None = None, into: str = "actions_taken",
 ) -> DataFrame:
     """Adds the sentences that tell of an action; needs word_count and token_count.
 
-    Up to ``min_words`` words, from ``max_tokens`` tokens on, or without such a sentence: the
-    sentinel. Exactly ``max_tokens`` tokens are neither split for the summary nor read for actions.
+    Up to ``min_words`` words or without such a sentence: the sentinel. ``max_tokens`` is for rules
+    with a limit of their own: it gives texts from that many tokens on the sentinel as well. See
+    :func:`actions_tree` for a scorer that reads long texts in parts.
     """
     found = F.nullif(sentences_with(text, words), F.lit(""))
-    gate = (F.col("word_count") > min_words) & (F.col("token_count") < max_tokens)
+    gate = F.col("word_count") > min_words
+    if max_tokens is not None:
+        gate &= F.col("token_count") < max_tokens
     return df.withColumn(into, F.coalesce(F.when(gate, found), F.lit(NO_ACTIONS)))
 
 
+def extract_actions(text: str, words: Iterable[str] = ACTION_WORDS) -> str:
+    """Sentences that hold one of the words, joined by a full stop and a space."""
+    pattern = re.compile(rf"\b(?:{'|'.join(words)})\b", re.IGNORECASE)
+    return ". ".join(s for s in re.split(r"[.!?] ", text) if pattern.search(s))
+
+
+def actions_tree(
+    df: DataFrame, text: str = "transcription", scorer: Callable[[str], str] = extract_actions,
+    max_tokens: int = MAX_TOKENS, chunk: tuple[int, int, int] = (3200, 3800, 50), into: str = "actions_taken",
+) -> DataFrame:
+    """Adds the actions of texts of any length; needs token_count.
+
+    The twin of :func:`tree`: below ``max_tokens`` tokens the text is read once, otherwise its
+    chunks are read, neighbouring results are read again together as they fit, and joined.
+    """
+    staged = tree(df, text, scorer, max_tokens, chunk, into)
+    return staged.withColumn(into, F.coalesce(F.nullif(F.trim(into), F.lit("")), F.lit(NO_ACTIONS)))
+
+
 def summarize_calls(df: DataFrame, text: str = "transcription") -> DataFrame:
     """Counts, summary and actions of merged transcripts."""
     from callspark.operators.transcripts import with_counts

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from callspark.operators import calls, ivr
 
 
-def frequent_callers(header: DataFrame, start: str, end: str, *, limit: int | None = 100, **options) -> DataFrame:
-    """Call header to the calls of repeat callers; ``options`` go to :func:`calls.agent_calls`."""
+def frequent_callers(header: DataFrame, start: str, end: str, *, limit: int | None = None, **options) -> DataFrame:
+    """Call header to the calls of repeat callers, all or the first ``limit``; ``options`` go to :func:`calls.agent_calls`."""
     return calls.frequent_callers(calls.agent_calls(header, start, end, **options), limit=limit)
 
 

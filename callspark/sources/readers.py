@@ -31,13 +31,19 @@ def month_paths(root: str, kind: str, start: str, end: str, months: str = "all")
 
 def read_activity_log(
     spark: SparkSession, root: str, kind: str, start: str, end: str, months: str = "all",
-    channel: str | None = "TwilioVoice",
+    channel: str | None = "TwilioVoice", missing: str = "fail",
 ) -> DataFrame:
     """One activity log over a window of days, read from the month directories it touches.
 
-    Months without a directory are left out; the day and channel filters reach the scan.
+    A month without a directory is an error, as the result would look complete; with
+    ``missing="skip"`` it is left out. The day and channel filters reach the scan.
     """
-    paths = [p for p in month_paths(root, kind, start, end, months) if _exists(spark, p)]
+    if missing not in ("fail", "skip"):
+        raise ValueError(f"unknown way with missing months: {missing}")
+    wanted = month_paths(root, kind, start, end, months)
+    paths = [p for p in wanted if _exists(spark, p)]
+    if missing == "fail" and paths and len(paths) < len(wanted):
+        raise FileNotFoundError(f"no directory for {sorted(set(wanted) - set(paths))}")
     if not paths:
         raise FileNotFoundError(f"no {kind} directory between {start} and {end} below {root}")
     log = spark.read.parquet(*paths)

@@ -190,13 +190,15 @@ _SCORES = {
 _JSON = "concat('{', " + ", ', ', ".join(
     f"""'"{m}": {{"score": ', {x}, '}}'""" for m, x in _SCORES.items()
 ) + ", '}')"
+_BARE = "concat('{', " + ", ', ', ".join(f"""'"{m}": ', {x}""" for m, x in _SCORES.items()) + ", '}')"
 _ANSWER = f"""CASE WHEN doc_id % 11 = 0 THEN 'I cannot score this.' WHEN doc_id % 7 = 0 THEN translate({_JSON}, '"', '''')
-    WHEN doc_id % 13 = 0 THEN '{{"accuracy": {{"score": 4}}}}' ELSE {_JSON} END"""
+    WHEN doc_id % 13 = 0 THEN '{{"accuracy": {{"score": 4}}}}' WHEN doc_id % 5 = 0 THEN {_BARE}
+    WHEN doc_id % 3 = 0 THEN '{{"accuracy": 8, "clarity": {{"score": 7.5}}}}' ELSE {_JSON} END"""
 _ANSWERS = f"answers AS (SELECT doc_id, {_ANSWER} AS response FROM labels)"
 _PARSED = f"""{_ANSWERS}, parsed AS (
     SELECT doc_id, CASE WHEN starts_with(response, '{{') THEN CAST(translate(response, '''', '"') AS JSON) END AS j
     FROM answers), scores AS (SELECT doc_id, {', '.join(
-        f"CASE WHEN j IS NULL THEN -1.0 ELSE CAST(json_extract(j, '$.{m}.score') AS DOUBLE) END AS {m}" for m in _METRICS
+        f"CASE WHEN j IS NULL THEN -1.0 ELSE CAST(coalesce(json_extract(j, '$.{m}.score'), json_extract(j, '$.{m}')) AS DOUBLE) END AS {m}" for m in _METRICS
     )} FROM parsed)"""
 
 

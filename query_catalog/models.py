@@ -238,7 +238,7 @@ def _summary_sql(limit, size, most, overlap):
         LEFT JOIN tf USING (doc_id, piece, word) GROUP BY ALL), chosen AS (
         SELECT doc_id, piece, i FROM scored
         QUALIFY row_number() OVER (PARTITION BY doc_id, piece ORDER BY score DESC, i) <= 3), parts AS (
-        SELECT doc_id, piece, array_to_string(regexp_extract_all(string_agg(sentence, '. ' ORDER BY i), '\S+')[:150], ' ') AS p
+        SELECT doc_id, piece, array_to_string(regexp_extract_all(string_agg(sentence, '. ' ORDER BY i), '\S+'), ' ') AS p
         FROM chosen JOIN sentences USING (doc_id, piece, i) GROUP BY doc_id, piece), done AS (
         SELECT doc_id, string_agg(p, chr(10) ORDER BY piece) AS summary FROM parts GROUP BY doc_id)
     SELECT doc_id, CASE WHEN word_count > 50 THEN summary ELSE 'No summary generated' END AS summary
@@ -271,7 +271,7 @@ def _with_words(x, words):
 
 
 @query(f"""WITH {_COUNTED}, found AS (SELECT *, {_with_words('text', _ACTION_WORDS)} AS a FROM counted)
-    SELECT doc_id, CASE WHEN word_count > 50 AND len(w) < 3900 AND a <> '' THEN a ELSE 'No actions generated' END
+    SELECT doc_id, CASE WHEN word_count > 50 AND a <> '' THEN a ELSE 'No actions generated' END
            AS actions_taken FROM found""")
 def actions_taken(spark, d):
     return summarize.actions(_documents(spark, d), "text", _ACTION_WORDS).select("doc_id", "actions_taken")
@@ -295,8 +295,8 @@ _PROBLEMS, _FOLLOW_UPS = ("was", "dans"), ("from", "mit")
 def _field_sql(field):
     letter = v.W.replace("[", "[^", 1)
     special = {
-        "Summary": "array_to_string(s[1:2], '. ')",
-        "Main Issue": f"coalesce(nullif({_with_words('text', _PROBLEMS)}, ''), s[1])",
+        "Summary": "summary",
+        "Main Issue": f"coalesce(nullif({_with_words('text', _PROBLEMS)}, ''), main)",
         "Steps Taken": f"coalesce(nullif({_with_words('text', _ACTION_WORDS)}, ''), 'None')",
         "Sentiment": "sentiment",
         "Follow-Up Actions": f"coalesce(nullif({_with_words('text', _FOLLOW_UPS)}, ''), 'None')",
@@ -315,8 +315,22 @@ def _field_sql(field):
 @query(rf"""WITH split AS (SELECT doc_id, text, string_split_regex(text, '[.!?] ') AS s,
         len(regexp_extract_all(text, '\S+')) AS tokens FROM documents), w AS (
         SELECT doc_id, i, {_words('s[i]')} AS words FROM split, unnest(range(1, len(s) + 1)) AS u(i)), labelled AS (
-        SELECT doc_id, i, {_label_sql('words')} AS sentiment FROM w), {_majority_sql('labelled', 'doc_id', 'sentiment', 'i')}
-    SELECT doc_id, {', '.join(_field_sql(f) for f in insights.FIELDS)} FROM split JOIN best USING (doc_id)""")
+        SELECT doc_id, i, {_label_sql('words')} AS sentiment FROM w), {_majority_sql('labelled', 'doc_id', 'sentiment', 'i')},
+        tf AS (SELECT doc_id, word, count(*) AS f FROM (
+            SELECT doc_id, unnest(regexp_extract_all(lower(text), '\S+')) AS word FROM documents) GROUP BY ALL), parts AS (
+        SELECT doc_id, list_filter(string_split_regex(text, '[.!?]\s+'), lambda x: regexp_matches(x, '\S')) AS p
+        FROM documents), whole AS (
+        SELECT doc_id, i, p[i] AS sentence FROM parts, unnest(range(1, len(p) + 1)) AS u(i)), scored AS (
+        SELECT doc_id, i, sum(f) AS score FROM (
+            SELECT doc_id, i, unnest(regexp_extract_all(lower(sentence), '\S+')) AS word FROM whole)
+        LEFT JOIN tf USING (doc_id, word) GROUP BY ALL), chosen AS (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS r FROM scored), extracts AS (
+        SELECT doc_id,
+               array_to_string(regexp_extract_all(string_agg(sentence, '. ' ORDER BY i) FILTER (r <= 3), '\S+'), ' ') AS summary,
+               array_to_string(regexp_extract_all(any_value(sentence) FILTER (r = 1), '\S+'), ' ') AS main
+        FROM chosen JOIN whole USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, {', '.join(_field_sql(f) for f in insights.FIELDS)}
+    FROM split JOIN best USING (doc_id) LEFT JOIN extracts USING (doc_id)""")
 def structured_insights(spark, d):
     found = insights.extract(
         v.table(spark, d, "documents").select("doc_id", "text"), "text", _RULES, lexicon=_LEXICON,
@@ -341,11 +355,11 @@ def parsed_insights(spark, d):
     return insights.parse(answers, "answer").drop("answer")
 
 
-@query("""SELECT doc_id, CASE WHEN toxic = 1 THEN NULL ELSE concat('billing ', quality) END AS "primary",
-    CASE WHEN toxic = 1 THEN NULL ELSE concat('power ', doc_id) END AS secondary FROM labels""")
+@query("""SELECT doc_id, CASE WHEN toxic = 1 THEN NULL WHEN quality = 0 THEN 'x, None, [True]' ELSE concat('billing ', quality) END
+    AS "primary", CASE WHEN toxic = 1 OR quality = 0 THEN NULL ELSE concat('power ', doc_id) END AS secondary FROM labels""")
 def parsed_topic_lists(spark, d):
     answers = v.table(spark, d, "labels").selectExpr(
-        "doc_id", """CASE WHEN toxic = 1 THEN 'billing, power'
+        "doc_id", """CASE WHEN toxic = 1 THEN 'billing, power' WHEN quality = 0 THEN '[''x, None, [True]'',            None]'
                      ELSE concat('["billing ', quality, '", ''power ', doc_id, ''']') END AS answer"""
     ).withColumn("topics", insights.parse_list("answer"))
     return answers.select("doc_id", F.get("topics", F.lit(0)).alias("primary"), F.get("topics", F.lit(1)).alias("secondary"))
@@ -374,26 +388,66 @@ def batch_inference(spark, d):
     return predicted.select("conv_id", "turn", "n_chars", "error")
 
 
+#: What the stand-in judge refuses.
+_REFUSED = "that"
+
+
 class LengthJudge:
-    """A stand-in judge: scores are drawn from the length of the prompt; it fails on long ones."""
+    """A stand-in judge: scores are drawn from the length of the prompt; it fails on one that holds a mark."""
+
+    stage = "redaction"
 
     def setup(self):
-        self.metrics = evaluate.JUDGE_METRICS["redaction"]
+        self.metrics = evaluate.JUDGE_METRICS[self.stage]
 
     def predict(self, batch: pd.DataFrame) -> pd.DataFrame:
-        if (batch["prompt"].str.len() > 1500).any():
-            raise ValueError("prompt too long")
+        if batch["prompt"].str.contains(_REFUSED, regex=False).any():
+            raise ValueError("a prompt it will not read")
         return pd.DataFrame({"response": [
             str({m: {"score": 1 + (len(p) + i) % 10} for i, m in enumerate(self.metrics)}) for p in batch["prompt"]
         ]})
 
 
-@query("WITH p AS (SELECT conv_id, turn, 12 + length(text) AS n FROM conversations) SELECT conv_id, turn, " + ", ".join(
-    f"CASE WHEN n > 1500 THEN -1.0 ELSE 1.0 + (n + {i}) % 10 END::DOUBLE AS {m}"
-    for i, m in enumerate(evaluate.JUDGE_METRICS["redaction"])
-) + " FROM p")
-def judged_redactions(spark, d):
+class SummaryJudge(LengthJudge):
+    stage = "summary"
+
+
+class TopicJudge(LengthJudge):
+    stage = "topics"
+
+
+class InsightJudge(LengthJudge):
+    stage = "insights"
+
+
+def _judged_sql(stage):
+    return f"WITH p AS (SELECT conv_id, turn, text, 12 + length(text) AS n FROM conversations) SELECT conv_id, turn, " + ", ".join(
+        f"CASE WHEN contains(text, '{_REFUSED}') THEN -1.0 ELSE 1.0 + (n + {i}) % 10 END::DOUBLE AS {m}"
+        for i, m in enumerate(evaluate.JUDGE_METRICS[stage])
+    ) + " FROM p"
+
+
+def _judged(spark, d, judge):
     turns = v.table(spark, d, "conversations").select("conv_id", "turn", "text")
-    scored = evaluate.judge(turns, "Rate this:  {text}", {"text": "text"}, LengthJudge,
-                            evaluate.JUDGE_METRICS["redaction"])
-    return scored.drop("text")
+    metrics = evaluate.JUDGE_METRICS[judge.stage]
+    return evaluate.judge(turns, "Rate this:  {text}", {"text": "text"}, judge, metrics).drop("text")
+
+
+@query(_judged_sql("redaction"))
+def judged_redactions(spark, d):
+    return _judged(spark, d, LengthJudge)
+
+
+@query(_judged_sql("summary"))
+def judged_summaries(spark, d):
+    return _judged(spark, d, SummaryJudge)
+
+
+@query(_judged_sql("topics"))
+def judged_topics(spark, d):
+    return _judged(spark, d, TopicJudge)
+
+
+@query(_judged_sql("insights"))
+def judged_insights(spark, d):
+    return _judged(spark, d, InsightJudge)

@@ -50,7 +50,7 @@ def frequent_callers(spark, d):
 @query(f"""WITH {v.FREQUENT} SELECT KY_BA, TASK_ID, {_CALL_COLUMNS}, NumberOfCalls FROM (
     SELECT * FROM callers ORDER BY NumberOfCalls DESC, KY_BA, CALL_DATE, CALL_START_TIME, TASK_ID LIMIT 100)""")
 def frequent_callers_top100(spark, d):
-    return _plain(plans.frequent_callers(v.call_header(spark, d), *v.WINDOW))
+    return _plain(plans.frequent_callers(v.call_header(spark, d), *v.WINDOW, limit=100))
 
 
 @query(f"""WITH {v.SEGMENTS}, calls AS (

@@ -56,7 +56,7 @@ def aligned_stages(spark, d):
 
 @query("""WITH a AS (SELECT conv_id, turn, text, row_number() OVER (ORDER BY conv_id, turn) AS n FROM conversations),
         b AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS n FROM documents)
-    SELECT conv_id, turn, text, doc_id, lang FROM a JOIN b USING (n)""")
+    SELECT conv_id, turn, text, doc_id, lang FROM a FULL JOIN b USING (n)""")
 def aligned_by_position(spark, d):
     turns = v.table(spark, d, "conversations").select("conv_id", "turn", "text")
     documents = v.table(spark, d, "documents").select("doc_id", "lang")
