@@ -1,0 +1,19 @@
+import random
+
+import pytest
+from tests_support import frame, prose
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return lambda rows: frame(spark, rows)
+
+
+@pytest.fixture(scope="session")
+def edges():
+    """Nulls, empty and very long texts, repeated rows, ids that repeat."""
+    rng = random.Random(3)
+    long = prose(rng, 30_000, 5_000)
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \n\t ", None), (4, "word", "b"), (5, long, "b"), (5, long, "b"), (6, long, None)]
+    rows += [(None, "no id at all " * 9, "a"), (None, None, None), (7, "é" * 70, "a"), (7, "é" * 70, "a"), (8, "€" * 70, "c")]
+    return rows
