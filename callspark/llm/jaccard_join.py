@@ -13,8 +13,9 @@ in an order that is the same for all; linked documents share at least one name (
 principle). The number of groups depends on the class of size, so that a document near the upper
 end of its class names groups for the next class as well. Small classes use single shingles.
 
-Per name, each document is first compared with one of them, and the links found make components.
-Only where a name still joins different components do trees look for further pairs. Every pair that
+In a few rounds one document speaks for each name, each document is compared with the speaker it
+shares most names with, and the links found make components. Only where a name still joins different
+components do trees look for further pairs. Every pair that
 the bound lets through is verified on the texts, so that links are exact. Equal sets are one node
 from the start, and copies are never compared.
 
@@ -33,13 +34,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callspark.llm.common import small_batches, written
-from callspark.llm.components import components, roots
+from callspark.llm.components import components
 
 WORDS = 5
 #: Coordinates of a point.
 GROUPS = 64
-#: Points of a leaf, and of one tree; a name with more documents is searched by several trees.
-LEAF, TREE = 16, 2048
+#: Points of a leaf, of a name that needs no tree, and of one tree; larger names get several trees.
+LEAF, SMALL, TREE = 16, 48, 2048
+#: Rounds in which each set is compared with one other before trees are searched.
+ROUNDS = 4
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -193,24 +196,37 @@ def _least_overlap(a, b):
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that are linked, compared by their texts (sig, text)."""
+    """The pairs of sets (a, b, and any further columns) that are linked, compared by their texts (sig, text)."""
     left = texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("sig").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    columns = pairs.columns
+    rows = pairs.join(left, "a").join(right, "b").select(*columns, "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, last, kept = Shingler(), None, np.empty(0, np.uint64)
         for batch in batches:
             linked = []
-            for text_a, text_b, b in zip(batch.column(2), batch.column(3), batch.column(1).to_pylist(), strict=True):
+            for text_a, text_b, b in zip(batch.column("text_a"), batch.column("text_b"), batch.column("b").to_pylist(), strict=True):
                 if b != last:  # neighbours often share their pivot
                     last, kept = b, shingles(text_b.as_py())
                 found = shingles(text_a.as_py())
                 shared = len(np.intersect1d(found, kept, assume_unique=True))
                 linked.append(100 * shared >= 80 * (len(found) + len(kept) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            yield batch.select(columns).filter(pa.array(linked, pa.bool_()))
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(run, pairs.schema)
+
+
+def _fits(points: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of rows can be linked, by their sizes and the sum of the smaller coordinates."""
+    out = (5 * np.minimum(sizes[a], sizes[b]) >= 4 * np.maximum(sizes[a], sizes[b])).nonzero()[0]
+    bounds = [np.minimum(points[a[c]], points[b[c]]).sum(1) for c in np.array_split(out, max(1, len(out) >> 16))]
+    return out[np.concatenate(bounds) >= _least_overlap(sizes[a[out]], sizes[b[out]])]
+
+
+def _apart(labels: np.ndarray, side: np.ndarray, a, b):
+    """Pairs of different components; rows of side 0 go with all, those of 1 and 2 with each other only."""
+    return (labels[a] != labels[b]) & ((side[a] != side[b]) | (side[a] == 0))
 
 
 def tree_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
@@ -222,14 +238,15 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side:
 
     def build(rows: np.ndarray) -> int:
         top, low, high = points[rows].max(0), sizes[rows].min(), sizes[rows].max()
+        one = labels[rows[0]] if (labels[rows] == labels[rows[0]]).all() else None
         if len(rows) <= LEAF:
-            nodes.append((top, low, high, rows, None))
+            nodes.append((top, low, high, one, rows, None))
         else:
             inside = points[rows]
             widest = int((inside.max(0) - inside.min(0)).argmax())
             order = rows[np.argsort(inside[:, widest], kind="stable")]
             children = (build(order[: len(order) // 2]), build(order[len(order) // 2 :]))
-            nodes.append((top, low, high, None, children))
+            nodes.append((top, low, high, one, None, children))
         return len(nodes) - 1
 
     root = build(np.arange(len(sizes)))
@@ -238,84 +255,119 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side:
         mine, n = points[q], sizes[q]
         stack = [root]
         while stack:
-            top, low, high, rows, children = nodes[stack.pop()]
-            if 5 * high < 4 * n or 5 * n < 4 * low:
+            top, low, high, one, rows, children = nodes[stack.pop()]
+            if one == labels[q] or 5 * high < 4 * n or 5 * n < 4 * low:
                 continue
             if np.minimum(mine, top).sum() < _least_overlap(n, max(low, -(-4 * n // 5))):
                 continue
             if children:
                 stack += children
                 continue
-            other = rows[(rows > q) & (labels[rows] != labels[q]) & ((side[rows] != side[q]) | (side[q] == 0))]
+            other = rows[rows > q]
+            other = other[_apart(labels, side, q, other)]
             if len(other):
-                shared = np.minimum(points[other], mine).sum(1)
-                fits = (shared >= _least_overlap(n, sizes[other])) & (5 * sizes[other] >= 4 * n) & (5 * n >= 4 * sizes[other])
-                out += [(q, int(r)) for r in other[fits]]
+                out += [(q, int(r)) for r in other[_fits(points, sizes, np.full(len(other), q), other)]]
     return out
 
 
+def name_pairs(group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Pairs of rows as :func:`tree_pairs` gives them for each run of equal ``group``; few rows need no tree."""
+    starts = np.concatenate(([0], np.flatnonzero(group[1:] != group[:-1]) + 1))
+    counts = np.diff(np.concatenate((starts, [len(group)])))
+    found = []
+    for m in np.unique(counts[(counts > 1) & (counts <= SMALL)]):
+        i, j = np.triu_indices(m, 1)
+        for first in np.array_split(starts[counts == m], max(1, (counts == m).sum() * len(i) >> 20)):
+            a, b = (first[:, None] + i).ravel(), (first[:, None] + j).ravel()
+            apart = _apart(labels, side, a, b)
+            a, b = a[apart], b[apart]
+            fit = _fits(points, sizes, a, b)
+            found.append(np.stack((a[fit], b[fit]), 1))
+    for first, m in zip(starts[counts > SMALL], counts[counts > SMALL], strict=True):
+        rows = slice(first, first + m)
+        pairs = tree_pairs(points[rows], sizes[rows], labels[rows], side[rows])
+        found.append(np.array(pairs, np.int64).reshape(-1, 2) + first)
+    return np.concatenate(found) if found else np.empty((0, 2), np.int64)
+
+
 def _searched(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets that a name brings together from different components and the bound lets pass.
+    """Pairs (x, y) of short numbers that a name brings together from different components and the bound lets pass.
 
-    ``members``: name, sig, label, n, point. Names with more than ``TREE`` rows are dealt into
+    ``members``: name, short, label, n, point. Names with more than ``TREE`` rows are dealt into
     chunks, and each tree holds two of them.
     """
     counts = members.groupBy("name").agg(F.ceil(F.count(F.lit(1)) / TREE).cast("int").alias("chunks"))
-    dealt = members.join(counts, "name").withColumn("chunk", F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int"))
+    dealt = members.join(counts, "name").withColumn("chunk", F.pmod(F.xxhash64("short"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    spread = dealt.select("name", "sig", "label", "n", "point", "chunk", "chunks", other).select(
-        "name", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-        F.when(F.col("chunk") < F.col("other"), 1).when(F.col("chunk") > F.col("other"), 2).otherwise(0).alias("side"),
-        "sig", "label", "n", "point",
+    spread = dealt.select("name", "short", "label", "n", "point", "chunk", "chunks", other).select(
+        F.xxhash64("name", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tree"),
+        F.when(F.col("chunk") < F.col("other"), 1).when(F.col("chunk") > F.col("other"), 2).otherwise(0).cast("long").alias("side"),
+        "short", F.xxhash64("label").alias("label"), "n", "point",
     )
-    sorted_ = spread.repartition("name", "i", "j").sortWithinPartitions("name", "i", "j", "sig")
-
-    def search(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-        if len(rows) < 2 or len({r[2] for r in rows}) < 2:
-            return []
-        codes = {label: i for i, label in enumerate(sorted({r[2] for r in rows}))}
-        found = tree_pairs(
-            np.array([r[4] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64),
-            np.array([codes[r[2]] for r in rows]), np.array([r[0] for r in rows]),
-        )
-        return [(max(rows[x][1], rows[y][1]), min(rows[x][1], rows[y][1])) for x, y in found]
+    sorted_ = spread.repartition("tree").sortWithinPartitions("tree", "short")
+
+    def search(rows: list[np.ndarray]) -> pa.RecordBatch:
+        tree, side, short, label, n, points = rows
+        pairs = short[name_pairs(tree, points, n, label, side)]
+        pairs = np.unique(np.sort(pairs, 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["x", "y"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
+        held = None
         for batch in batches:
-            out: set[tuple[bytes, bytes]] = set()
-            columns = [batch.column(i).to_pylist() for i in range(8)]
-            for name, i, j, *row in zip(*columns, strict=True):
-                if (name, i, j) != at:
-                    out.update(search(rows))
-                    at, rows = (name, i, j), []
-                rows.append(tuple(row))
-            yield _pairs(out)
-        yield _pairs(set(search(rows)))
-
-    # Row as (side, sig, label, n, point) behind (name, i, j).
-    return sorted_.mapInArrow(run, "a binary, b binary").distinct()
-
-
-def _pairs(pairs: set[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    ordered = sorted(pairs)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([p[0] for p in ordered], pa.binary()), pa.array([p[1] for p in ordered], pa.binary())], names=["a", "b"]
-    )
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            rows.append(batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, GROUPS))
+            if held:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            last = int(np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))[-1])  # the unfinished tree
+            if last:
+                yield search([x[:last] for x in rows])
+            held = [x[last:] for x in rows]
+        if held:
+            yield search(held)
+
+    return sorted_.mapInArrow(run, "x long, y long").distinct()
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets whose sizes and points allow a link."""
+    """The pairs of sets (a, b, and any further columns) whose sizes and points allow a link."""
+    columns = pairs.columns
     left = classes.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     right = classes.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
     shared = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    sizes = (5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb"))
-    return pairs.join(left, "a").join(right, "b").filter(sizes & (9 * shared >= 4 * (F.col("na") + F.col("nb")))).select("a", "b")
+    sizes = 5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb")
+    rows = pairs.join(left, "a").join(right, "b")
+    return rows.filter(sizes & (9 * shared >= 4 * (F.col("na") + F.col("nb")))).select(*columns)
+
+
+def _against_one(members: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b, la, lb): each set and the one of another component it shares most names with.
+
+    In each round every name is spoken for by one of its sets, the least by a hash of the round.
+    """
+    speaker = members.groupBy("name").agg(F.min(F.struct(F.xxhash64("short", F.lit(number)).alias("h"), "sig", "label")).alias("one"))
+    met = members.join(speaker, "name").filter(F.col("label") != F.col("one.label"))
+    meant = met.groupBy("sig", "label", F.col("one.sig").alias("b"), F.col("one.label").alias("lb")).agg(F.count(F.lit(1)).alias("times"))
+    best = meant.groupBy("sig", "label").agg(F.min(F.struct((-F.col("times")).alias("times"), "b", "lb")).alias("best"))
+    return best.select(F.col("sig").alias("a"), F.col("best.b").alias("b"), F.col("label").alias("la"), F.col("best.lb").alias("lb"))
+
+
+def _joined(members: DataFrame, step: DataFrame) -> DataFrame:
+    """Members under their new labels, as far as their names still join different ones."""
+    renamed = step.select(F.col("node").alias("label"), "root")
+    new = members.join(renamed, "label", "left").select("name", "short", "sig", "n", "point", F.coalesce("root", "label").alias("label"))
+    return _mixed_only(new)
+
+
+def _mixed_only(members: DataFrame) -> DataFrame:
+    ends = members.groupBy("name").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return members.join(ends.filter("low != high").select("name"), "name")
 
 
 def _linked(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, text_hash, n_shingles, component_id."""
-    small_batches(documents.sparkSession)
+    spark = documents.sparkSession
+    small_batches(spark)
     every = written(sets(documents), "sets")
     classes = written(
         every.filter("n > 0").groupBy("sig").agg(
@@ -325,10 +377,10 @@ def _linked(documents: DataFrame) -> DataFrame:
         "classes",
     )
 
-    # Names that more than one set has, each with its least set.
+    # Names that more than one set has.
     same = Window.partitionBy("name")
-    met = named(documents).withColumns({"pivot": F.min("short").over(same), "last": F.max("short").over(same)})
-    shared = written(met.filter("pivot < last").select("name", "short", "pivot"), "shared-names")
+    met = named(documents).withColumns({"low": F.min("short").over(same), "high": F.max("short").over(same)})
+    shared = written(met.filter("low < high").select("name", "short"), "shared-names")
 
     # Texts of one document of each set that has company.
     wanted = shared.select("short").distinct().join(classes, "short").select(
@@ -338,36 +390,33 @@ def _linked(documents: DataFrame) -> DataFrame:
     fetched = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")))
     texts = written(fetched.select("sig", "text").dropDuplicates(["sig"]), "texts")
 
-    # First each set against the one it shares most names with, among the least sets of its names.
-    meant = shared.filter("short != pivot").groupBy("short", "pivot").agg(F.count(F.lit(1)).alias("times"))
-    best = meant.groupBy("short").agg(F.min(F.struct((-F.col("times")).alias("times"), "pivot")).alias("best"))
-    number = classes.select("short", "sig")
-    first = (
-        best.select("short", F.col("best.pivot").alias("pivot"))
-        .join(number.select("short", F.col("sig").alias("a")), "short")
-        .join(number.select(F.col("short").alias("pivot"), F.col("sig").alias("b")), "pivot")
-        .select("a", "b")
-    )
-    links = written(verified(_bounded(first, classes), texts), "first-links")
-    flat = components(links)
+    # Rounds of each set against one other; every round is linear in the rows of shared names.
+    members = shared.join(classes.select("short", "sig", "n", "point"), "short").withColumn("label", F.col("sig"))
+    steps: list[DataFrame] = []
+    for number in range(ROUNDS):
+        links = written(verified(_bounded(_against_one(members, number), classes), texts), "links")
+        if links.isEmpty():
+            break
+        steps.append(components(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+        members = written(_joined(members, steps[-1]), "members")
 
     # Then trees, where a name still joins different components.
-    labelled = (
-        shared.join(classes.select("short", "sig", "n", "point"), "short")
-        .join(flat.select(F.col("node").alias("sig"), "root"), "sig", "left")
-        .select("name", "sig", F.coalesce("root", "sig").alias("label"), "n", "point")
-    )
-    ends = labelled.groupBy("name").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = written(labelled.join(ends.filter("low != high").select("name"), "name"), "mixed-names")
-    further = written(verified(_searched(mixed), texts), "further-links")
-    if not further.isEmpty():
-        flat = components(links.unionByName(further))
-
-    groups = classes.join(flat.select(F.col("node").alias("sig"), "root"), "sig", "left").select(
-        "sig", "least", F.coalesce("root", "sig").alias("root")
-    )
-    least = groups.groupBy("root").agg(F.min("least").alias("component"))
-    of_set = groups.join(least, "root").select("sig", "component")
+    small_batches(spark, 4000)
+    pairs = written(_searched(members.select("name", "short", "label", "n", "point")), "further-pairs")
+    small_batches(spark)
+    labels = members.select("short", "sig", "label").distinct()
+    left = labels.select(F.col("short").alias("x"), F.col("sig").alias("a"), F.col("label").alias("la"))
+    right = labels.select(F.col("short").alias("y"), F.col("sig").alias("b"), F.col("label").alias("lb"))
+    links = written(verified(pairs.join(left, "x").join(right, "y").select("a", "b", "la", "lb"), texts), "further-links")
+    steps.append(components(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+
+    groups = classes.select("sig", "least", F.col("sig").alias("label"))
+    for step in steps:
+        renamed = step.select(F.col("node").alias("label"), "root")
+        groups = groups.join(renamed, "label", "left").select("sig", "least", F.coalesce("root", "label").alias("label"))
+    groups = written(groups, "groups")
+    least = groups.groupBy("label").agg(F.min("least").alias("component"))
+    of_set = groups.join(least, "label").select("sig", "component")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return every.join(of_set, "sig", "left").select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id")
