@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,17 +26,22 @@ def table(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, let_go: bool = False) -> DataFrame:
     """Writes a stage to the shared folder and reads it again.
 
     The rest of the plan then starts from files that outlive executors, and the stage runs once
     however often it is used. Files stay until the folder is cleared, as a lazily read result may
-    need them.
+    need them. ``let_go`` is for stages that shuffle much: the driver collects its garbage, and
+    Spark's cleaner removes the shuffle files that no plan refers to any more, instead of holding
+    them beside those of the stages that follow.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    path, schema = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}", df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if let_go:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -380,7 +380,7 @@ def _linked(documents: DataFrame) -> DataFrame:
     # Names that more than one set has.
     same = Window.partitionBy("name")
     met = named(documents).withColumns({"low": F.min("short").over(same), "high": F.max("short").over(same)})
-    shared = written(met.filter("low < high").select("name", "short"), "shared-names")
+    shared = written(met.filter("low < high").select("name", "short"), "shared-names", let_go=True)
 
     # Texts of one document of each set that has company.
     wanted = shared.select("short").distinct().join(classes, "short").select(
@@ -388,7 +388,7 @@ def _linked(documents: DataFrame) -> DataFrame:
     )
     source = documents.select(documents["doc_id"].alias("doc_id"), documents["text"].alias("text"))
     fetched = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")))
-    texts = written(fetched.select("sig", "text").dropDuplicates(["sig"]), "texts")
+    texts = written(fetched.select("sig", "text").dropDuplicates(["sig"]), "texts", let_go=True)
 
     # Rounds of each set against one other; every round is linear in the rows of shared names.
     members = shared.join(classes.select("short", "sig", "n", "point"), "short").withColumn("label", F.col("sig"))
@@ -402,7 +402,7 @@ def _linked(documents: DataFrame) -> DataFrame:
 
     # Then trees, where a name still joins different components.
     small_batches(spark, 4000)
-    pairs = written(_searched(members.select("name", "short", "label", "n", "point")), "further-pairs")
+    pairs = written(_searched(members.select("name", "short", "label", "n", "point")), "further-pairs", let_go=True)
     small_batches(spark)
     labels = members.select("short", "sig", "label").distinct()
     left = labels.select(F.col("short").alias("x"), F.col("sig").alias("a"), F.col("label").alias("la"))

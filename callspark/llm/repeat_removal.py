@@ -13,20 +13,18 @@ into order to the depth of ``LENGTH`` bytes, by a hash of that depth, and again
 keeps its string. Suffix order beyond that depth is never needed and never made.
 
 Each task first settles what repeats among its own documents, so that a phrase of a third of the
-corpus reaches its group once per task. Texts travel compressed, once to the few phrases left over
-and once to the report. Ids are integers; rows that repeat an id repeat its text. Rows without an id
+corpus reaches its group once per chunk of text. Bytes are compared by 64-bit hashes. Ids are integers; rows that repeat an id repeat its text. Rows without an id
 have no order and stay whole, and nothing is removed for them.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callspark.llm.common import small_batches, written
@@ -128,18 +126,20 @@ def _longs(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
 
 
 def parsed(documents: DataFrame) -> DataFrame:
-    """The parse: spread (a key to shuffle by), trigger, phrase, doc_id, place (first string and count), done.
+    """The parse: trigger, phrase, doc_id, place (256 * first string + number of strings).
 
-    ``done`` is 1 where a lesser document of the same task has the phrase.
+    A phrase that a lesser document of the same task has is settled: it has the complement of its
+    place, and a number of its own for a trigger, so that many of them do not meet.
     """
-    names = ["spread", "trigger", "phrase", "doc_id", "place", "done"]
+    names = ["trigger", "phrase", "doc_id", "place"]
 
     def flush(found: list[tuple]) -> pa.RecordBatch:
         trigger, phrase, first, count = (np.concatenate([f[i] for f in found]) for i in range(4))
         docs = np.concatenate([np.full(len(f[0]), f[4], np.int64) for f in found])
         done = _settled((phrase, trigger), docs)
-        spread = np.where(done, _mixed(docs.view(np.uint64) + first.astype(np.uint64)), trigger)
-        return _longs(spread, trigger, phrase, docs, (first << 8) | count, done, names=names)
+        place = (first << 8) | count
+        trigger = np.where(done, _mixed(docs.view(np.uint64) + place.astype(np.uint64)), trigger)
+        return _longs(trigger, phrase, docs, np.where(done, ~place, place), names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser, found, size = Parser(), [], 0
@@ -154,21 +154,24 @@ def parsed(documents: DataFrame) -> DataFrame:
         if found:
             yield flush(found)
 
-    rows = documents.filter(documents["doc_id"].isNotNull()).select(
-        documents["doc_id"].cast("long").alias("doc_id"), documents["text"].cast("binary").alias("data")
-    )
-    long_enough = rows.filter(F.octet_length("data") >= LENGTH)
+    long_enough = _with_bytes(documents).filter(F.octet_length("data") >= LENGTH)
     return long_enough.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
+def _with_bytes(documents: DataFrame) -> DataFrame:
+    """Id and bytes of the rows that have an id."""
+    rows = documents.filter(documents["doc_id"].isNotNull())
+    return rows.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"].cast("binary").alias("data"))
+
+
 def looked_up(parse: DataFrame) -> DataFrame:
-    """Rows (doc_id, first, count, trigger) that are repeats (trigger null) or may hold some.
+    """Rows (doc_id, first, count, open) that are repeats (open null) or may hold some (open true).
 
     The second kind are phrases of the least document that share their trigger and a half context
     with another phrase.
     """
-    sorted_ = parse.repartition("spread").sortWithinPartitions("done", "trigger", "phrase", "doc_id")
-    names = ["doc_id", "first", "count", "trigger"]
+    sorted_ = parse.repartition("trigger").sortWithinPartitions("trigger", "phrase", "doc_id")
+    names = ["doc_id", "first", "count", "open"]
 
     def shared(groups: np.ndarray, context: np.ndarray, heads: np.ndarray) -> np.ndarray:
         """Rows whose context another phrase of the trigger has as well; heads: first row of each phrase."""
@@ -204,7 +207,7 @@ def looked_up(parse: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(doc[out]), pa.array(place[out] >> 8), pa.array(place[out] & 255),
-                pa.array(trigger[out], mask=repeat[out]),
+                pa.array(np.ones(out.sum(), bool), mask=repeat[out]),
             ],
             names=names,
         )
@@ -213,12 +216,12 @@ def looked_up(parse: DataFrame) -> DataFrame:
         held: list[list[np.ndarray]] = []
         size, state = 0, {}
         for batch in batches:
-            done = batch.column(5).to_numpy(zero_copy_only=False) > 0
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 4)]
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            done = columns[3] < 0
             if done.any():
-                _, _, doc, place = (c[done] for c in columns)
+                doc, place = columns[2][done], ~columns[3][done]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc), pa.array(place >> 8), pa.array(place & 255), pa.nulls(len(doc), pa.int64())], names=names
+                    [pa.array(doc), pa.array(place >> 8), pa.array(place & 255), pa.nulls(len(doc), pa.bool_())], names=names
                 )
                 columns = [c[~done] for c in columns]
             if not len(columns[0]):
@@ -236,92 +239,87 @@ def looked_up(parse: DataFrame) -> DataFrame:
         if held:
             yield settle([np.concatenate([h[i] for h in held]) for i in range(4)], state, False)
 
-    return sorted_.mapInArrow(run, "doc_id long, first long, count long, trigger long")
-
-
-def _packed(documents: DataFrame) -> DataFrame:
-    """Id and compressed bytes of every text; null texts are empty."""
-    kind = dict(documents.select("doc_id").dtypes)["doc_id"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [zlib.compress(x.as_py(), 1) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
-
-    text = F.coalesce(documents["text"], F.lit("")).cast("binary")
-    return documents.select(documents["doc_id"].alias("doc_id"), text.alias("data")).mapInArrow(run, f"doc_id {kind}, packed binary")
+    return sorted_.mapInArrow(run, "doc_id long, first long, count long, open boolean")
 
 
 def repeated_strings(documents: DataFrame, open_phrases: DataFrame) -> DataFrame:
     """(doc_id, first, count) of the strings of open phrases that a lesser document has."""
-    wanted = open_phrases.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count", "trigger")).alias("phrases"))
-    ids = documents.filter(documents["doc_id"].isNotNull()).withColumn("doc_id", documents["doc_id"].cast("long"))
-    rows = _packed(ids).join(wanted, "doc_id").select("doc_id", "packed", "phrases")
-    names = ["spread", "trigger", "string", "doc_id", "start", "done"]
+    wanted = open_phrases.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("phrases"))
+    rows = _with_bytes(documents).join(wanted, "doc_id").select("doc_id", "data", "phrases")
+    names = ["string", "doc_id", "start"]
 
     def flush(found: list[tuple]) -> pa.RecordBatch:
-        trigger, string, start = (np.concatenate([f[i] for f in found]) for i in range(3))
-        docs = np.concatenate([np.full(len(f[0]), f[3], np.int64) for f in found])
-        done = _settled((string, trigger.view(np.uint64)), docs)
-        spread = np.where(done, _mixed(docs.view(np.uint64) + start.astype(np.uint64)), string)
-        return _longs(spread, trigger, string, docs, start, done, names=names)
+        string, start = (np.concatenate([f[i] for f in found]) for i in range(2))
+        docs = np.concatenate([np.full(len(f[0]), f[2], np.int64) for f in found])
+        done = _settled((string,), docs)
+        string = np.where(done, _mixed(docs.view(np.uint64) + start.astype(np.uint64)), string)
+        return _longs(string, docs, np.where(done, ~start, start), names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser, found, size = Parser(), [], 0
         for batch in batches:
-            for doc, packed, phrases in zip(*(batch.column(i) for i in range(3)), strict=True):
-                items = sorted((p["first"], p["count"], p["trigger"]) for p in phrases.as_py())
-                counts = np.array([c for _, c, _ in items])
-                starts = np.repeat([f for f, _, _ in items], counts) + np.concatenate([np.arange(c) for c in counts])
-                triggers = np.repeat(np.array([t for _, _, t in items], np.int64), counts)
-                starts, once = np.unique(starts, return_index=True)
-                text = zlib.decompress(packed.as_py())
-                found.append((triggers[once], parser.strings(text, starts), starts, doc.as_py()))
+            for doc, data, phrases in zip(*(batch.column(i) for i in range(3)), strict=True):
+                first = phrases.values.field("first").to_numpy(zero_copy_only=False)
+                counts = phrases.values.field("count").to_numpy(zero_copy_only=False)
+                starts = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+                starts = np.unique(starts)
+                found.append((parser.strings(data.as_py(), starts), starts, doc.as_py()))
                 size += len(starts)
-                if size >= ROWS:
+                if size >= 4 * ROWS:
                     yield flush(found)
                     found, size = [], 0
         if found:
             yield flush(found)
 
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = least_of_last = None
+        for batch in batches:
+            string, doc, start = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            done = start < 0
+            repeated, first = [doc[done]], [~start[done]]
+            string, doc, start = string[~done], doc[~done], start[~done]
+            if len(doc):
+                heads = np.ones(len(doc), bool)
+                heads[1:] = string[1:] != string[:-1]
+                runs = np.cumsum(heads) - 1
+                least = doc[heads][runs]
+                if string[0] == last:
+                    least[runs == 0] = least_of_last
+                repeated.append(doc[doc > least])
+                first.append(start[doc > least])
+                last, least_of_last = string[-1], least[-1]
+            out, at = np.concatenate(repeated), np.concatenate(first)
+            yield _longs(out, at, np.ones(len(out), np.int64), names=["doc_id", "first", "count"])
+
     strings = rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
-    # Settled rows are spread by a key of their own, all others meet by the hash of their string.
-    same = Window.partitionBy("spread", "done", "trigger", "string")
-    compared = strings.withColumn("least", F.min("doc_id").over(same))
-    return compared.filter((F.col("done") == 1) | (F.col("doc_id") > F.col("least"))).select(
-        "doc_id", F.col("start").alias("first"), F.lit(1).cast("long").alias("count")
-    )
+    sorted_ = strings.repartition("string").sortWithinPartitions("string", "doc_id")
+    return sorted_.mapInArrow(settle, "doc_id long, first long, count long")
 
 
 def spans(documents: DataFrame) -> DataFrame:
     """Per document with repeats: doc_id and the runs of strings (first, count) that a lesser document has."""
-    spark = documents.sparkSession
-    small_batches(spark, 2000)
-    found = written(looked_up(parsed(documents)), "phrases")
-    small_batches(spark)
-    strings = repeated_strings(documents, found.filter("trigger IS NOT NULL"))
-    rows = written(found.filter("trigger IS NULL").select("doc_id", "first", "count").unionByName(strings), "repeats")
+    small_batches(documents.sparkSession, 2000)
+    found = written(looked_up(parsed(documents)), "phrases", let_go=True)
+    strings = written(repeated_strings(documents, found.filter("open")), "strings", let_go=True)
+    rows = found.filter("open IS NULL").select("doc_id", "first", "count").unionByName(strings)
+    small_batches(documents.sparkSession)
     return rows.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
 
 
-def kept_bytes(text: bytes, runs: list[tuple[int, int]], length: int = LENGTH) -> tuple[bytes, int, int]:
-    """What is left of a text, the bytes removed, and the maximal removed runs."""
-    out, at, removed, n = [], 0, 0, 0
-    start = end = -1
-    for first, count in sorted(runs):
-        stop = first + count - 1 + length
-        if first > end or end < 0:
-            if end >= 0:
-                out.append(text[at:start])
-                at, removed, n = end, removed + end - start, n + 1
-            start, end = first, stop
-        else:
-            end = max(end, stop)
-    if end >= 0:
-        out.append(text[at:start])
-        at, removed, n = end, removed + end - start, n + 1
-    out.append(text[at:])
-    return b"".join(out), removed, n
+def kept_bytes(text: bytes, first: np.ndarray, count: np.ndarray, length: int = LENGTH) -> tuple[bytes, int, int]:
+    """What is left of a text, the bytes removed, and the maximal removed runs.
+
+    Strings start at ``first`` and the ``count`` - 1 bytes behind it; runs that touch are one.
+    """
+    if not len(first):
+        return text, 0, 0
+    order = np.argsort(first)
+    start = first[order]
+    reach = np.maximum.accumulate(start + count[order] - 1 + length)
+    new = np.concatenate(([True], start[1:] > reach[:-1]))
+    starts, ends = start[new], reach[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(start) - 1]))]
+    pieces = [text[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(text)], strict=True)]
+    return b"".join(pieces), int((ends - starts).sum()), len(starts)
 
 
 def report(documents: DataFrame) -> DataFrame:
@@ -329,24 +327,28 @@ def report(documents: DataFrame) -> DataFrame:
 
     One row per input row; other columns are left out. Null and empty texts have no bytes.
     """
-    runs = spans(documents)
-    packed = _packed(documents)
-    kind = dict(packed.dtypes)["doc_id"]
-    joined = packed.join(runs.withColumnRenamed("doc_id", "__id"), packed["doc_id"].cast("long") == F.col("__id"), "left")
+    runs = spans(documents).withColumnRenamed("doc_id", "__id")
+    text = F.coalesce(documents["text"], F.lit("")).cast("binary")
+    rows = documents.select(documents["doc_id"].alias("doc_id"), text.alias("data"))
+    kind = dict(rows.dtypes)["doc_id"]
+    joined = rows.join(runs, rows["doc_id"].cast("long") == F.col("__id"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            out = []
             for value, found in zip(batch.column(1), batch.column(2), strict=True):
-                text = zlib.decompress(value.as_py())
-                left, removed, n = kept_bytes(text, [(r["first"], r["count"]) for r in found.as_py() or ()])
-                rows.append((len(text), removed, n, hashlib.sha256(left).hexdigest()))
-            columns = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
+                data = value.as_py()
+                first = count = np.empty(0, np.int64)
+                if found.is_valid:
+                    first, count = (found.values.field(f).to_numpy(zero_copy_only=False) for f in ("first", "count"))
+                left, removed, n = kept_bytes(data, first, count)
+                out.append((len(data), removed, n, hashlib.sha256(left).hexdigest()))
+            columns = list(zip(*out, strict=True)) if out else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return joined.select("doc_id", "packed", "runs").mapInArrow(
+    return joined.select("doc_id", "data", "runs").mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from tests_support import prose
 
@@ -70,8 +71,11 @@ def test_phrases_hold_every_string_once():
 
 
 def test_kept_bytes():
-    assert kept_bytes(b"0123456789", [(1, 1), (2, 1), (7, 2)], 2) == (b"0456", 6, 2)
-    assert kept_bytes(b"", [], 2) == (b"", 0, 0)
+    runs = np.array([[7, 2], [2, 1], [1, 1]])
+    assert kept_bytes(b"0123456789", runs[:, 0], runs[:, 1], 2) == (b"0456", 6, 2)
+    touching = np.array([[0, 1], [2, 1]])
+    assert kept_bytes(b"01234", touching[:, 0], touching[:, 1], 2) == (b"4", 4, 1)
+    assert kept_bytes(b"", runs[:0, 0], runs[:0, 1], 2) == (b"", 0, 0)
 
 
 def test_empty(docs, rows):
