@@ -116,7 +116,7 @@ def reporting_window(end: str, days: int = 365) -> tuple[str, str]:
 
 def task_segments(
     segments: DataFrame, ids: DataFrame, since: str, *, key: str = "taskId",
-    ts: str = "agentConnectTimestamp", rows_per_task: int = ROWS_PER_TASK,
+    ts: str = "agentConnectTimestamp", rows_per_task: int | None = None,
 ) -> DataFrame:
     """Segments of the listed tasks connected on or after a day; repeated ids do not repeat rows."""
     recent = segments.filter(F.col(ts).cast("date") >= F.lit(since).cast("date"))
@@ -125,7 +125,7 @@ def task_segments(
 
 def task_segments_inner(
     segments: DataFrame, ids: DataFrame, since: str, *, key: str = "taskId",
-    ts: str = "agentConnectTimestamp", rows_per_task: int = ROWS_PER_TASK,
+    ts: str = "agentConnectTimestamp", rows_per_task: int | None = None,
 ) -> DataFrame:
     """As :func:`task_segments`, as an inner join: an id listed twice gives its segments twice."""
     recent = segments.filter(F.col(ts).cast("date") >= F.lit(since).cast("date"))
@@ -150,7 +150,7 @@ def with_recordings(segments: DataFrame, url: str = "taskURL") -> DataFrame:
 
 
 def attach_recordings(
-    segments: DataFrame, manifest: DataFrame, rows_per_task: int = ROWS_PER_TASK,
+    segments: DataFrame, manifest: DataFrame, rows_per_task: int | None = None,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the file of each recording, or the sentinel where it was not downloaded.
@@ -169,7 +169,7 @@ def attach_recordings(
 
 def metadata(
     segments: DataFrame, intent: DataFrame, key: str = "callSid",
-    rows_per_task: int = ROWS_PER_TASK, count_on: DataFrame | None = None,
+    rows_per_task: int | None = None, count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the intent of the call (one row per call) to its segments."""
     for side, df in (("segments", segments), ("intent", intent)):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callspark.functions import redaction as R
-from callspark.operators.skew import ROWS_PER_TASK, lookup_join
+from callspark.operators.skew import lookup_join
 
 def find(df: DataFrame, text: str, recognizer: R.Recognizer) -> DataFrame:
     """One row per match of a recognizer: the columns of ``df`` but the text, number, match."""
@@ -105,7 +105,7 @@ def anonymize(
 
 def mask_listed(
     df: DataFrame, key: str, text: str, names: DataFrame, name: str = "name", into: str = "masked",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Masks the words of a text that are in a table of names of any size.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callspark.operators.skew import ROWS_PER_TASK, lookup_join
+from callspark.operators.skew import lookup_join
 from callspark.session import cut_lineage
 
 # Report columns in order, as (input name, output name, type).
@@ -138,12 +138,10 @@ def align_by_position(left: DataFrame, right: DataFrame, left_order: list[str],
 
 
 def assemble(
-    stages: dict[str, DataFrame], metadata: DataFrame, master: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    stages: dict[str, DataFrame], metadata: DataFrame, master: DataFrame, rows_per_task: int | None = None
 ) -> DataFrame:
     """Stage outputs, call metadata and accounts in one table.
 
-    The keys of ``metadata`` are counted before the joins, so it should be a written table.
-
     The stages share ``file_path``. The insight ``Summary`` becomes ``summary_concise``, as Spark
     does not tell it from ``summary``. The master list gives the account of a task, and may name it
     ``taskId``, ``TASK_ID`` or ``Task_ID``.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callspark.functions.text import let, sentences_by_mark
-from callspark.operators.skew import ROWS_PER_TASK, lookup_join
+from callspark.operators.skew import lookup_join
 
 POSITIVE, NEGATIVE, NEUTRAL = "Positive", "Negative", "Neutral"
 NOT_IDENTIFIED = "No Sentiment Identified"
@@ -107,7 +107,7 @@ def majority(rows: DataFrame, group: list[str], label_column: str, position: str
 
 def label_rows(
     rows: DataFrame, group: list[str], text: str, lexicon: DataFrame,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Label per text with a word list (word, score) of any size.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callspark.functions.text import let, sentences_by_stop
-from callspark.operators.skew import ROWS_PER_TASK, lookup_join
+from callspark.operators.skew import lookup_join
 
 # Similarity a match must exceed, candidates kept per call, labels for no topic.
 THRESHOLD = 0.4
@@ -133,7 +133,7 @@ def _bag(df: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, DataFram
 
 def match_words(
     sentences: DataFrame, taxonomy: DataFrame, threshold: float = THRESHOLD, *, id: str = "file_path",
-    position: str = "position", text: str = "sentence", rows_per_task: int = ROWS_PER_TASK,
+    position: str = "position", text: str = "sentence", rows_per_task: int | None = None,
 ) -> DataFrame:
     """As :func:`match`, with word counts for vectors: no model, and no pair without a shared word.
 

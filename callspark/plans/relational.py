@@ -29,7 +29,6 @@ def call_metadata(
     segments: DataFrame, ids: DataFrame, since: str, manifest: DataFrame, intent: DataFrame
 ) -> DataFrame:
     """Segments of the selected tasks with their recording file and the intent of the call."""
-    # Frequent keys are counted on the segment table itself: one column each, and no join twice.
     chosen = calls.with_recordings(calls.task_segments(segments, ids, since))
-    filed = calls.attach_recordings(chosen, manifest, count_on=calls.with_recordings(segments))
-    return calls.metadata(filed, intent, count_on=segments)
+    filed = calls.attach_recordings(chosen, manifest)
+    return calls.metadata(filed, intent)

@@ -135,3 +135,17 @@ def test_attach_recordings_keeps_rows(spark):
 def test_metadata_needs_the_key(spark):
     with pytest.raises(ValueError, match="callSid"):
         calls.metadata(spark.range(1), spark.range(1))
+
+
+def test_call_metadata_reads_the_segments_once(spark, sf):
+    from __spark_entry__ import queries
+
+    found = plan(queries()["call_metadata"](spark, sf)).split("== Physical Plan ==")[1]
+    assert found.count("/lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_plain_lookup_join_with_null_keys(spark, how):
+    big = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "c"), (3, "d")], "k int, x string")
+    small = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (None, 30)], "k int, y int")
+    assert tuples(lookup_join(big, small, ["k"], how)) == tuples(big.join(small, "k", how))

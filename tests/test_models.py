@@ -148,8 +148,17 @@ def test_action_gates(spark):
     say = "I checked it. "
     df = counted(spark, "w " * 40 + say, "w " * 60 + say, "w. " * 60, "w " * 3896 + say, "w " * 3897 + say)
     got = {r.id: r.actions_taken for r in summarize.actions(df).collect()}
-    assert got[0] == got[2] == got[4] == "No actions generated"
-    assert got[1].endswith("I checked it") and got[3].endswith("I checked it")
+    assert got[0] == got[2] == "No actions generated"
+    assert all(got[i].endswith("I checked it") for i in (1, 3, 4))
+    gated = {r.id: r.actions_taken for r in summarize.actions(df, max_tokens=3900).collect()}
+    assert gated == got | {4: "No actions generated"}
+
+
+def test_actions_of_long_calls(spark):
+    say = "I checked it. "
+    df = counted(spark, say + "w " * 500 + say, "w " * 500, "w. " * 3 + say)
+    got = {r.id: r.actions_taken for r in summarize.actions_tree(df, max_tokens=100, chunk=(60, 80, 5)).collect()}
+    assert got[0].count("I checked it") == 2 and got[1] == "No actions generated" and got[2] == "I checked it"
 
 
 def tree_by_recursion(text, scorer, budget, size, most, overlap):
@@ -179,7 +188,9 @@ def test_tree_equals_recursion(spark):
 def test_extract_summary():
     text = "a a a b. c d! a b? e f g. a"
     assert summarize.extract_summary(text) == "a a a b. a b. a"
-    assert summarize.extract_summary("x " * 200) == " ".join(["x"] * 150)
+    assert summarize.extract_summary("x " * 200) == " ".join(["x"] * 200)
+    assert summarize.extract_summary(text, words=5) == "a a a b"
+    assert summarize.extract_summary("x " * 200, words=5) == " ".join(["x"] * 200)
     assert summarize.extract_summary("") == ""
 
 

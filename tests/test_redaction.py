@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 from conftest import plan
@@ -83,6 +85,44 @@ def test_long_runs_do_not_overflow(spark):
     assert column(df, R.sequence_rules("text")) == {0: "[REDACTED]x", 1: "***"}
 
 
+LONG = {
+    "list": "confirmation number is " + ", ".join(map(str, range(20_000))) + " $1 @ Mr",
+    "dashes": "x" + "-" * 60_000 + " 1@",
+    "joined": "a-" * 30_000 + "b 1 @ http",
+    "dots": "a." * 30_000 + " 1 @ http",
+    "digits": "1234-12341234 " * 10_000 + "@",
+    "words": "5 " + "word " * 20_000 + "12 @ http",
+    "commas": "$1" + ",000" * 30_000 + " @",
+}
+
+
+@pytest.mark.parametrize("recognizer", R.RECOGNIZERS + R.COMMON_RECOGNIZERS, ids=lambda r: r.entity)
+def test_recognizers_on_long_texts(spark, recognizer):
+    df = spark.createDataFrame([(t,) for t in LONG.values()], "t string")
+    begin = time.perf_counter()
+    df.select(R.matches("t", recognizer), F.regexp_replace("t", recognizer.java, "#")).collect()
+    assert time.perf_counter() - begin < 30  # quadratic patterns take minutes
+
+
+@pytest.mark.parametrize("rule", [R.replace_joined, R.replace_digits, R.mask_long_numbers, R.replace_spoken_numbers])
+def test_sequence_rules_on_long_texts(spark, rule):
+    df = spark.createDataFrame([(t,) for t in LONG.values()], "t string")
+    begin = time.perf_counter()
+    df.select(rule("t")).collect()
+    assert time.perf_counter() - begin < 30
+
+
+@pytest.mark.parametrize("entity", [r.entity for r in R.RECOGNIZERS if r.linear])
+def test_linear_variants_have_the_same_matches(spark, entity):
+    r = next(r for r in R.RECOGNIZERS if r.entity == entity)
+    rng = random.Random(5)
+    parts = ["1234", "12", "5 ", "12345", " ", ",", ", ", "-", "_", ".", "..", "@", "%", "a", "abc", "x.com", ".x@y.org", "q@r.st.uv", "MA", "é",
+             "confirmation number ", "main st", "Boston, MA 02134", "\n", "+1"]
+    texts = [("".join(rng.choice(parts) for _ in range(rng.randrange(1, 18))),) for _ in range(5000)]
+    plain, linear = (F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in (f"(?iU){r.regex}", r.java))
+    assert spark.createDataFrame(texts, "t string").filter(plain != linear).limit(3).collect() == []
+
+
 def test_redaction_is_idempotent(texts):
     once = texts.select("id", R.redact_text("text").alias("text"))
     assert column(once, R.redact_text("text")) == column(once, F.col("text"))

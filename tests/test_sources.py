@@ -31,7 +31,9 @@ def test_read_activity_log(spark, tmp_path):
     write(dt.date(2024, 3, 1), "mar")
     write(dt.date(2024, 3, 2), "late")
     root = str(tmp_path)
-    got = readers.read_activity_log(spark, root, "audio_response", "2024-01-30", "2024-03-01")
+    with pytest.raises(FileNotFoundError, match="2024/02"):
+        readers.read_activity_log(spark, root, "audio_response", "2024-01-30", "2024-03-01")
+    got = readers.read_activity_log(spark, root, "audio_response", "2024-01-30", "2024-03-01", missing="skip")
     assert {r.conversationId for r in got.collect()} == {"jan", "mar"}
     first = readers.read_activity_log(spark, root, "audio_response", "2024-01-30", "2024-03-01", months="start_only")
     assert {r.conversationId for r in first.collect()} == {"jan"}

@@ -23,7 +23,7 @@ def chunk_by_loop(words, size, most, overlap):
     return found
 
 
-@pytest.mark.parametrize("size,most,overlap", [(5, 8, 2), (5, 6, 2), (4, 3, 1), (1, 1, 0)])
+@pytest.mark.parametrize("size,most,overlap", [(5, 8, 2), (5, 6, 2), (4, 4, 1), (1, 1, 0)])
 def test_chunks_equal_the_loop(spark, size, most, overlap):
     texts = [" ".join(f"w{i}" for i in range(n)) for n in range(0, 24)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
