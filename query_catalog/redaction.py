@@ -197,6 +197,30 @@ def anonymize_spans(spark, d):
     return redact.anonymize(v.texts(spark, d), "text").select("text_id", "anonymized")
 
 
+#: Spans as a model would give them: the first word of a text, and characters 3 to 12.
+_MODEL_SPANS = {"FIRST": ("0", "length(regexp_extract(text, '^[A-Za-z]+', 0))", 0.95), "MIDDLE": ("3", "12", 0.55)}
+
+_KEPT_MODEL = _KEPT.replace(
+    "ranked AS (", "all_spans AS (SELECT text_id, entity, score, start, size FROM spans UNION ALL " + " UNION ALL ".join(
+        f"SELECT text_id, '{e}', {score}::DOUBLE, {a}, {b} - {a} FROM texts WHERE {b} > {a} AND {b} <= length(text)"
+        for e, (a, b, score) in _MODEL_SPANS.items()
+    ).replace("regexp_extract(text, '^[A-Za-z]+', 0)", "regexp_extract(text, '^[A-Za-z]+')") + "), ranked AS (", 1,
+).replace("END) AS rn FROM spans)", "ELSE 100 END, entity) AS rn FROM all_spans)", 1)
+
+
+@query(f"""{_KEPT_MODEL} SELECT text_id, CASE WHEN k IS NULL THEN text ELSE array_to_string(list_transform(k, lambda x, i:
+        substr(text, coalesce(k[i - 1].e, 0) + 1, x.s - coalesce(k[i - 1].e, 0)) || '<' || x.t || '>'), '')
+        || substr(text, k[-1].e + 1) END AS anonymized
+    FROM texts LEFT JOIN final USING (text_id)""")
+def anonymize_with_model_spans(spark, d):
+    given = F.array(*[
+        F.struct(F.lit(e).alias("entity"), F.expr(a).cast("int").alias("start"), F.expr(b).cast("int").alias("end"), F.lit(score).alias("score"))
+        for e, (a, b, score) in _MODEL_SPANS.items()
+    ])
+    texts = v.texts(spark, d).withColumn("given", given)
+    return redact.anonymize(texts, "text", spans="given").select("text_id", "anonymized")
+
+
 def _quality_sql():
     def counts(column, kind):
         return ", ".join(
