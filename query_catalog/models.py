@@ -221,30 +221,61 @@ _COUNTED = rf"""counted AS (
            regexp_extract_all(text, '\S+') AS w FROM documents)"""
 
 
-def _summary_sql(limit, size, most, overlap):
-    return rf"""WITH {_COUNTED}, starts AS (
-        SELECT doc_id, w, unnest(range(0, len(w), {size})) AS s FROM counted WHERE word_count > 50 AND len(w) > {limit}),
-        pieces AS (
-        SELECT doc_id, s AS piece, array_to_string(w[s + 1:least(len(w), s + {most},
-               s + {size} + CASE WHEN s + {size + overlap} < len(w) THEN {overlap} ELSE 0 END)], ' ') AS t FROM starts
-        UNION ALL SELECT doc_id, 0, text FROM counted WHERE word_count > 50 AND len(w) <= {limit}), tf AS (
+def _extract_sql(source, x=""):
+    """The extractive scorer over (doc_id, piece, t): ``parts`` has the three best sentences of each piece as p."""
+    return rf"""{x}tf AS (
         SELECT doc_id, piece, word, count(*) AS n FROM (
-            SELECT doc_id, piece, unnest(regexp_extract_all(lower(t), '\S+')) AS word FROM pieces) GROUP BY ALL), split AS (
+            SELECT doc_id, piece, unnest(regexp_extract_all(lower(t), '\S+')) AS word FROM {source}) GROUP BY ALL), {x}split AS (
         SELECT doc_id, piece, list_filter(string_split_regex(t, '[.!?]\s+'), lambda x: regexp_matches(x, '\S')) AS s
-        FROM pieces), sentences AS (
-        SELECT doc_id, piece, i, s[i] AS sentence FROM split, unnest(range(1, len(s) + 1)) AS u(i)), scored AS (
+        FROM {source}), {x}sentences AS (
+        SELECT doc_id, piece, i, s[i] AS sentence FROM {x}split, unnest(range(1, len(s) + 1)) AS u(i)), {x}scored AS (
         SELECT doc_id, piece, i, sum(coalesce(n, 0)) AS score FROM (
-            SELECT doc_id, piece, i, unnest(regexp_extract_all(lower(sentence), '\S+')) AS word FROM sentences)
-        LEFT JOIN tf USING (doc_id, piece, word) GROUP BY ALL), chosen AS (
-        SELECT doc_id, piece, i FROM scored
-        QUALIFY row_number() OVER (PARTITION BY doc_id, piece ORDER BY score DESC, i) <= 3), parts AS (
+            SELECT doc_id, piece, i, unnest(regexp_extract_all(lower(sentence), '\S+')) AS word FROM {x}sentences)
+        LEFT JOIN {x}tf USING (doc_id, piece, word) GROUP BY ALL), {x}chosen AS (
+        SELECT doc_id, piece, i FROM {x}scored
+        QUALIFY row_number() OVER (PARTITION BY doc_id, piece ORDER BY score DESC, i) <= 3), {x}parts AS (
         SELECT doc_id, piece, array_to_string(regexp_extract_all(string_agg(sentence, '. ' ORDER BY i), '\S+'), ' ') AS p
-        FROM chosen JOIN sentences USING (doc_id, piece, i) GROUP BY doc_id, piece), done AS (
+        FROM {x}chosen JOIN {x}sentences USING (doc_id, piece, i) GROUP BY doc_id, piece)"""
+
+
+def _pieces_sql(whole, size, most, overlap, gate="true"):
+    """Chunks of the texts that are not ``whole``, and the others as they are."""
+    return rf"""{_COUNTED}, starts AS (
+        SELECT doc_id, w, unnest(range(0, len(w), {size})) AS s FROM counted WHERE {gate} AND NOT ({whole})), pieces AS (
+        SELECT doc_id, s AS piece, array_to_string(w[s + 1:least(len(w), s + {most},
+               s + {size} + CASE WHEN s + {size + overlap} < len(w) THEN {overlap} ELSE 0 END)], ' ') AS t FROM starts
+        UNION ALL SELECT doc_id, 0, text FROM counted WHERE {gate} AND {whole})"""
+
+
+def _summary_sql(limit, size, most, overlap):
+    return f"""WITH {_pieces_sql(f'len(w) <= {limit}', size, most, overlap, 'word_count > 50')}, {_extract_sql('pieces')}, done AS (
         SELECT doc_id, string_agg(p, chr(10) ORDER BY piece) AS summary FROM parts GROUP BY doc_id)
     SELECT doc_id, CASE WHEN word_count > 50 THEN summary ELSE 'No summary generated' END AS summary
     FROM counted LEFT JOIN done USING (doc_id)"""
 
 
+def _tree_sql(budget, size, most, overlap):
+    """Summaries of chunks, joined in halves while they are under the budget and summed up again."""
+    split = f"hi - lo > 1 AND b.upto - a.upto >= {budget}"
+    ends = "JOIN totals a ON a.doc_id = n.doc_id AND a.spot = n.lo JOIN totals b ON b.doc_id = n.doc_id AND b.spot = n.hi"
+    return rf"""WITH RECURSIVE {_pieces_sql(f'len(w) < {budget}', size, most, overlap)}, {_extract_sql('pieces')}, firsts AS (
+        SELECT doc_id, piece, coalesce(p, '') AS p, len(w) < {budget} AS whole,
+               row_number() OVER (PARTITION BY doc_id ORDER BY piece) - 1 AS spot
+        FROM pieces LEFT JOIN parts USING (doc_id, piece) JOIN counted USING (doc_id)), totals AS (
+        SELECT doc_id, spot + 1 AS spot, sum(len(regexp_extract_all(p, '\S+'))) OVER (PARTITION BY doc_id ORDER BY spot) AS upto
+        FROM firsts WHERE NOT whole UNION ALL SELECT DISTINCT doc_id, 0, 0 FROM firsts WHERE NOT whole), nodes AS (
+        SELECT doc_id, 0::BIGINT AS lo, max(spot) AS hi FROM totals GROUP BY doc_id
+        UNION ALL
+        SELECT n.doc_id, CASE side WHEN 0 THEN lo ELSE lo + (hi - lo) // 2 END, CASE side WHEN 0 THEN lo + (hi - lo) // 2 ELSE hi END
+        FROM nodes n {ends}, (VALUES (0), (1)) sides(side) WHERE {split}), leaves AS (
+        SELECT n.doc_id, n.lo AS piece, string_agg(f.p, ' ' ORDER BY f.spot) AS t
+        FROM nodes n {ends} JOIN firsts f ON f.doc_id = n.doc_id AND f.spot >= n.lo AND f.spot < n.hi
+        WHERE NOT ({split}) GROUP BY n.doc_id, n.lo), {_extract_sql('leaves', 'leaf_')}, done AS (
+        SELECT doc_id, string_agg(coalesce(p, ''), ' ' ORDER BY piece) AS summary
+        FROM leaves LEFT JOIN leaf_parts USING (doc_id, piece) GROUP BY doc_id)
+    SELECT doc_id, summary FROM done UNION ALL SELECT doc_id, p FROM firsts WHERE whole"""
+
+
 @query(_summary_sql(3900, 3200, 3800, 50))
 def summaries(spark, d):
     return summarize.summary(_documents(spark, d), "text").select("doc_id", "summary")
@@ -255,7 +286,7 @@ def summaries_of_chunks(spark, d):
     return summarize.summary(_documents(spark, d), "text", max_tokens=200, chunk=(64, 80, 10)).select("doc_id", "summary")
 
 
-@query()
+@query(_tree_sql(200, 64, 80, 10))
 def summary_tree(spark, d):
     return summarize.tree(_documents(spark, d), "text", max_tokens=200, chunk=(64, 80, 10)).select("doc_id", "summary")
 
