@@ -144,7 +144,6 @@ def sample_head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 SKETCH_ACCURACY = 10_000
 #: Rows of a bracket above which it is narrowed by another sketch before its values are sorted.
 BRACKET_ROWS = 5_000_000
-_ROUNDS = 5
 
 
 def quantiles(
@@ -155,7 +154,8 @@ def quantiles(
 
     No task sees a whole column. A sketch per metric brackets every wanted rank between two values
     that are surely below and above it; the rows under the bracket are counted, a bracket that
-    still holds many rows is narrowed again, and only the distinct values inside are put in order.
+    still holds many rows is narrowed again as long as that helps, one that does not hold its rank
+    is widened, and only the distinct values inside are put in order.
     Each of these scans sends one row of numbers to the driver.
     """
     columns = [F.col(f"`{m}`").cast("double") for m in metrics]
@@ -182,7 +182,8 @@ def quantiles(
     if not targets:
         return df.sparkSession.createDataFrame([], schema)
 
-    for attempt in range(_ROUNDS):
+    settled: set[int] = set()
+    while True:
         beside = df.agg(*[
             F.struct(
                 F.count(F.when(c < low, 1)).alias("below"), F.min(F.when(c > high, c)).alias("next"),
@@ -190,11 +191,21 @@ def quantiles(
             ).alias(f"b{j}")
             for j, (c, *_, low, high) in enumerate(targets)
         ]).first()
+        missed = []
+        for j, (*kept, place, low, high) in enumerate(targets):
+            found, ends = beside[f"b{j}"], sketch[f"m{metrics.index(kept[1])}"]
+            under, over = int(place) < found["below"], int(place) >= found["below"] + found["inside"]
+            if under or over:  # a sketch was off: take the whole side in, and do not narrow it again
+                targets[j] = (*kept, place, ends["least"] if under else low, ends["most"] if over else high)
+                missed.append(j)
+        settled.update(missed)
+        if missed:
+            continue
         wide = [
             j for j, (*_, low, high) in enumerate(targets)
-            if beside[f"b{j}"]["inside"] > max(bracket_rows, accuracy) and low < high
+            if j not in settled and beside[f"b{j}"]["inside"] > max(bracket_rows, accuracy) and low < high
         ]
-        if not wide or attempt == _ROUNDS - 1:
+        if not wide:
             break
         shares = {j: (targets[j][3] - beside[f"b{j}"]["below"]) / beside[f"b{j}"]["inside"] for j in wide}
         narrowed = df.agg(*[
@@ -206,9 +217,10 @@ def quantiles(
         ]).first()
         for j in wide:
             *kept, low, high = targets[j]
-            low = low if shares[j] <= reach else narrowed[f"b{j}"][0]
-            high = high if shares[j] >= 1 - reach else narrowed[f"b{j}"][1]
-            targets[j] = (*kept, low, high)
+            ends = (low if shares[j] <= reach else narrowed[f"b{j}"][0], high if shares[j] >= 1 - reach else narrowed[f"b{j}"][1])
+            if ends == (low, high):  # many rows, few values: the distinct ones are put in order
+                settled.add(j)
+            targets[j] = (*kept, *ends)
     inside = F.filter(
         F.array(*[
             F.struct(F.lit(j).alias("target"), F.when(c.between(low, high), c).alias("value"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callspark.functions import textmetrics as M
 from callspark.operators.evaluate import describe, histogram
-from callspark.session import cut_lineage
+from callspark.session import written
 
 METRICS = ("WER", "CER", "Levenshtein", "Precision", "Recall", "F1_Score", "BLEU")
 REFERENCE, HYPOTHESIS = "transcription_medium", "transcription_large"
@@ -31,10 +31,14 @@ def with_metrics(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str =
     :func:`callspark.session.spread` first.
     """
     sides = (reference, hypothesis)
-    return pairs.withColumns({
-        "WER": M.wer(*sides), "CER": M.cer(*sides), "Levenshtein": M.levenshtein(*sides),
+    # The character distance is the dear part: one column, which the error rate is taken from.
+    measured = pairs.withColumns({
+        "WER": M.wer(*sides), "Levenshtein": M.levenshtein(*sides),
         "Precision": M.precision(*sides), "Recall": M.recall(*sides), "BLEU": M.bleu(*sides),
-    }).withColumn("F1_Score", M.f1("Precision", "Recall"))
+    })
+    return measured.withColumns({
+        "CER": F.col("Levenshtein") / F.nullif(F.length(reference), F.lit(0)), "F1_Score": M.f1("Precision", "Recall"),
+    })
 
 
 def sample(metrics: DataFrame, order: str = "file", n: int = 5) -> DataFrame:
@@ -44,13 +48,13 @@ def sample(metrics: DataFrame, order: str = "file", n: int = 5) -> DataFrame:
 
 def levenshtein_histogram(metrics: DataFrame, bins: int = 30) -> DataFrame:
     """Histogram of the character distance, which is computed once and written before it is counted."""
-    return histogram(cut_lineage(metrics.select("Levenshtein")), "Levenshtein", bins)
+    return histogram(written(metrics.select("Levenshtein")), "Levenshtein", bins)
 
 
 def report(metrics: DataFrame) -> DataFrame:
     """Mean, median and standard deviation of every metric, with the quartiles and the range.
 
-    The statistics take several scans, so the numbers are written to the checkpoint folder first.
+    The statistics take several scans, so the numbers are written first.
     """
     numbers = metrics.select(*[F.col(m).cast("double").alias(m) for m in METRICS])
-    return describe(cut_lineage(numbers), METRICS)
+    return describe(written(numbers), METRICS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,11 +55,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the written rows."""
+    """Checkpoints ``df`` in the shared folder; partitions and their order stay.
+
+    Spark computes the rows twice for it; :func:`written` computes them once.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Writes ``df`` as Parquet below the shared checkpoint folder and goes on from the files.
+
+    The rows are computed once; how they are dealt to partitions is not kept.
+    """
+    path, schema = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/written/{uuid.uuid4().hex}", df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for an explicit repartition: the shuffle setting, but no fewer than the cores."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from callspark.operators import calls, report
 from callspark.plans import chain
 from callspark.plans import relational as plans
-from callspark.session import cut_lineage, ensure_checkpoint_dir
+from callspark.session import ensure_checkpoint_dir, written
 from query_catalog import relational
 from query_catalog import views as v
 
@@ -89,7 +89,7 @@ def _inputs(spark, d):
     ids = master.select(F.col("TASK_ID").alias("taskId"))
     metadata = plans.call_metadata(v.wide_segments(spark, d), ids, v.SINCE, v.manifest(spark, d), intent)
     # Both are tables written by earlier stages.
-    return cut_lineage(metadata), cut_lineage(master)
+    return written(metadata), written(master)
 
 
 def _plain(df):
