@@ -17,7 +17,8 @@ In a few rounds one document speaks for each name, each document is compared wit
 shares most names with, and the links found make components. Only where a name still joins different
 components do trees look for further pairs. Every pair that
 the bound lets through is verified on the texts, so that links are exact. Equal sets are one node
-from the start, and copies are never compared.
+from the start, and copies are never compared. A set goes by a 64-bit number while pairs are looked
+for, and by 128 bits where copies are brought together.
 
 Spark partitions, shuffles and joins; Python tasks hash texts, search trees of bounded size and
 compare two texts at a time.
@@ -196,9 +197,9 @@ def _least_overlap(a, b):
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs of sets (a, b, and any further columns) that are linked, compared by their texts (sig, text)."""
-    left = texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("sig").alias("b"), F.col("text").alias("text_b"))
+    """The pairs of sets (a, b, and any further columns) that are linked, compared by their texts (short, text)."""
+    left = texts.select(F.col("short").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("short").alias("b"), F.col("text").alias("text_b"))
     columns = pairs.columns
     rows = pairs.join(left, "a").join(right, "b").select(*columns, "text_a", "text_b")
 
@@ -291,7 +292,7 @@ def name_pairs(group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels:
 
 
 def _searched(members: DataFrame) -> DataFrame:
-    """Pairs (x, y) of short numbers that a name brings together from different components and the bound lets pass.
+    """Pairs (a, b) of sets that a name brings together from different components and the bound lets pass.
 
     ``members``: name, short, label, n, point. Names with more than ``TREE`` rows are dealt into
     chunks, and each tree holds two of them.
@@ -302,7 +303,7 @@ def _searched(members: DataFrame) -> DataFrame:
     spread = dealt.select("name", "short", "label", "n", "point", "chunk", "chunks", other).select(
         F.xxhash64("name", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tree"),
         F.when(F.col("chunk") < F.col("other"), 1).when(F.col("chunk") > F.col("other"), 2).otherwise(0).cast("long").alias("side"),
-        "short", F.xxhash64("label").alias("label"), "n", "point",
+        "short", "label", "n", "point",
     )
     sorted_ = spread.repartition("tree").sortWithinPartitions("tree", "short")
 
@@ -310,7 +311,7 @@ def _searched(members: DataFrame) -> DataFrame:
         tree, side, short, label, n, points = rows
         pairs = short[name_pairs(tree, points, n, label, side)]
         pairs = np.unique(np.sort(pairs, 1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["x", "y"])
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -326,14 +327,14 @@ def _searched(members: DataFrame) -> DataFrame:
         if held:
             yield search(held)
 
-    return sorted_.mapInArrow(run, "x long, y long").distinct()
+    return sorted_.mapInArrow(run, "a long, b long").distinct()
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs of sets (a, b, and any further columns) whose sizes and points allow a link."""
     columns = pairs.columns
-    left = classes.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
-    right = classes.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
+    left = classes.select(F.col("short").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
+    right = classes.select(F.col("short").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
     shared = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
     sizes = 5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb")
     rows = pairs.join(left, "a").join(right, "b")
@@ -345,23 +346,19 @@ def _against_one(members: DataFrame, number: int) -> DataFrame:
 
     In each round every name is spoken for by one of its sets, the least by a hash of the round.
     """
-    speaker = members.groupBy("name").agg(F.min(F.struct(F.xxhash64("short", F.lit(number)).alias("h"), "sig", "label")).alias("one"))
+    speaker = members.groupBy("name").agg(F.min(F.struct(F.xxhash64("short", F.lit(number)).alias("h"), "short", "label")).alias("one"))
     met = members.join(speaker, "name").filter(F.col("label") != F.col("one.label"))
-    meant = met.groupBy("sig", "label", F.col("one.sig").alias("b"), F.col("one.label").alias("lb")).agg(F.count(F.lit(1)).alias("times"))
-    best = meant.groupBy("sig", "label").agg(F.min(F.struct((-F.col("times")).alias("times"), "b", "lb")).alias("best"))
-    return best.select(F.col("sig").alias("a"), F.col("best.b").alias("b"), F.col("label").alias("la"), F.col("best.lb").alias("lb"))
+    meant = met.groupBy("short", "label", F.col("one.short").alias("b"), F.col("one.label").alias("lb")).agg(F.count(F.lit(1)).alias("times"))
+    best = meant.groupBy("short", "label").agg(F.min(F.struct((-F.col("times")).alias("times"), "b", "lb")).alias("best"))
+    return best.select(F.col("short").alias("a"), F.col("best.b").alias("b"), F.col("label").alias("la"), F.col("best.lb").alias("lb"))
 
 
 def _joined(members: DataFrame, step: DataFrame) -> DataFrame:
     """Members under their new labels, as far as their names still join different ones."""
     renamed = step.select(F.col("node").alias("label"), "root")
-    new = members.join(renamed, "label", "left").select("name", "short", "sig", "n", "point", F.coalesce("root", "label").alias("label"))
-    return _mixed_only(new)
-
-
-def _mixed_only(members: DataFrame) -> DataFrame:
-    ends = members.groupBy("name").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return members.join(ends.filter("low != high").select("name"), "name")
+    new = members.join(renamed, "label", "left").select("name", "short", F.coalesce("root", "label").alias("label"))
+    ends = new.groupBy("name").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return new.join(ends.filter("low != high").select("name"), "name")
 
 
 def _linked(documents: DataFrame) -> DataFrame:
@@ -384,14 +381,14 @@ def _linked(documents: DataFrame) -> DataFrame:
 
     # Texts of one document of each set that has company.
     wanted = shared.select("short").distinct().join(classes, "short").select(
-        "sig", F.col("sample.doc_id").alias("id"), F.col("sample.text_hash").alias("hash")
+        "short", F.col("sample.doc_id").alias("id"), F.col("sample.text_hash").alias("hash")
     )
     source = documents.select(documents["doc_id"].alias("doc_id"), documents["text"].alias("text"))
     fetched = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")))
-    texts = written(fetched.select("sig", "text").dropDuplicates(["sig"]), "texts", let_go=True)
+    texts = written(fetched.select("short", "text").dropDuplicates(["short"]), "texts", let_go=True)
 
     # Rounds of each set against one other; every round is linear in the rows of shared names.
-    members = shared.join(classes.select("short", "sig", "n", "point"), "short").withColumn("label", F.col("sig"))
+    members = shared.withColumn("label", F.col("short"))
     steps: list[DataFrame] = []
     for number in range(ROUNDS):
         links = written(verified(_bounded(_against_one(members, number), classes), texts), "links")
@@ -402,15 +399,15 @@ def _linked(documents: DataFrame) -> DataFrame:
 
     # Then trees, where a name still joins different components.
     small_batches(spark, 4000)
-    pairs = written(_searched(members.select("name", "short", "label", "n", "point")), "further-pairs", let_go=True)
+    pairs = written(_searched(members.join(classes.select("short", "n", "point"), "short")), "further-pairs", let_go=True)
     small_batches(spark)
-    labels = members.select("short", "sig", "label").distinct()
-    left = labels.select(F.col("short").alias("x"), F.col("sig").alias("a"), F.col("label").alias("la"))
-    right = labels.select(F.col("short").alias("y"), F.col("sig").alias("b"), F.col("label").alias("lb"))
-    links = written(verified(pairs.join(left, "x").join(right, "y").select("a", "b", "la", "lb"), texts), "further-links")
+    labels = members.select("short", "label").distinct()
+    left = labels.select(F.col("short").alias("a"), F.col("label").alias("la"))
+    right = labels.select(F.col("short").alias("b"), F.col("label").alias("lb"))
+    links = written(verified(pairs.join(left, "a").join(right, "b").select("a", "b", "la", "lb"), texts), "further-links")
     steps.append(components(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
 
-    groups = classes.select("sig", "least", F.col("sig").alias("label"))
+    groups = classes.select("sig", "least", F.col("short").alias("label"))
     for step in steps:
         renamed = step.select(F.col("node").alias("label"), "root")
         groups = groups.join(renamed, "label", "left").select("sig", "least", F.coalesce("root", "label").alias("label"))
