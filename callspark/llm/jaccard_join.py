@@ -41,7 +41,7 @@ WORDS = 5
 #: Coordinates of a point.
 GROUPS = 64
 #: Points of a leaf, of a name that needs no tree, and of one tree; larger names get several trees.
-LEAF, SMALL, TREE = 16, 48, 2048
+LEAF, SMALL, TREE = 32, 32, 2048
 #: Rounds in which each set is compared with one other before trees are searched.
 ROUNDS = 4
 
@@ -221,7 +221,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _fits(points: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which pairs of rows can be linked, by their sizes and the sum of the smaller coordinates."""
     out = (5 * np.minimum(sizes[a], sizes[b]) >= 4 * np.maximum(sizes[a], sizes[b])).nonzero()[0]
-    bounds = [np.minimum(points[a[c]], points[b[c]]).sum(1) for c in np.array_split(out, max(1, len(out) >> 16))]
+    bounds = [np.minimum(points[a[c]], points[b[c]]).sum(1, dtype=np.int64) for c in np.array_split(out, max(1, len(out) >> 16))]
     return out[np.concatenate(bounds) >= _least_overlap(sizes[a[out]], sizes[b[out]])]
 
 
@@ -230,49 +230,64 @@ def _apart(labels: np.ndarray, side: np.ndarray, a, b):
     return (labels[a] != labels[b]) & ((side[a] != side[b]) | (side[a] == 0))
 
 
-def tree_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of rows with different labels whose bound reaches the threshold, by an R-tree.
-
-    ``side`` is 0, 1 or 2: rows of 0 are paired with all; a 1 is paired with 2 and 0 only, and so on.
-    """
-    nodes: list[tuple] = []
-
-    def build(rows: np.ndarray) -> int:
-        top, low, high = points[rows].max(0), sizes[rows].min(), sizes[rows].max()
-        one = labels[rows[0]] if (labels[rows] == labels[rows[0]]).all() else None
+def _leaves(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Rows of the leaves of an R-tree, bulk-loaded by halving along the size or the widest coordinate; -1 pads."""
+    done, todo = [], [np.arange(len(sizes))]
+    while todo:
+        rows = todo.pop()
         if len(rows) <= LEAF:
-            nodes.append((top, low, high, one, rows, None))
+            done.append(np.concatenate((rows, np.full(LEAF - len(rows), -1))))
+            continue
+        low, high = sizes[rows].min(), sizes[rows].max()
+        if 4 * high > 5 * low:  # sizes apart this far are never linked
+            order = rows[np.argsort(sizes[rows], kind="stable")]
         else:
             inside = points[rows]
             widest = int((inside.max(0) - inside.min(0)).argmax())
             order = rows[np.argsort(inside[:, widest], kind="stable")]
-            children = (build(order[: len(order) // 2]), build(order[len(order) // 2 :]))
-            nodes.append((top, low, high, one, None, children))
-        return len(nodes) - 1
-
-    root = build(np.arange(len(sizes)))
-    out: list[tuple[int, int]] = []
-    for q in range(len(sizes)):
-        mine, n = points[q], sizes[q]
-        stack = [root]
-        while stack:
-            top, low, high, one, rows, children = nodes[stack.pop()]
-            if one == labels[q] or 5 * high < 4 * n or 5 * n < 4 * low:
-                continue
-            if np.minimum(mine, top).sum() < _least_overlap(n, max(low, -(-4 * n // 5))):
-                continue
-            if children:
-                stack += children
-                continue
-            other = rows[rows > q]
-            other = other[_apart(labels, side, q, other)]
-            if len(other):
-                out += [(q, int(r)) for r in other[_fits(points, sizes, np.full(len(other), q), other)]]
-    return out
+        todo += [order[: len(order) // 2], order[len(order) // 2 :]]
+    return np.stack(done)
+
+
+def tree_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Pairs of rows with different labels whose bound reaches the threshold, by a join of an R-tree with itself.
+
+    Two leaves are compared only if their boxes allow a link: the sum of the smaller of their largest
+    coordinates, and their ranges of sizes. ``side`` is 0, 1 or 2: rows of 0 are paired with all; a 1
+    is paired with 2 and 0 only, and so on.
+    """
+    points = np.concatenate((points, np.zeros((1, points.shape[1]), points.dtype)))  # row -1
+    sizes, labels, side = (np.append(x, -1) for x in (sizes, labels, side))
+    leaves = _leaves(points[:-1], sizes[:-1])
+    real = leaves >= 0
+    tops = points[leaves].max(1)
+    low = np.where(real, sizes[leaves], np.iinfo(np.int64).max // 8).min(1)
+    high = sizes[leaves].max(1)
+    first = labels[leaves[:, 0]]
+    one = (labels[leaves] == first[:, None])[:, :].all(1, where=real)
+    i, j = np.triu_indices(len(leaves))
+    near = (5 * high[i] >= 4 * low[j]) & (5 * high[j] >= 4 * low[i]) & ~(one[i] & one[j] & (first[i] == first[j]))
+    i, j = i[near], j[near]
+    found = []
+    for part in np.array_split(np.arange(len(i)), max(1, len(i) >> 12)):
+        fits = np.minimum(tops[i[part]], tops[j[part]]).sum(1, dtype=np.int64) >= _least_overlap(low[i[part]], low[j[part]])
+        part = part[fits]
+        for few in np.array_split(part, max(1, len(part) >> 5)):
+            a, b = leaves[i[few]], leaves[j[few]]
+            shared = np.minimum(points[a][:, :, None, :], points[b][:, None, :, :]).sum(3, dtype=np.int32)
+            n, m = sizes[a][:, :, None], sizes[b][:, None, :]
+            fit = (shared >= _least_overlap(n, m)) & (5 * n >= 4 * m) & (5 * m >= 4 * n) & (n > 0) & (m > 0)
+            fit &= _apart(labels, side, a[:, :, None], b[:, None, :]) & ((i[few] != j[few])[:, None, None] | (a[:, :, None] < b[:, None, :]))
+            at, x, y = fit.nonzero()
+            found.append(np.stack((a[at, x], b[at, y]), 1))
+    pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+    return np.sort(pairs, 1)
 
 
 def name_pairs(group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray) -> np.ndarray:
     """Pairs of rows as :func:`tree_pairs` gives them for each run of equal ``group``; few rows need no tree."""
+    largest = points.max(initial=0)
+    points = points.astype(np.uint8 if largest < 2**8 else np.uint16 if largest < 2**16 else np.int64)
     starts = np.concatenate(([0], np.flatnonzero(group[1:] != group[:-1]) + 1))
     counts = np.diff(np.concatenate((starts, [len(group)])))
     found = []
@@ -286,8 +301,7 @@ def name_pairs(group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels:
             found.append(np.stack((a[fit], b[fit]), 1))
     for first, m in zip(starts[counts > SMALL], counts[counts > SMALL], strict=True):
         rows = slice(first, first + m)
-        pairs = tree_pairs(points[rows], sizes[rows], labels[rows], side[rows])
-        found.append(np.array(pairs, np.int64).reshape(-1, 2) + first)
+        found.append(tree_pairs(points[rows], sizes[rows], labels[rows], side[rows]) + first)
     return np.concatenate(found) if found else np.empty((0, 2), np.int64)
 
 

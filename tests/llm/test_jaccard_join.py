@@ -7,7 +7,7 @@ from tests_support import prose
 
 from callspark.llm import jaccard_join
 from callspark.llm.components import components
-from callspark.llm.jaccard_join import Shingler, names, point, tree_pairs
+from callspark.llm.jaccard_join import Shingler, name_pairs, names, point, tree_pairs
 
 
 def sets_of(rows):
@@ -121,7 +121,12 @@ def test_tree_equals_all_pairs():
             near = 5 * min(sizes[i], sizes[j]) >= 4 * max(sizes[i], sizes[j])
             if labels[i] != labels[j] and (side[i] != side[j] or side[i] == 0) and near and 9 * bound >= 4 * (sizes[i] + sizes[j]):
                 want.add((i, j))
-    assert set(tree_pairs(points, sizes, labels, side)) == want and want
+    assert set(map(tuple, tree_pairs(points, sizes, labels, side).tolist())) == want and want
+    copies = np.zeros(len(points), np.int64)
+    assert set(map(tuple, name_pairs(copies, points, sizes, labels, side).tolist())) == want
+    groups = np.arange(len(points)) // 20
+    few = {(i, j) for i, j in want if groups[i] == groups[j]}
+    assert set(map(tuple, name_pairs(groups, points, sizes, labels, side).tolist())) == few
 
 
 def test_points_bound_the_overlap():
