@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from tests_support import plan_has_no_python
+from tests_support import docs, edges, plan_has_no_python  # noqa: F401
 
 from callspark.llm import decontaminate
 

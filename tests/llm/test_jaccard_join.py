@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from tests_support import prose
+from tests_support import docs, edges, prose  # noqa: F401
 
 from callspark.llm import jaccard_join
 from callspark.llm.components import components

@@ -4,6 +4,8 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tests_support import docs, edges  # noqa: F401
+
 from callspark.llm import secret_scan
 from callspark.llm.secret_scan import KINDS, automaton, base62_crc, scan
 

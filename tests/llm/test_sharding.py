@@ -2,7 +2,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from tests_support import plan_has_no_python
+from tests_support import docs, edges, plan_has_no_python  # noqa: F401
 
 from callspark.llm import sharding
 

@@ -3,6 +3,8 @@ import zlib
 
 import numpy as np
 
+from tests_support import docs, edges  # noqa: F401
+
 from callspark.llm import toxicity
 from callspark.llm.toxicity import Settings, features_of_words, train, words_of
 
