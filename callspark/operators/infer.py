@@ -66,6 +66,7 @@ def map_predict(
         model = predictor()
         model.setup()
         for pdf in batches:
+            done = []
             for at in range(0, len(pdf), batch_size):
                 rows = pdf.iloc[at:at + batch_size]
                 begin = time.perf_counter()
@@ -74,7 +75,9 @@ def map_predict(
                     result["processing_time"] = (time.perf_counter() - begin) / len(rows)
                 except Exception:
                     result = one_by_one(model, rows)
-                yield pd.concat([rows, result], axis=1)[out.names]
+                done.append(result)
+            if done:
+                yield pd.concat([pdf, pd.concat(done)], axis=1)[out.names]
 
     source = df.repartition(partitions) if partitions else df
     return source.mapInPandas(run, out)

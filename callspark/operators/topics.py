@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +22,8 @@ UNIDENTIFIED, NO_SECOND = "Unidentified", "None"
 
 #: A taxonomy up to this many vector components (64 MB of doubles) is sent to the tasks whole.
 MAX_COMPONENTS = 8_000_000
+#: A taxonomy up to this many different words of topics is sent to the tasks whole (some 100 MB there).
+MAX_WORDS = 1_000_000
 #: Cells of one product of sentences and topics (32 MB of doubles).
 PRODUCT_CELLS = 4_000_000
 #: Sentences per group when a larger taxonomy is matched block by block.
@@ -131,25 +135,73 @@ def _bag(df: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, DataFram
     return counts, lengths
 
 
+def _match_in_tasks(sentences: DataFrame, weights: DataFrame, threshold: float, keys: list[str], text: str) -> DataFrame:
+    entries = weights.orderBy("topic_num", "topic", "word").collect()
+    topics = sorted({(r["topic_num"], r["topic"]) for r in entries})
+    place = {t: i for i, t in enumerate(topics)}
+    by_word: dict[str, tuple[list[int], list[float]]] = {}
+    for r in entries:
+        at, weight = by_word.setdefault(r["word"], ([], []))
+        at.append(place[r["topic_num"], r["topic"]])
+        weight.append(r["n"])
+    columns = {w: (np.array(at), np.array(weight)) for w, (at, weight) in by_word.items()}
+    nums, names = [t[0] for t in topics], [t[1] for t in topics]
+    of_topic = {(r["topic_num"], r["topic"]): r["length"] for r in entries}
+    lengths = np.array([of_topic[t] for t in topics])
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), F.lit(0))
+    narrow = sentences.select(*keys, words.alias("__words"))
+    schema = T.StructType([
+        *narrow.select(*keys).schema.fields, weights.schema["topic_num"], weights.schema["topic"],
+        T.StructField("cos_sim", T.DoubleType()),
+    ])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows, found, cosines = [], [], []
+            for i, own in enumerate(pdf["__words"]):
+                counts = Counter(own if own is not None else ())
+                dots = np.zeros(len(topics))
+                for w in counts.keys() & columns.keys():
+                    at, weight = columns[w]
+                    dots[at] += counts[w] * weight
+                if counts:
+                    cos = dots / (math.sqrt(sum(n * n for n in counts.values())) * lengths)
+                    hits = np.flatnonzero(cos > threshold)
+                    rows += [i] * len(hits)
+                    found += hits.tolist()
+                    cosines += cos[hits].tolist()
+            if found:
+                yield pd.DataFrame({
+                    **{c: pdf[c].to_numpy()[rows] for c in keys}, "topic_num": np.array(nums)[found],
+                    "topic": np.array(names, dtype=object)[found], "cos_sim": cosines,
+                })
+
+    return narrow.mapInPandas(run, schema)
+
+
 def match_words(
     sentences: DataFrame, taxonomy: DataFrame, threshold: float = THRESHOLD, *, id: str = "file_path",
     position: str = "position", text: str = "sentence", rows_per_task: int | None = None,
+    max_words: int = MAX_WORDS,
 ) -> DataFrame:
     """As :func:`match`, with word counts for vectors: no model, and no pair without a shared word.
 
-    Sentences and descriptions meet by word; the products are added up per (sentence, topic).
+    A taxonomy whose words have been counted, and are at most ``max_words``, goes to every task, where
+    the products are added up sentence by sentence; sentences are not shuffled, and only pairs above
+    the threshold leave. With a larger one sentences and descriptions meet by word.
     """
     keys, topic = [id, position], ["topic_num", "topic"]
-    counts, lengths = _bag(sentences, keys, text)
     topic_counts, topic_lengths = _bag(taxonomy, topic, "description")
-    weights = topic_counts.join(topic_lengths, topic).select(
-        *topic, "word", (F.col("n") / F.col("length")).alias("weight")
-    )
-    products = lookup_join(counts, weights, ["word"], rows_per_task=rows_per_task)
-    dots = products.groupBy(*keys, *topic).agg(F.sum(F.col("n") * F.col("weight")).alias("dot"))
+    weights = topic_counts.join(topic_lengths, topic)
+    size = weights.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("word") + F.length("topic")), F.lit(0))).first()
+    if size[0] <= max_words and size[1] <= 16 * max_words:
+        return _match_in_tasks(sentences, weights, threshold, keys, text)
+    counts, lengths = _bag(sentences, keys, text)
+    products = lookup_join(counts, weights.withColumnsRenamed({"n": "m", "length": "of_topic"}), ["word"], rows_per_task=rows_per_task)
+    dots = products.groupBy(*keys, *topic).agg(F.sum(F.col("n") * F.col("m")).alias("dot"), F.first("of_topic").alias("of_topic"))
     return (
         dots.join(lengths, keys)
-        .select(*keys, *topic, (F.col("dot") / F.col("length")).alias("cos_sim"))
+        .select(*keys, *topic, (F.col("dot") / (F.col("length") * F.col("of_topic"))).alias("cos_sim"))
         .filter(F.col("cos_sim") > threshold)
     )
 

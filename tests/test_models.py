@@ -121,8 +121,8 @@ def test_match_words_equals_loop(spark):
         return sum(x[w] * y[w] for w in x) / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
 
     expected = {(i, j): cos(a, b) for i, a in texts.items() for j, b in names.items() if cos(a, b) > 0.1}
-    for rows in (1, 4_000_000):
-        got = topics.match_words(sentences, taxonomy, 0.1, rows_per_task=rows).collect()
+    for rows in (None, 1, 4_000_000):
+        got = topics.match_words(sentences, taxonomy, 0.1, rows_per_task=rows, max_words=0 if rows else 1_000_000).collect()
         assert {(r.position, r.topic_num): r.cos_sim for r in got} == pytest.approx(expected)
     calls = spark.createDataFrame([("x", " ".join(texts.values())), ("y", "nothing to see here at all")], "file_path string, summary string")
     assigned = {r.file_path: r.topics for r in topics.assign_topics(calls, taxonomy, 0.1).collect()}
