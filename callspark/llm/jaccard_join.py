@@ -13,7 +13,7 @@ in an order that is the same for all; linked documents share at least one name (
 principle). The number of groups depends on the class of size, so that a document near the upper
 end of its class names groups for the next class as well. Small classes use single shingles.
 
-In a few rounds one document speaks for each name, each document is compared with the speaker it
+In a few rounds one document speaks for each name, each document is compared with the speakers it
 shares most names with, and the links found make components. Only where a name still joins different
 components do trees look for further pairs. Every pair that
 the bound lets through is verified on the texts, so that links are exact. Equal sets are one node
@@ -39,11 +39,12 @@ from callspark.llm.components import components
 
 WORDS = 5
 #: Coordinates of a point.
-GROUPS = 64
+GROUPS = 128
 #: Points of a leaf, of a name that needs no tree, and of one tree; larger names get several trees.
 LEAF, SMALL, TREE = 32, 32, 2048
-#: Rounds in which each set is compared with one other before trees are searched.
-ROUNDS = 4
+#: Rounds in which each set is compared with a few others before trees are searched, one in the first
+#: and this many in the others. Fewer rounds only leave more to the trees.
+ROUNDS, SPEAKERS = 5, 4
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -94,7 +95,7 @@ def signature(found: np.ndarray) -> bytes:
 
 
 def point(found: np.ndarray) -> np.ndarray:
-    return np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    return np.bincount((found >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
 def _class_of(n: int) -> int:
@@ -355,16 +356,19 @@ def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.filter(sizes & (9 * shared >= 4 * (F.col("na") + F.col("nb")))).select(*columns)
 
 
-def _against_one(members: DataFrame, number: int) -> DataFrame:
-    """Pairs (a, b, la, lb): each set and the one of another component it shares most names with.
+def _against_some(members: DataFrame, classes: DataFrame, number: int, most: int) -> DataFrame:
+    """Pairs (a, b, la, lb): each set and ``most`` speakers of other components that the bound lets pass.
 
-    In each round every name is spoken for by one of its sets, the least by a hash of the round.
+    In each round every name is spoken for by one of its sets, the least by a hash of the round. The
+    speakers of most names come first.
     """
     speaker = members.groupBy("name").agg(F.min(F.struct(F.xxhash64("short", F.lit(number)).alias("h"), "short", "label")).alias("one"))
     met = members.join(speaker, "name").filter(F.col("label") != F.col("one.label"))
-    meant = met.groupBy("short", "label", F.col("one.short").alias("b"), F.col("one.label").alias("lb")).agg(F.count(F.lit(1)).alias("times"))
-    best = meant.groupBy("short", "label").agg(F.min(F.struct((-F.col("times")).alias("times"), "b", "lb")).alias("best"))
-    return best.select(F.col("short").alias("a"), F.col("best.b").alias("b"), F.col("label").alias("la"), F.col("best.lb").alias("lb"))
+    meant = met.groupBy(
+        F.col("short").alias("a"), F.col("one.short").alias("b"), F.col("label").alias("la"), F.col("one.label").alias("lb")
+    ).agg(F.count(F.lit(1)).alias("times"))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("times"), "b"))
+    return _bounded(meant, classes).withColumn("rank", rank).filter(F.col("rank") <= most).select("a", "b", "la", "lb")
 
 
 def _joined(members: DataFrame, step: DataFrame) -> DataFrame:
@@ -401,15 +405,19 @@ def _linked(documents: DataFrame) -> DataFrame:
     fetched = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")))
     texts = written(fetched.select("short", "text").dropDuplicates(["short"]), "texts", let_go=True)
 
-    # Rounds of each set against one other; every round is linear in the rows of shared names.
+    # Rounds of each set against a few others; every round is linear in the rows of shared names.
     members = shared.withColumn("label", F.col("short"))
     steps: list[DataFrame] = []
     for number in range(ROUNDS):
-        links = written(verified(_bounded(_against_one(members, number), classes), texts), "links")
-        if links.isEmpty():
+        tried = written(_against_some(members, classes, number, SPEAKERS if number else 1), "tried")
+        links = written(verified(tried, texts), "links")
+        n_links, n_tried = links.count(), tried.count()
+        if not n_links:
             break
         steps.append(components(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
         members = written(_joined(members, steps[-1]), "members")
+        if 20 * n_links < n_tried:  # what is left is mostly not linked, which only the trees can tell
+            break
 
     # Then trees, where a name still joins different components.
     small_batches(spark, 4000)
