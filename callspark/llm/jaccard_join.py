@@ -307,7 +307,7 @@ def name_pairs(group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels:
 
 
 def _searched(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets that a name brings together from different components and the bound lets pass.
+    """Pairs (a, b, la, lb) of sets that a name brings together from different components and the bound lets pass.
 
     ``members``: name, short, label, n, point. Names with more than ``TREE`` rows are dealt into
     chunks, and each tree holds two of them.
@@ -324,9 +324,12 @@ def _searched(members: DataFrame) -> DataFrame:
 
     def search(rows: list[np.ndarray]) -> pa.RecordBatch:
         tree, side, short, label, n, points = rows
-        pairs = short[name_pairs(tree, points, n, label, side)]
-        pairs = np.unique(np.sort(pairs, 1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        at = name_pairs(tree, points, n, label, side)
+        pairs = np.concatenate((short[at], label[at]), 1)
+        swapped = pairs[:, 0] > pairs[:, 1]
+        pairs[swapped] = pairs[swapped][:, [1, 0, 3, 2]]
+        pairs = np.unique(pairs, axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(4)], names=["a", "b", "la", "lb"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -342,7 +345,7 @@ def _searched(members: DataFrame) -> DataFrame:
         if held:
             yield search(held)
 
-    return sorted_.mapInArrow(run, "a long, b long").distinct()
+    return sorted_.mapInArrow(run, "a long, b long, la long, lb long").distinct()
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -423,10 +426,7 @@ def _linked(documents: DataFrame) -> DataFrame:
     small_batches(spark, 4000)
     pairs = written(_searched(members.join(classes.select("short", "n", "point"), "short")), "further-pairs", let_go=True)
     small_batches(spark)
-    labels = members.select("short", "label").distinct()
-    left = labels.select(F.col("short").alias("a"), F.col("label").alias("la"))
-    right = labels.select(F.col("short").alias("b"), F.col("label").alias("lb"))
-    links = written(verified(pairs.join(left, "a").join(right, "b").select("a", "b", "la", "lb"), texts), "further-links")
+    links = written(verified(pairs, texts), "further-links")
     steps.append(components(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
 
     groups = classes.select("sig", "least", F.col("short").alias("label"))
