@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,8 +40,10 @@ def written(df: DataFrame, name: str, let_go: bool = False) -> DataFrame:
     path, schema = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}", df.schema
     df.write.parquet(path)
     if let_go:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        for _ in range(2):  # the first may come before the listeners have let the finished query go
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
     return spark.read.schema(schema).parquet(path)
 
 
