@@ -7,7 +7,9 @@ that a mention alone moves nothing and insults have to carry the label.
 
 The classifier is fitted on a bounded sample of labelled rows (``Settings.sample_positive`` and
 ``sample_negative``, drawn by a hash of the id) and on a bounded number of features; every text is
-scored as a whole. Nulls and empty texts get the score of a text without features.
+scored as a whole. Each sampled row counts as often as the rows of its class that it stands for, so
+that a score means the same whether a table fits the sample or not. Nulls and empty texts get the
+score of a text without features.
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ class Settings:
     sample_negative: int = 12_000
     features: int = 8_192
     least_documents: int = 8
+    #: Least difference of a feature's shares in the two classes, in standard deviations of the feature.
+    least_difference: float = 0.2
     sparsity: float = 5e-4
     fairness: float = 1.0
     rounds: int = 300
@@ -86,19 +90,21 @@ class Model:
 
 
 def _sample(documents: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """A bounded, repeatable sample of the labelled rows that may be learned from."""
+    """A bounded, repeatable sample of the labelled rows that may be learned from: id, text, label, rows of its class per sampled row."""
     known = labels.select(labels["doc_id"].alias("__id"), labels["toxic"].alias("__toxic")).filter(
         F.col("__id").isNotNull() & F.col("__toxic").isin(0, 1) & ~held_out(F.col("__id"))
     )
-    known = known.groupBy("__id").agg(F.max("__toxic").alias("__toxic"))
+    known = known.groupBy("__id").agg(F.max("__toxic").cast("int").alias("__toxic"))
+    rows = {r["__toxic"]: r["count"] for r in known.groupBy("__toxic").count().collect()}
 
     def draw(toxic: int, most: int) -> DataFrame:
-        return known.filter(F.col("__toxic") == toxic).orderBy(F.xxhash64("__id"), "__id").limit(most)
+        drawn = known.filter(F.col("__toxic") == toxic).orderBy(F.xxhash64("__id"), "__id").limit(most)
+        return drawn.withColumn("__weight", F.lit(max(1.0, rows.get(toxic, 0) / most)))
 
     drawn = draw(1, settings.sample_positive).unionByName(draw(0, settings.sample_negative))
-    # Bounded by the two sample sizes: 16 bytes for each drawn id.
+    # Bounded by the two sample sizes: 24 bytes for each drawn id.
     texts = documents.select(documents["doc_id"].alias("__id"), documents["text"].alias("__text"))
-    return texts.join(F.broadcast(drawn), "__id").select("__id", "__text", "__toxic")
+    return texts.join(F.broadcast(drawn), "__id").select("__id", "__text", "__toxic", "__weight")
 
 
 def _featured(sample: DataFrame, settings: Settings) -> DataFrame:
@@ -115,31 +121,36 @@ def _featured(sample: DataFrame, settings: Settings) -> DataFrame:
                 own.append(sorted(found))
                 swapped.append(sorted(features_of_words({swaps.get(w, w) for w in words})) if named else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2).cast(pa.int32()), pa.array(own, pa.list_(pa.int64())), pa.array(swapped, pa.list_(pa.int64()))],
-                names=["id", "toxic", "own", "swapped"],
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(own, pa.list_(pa.int64())), pa.array(swapped, pa.list_(pa.int64()))],
+                names=["id", "toxic", "weight", "own", "swapped"],
             )
 
     kind = dict(sample.dtypes)["__id"]
-    return sample.mapInArrow(run, f"id {kind}, toxic int, own array<long>, swapped array<long>")
+    return sample.mapInArrow(run, f"id {kind}, toxic int, weight double, own array<long>, swapped array<long>")
 
 
 def _chosen(featured: DataFrame, settings: Settings) -> list[int]:
-    """The features that tell the classes apart best, a bounded number, and those of group words."""
-    totals = featured.groupBy("toxic").count().collect()
-    n = {r["toxic"]: r["count"] for r in totals}
+    """The features that tell the classes apart best, a bounded number, and those of group words.
+
+    How far a feature tells them apart does not depend on the number of rows or on how the classes
+    were sampled; only ``least_documents``, against features of chance, counts sampled rows.
+    """
+    totals = featured.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()
+    n, weight = {r["toxic"]: r["n"] for r in totals}, {r["toxic"]: r["weight"] for r in totals}
     ones, zeros = n.get(1, 0), n.get(0, 0)
     if not ones or not zeros:
         return []
+    rate = weight[1] / (weight[0] + weight[1])
     counts = featured.select("toxic", F.explode("own").alias("feature")).groupBy("feature").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
     )
     a, b = F.col("a") / ones, F.col("b") / zeros
-    mean = (F.col("a") + F.col("b")) / (ones + zeros)
-    distance = (a - b) / F.sqrt(mean * (1 - mean) * (1 / ones + 1 / zeros) + 1e-9)
+    mean = a * rate + b * (1 - rate)
+    distance = (a - b) / F.sqrt(mean * (1 - mean) + 1e-9)
     best = (
         counts.filter(F.col("a") + F.col("b") >= settings.least_documents)
         .select("feature", F.abs(distance).alias("distance"))
-        .filter("distance >= 6")
+        .filter(F.col("distance") >= settings.least_difference)
         .orderBy(F.desc("distance"), "feature")
         .limit(settings.features)
     )
@@ -153,7 +164,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     featured = written(_featured(_sample(documents, labels, settings), settings), "toxicity-sample")
     chosen = _chosen(featured, settings)
     if not chosen:
-        ones, rows = featured.agg(F.sum("toxic"), F.count("*")).first()
+        ones, rows = featured.agg(F.sum(F.col("toxic") * F.col("weight")), F.sum("weight")).first()
         return Model(math.log(((ones or 0) + 0.5) / ((rows or 0) - (ones or 0) + 0.5)), {})
     column = {f: i for i, f in enumerate(chosen)}
 
@@ -161,21 +172,24 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
         for batch in batches:
             lists = [
                 pa.array([None if v is None else [column[f] for f in v if f in column] for v in batch.column(i).to_pylist()], pa.list_(pa.int32()))
-                for i in (2, 3)
+                for i in (3, 4)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["id", "toxic", "own", "swapped"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["id", "toxic", "weight", "own", "swapped"])
 
     kind = dict(featured.dtypes)["id"]
-    rows = featured.mapInArrow(narrow, f"id {kind}, toxic int, own array<int>, swapped array<int>").orderBy("id").collect()
-    bias, weights = train([(r["toxic"], r["own"], r["swapped"]) for r in rows], len(chosen), settings)
+    rows = featured.mapInArrow(narrow, f"id {kind}, toxic int, weight double, own array<int>, swapped array<int>").orderBy("id").collect()
+    bias, weights = train([(r["toxic"], r["own"], r["swapped"]) for r in rows], len(chosen), settings, [r["weight"] for r in rows])
     return Model(bias, {f: float(w) for f, w in zip(chosen, weights, strict=True) if abs(w) > 1e-9})
 
 
-def train(rows: list[tuple[int, list[int], list[int] | None]], width: int, settings: Settings) -> tuple[float, np.ndarray]:
+def train(
+    rows: list[tuple[int, list[int], list[int] | None]], width: int, settings: Settings, weights: list[float] | None = None
+) -> tuple[float, np.ndarray]:
     """Sparse logistic regression on (label, columns, counterfactual columns), by accelerated proximal steps.
 
     Loss: mean logistic loss + fairness * mean over counterfactuals of (change of the linear
-    score)^2 + sparsity * |w|. The last term leaves features of chance at nothing.
+    score)^2 + sparsity * |w|. The last term leaves features of chance at nothing. A row counts
+    ``weights`` times in both means, once without them.
     """
 
     def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -184,6 +198,8 @@ def train(rows: list[tuple[int, list[int], list[int] | None]], width: int, setti
 
     labels = np.array([r[0] for r in rows], np.float64)
     n = len(labels)
+    counted = np.ones(n) if weights is None else np.array(weights, np.float64)
+    share = counted / counted.sum()
     at, columns = flat([r[1] for r in rows])
     pairs = [(set(r[1]), set(r[2])) for r in rows if r[2] is not None]
     gained, gained_columns = flat([sorted(b - a) for a, b in pairs])
@@ -195,10 +211,11 @@ def train(rows: list[tuple[int, list[int], list[int] | None]], width: int, setti
     def back(push: np.ndarray) -> np.ndarray:
         return np.bincount(gained_columns, push[gained], width) - np.bincount(lost_columns, push[lost], width)
 
-    fair = 2 * settings.fairness / max(len(pairs), 1)
+    paired = counted[[r[2] is not None for r in rows]]
+    fair = 2 * settings.fairness * paired / (paired.sum() or 1.0)
 
     def curved(w: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
-        z = 0.25 * (np.bincount(at, w[columns], n) + bias) / n
+        z = 0.25 * (np.bincount(at, w[columns], n) + bias) * share
         g = np.bincount(columns, z[at], width)
         return (g + back(fair * change(w)) if pairs else g), z.sum()
 
@@ -211,11 +228,12 @@ def train(rows: list[tuple[int, list[int], list[int] | None]], width: int, setti
         w, bias = w / steepest, bias / steepest
     step = 0.9 / steepest
 
-    w, bias = np.zeros(width), math.log((labels.sum() + 0.5) / (n - labels.sum() + 0.5))
+    ones = float(counted @ labels)
+    w, bias = np.zeros(width), math.log((ones + 0.5) / (counted.sum() - ones + 0.5))
     ahead, ahead_bias, t = w, bias, 1.0
     for _ in range(settings.rounds):
         z = np.bincount(at, ahead[columns], n) + ahead_bias
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / n
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * share
         g = np.bincount(columns, error[at], width)
         if pairs:
             g += back(fair * change(ahead))

@@ -87,3 +87,40 @@ def test_words_and_features():
     assert words_of("Ab-c É 9") == {b"ab", b"c", "É".encode(), b"9"}
     assert words_of(None) == set()
     assert np.all([f >= 0 for f in features_of_words({b"abcdefgh"})])
+
+
+def test_decisions_do_not_depend_on_how_much_of_a_class_is_sampled(spark, docs):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(4000):
+        toxic = rng.random() < 0.1
+        words = [f"w{rng.randrange(300)}" for _ in range(20)]
+        if rng.random() < (0.7 if toxic else 0.05):
+            words.append("rude")
+        if rng.random() < (0.5 if toxic else 0.1):
+            words.append("borderline")  # a share of about 0.25 to 0.4 is toxic
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    asked = docs([(1, "w1 w2"), (2, "w1 borderline"), (3, "w1 rude"), (4, "w1 rude borderline")])
+
+    def scores(**settings):
+        model = toxicity.fit(docs(rows), table, Settings(**settings))
+        return [r["score"] for r in toxicity.score(asked, model).orderBy("doc_id").collect()]
+
+    whole, cut = scores(), scores(sample_positive=300, sample_negative=300)
+    logits = [np.log(s) - np.log1p(-s) for s in (np.array(whole), np.array(cut))]
+    assert np.abs(logits[0] - logits[1]).max() < 0.7, (whole, cut)
+    assert [s >= 0.3 for s in whole] == [s >= 0.3 for s in cut], (whole, cut)
+
+
+def test_a_feature_is_chosen_by_its_shares_not_by_the_number_of_rows(spark):
+    once = [(i % 10 == 0, [1] if i % 20 == 0 else [2] if i % 7 == 0 else []) for i in range(400)]
+
+    def chosen(times):
+        rows = [(int(t), 1.0, own) for t, own in once * times]
+        featured = spark.createDataFrame(rows, "toxic int, weight double, own array<long>")
+        return toxicity._chosen(featured, Settings(identity_terms=()))
+
+    assert chosen(1) == chosen(20) == [1, 2]
+    assert toxicity._chosen(spark.createDataFrame([(int(t), 1.0, own) for t, own in once], "toxic int, weight double, own array<long>"), Settings(identity_terms=(), least_difference=1.0)) == [1]
