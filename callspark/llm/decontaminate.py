@@ -11,8 +11,8 @@ is left names a document, an item and the difference between their positions. Th
 compared word by word with the text. A proximity search looks for the rarest terms of an item close
 to each other in any order.
 
-Terms are 64-bit hashes of words; a hit is always confirmed on the words themselves. Rows with a
-null or repeated id are kept apart by a hash of their text. Words of items are sent to the tasks in
+Terms are 64-bit hashes of words; a hit is always confirmed on the words themselves. Documents and
+items with a null or repeated id are kept apart by a hash of their text. Words of items are sent to the tasks in
 blocks of at most ``TERMS_AT_ONCE`` terms; a larger vocabulary takes one pass per block.
 """
 
@@ -31,6 +31,8 @@ WINDOW = 10
 #: 8 bytes each, and some 24 in the hash table of a task.
 TERMS_AT_ONCE = 1_000_000
 _END = 0
+#: What tells the rows of items apart; joined with nulls as values.
+ITEM = ("item_id", "item_hash")
 
 
 def words(text: Column) -> Column:
@@ -57,8 +59,16 @@ class Index:
 
 
 def test_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """Items with at least one word: id and words."""
-    return items.select(items[item_id].alias("item_id"), words(items[text]).alias("item_words")).filter(F.size("item_words") > 0)
+    """Items with at least one word, each pair of id and text once: id, hash of the text and words."""
+    rows = items.select(items[item_id].alias("item_id"), items[text].alias("text")).distinct()
+    return rows.select("item_id", fingerprint(F.col("text")).alias("item_hash"), words(F.col("text")).alias("item_words")).filter(
+        F.size("item_words") > 0
+    )
+
+
+def _same(a: str, b: str, *columns: str) -> Column:
+    """Equal columns of two aliased tables, nulls taken as values."""
+    return reduce(Column.__and__, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns])
 
 
 def _blocks(rows: DataFrame, key: str, at_once: int) -> list[DataFrame]:
@@ -85,52 +95,51 @@ def build(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
 
 def rarest_pairs(index: Index, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """For every window of an item its two rarest terms and their places: item_id, o1, t1, o2, t2.
+    """For every window of an item its two rarest terms and their places: item_id, item_hash, o1, t1, o2, t2.
 
     A window with a term that no document has can't occur and is left out. An item of fewer words
     is one window.
     """
-    placed = test_words(items).select("item_id", F.size("item_words").alias("n"), F.posexplode("item_words").alias("o", "w"))
+    placed = test_words(items).select(*ITEM, F.size("item_words").alias("n"), F.posexplode("item_words").alias("o", "w"))
     counted = placed.withColumn("term", term(F.col("w"))).join(index.counts.withColumnRenamed("n", "df"), "term", "left")
     length = F.least(F.lit(window), F.col("n"))
     # A word belongs to the windows that start at most length - 1 words before it.
     starts = F.sequence(F.greatest(F.lit(0), F.col("o") - length + 1), F.least(F.col("o"), F.col("n") - length))
     rows = counted.withColumn("s", F.explode(starts))
     entry = F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("o"), F.col("term"))
-    ranked = rows.groupBy("item_id", "s").agg(F.array_sort(F.collect_list(entry)).alias("t"))  # at most ``window`` entries
+    ranked = rows.groupBy(*ITEM, "s").agg(F.array_sort(F.collect_list(entry)).alias("t"))  # at most ``window`` entries
     first, second = F.get("t", F.lit(0)), F.coalesce(F.get("t", F.lit(1)), F.get("t", F.lit(0)))
     return (
         ranked.filter(first["df"] > 0)
-        .select("item_id", first["o"].alias("o1"), first["term"].alias("t1"), second["o"].alias("o2"), second["term"].alias("t2"))
+        .select(*ITEM, first["o"].alias("o1"), first["term"].alias("t1"), second["o"].alias("o2"), second["term"].alias("t2"))
         .distinct()
     )
 
 
 def _lists(index: Index, anchors: DataFrame, at_once: int = TERMS_AT_ONCE) -> DataFrame:
-    """Postings of the anchors (term, item_id, ...), from the index."""
+    """Postings of the anchors (term, item_id, item_hash, ...), from the index."""
     parts = [index.postings.join(block, "term") for block in _blocks(anchors, "term", at_once)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def candidates(index: Index, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_hash, item_id, shift) where the two rarest terms of a window stand as in the item."""
+    """(doc_id, text_hash, item_id, item_hash, shift) where the two rarest terms of a window stand as in the item."""
     pairs = written(rarest_pairs(index, items, window), "rarest-pairs")
-    first = _lists(index, pairs.select(F.col("t1").alias("term"), "item_id", "o1", "o2")).select(
-        "doc_id", "text_hash", "item_id", (F.col("pos") - F.col("o1")).alias("shift"), "o2"
+    first = _lists(index, pairs.select(F.col("t1").alias("term"), *ITEM, "o1", "o2")).select(
+        "doc_id", "text_hash", *ITEM, (F.col("pos") - F.col("o1")).alias("shift"), "o2"
     )
-    second = _lists(index, pairs.select(F.col("t2").alias("term"), "item_id", "o2").distinct()).select(
-        "doc_id", "text_hash", "item_id", (F.col("pos") - F.col("o2")).alias("shift"), "o2"
+    second = _lists(index, pairs.select(F.col("t2").alias("term"), *ITEM, "o2").distinct()).select(
+        "doc_id", "text_hash", *ITEM, (F.col("pos") - F.col("o2")).alias("shift"), "o2"
     )
-    a, b = first.alias("a"), second.alias("b")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("doc_id", "text_hash", "item_id", "shift", "o2")]
-    met = a.join(b, reduce(Column.__and__, same), "left_semi")
-    return met.select("doc_id", "text_hash", "item_id", "shift").distinct()
+    same = _same("a", "b", "doc_id", "text_hash", *ITEM, "shift", "o2")
+    met = first.alias("a").join(second.alias("b"), same, "left_semi")
+    return met.select("doc_id", "text_hash", *ITEM, "shift").distinct()
 
 
 def phrase_matches(index: Index, documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Every word of a document inside an occurrence of a window of an item: doc_id, text_hash, item_id, pos."""
     found = written(candidates(index, items, window), "candidates")
-    with_words = found.join(test_words(items), "item_id")
+    with_words = found.alias("f").join(test_words(items).alias("i"), _same("f", "i", *ITEM)).select("f.*", "item_words")
     texts = documents.select(
         documents["doc_id"].alias("__id"), documents["text"].alias("__text"), fingerprint(documents["text"]).alias("__hash")
     )
@@ -164,6 +173,8 @@ def _extended(state: Column, i: Column, length: Column) -> Column:
 def report(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document its words, the words hit, the items that occur and their digest.
 
+    Items are told by their ids here: rows with the same id are one item, those without an id are
+    one item that counts and has no part in the digest.
     One row per input row, also for null texts and repeated ids; other columns are left out.
     """
     index = build(documents, items)
@@ -171,6 +182,7 @@ def report(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> Data
     per_document = hits.groupBy("doc_id", "text_hash").agg(
         F.countDistinct("pos").alias("n_hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
+        F.max(F.col("item_id").isNull().cast("int")).alias("unnamed"),
     )
     every = index.postings.filter(F.col("term") == _END).select("doc_id", "text_hash", F.col("pos").cast("long").alias("n_words"))
     d, h = every.alias("d"), per_document.alias("h")
@@ -181,7 +193,7 @@ def report(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> Data
         F.col("d.doc_id").alias("doc_id"),
         "n_words",
         n_hit.alias("n_hit"),
-        F.size(items_found).cast("long").alias("n_items"),
+        (F.size(items_found) + F.coalesce("unnamed", F.lit(0))).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_found, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
@@ -198,26 +210,28 @@ def clean(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
 
 
 def proximity_matches(index: Index, items: DataFrame, terms: int = 3, within: int = 20) -> DataFrame:
-    """Documents in which the rarest distinct terms of an item stand within ``within`` words: item_id, doc_id, text_hash, pos.
+    """Documents in which the rarest distinct terms of an item stand within ``within`` words: item_id, item_hash, doc_id, text_hash, pos.
 
     ``pos`` is the place of the rarest term. Items with fewer terms use all they have; an item with
     a term that no document has gives nothing. Lists meet by document and stretch of ``within``
     words, so a document's postings are never paired one with all.
     """
-    placed = test_words(items).select("item_id", F.explode(F.array_distinct("item_words")).alias("w"))
+    placed = test_words(items).select(*ITEM, F.explode(F.array_distinct("item_words")).alias("w"))
     counted = placed.withColumn("term", term(F.col("w"))).join(index.counts, "term", "left")
-    order = Window.partitionBy("item_id").orderBy(F.coalesce("n", F.lit(0)), "term")
+    order = Window.partitionBy(*ITEM).orderBy(F.coalesce("n", F.lit(0)), "term")
     ranked = counted.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= terms)
-    wanted = written(ranked.select("item_id", "term", "r"), "rarest-terms")
+    wanted = written(ranked.select(*ITEM, "term", "r"), "rarest-terms")
     lists = _lists(index, wanted).withColumn("stretch", F.floor(F.col("pos") / within))
-    first = lists.filter("r = 1").select("doc_id", "text_hash", "item_id", F.col("pos").alias("p"), "stretch")
-    others = lists.filter("r > 1").select("doc_id", "text_hash", "item_id", "r", F.col("pos").alias("q"), "stretch")
+    first = lists.filter("r = 1").select("doc_id", "text_hash", *ITEM, F.col("pos").alias("p"), "stretch")
+    others = lists.filter("r > 1").select("doc_id", "text_hash", *ITEM, "r", F.col("pos").alias("q"), "stretch")
     spread = first.withColumn("stretch", F.explode(F.array(F.col("stretch") - 1, F.col("stretch"), F.col("stretch") + 1)))
-    needed = wanted.groupBy("item_id").agg((F.count(F.lit(1)) - 1).alias("needed"))
+    needed = wanted.groupBy(*ITEM).agg((F.count(F.lit(1)) - 1).alias("needed"))
     near = (
-        spread.join(others, ["doc_id", "text_hash", "item_id", "stretch"], "left")
+        spread.alias("a").join(others.alias("b"), _same("a", "b", "doc_id", "text_hash", *ITEM, "stretch"), "left")
+        .select("a.*", "b.r", "b.q")
         .withColumn("near", F.when(F.abs(F.col("p") - F.col("q")) < within, F.col("r")))
-        .groupBy("item_id", "doc_id", "text_hash", F.col("p").alias("pos"))
+        .groupBy(*ITEM, "doc_id", "text_hash", F.col("p").alias("pos"))
         .agg(F.countDistinct("near").alias("met"))
     )
-    return near.join(needed, "item_id").filter("met >= needed").select("item_id", "doc_id", "text_hash", "pos")
+    enough = near.alias("a").join(needed.alias("b"), _same("a", "b", *ITEM)).select("a.*", "needed").filter("met >= needed")
+    return enough.select(*ITEM, "doc_id", "text_hash", "pos")

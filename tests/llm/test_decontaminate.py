@@ -87,3 +87,32 @@ def test_proximity(spark, docs):
     index = decontaminate.build(docs(rows), items)
     got = sorted((r["item_id"], r["doc_id"]) for r in decontaminate.proximity_matches(index, items, 3, 10).select("item_id", "doc_id").distinct().collect())
     assert got == [(1, 1), (1, 4)]
+
+
+def test_items_with_null_and_repeated_ids(spark, docs, case):
+    rows, items = case
+    passage = "one two three four five six seven eight nine ten"
+    items = items + [(7, f"{passage} eleven twelve"), (7, "absent1 " * 30), (8, passage.upper()), (8, passage.upper()), (None, "a second item that has no id at all in its row")]
+    rows = rows + [(400, f"x {passage} y"), (401, "see: an item that has no id"), (402, "a second item that has no id at all in its row"), (403, "nothing here")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    # As in the SQL: ids name the items, those without one are one item outside the digest.
+    want = Counter()
+    for (d, n, hit, _, _, bad), times in brute(rows, items).items():
+        named = set()
+        for i, t in items:
+            one = next(r for r in brute([(d, t2) for d2, t2, *_ in rows if d2 == d and len(words(t2)) == n][:1], [(i, t)]))
+            named |= {i} if one[5] else set()
+        digest = hashlib.sha256(",".join(sorted(str(i) for i in named if i is not None)).encode()).hexdigest()
+        want[d, n, hit, len(named), digest, bad] += times
+    out = decontaminate.report(docs(rows), benchmark)
+    assert Counter(tuple(r) for r in out.collect()) == want
+    assert {d: (k, bad) for d, _, _, k, _, bad in want if d in (400, 401, 402, 403)} == {400: (2, True), 401: (1, True), 402: (1, True), 403: (0, False)}
+    left = {r["doc_id"] for r in decontaminate.clean(docs(rows), benchmark).collect()}
+    assert not left & {400, 401, 402} and 403 in left
+
+
+def test_proximity_of_items_with_null_and_repeated_ids(spark, docs):
+    items = spark.createDataFrame([(None, "rare common gem"), (1, "red blue"), (1, "absent")], "item_id long, text string")
+    rows = [(1, "rare x gem common"), (None, "gem rare common"), (2, "blue and red")]
+    near = decontaminate.proximity_matches(decontaminate.build(docs(rows), items), items, 3, 10)
+    assert {(r["item_id"], r["doc_id"]) for r in near.collect()} == {(None, 1), (None, None), (1, 2)}
