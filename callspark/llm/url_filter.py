@@ -1,7 +1,8 @@
 """URL filters: rules by host and path, and boosted trees on lexical features for the rest.
 
 The trees are Spark ML's, trained on a bounded sample of labelled URLs, and applied as one column
-expression made of their splits, so that scoring is a plain projection. Null URLs and those without
+expression made of their splits, so that scoring is a plain projection. The counts of the suffixes
+of hosts, which are features, are taken over all labelled URLs and of all suffixes. Null URLs and those without
 ``://`` have an empty host and path; they match no rule that names one and are scored as they are.
 """
 
@@ -22,6 +23,10 @@ FEATURES = (
 )
 
 
+#: Rows of 24 bytes that the table of suffixes may have to be sent to the tasks.
+SENT_SUFFIXES = 250_000
+
+
 @dataclass(frozen=True)
 class Rule:
     """Fits a host and its subdomains if the path of the URL starts with ``path``."""
@@ -40,7 +45,6 @@ class Settings:
     """Bounds and weights of the training."""
 
     sample: int = 20_000
-    suffixes: int = 512
     rounds: int = 12
     depth: int = 3
     step: float = 0.2
@@ -105,22 +109,28 @@ def lexical(urls: DataFrame, url: str, *keep: Column) -> DataFrame:
     )
 
 
-def with_suffixes(features: DataFrame, statistics: DataFrame, prior: float) -> DataFrame:
+def with_suffixes(features: DataFrame, statistics: DataFrame, prior: float, sent: bool) -> DataFrame:
     """Adds the share of blocked URLs and the logarithm of the count of a suffix.
 
-    ``statistics`` has at most ``Settings.suffixes`` rows of 32 bytes, which bounds the broadcast.
+    ``statistics`` has one row for each labelled suffix; ``sent`` says that it is small enough for
+    a broadcast. Otherwise adaptive execution splits the rows of a frequent suffix.
     """
-    joined = features.join(F.broadcast(statistics), "suffix", "left")
+    joined = features.join(F.broadcast(statistics) if sent else statistics, "suffix", "left")
     return joined.withColumns({
         "suffix_rate": F.coalesce("suffix_rate", F.lit(prior)),
         "suffix_count": F.coalesce("suffix_count", F.lit(0.0)),
     })
 
 
-def suffix_statistics(sample: DataFrame, prior: float, settings: Settings) -> DataFrame:
-    """Smoothed share of blocked URLs of the most frequent suffixes of the sample."""
-    counts = sample.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked"))
-    return counts.orderBy(F.desc("n"), "suffix").limit(settings.suffixes).select(
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """URLs and blocked URLs of every suffix, over all rows of (url, label)."""
+    host, _ = host_and_path(F.col("url"))
+    return labelled.groupBy(F.xxhash64(suffix(host)).alias("suffix")).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked"))
+
+
+def suffix_statistics(counts: DataFrame, prior: float) -> DataFrame:
+    """Smoothed share of blocked URLs and logarithm of the count of each suffix."""
+    return counts.select(
         "suffix",
         ((F.col("blocked") + 20 * prior) / (F.col("n") + 20)).alias("suffix_rate"),
         F.log1p("n").alias("suffix_count"),
@@ -134,6 +144,7 @@ class Model:
     margin: str
     prior: float
     statistics: DataFrame
+    sent: bool
 
     def probability(self) -> Column:
         """Probability of block for a row with all features."""
@@ -150,22 +161,24 @@ def _as_sql(node, names: tuple[str, ...]) -> str:
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings(), url: str = "url", label: str = "label") -> Model:
-    """Trains on at most ``settings.sample`` rows of (url, label 0 or 1), drawn by a hash of the URL.
+    """Trees on at most ``settings.sample`` rows of (url, label 0 or 1), drawn by a hash of the URL; suffixes counted over all rows.
 
     Without rows of both labels the model is the share of ones, smoothed.
     """
     known = labelled.filter(labelled[url].isNotNull() & labelled[label].isin(0, 1))
-    drawn = known.select(known[url].alias("url"), known[label].cast("int").alias("label")).orderBy(
+    known = written(known.select(known[url].alias("url"), known[label].cast("int").alias("label")), "labelled-urls")
+    drawn = known.orderBy(
         F.xxhash64(F.lit(settings.seed), "url"), "url", "label"
     ).limit(settings.sample)
     sample = written(lexical(drawn, "url", F.col("label")), "url-sample")
-    n, ones = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    prior = (ones + 1) / (n + 2)
-    statistics = written(suffix_statistics(sample, prior, settings), "url-suffixes")
-    if not 0 < ones < n:
-        return Model(repr(0.5 * math.log(prior / (1 - prior))) + "D", prior, statistics)
+    counts = written(suffix_counts(known), "url-suffixes")
+    n, ones, suffixes = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0)), F.count(F.lit(1))).first()
+    prior, sent = (ones + 1) / (n + 2), suffixes <= SENT_SUFFIXES
+    statistics = suffix_statistics(counts, prior)
+    if sample.select("label").distinct().count() < 2:
+        return Model(repr(0.5 * math.log(prior / (1 - prior))) + "D", prior, statistics, sent)
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        with_suffixes(sample, statistics, prior)
+        with_suffixes(sample, statistics, prior, sent)
     ).select("features", F.col("label").cast("double").alias("label"))
     trained = GBTClassifier(
         maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.step, seed=settings.seed, minInstancesPerNode=20
@@ -174,7 +187,7 @@ def fit(labelled: DataFrame, settings: Settings = Settings(), url: str = "url",
         f"{weight!r}D * ({_as_sql(tree._java_obj.rootNode(), FEATURES)})"
         for tree, weight in zip(trained.trees, trained.treeWeights, strict=True)
     ]
-    return Model(" + ".join(trees), prior, statistics)
+    return Model(" + ".join(trees), prior, statistics, sent)
 
 
 def judge(
@@ -184,7 +197,7 @@ def judge(
 
     One row per input row; other columns are left out.
     """
-    features = with_suffixes(lexical(urls, url, urls[key].alias("page_id")), model.statistics, model.prior)
+    features = with_suffixes(lexical(urls, url, urls[key].alias("page_id")), model.statistics, model.prior, model.sent)
     host, path = F.col("host"), F.col("path")
     score = model.probability()
     learned = F.when(score >= settings.threshold, F.lit("block")).otherwise(F.lit("allow"))

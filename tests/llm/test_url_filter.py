@@ -70,3 +70,23 @@ def test_entropy(spark):
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(url_filter.entropy(url_filter.F.col("t"))).collect()]
     for t, e in zip(texts, got, strict=True):
         assert e == pytest.approx(-sum(n / len(t) * math.log2(n / len(t)) for n in Counter(t).values()) if t else 0)
+
+
+def test_suffixes_are_counted_over_all_labelled_urls(spark, monkeypatch):
+    rng = random.Random(23)
+    # 1,500 suffixes, of which the sample below can't hold a fifth; nothing but the suffix tells the labels.
+    rows = [(f"http://www.host{i:04d}.org/{rng.randrange(10**6):06d}", i % 3 == 0) for i in range(1500) for _ in range(12)]
+    labelled = spark.createDataFrame([(u, int(b)) for u, b in rows], "url string, label int")
+    table = spark.createDataFrame([(i, f"http://www.host{i:04d}.org/{rng.randrange(10**6):06d}") for i in range(1500)], "page_id long, url string")
+    small = url_filter.Settings(sample=300)
+    model = url_filter.fit(labelled, small)
+    want, prior = {r[0]: r[1:] for r in model.statistics.collect()}, model.prior
+    assert len(want) == 1500 and prior == pytest.approx(6001 / 18002)
+    assert all(count == pytest.approx(math.log(13)) for _, count in want.values())
+    assert sorted({round(rate, 9) for rate, _ in want.values()}) == [round((b + 20 * prior) / 32, 9) for b in (0, 12)]
+    verdicts = [tuple(r) for r in url_filter.judge(table, model, []).orderBy("page_id").collect()]
+    assert all((r[4] == "block") == (r[0] % 3 == 0) for r in verdicts)
+    # A table too large to be sent gives the same.
+    monkeypatch.setattr(url_filter, "SENT_SUFFIXES", 10)
+    out = url_filter.judge(table, url_filter.fit(labelled, small), [])
+    assert [tuple(r) for r in out.orderBy("page_id").collect()] == verdicts
