@@ -2,8 +2,10 @@
 
 The first pass labels a block from its length, its share of stop words and its share of linked
 text. Blocks it can't decide (short ones, and long ones without known stop words) take the label of
-their nearest decided neighbours in the second pass. Regions that a page marks as something other
-than its article (menus, footers, asides, forms, adverts, notices, comments) are left out before.
+their nearest decided neighbours in the second pass, inside an <article> or <main> as elsewhere.
+Regions that a page marks as something other than its article (menus, footers, asides, forms,
+adverts, notices, comments) are left out before; a class or an id does not mark an element that
+holds an <article> or a <main>.
 
 Nulls give an empty text. Work is per page and linear in its length; no page is cut.
 """
@@ -73,26 +75,37 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(source)}
 
 
-def _is_dropped(tag: str, source: str, in_article: bool) -> bool:
-    """Whether an element and all in it are no part of the article, by its name and attributes."""
+def _is_dropped(tag: str, source: str, in_article: bool) -> str:
+    """Whether an element and all in it are no part of the article: by its "kind", or by a "hint" of its class or id."""
     if tag in _DROPPED or tag == "header" and not in_article:
-        return True
+        return "kind"
     if not source or source.isspace() or tag in ("html", "body", "main"):
-        return False
+        return ""
     attributes = _attributes(source)
     if "hidden" in attributes or re.search(r"display\s*:\s*none", attributes.get("style", "")):
-        return True
+        return "kind"
     if attributes.get("role", "").lower() in _ROLES or attributes.get("aria-hidden", "").lower() == "true":
-        return True
+        return "kind"
     words = {w.lower() for w in _HINT_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
-    return not words.isdisjoint(_ARTICLE_HINTS if tag == "article" else _HINTS)
+    if tag == "article":
+        return "" if words.isdisjoint(_ARTICLE_HINTS) else "kind"
+    return "" if words.isdisjoint(_HINTS) else "hint"
+
+
+class Hinted:
+    """An element dropped by a hint, unless an article turns out to be in it; ``around`` is the next such element outwards."""
+
+    __slots__ = ("dropped", "around")
+
+    def __init__(self, around: "Hinted | None"):
+        self.dropped, self.around = True, around
 
 
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page outside its dropped regions, in page order."""
-    found: list[Block] = []
+    found: list[tuple[Block, Hinted | None]] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, dropped, scope
+    stack: list[tuple[str, bool, int, Hinted | None]] = []  # tag, dropped, scope, hinted element around
     linked = links = scopes = 0
     item = heading = False
 
@@ -101,7 +114,7 @@ def blocks(html: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text and not (stack and stack[-1][1]):
-                found.append(Block(text, linked, stack[-1][2] if stack else 0, item, heading))
+                found.append((Block(text, linked, stack[-1][2] if stack else 0, item, heading), stack[-1][3] if stack else None))
             pieces.clear()
         linked = 0
 
@@ -152,23 +165,33 @@ def blocks(html: str) -> list[Block]:
             if depth is not None:
                 del stack[depth:]
             continue
-        dropped, scope = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+        dropped, scope, hinted = stack[-1][1:] if stack else (False, 0, None)
         if tag in ("article", "main") and not scope:
             scopes += 1
             scope = scopes
-        if not dropped and _is_dropped(tag, token[3], bool(scope) and tag == "header"):
+        why = "" if dropped else _is_dropped(tag, token[3], bool(scope) and tag == "header")
+        if why == "kind":
             dropped = True
-        stack.append((tag, dropped, scope))
+        elif why == "hint":
+            hinted = Hinted(hinted)
+        if tag in ("article", "main") and not dropped:
+            holder = hinted
+            while holder and holder.dropped:  # what is around a kept one is kept already
+                holder.dropped, holder = False, holder.around
+        stack.append((tag, dropped, scope, hinted))
     flush()
-    return found
+    return [block for block, hinted in found if not (hinted and hinted.dropped)]
 
 
 def first_pass(block: Block, short: int, dense: float, link_share: float) -> int:
-    """Good, bad or open, from the block alone."""
+    """Good, bad or open, from the block alone.
+
+    Inside an article a linked heading, which may be its title, is left to its neighbours.
+    """
     size = len("".join(block.text.split()))
     share = block.linked / size
-    if share > link_share and (block.item or not block.scope):
-        return BAD
+    if share > link_share:
+        return OPEN if block.heading and block.scope else BAD
     if len(block.text) < short:
         return BAD if not block.scope and _RIGHTS.search(block.text) else OPEN
     words = _WORD.findall(block.text.lower())
@@ -180,16 +203,18 @@ def first_pass(block: Block, short: int, dense: float, link_share: float) -> int
 def second_pass(labels: list[int], in_article: bool) -> list[bool]:
     """Open blocks take the label of the nearest decided neighbours of their region.
 
-    Between a good and a bad neighbour the article wins inside an article, and otherwise the nearer
-    one, the bad one on a tie. A region without a decided block is kept whole.
+    Between a good and a bad neighbour the nearer one wins; on a tie the good one inside an article,
+    the bad one elsewhere. The ends of an article count as good neighbours. A region without a
+    decided block is kept whole.
     """
     n = len(labels)
     before, after = [(OPEN, n + 1)] * n, [(OPEN, n + 1)] * n
-    last = (OPEN, n + 1)
+    edge = (GOOD, 0) if in_article else (OPEN, n + 1)
+    last = edge
     for i in range(n):
         last = (labels[i], 0) if labels[i] else (last[0], last[1] + 1)
         before[i] = last
-    last = (OPEN, n + 1)
+    last = edge
     for i in range(n - 1, -1, -1):
         last = (labels[i], 0) if labels[i] else (last[0], last[1] + 1)
         after[i] = last
@@ -198,11 +223,9 @@ def second_pass(labels: list[int], in_article: bool) -> list[bool]:
         if own:
             kept.append(own == GOOD)
         elif left == right or not left or not right:
-            kept.append((left or right) != BAD or in_article)
-        elif in_article:
-            kept.append(True)
+            kept.append((left or right) != BAD)
         else:
-            kept.append((left == GOOD) if near < far else (right == GOOD) if far < near else False)
+            kept.append((left == GOOD) if near < far else (right == GOOD) if far < near else in_article)
     return kept
 
 

@@ -70,3 +70,28 @@ def test_query_returns_the_articles(spark, sf):
         article = re.search(r"<article>(.*)</article>", pages[r["page_id"]], re.S)[1]
         assert r["text"] == " ".join(unescape(re.sub(r"<[^>]*>", " ", article)).split())
         assert r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # Links of any element are told by their density, and what stands between two of them goes.
+        (f"<article><p>{LONG}</p><p><a href=x>Read also: {LONG}</a></p><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+        (f"<article><p>{LONG}</p><p><a href=x>{LONG}</a></p><p>Advert</p><div><a href=y>Share</a></div><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+        (f"<main><p>{LONG}</p><div><a href=x>One</a></div><p>Next to links</p><p>Too</p><p>Near</p><p>{LONG}</p></main>", f"{LONG} Too Near {LONG}"),
+        (f"<article><h1><a href=x>Title</a></h1><p>{LONG}</p></article>", f"Title {LONG}"),
+        # An element that holds the article is not dropped for a word in its class or id.
+        (f"<div class='has sidebar'><p>Menu</p><article><p>{LONG}</p></article></div>", LONG),
+        (f"<section id='social'><div class='banner'><main><p>{LONG}</p></main></div><div class='related'>{LONG}</div></section>", LONG),
+        (f"<main><div class='widget'><p>Kept.</p><article><p>{LONG}</p></article></div><div class='related'><p>{LONG}</p></div></main>", f"Kept. {LONG}"),
+        (f"<div class='comments'><article class='comment'><p>{LONG}</p></article></div><p>{LONG} 1</p>", f"{LONG} 1"),
+        (f"<div class='sidebar' hidden><article>{LONG}</article></div><p>{LONG} 1</p>", f"{LONG} 1"),
+    ],
+)
+def test_links_neighbours_and_hints_with_articles(html, text):
+    assert main_text(html) == text
+
+
+@pytest.mark.parametrize("html", ["<div class=ad>" * 50_000 + "<article>x" * 1_000])
+def test_nested_hints_end(html):
+    assert main_text(html) == " ".join("x" * 1_000)
