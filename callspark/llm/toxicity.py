@@ -78,10 +78,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 class Model:
-    """Weights by feature number."""
+    """Weights by feature number. One that has not seen both classes, ``rejects`` false, scores but rejects nothing."""
 
-    def __init__(self, bias: float, weights: dict[int, float]):
-        self.bias, self.weights = bias, weights
+    def __init__(self, bias: float, weights: dict[int, float], rejects: bool = True):
+        self.bias, self.weights, self.rejects = bias, weights, rejects
 
     def score(self, words: set[bytes]) -> float:
         weights = self.weights
@@ -159,13 +159,13 @@ def _chosen(featured: DataFrame, settings: Settings) -> list[int]:
 
 
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    """Learns from at most the sampled rows; without both classes the model is the share of ones."""
+    """Learns from at most the sampled rows; without both classes or any feature the model is the share of ones and rejects nothing."""
     small_batches(documents.sparkSession)
     featured = written(_featured(_sample(documents, labels, settings), settings), "toxicity-sample")
     chosen = _chosen(featured, settings)
     if not chosen:
         ones, rows = featured.agg(F.sum(F.col("toxic") * F.col("weight")), F.sum("weight")).first()
-        return Model(math.log(((ones or 0) + 0.5) / ((rows or 0) - (ones or 0) + 0.5)), {})
+        return Model(math.log(((ones or 0) + 0.5) / ((rows or 0) - (ones or 0) + 0.5)), {}, rejects=False)
     column = {f: i for i, f in enumerate(chosen)}
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,13 +261,14 @@ def score(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     scored = source.mapInArrow(run, f"doc_id {kind}, score double")
-    return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
-    )
+    rejected = (F.col("score") >= threshold) & F.lit(model.rejects)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", rejected.cast("int").alias("predicted"))
 
 
 def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows whose text scores under the threshold, with the columns they came with."""
+    """The rows whose text scores under the threshold, with the columns they came with; all rows if the model rejects nothing."""
+    if not model.rejects:
+        return documents
     small_batches(documents.sparkSession)
     place = documents.columns.index("text")
     schema = documents.schema

@@ -124,3 +124,16 @@ def test_a_feature_is_chosen_by_its_shares_not_by_the_number_of_rows(spark):
 
     assert chosen(1) == chosen(20) == [1, 2]
     assert toxicity._chosen(spark.createDataFrame([(int(t), 1.0, own) for t, own in once], "toxic int, weight double, own array<long>"), Settings(identity_terms=(), least_difference=1.0)) == [1]
+
+
+def test_without_both_classes_nothing_is_rejected(spark, docs, edges, tmp_path):
+    import corpus_pipeline
+
+    documents = docs(edges)
+    ones = [(i, 0, 1) for i in range(1, 9)]
+    for k, rows in enumerate(([], ones, [(i, 0, 0) for i in range(1, 9)], [(99, 1, 1), (98, 1, 0)])):
+        spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        left = corpus_pipeline.toxic_documents(spark, documents, f"{tmp_path}/{k}")
+        assert left.columns == documents.columns and sorted(map(str, left.collect())) == sorted(map(str, documents.collect()))
+        model = toxicity.fit(documents, spark.read.parquet(f"{tmp_path}/{k}/labels.parquet"))
+        assert [r["predicted"] for r in toxicity.score(documents, model).collect()] == [0] * len(edges)
