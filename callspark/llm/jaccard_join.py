@@ -383,7 +383,7 @@ def _joined(members: DataFrame, step: DataFrame) -> DataFrame:
 
 
 def _linked(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, text_hash, n_shingles, component_id."""
+    """Per document: doc_id, text_hash, n_shingles, component_id, and the component's label (null without words), as ids may repeat."""
     spark = documents.sparkSession
     small_batches(spark)
     every = written(sets(documents), "sets")
@@ -435,10 +435,10 @@ def _linked(documents: DataFrame) -> DataFrame:
         groups = groups.join(renamed, "label", "left").select("sig", "least", F.coalesce("root", "label").alias("label"))
     groups = written(groups, "groups")
     least = groups.groupBy("label").agg(F.min("least").alias("component"))
-    of_set = groups.join(least, "label").select("sig", "component")
+    of_set = groups.join(least, "label").select("sig", "component", "label")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return every.join(of_set, "sig", "left").select(
-        "doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id")
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), "label"
     )
 
 
@@ -448,23 +448,24 @@ def linked(documents: DataFrame) -> DataFrame:
     One row per input row; other columns are left out. Documents without words are linked with
     nothing. A null id is a component's id only if all ids of the component are null.
     """
-    return _linked(documents).drop("text_hash")
+    return _linked(documents).drop("text_hash", "label")
 
 
 def _row_key(doc_id, text_hash):
-    """Tells documents apart by id, and those without an id by their text."""
-    return F.when(doc_id.isNotNull(), F.concat(F.lit("d"), doc_id.cast("string"))).otherwise(F.concat(F.lit("t"), text_hash))
+    """Tells documents apart by id and text, those without an id by their text."""
+    return F.concat(F.coalesce(F.concat(F.lit("d"), doc_id.cast("string"), F.lit(" ")), F.lit("")), F.lit("t"), text_hash)
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
     """One document of each component, that of the least id, with all its columns.
 
     Documents without words and rows without an id whose component has none stay; a repeated row
-    stays once.
+    stays once. Of different texts with the least id of one component, that of the least hash stays;
+    those of different components all stay.
     """
-    rows = _linked(documents)
-    kept = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        _row_key(F.col("doc_id"), F.coalesce("text_hash", F.lit(0))).alias("__key")
-    ).distinct()
+    rows = _linked(documents).withColumn("text_hash", F.coalesce("text_hash", F.lit(0)))
+    alone = F.when(F.col("label").isNull() | F.col("doc_id").isNull(), F.col("text_hash"))
+    least = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "label", alone.alias("alone"))
+    kept = least.agg(F.min("text_hash").alias("text_hash")).select(_row_key(F.col("doc_id"), F.col("text_hash")).alias("__key")).distinct()
     key = _row_key(documents["doc_id"], F.coalesce(F.xxhash64(documents["text"]), F.lit(0)))
     return documents.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -38,10 +38,15 @@ def _key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), source))
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def sized(documents: DataFrame) -> DataFrame:
-    """Id, source and number of words of each document; null texts have none."""
+    """Id, hash of the text, source and number of words of each document; null texts have none."""
     return documents.select(
         documents["doc_id"].alias("doc_id"),
+        _text_hash(documents["text"]).alias("text_hash"),
         documents["source"].alias("source"),
         F.regexp_count(F.coalesce(documents["text"], F.lit("")), F.lit(SPACED_WORD)).cast("long").alias("size"),
     ).withColumn("key", _key(F.col("source")))
@@ -124,6 +129,11 @@ def mixed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     miss its target by up to one block. Equal rows of an id are told apart by nothing and may trade
     their words; apart from that a run repeats exactly.
     """
+    return _taken(documents, mix).drop("text_hash")
+
+
+def _taken(documents: DataFrame, mix: Mix) -> DataFrame:
+    """The rows of ``mixed`` with the hash of the text."""
     sizes = written(sized(documents), "sized")
     goals = written(targets(sizes, mix), "targets")
     chosen = quotas(goals, mix).groupBy("key").agg(F.sum("blocks").alias("blocks"))
@@ -145,7 +155,7 @@ def mixed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     ahead = F.sum("words").over(Window.partitionBy("key").orderBy("bucket")) - F.col("words")
     starts = sums.select("key", "bucket", ahead.alias("ahead")).join(runs.drop("source"), "key")
 
-    order = Window.partitionBy("key", "bucket").orderBy("shuffled", "doc_id", "size")
+    order = Window.partitionBy("key", "bucket").orderBy("shuffled", "doc_id", "size", "text_hash")
     placed = line.withColumn("shuffled", F.xxhash64(F.lit(mix.seed + 1), "doc_id", "size")).withColumn(
         "upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
@@ -159,24 +169,26 @@ def mixed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
         + _overlap(start, end, F.lit(0), low + run - around)
     )
     return placed.join(starts, ["key", "bucket"]).select(
-        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source"
+        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "text_hash"
     )
 
 
 def copies(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix as documents: each as often as its taken words come nearest to, with all its columns.
 
-    Documents are recognised by id, source and size; ids are taken to be unique.
+    Documents are recognised by id, source and a hash of their text, nulls taken as values; rows
+    equal in these all get the largest number among them.
     """
-    taken = mixed(documents, mix).select(
+    taken = _taken(documents, mix).select(
         F.col("doc_id").alias("__id"),
         _key(F.col("source")).alias("__key"),
-        F.col("size").alias("__size"),
+        F.col("text_hash").alias("__hash"),
         F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("__copies"),
     )
-    kept = taken.filter("__copies > 0").groupBy("__id", "__key").agg(F.max("__copies").alias("__copies"))
+    kept = taken.filter("__copies > 0").groupBy("__id", "__key", "__hash").agg(F.max("__copies").alias("__copies"))
+    same_text = _text_hash(documents["text"]) == kept["__hash"]
     joined = documents.join(
-        kept, documents["doc_id"].eqNullSafe(kept["__id"]) & (_key(documents["source"]) == kept["__key"])
+        kept, documents["doc_id"].eqNullSafe(kept["__id"]) & (_key(documents["source"]) == kept["__key"]) & same_text
     )
     repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return repeated.select(*[documents[c] for c in documents.columns])

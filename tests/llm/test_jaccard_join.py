@@ -157,3 +157,13 @@ def test_components(spark):
 
 def test_empty(docs, rows):
     assert jaccard_join.linked(docs(rows).limit(0)).collect() == []
+
+
+def test_one_of_each_with_null_and_repeated_ids(docs):
+    rng = random.Random(41)
+    one, two, three, four = (prose(rng, 60, 10**6) for _ in range(4))
+    rows = [(1, one), (1, two), (1, one), (2, two + " end"), (3, three), (3, three + " end"), (None, four), (4, four + " end"), (None, "a b c d e f")]
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(docs(rows)).collect())
+    # Two unrelated texts of id 1 stay, one of the near copies of id 3, and the text of id 4 stands for its copy without an id.
+    assert Counter(d for d, _ in got.elements()) == Counter({1: 2, 3: 1, 4: 1, None: 1})
+    assert got[1, one] == got[1, two] == got[None, "a b c d e f"] == 1

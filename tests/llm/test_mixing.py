@@ -93,3 +93,19 @@ def test_copies(docs, rows):
 def test_empty(docs, rows):
     assert mixing.mixed(docs(rows).limit(0)).collect() == []
     assert [r["taken"] for r in mixing.mixed(docs([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_copies_with_null_and_repeated_ids(docs):
+    rng = random.Random(37)
+    unnamed = [(rng.choice([None, 1, 2]), " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 60))), s) for s in "ab" for _ in range(300)]
+    mixed = mixing.mixed(docs(unnamed)).collect()
+    want = Counter()
+    for r in mixed:
+        want[r["source"], round(r["taken"] / r["size"] + 1e-12)] += 1
+    got = Counter()
+    for (_, _, source), n in Counter((r["doc_id"], r["text"], r["source"]) for r in mixing.copies(docs(unnamed)).collect()).items():
+        got[source, n] += 1
+    for key, n in want.items():
+        if key[1]:
+            assert abs(got[key] - n) <= 6, (key, n, got[key])
+    assert sum(k * n for (_, k), n in got.items()) <= 1.03 * sum(k * n for (_, k), n in want.items())
