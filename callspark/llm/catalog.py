@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callspark.llm import decontaminate, html_text, jaccard_join, mixing, quality, repeat_removal, secret_scan, sharding, toxicity, url_filter
+from callspark.llm import (
+    decontaminate,
+    fill_middle,
+    html_text,
+    jaccard_join,
+    lexical_search,
+    mixing,
+    quality,
+    repeat_removal,
+    secret_scan,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from callspark.llm.common import table
 
 
@@ -74,6 +87,19 @@ def op10_repeat_removal(spark: SparkSession, d: str) -> DataFrame:
     return repeat_removal.report(table(spark, d, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    index = lexical_search.build(table(spark, d, "documents"))
+    return lexical_search.search(index, table(spark, d, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+def op13_fill_middle(spark: SparkSession, d: str) -> DataFrame:
+    made = fill_middle.transformed(table(spark, d, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_decontamination": op2_decontamination,
@@ -85,9 +111,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_ledger": op9_quality_ledger,
     "op10_repeat_removal": op10_repeat_removal,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 SQL = {
@@ -159,4 +188,35 @@ SQL = {
               FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
                failed & 3 != 0 AS base_failed, failed = 0 AS kept, failed FROM f""",
+    "op12_lexical_search": rf"""
+        WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, {_TERMS} AS w FROM documents),
+        d AS (SELECT row_id, doc_id, len(w) AS n, w FROM t WHERE len(w) > 0),
+        totals AS (SELECT count(*) AS documents, sum(n) AS total FROM d),
+        tf AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(w) AS term FROM d) GROUP BY row_id, term),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        items AS (SELECT row_number() OVER () AS item_row, item_id, {_TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        q AS (SELECT item_row, item_id, term, count(*) AS repeats
+              FROM (SELECT item_row, item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+        scored AS (
+            SELECT item_row, item_id, row_id, doc_id, CAST(sum(repeats * CAST(floor(1000 * ln((2.0 * documents + 2) / (2.0 * df + 1))) AS BIGINT)
+                       * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // CAST(total AS BIGINT))))) AS BIGINT) AS score
+            FROM q JOIN df USING (term) JOIN tf USING (term) JOIN d USING (row_id), totals GROUP BY ALL),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                   CAST(row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+            FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
+    "op13_fill_middle": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        h AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+                     CAST(CAST('0x' || h[1:8] AS UBIGINT) AS BIGINT) AS h1, CAST(CAST('0x' || h[9:16] AS UBIGINT) AS BIGINT) AS h2,
+                     CAST(CAST('0x' || h[17:24] AS UBIGINT) AS BIGINT) AS h3, CAST(CAST('0x' || h[25:32] AS UBIGINT) AS BIGINT) AS h4 FROM t),
+        c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+        p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+        SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN a END AS prefix_chars, CASE WHEN form != 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                                ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256 FROM p""",
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 import time
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ BETWEEN_WORDS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Rows that go to Python at once; long texts make the default of 10,000 rows too much memory.
+#: Rows a Python function works on at once. Spark bounds the bytes of an Arrow batch by itself, so the
+#: session's settings stay as they are.
 ARROW_ROWS = 500
 
 
@@ -57,3 +60,10 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows, which bounds what a Python function makes of one piece."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
