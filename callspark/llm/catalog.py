@@ -10,6 +10,7 @@ from callspark.llm import (
     fill_middle,
     html_text,
     jaccard_join,
+    language_model,
     lexical_search,
     mixing,
     quality,
@@ -87,6 +88,11 @@ def op10_repeat_removal(spark: SparkSession, d: str) -> DataFrame:
     return repeat_removal.report(table(spark, d, "documents"))
 
 
+def op11_language_model(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    return language_model.score(documents, language_model.train(documents))
+
+
 def op12_lexical_search(spark: SparkSession, d: str) -> DataFrame:
     index = lexical_search.build(table(spark, d, "documents"))
     return lexical_search.search(index, table(spark, d, "benchmark")).select("item_id", "rank", "doc_id", "score")
@@ -111,6 +117,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_ledger": op9_quality_ledger,
     "op10_repeat_removal": op10_repeat_removal,
+    "op11_language_model": op11_language_model,
     "op12_lexical_search": op12_lexical_search,
     "op13_fill_middle": op13_fill_middle,
 }

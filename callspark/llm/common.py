@@ -19,9 +19,9 @@ BETWEEN_WORDS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Rows a Python function works on at once. Spark bounds the bytes of an Arrow batch by itself, so the
+#: Rows and bytes a Python function works on at once. Spark bounds the bytes of an Arrow batch by itself, so the
 #: session's settings stay as they are.
-ARROW_ROWS = 500
+ARROW_ROWS, ARROW_BYTES = 500, 8 << 20
 
 
 def table(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
@@ -62,8 +62,18 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of few rows, which bounds what a Python function makes of one piece."""
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows and bytes, which bounds what a Python function makes of one piece.
+
+    A single row over ``size`` bytes is a piece by itself.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            todo = [batch.slice(at, rows)]
+            while todo:
+                piece = todo.pop()
+                half = piece.num_rows // 2
+                if half and piece.nbytes > size:
+                    todo += [piece.slice(half), piece.slice(0, half)]
+                else:
+                    yield piece

@@ -40,7 +40,7 @@ from pyspark.sql.types import StructType
 from callspark.llm.common import ascii_lower, sliced, written
 
 #: Documents and bytes of text of a block at most; one longer document is a block by itself.
-DOCUMENTS, BYTES = 4096, 16 << 20
+DOCUMENTS, BYTES = 2048, 8 << 20
 #: Item terms that are searched for at once, and candidates that are halved at once.
 PACK, FRONT = 100_000, 256
 
@@ -48,7 +48,7 @@ WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 #: What a byte becomes before words are split at spaces: letters in lower case, digits and bytes of other alphabets as they are.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-_BITS = np.array([bin(i).count("1") for i in range(16)], np.int64)
+_BITS = np.array([bin(i).count("1") for i in range(16)], np.int32)
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -97,7 +97,8 @@ class Treap:
     def __init__(self, depth: int, children: np.ndarray, impact: np.ndarray):
         self.depth, self.children, self.impact = depth, children, impact
         # Cells stand by depth and in the order of their parents, so children follow each other.
-        self.first = np.cumsum(_BITS[children]) - _BITS[children]
+        held = _BITS[children]
+        self.first = np.cumsum(held, dtype=np.int32) - held
 
     @classmethod
     def built(cls, rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray) -> "Treap":
@@ -106,7 +107,7 @@ class Treap:
         wide = 1 << depth
         codes = (rows // wide).astype(np.uint64) << np.uint64(2 * depth) | _spread(rows % wide) << np.uint64(1) | _spread(columns)
         order = np.argsort(codes, kind="stable")
-        codes, impacts = codes[order], impacts[order].astype(np.int64)
+        codes, impacts = codes[order], impacts[order].astype(np.int32)
         levels = [(np.zeros(len(codes), np.uint8), impacts)]
         for _ in range(depth):
             parents = codes >> np.uint64(2)
@@ -120,7 +121,7 @@ class Treap:
 
     def _rooted(self, bands: int) -> "Treap":
         self.bands = bands
-        self.first = self.first + bands
+        self.first += bands
         return self
 
     def stored(self) -> tuple[int, int, bytes, bytes]:
@@ -134,7 +135,7 @@ class Treap:
     def loaded(cls, depth: int, bands: int, masks: bytes, below: bytes) -> "Treap":
         packed, differences = np.frombuffer(masks, np.uint8), np.frombuffer(below, np.int32)
         children = np.stack((packed & 15, packed >> 4), 1).ravel()[: len(differences)]
-        impact = differences.astype(np.int64)
+        impact = differences.copy()
         begin, end = 0, bands  # the cells of one depth after the other
         for _ in range(depth):
             held = _BITS[children[begin:end]]
@@ -250,27 +251,30 @@ def build(documents: DataFrame, scoring: Scoring = Scoring()) -> Index:
     source = _texts(documents)
     kind = source.schema["doc_id"].dataType.simpleString()
 
-    def block(ids: list, lists: list[list[bytes]], id_type: pa.DataType) -> pa.RecordBatch:
-        vocabulary: dict[bytes, int] = {}
-        rows = np.array([vocabulary.setdefault(t, len(vocabulary)) for found in lists for t in found], np.int64)
+    def block(ids: list, vocabulary: dict[bytes, int], lists: list[np.ndarray], id_type: pa.DataType) -> pa.RecordBatch:
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        points, tf = np.unique(rows * len(lists) + np.repeat(np.arange(len(lists)), sizes), return_counts=True)
-        rows, columns = points // len(lists), points % len(lists)
+        numbers = np.concatenate(lists).astype(np.int64) * len(lists) + np.repeat(np.arange(len(lists)), sizes)
+        points, tf = np.unique(numbers, return_counts=True)
+        # Terms of like frequency lie together: a cell's impact is that of all its rows.
+        df = np.bincount(points // len(lists), minlength=len(vocabulary))
+        order = np.argsort(-df, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        rows, columns = place[points // len(lists)], points % len(lists)
+        words = pa.array(list(vocabulary), pa.binary()).cast(pa.string()).take(pa.array(order))
         treap = Treap.built(rows, columns, scoring.impacts(tf, sizes[columns], some, total))
         depth, bands, masks, below = treap.stored()
-        df = np.bincount(rows, minlength=len(vocabulary))
         one = lambda values, kind: pa.array([values], pa.list_(kind))
         return pa.RecordBatch.from_arrays(
             [
-                one(ids, id_type), pa.ListArray.from_arrays([0, len(vocabulary)], pa.array(list(vocabulary), pa.binary()).cast(pa.string())),
-                one(df, pa.int32()), pa.array([depth], pa.int32()), pa.array([bands], pa.int32()),
+                one(ids, id_type), pa.ListArray.from_arrays([0, len(words)], words), one(df[order], pa.int32()), pa.array([depth], pa.int32()), pa.array([bands], pa.int32()),
                 pa.array([masks], pa.binary()), pa.array([below], pa.binary()),
             ],
             names=["ids", "terms", "df", "depth", "bands", "masks", "below"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, lists, held = [], [], 0
+        ids, vocabulary, lists, held = [], {}, [], 0
         id_type = pa.int64()
         for batch in sliced(batches):
             id_type = batch.schema.field(0).type
@@ -280,13 +284,13 @@ def build(documents: DataFrame, scoring: Scoring = Scoring()) -> Index:
                     continue
                 size = len(text.as_buffer())
                 if ids and (len(ids) == DOCUMENTS or held + size > BYTES):
-                    yield block(ids, lists, id_type)
-                    ids, lists, held = [], [], 0
+                    yield block(ids, vocabulary, lists, id_type)
+                    ids, vocabulary, lists, held = [], {}, [], 0
                 ids.append(doc_id)
-                lists.append(found)
+                lists.append(np.fromiter((vocabulary.setdefault(t, len(vocabulary)) for t in found), np.int32, len(found)))
                 held += size
         if ids:
-            yield block(ids, lists, id_type)
+            yield block(ids, vocabulary, lists, id_type)
 
     schema = f"ids array<{kind}>, terms array<string>, df array<int>, depth int, bands int, masks binary, below binary"
     return Index(written(source.mapInArrow(run, schema), "treaps"), some, total, scoring)
