@@ -40,7 +40,11 @@ PIECE, COUNTED = 1 << 20, 1 << 21
 #: Segments of the hash. A segment's part of the filter is made by one task.
 SEGMENT_BITS = 12
 #: Bytes of one broadcast, and of all that are with the workers in one pass over the texts.
-BROADCAST, PASS = 32 << 20, 192 << 20
+BROADCAST, PASS = 16 << 20, 192 << 20
+#: Bytes of text that are scored at once.
+SCORED = 2 << 20
+#: Counts of single words from here on are kept apart, so that all others take two bytes.
+MANY = (1 << 16) - 1
 
 _STEP = 0x9E3779B97F4A7C15
 _MULTIPLIER = np.uint64(_STEP)
@@ -57,7 +61,7 @@ class Settings:
 
     order: int = 2
     base: float = 1.5
-    bits: int = 12
+    bits: int = 10
     prior: float = 50.0
 
 
@@ -218,10 +222,11 @@ def segments(counted: DataFrame, settings: Settings) -> DataFrame:
             "segment": pa.array([int(keys[0] >> np.uint64(64 - SEGMENT_BITS))], pa.int32()),
             "words": pa.array([words.tobytes()], pa.binary()),
             "known": pa.array([keys[single].tobytes()], pa.binary()),
-            "times": pa.array([n[single].tobytes()], pa.binary()),
+            "times": pa.array([np.minimum(n[single], MANY).astype(np.uint16).tobytes()], pa.binary()),
+            "many": pa.array([n[single][n[single] >= MANY].tobytes()], pa.binary()),
             "n_tokens": pa.array([int(n[single].sum())], pa.int64()),
             "n_known": pa.array([int(single.sum())], pa.int64()),
-            "bytes": pa.array([words.nbytes + 16 * int(single.sum())], pa.int64()),
+            "bytes": pa.array([words.nbytes + 10 * int(single.sum())], pa.int64()),
         })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +249,7 @@ def segments(counted: DataFrame, settings: Settings) -> DataFrame:
             yield part(keys, n)
 
     return dealt.mapInArrow(
-        run, "segment int, words binary, known binary, times binary, n_tokens long, n_known long, bytes long"
+        run, "segment int, words binary, known binary, times binary, many binary, n_tokens long, n_known long, bytes long"
     )
 
 
@@ -283,7 +288,10 @@ class Filter:
         self.words = np.concatenate(parts)
         # Segments are ranges of keys in order, and keys are in order inside each.
         self.known = np.concatenate([np.frombuffer(r["known"], np.uint64) for r in rows])
-        self.times = np.concatenate([np.frombuffer(r["times"], np.int64) for r in rows])
+        self.times = np.concatenate([np.frombuffer(r["times"], np.uint16) for r in rows])
+        self.limit = MANY
+        self.many_at = np.flatnonzero(self.times == self.limit)
+        self.many = np.concatenate([np.frombuffer(r["many"], np.int64) for r in rows])
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key by asking for its entries one after the other; 0 for segments of other filters."""
@@ -304,7 +312,10 @@ class Filter:
         if not len(self.known):
             return np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
-        return np.where(self.known[at] == keys, self.times[at], 0)
+        times = self.times[at].astype(np.int64)
+        full = np.flatnonzero(times == self.limit)
+        times[full] = self.many[np.searchsorted(self.many_at, at[full])]
+        return np.where(self.known[at] == keys, times, 0)
 
 
 def probabilities(levels: np.ndarray, sizes: np.ndarray, model_tokens: int, distinct: int, settings: Settings) -> np.ndarray:
@@ -358,7 +369,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     def passed(source: DataFrame, sent: list, last: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher, filters = Hasher(), [b.value for b in sent]
-            for batch in sliced(batches):
+            for batch in sliced(batches, size=SCORED):
                 tokens, sizes = hasher.tokens(*_column(batch, 1))
                 begins = np.cumsum(sizes) - sizes
                 stored = b"".join(x for x in batch.column(2).to_pylist() if x is not None)

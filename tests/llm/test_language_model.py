@@ -74,6 +74,11 @@ def test_base_is_exact_and_score_near_exact_counts(spark, rows):
     compare(scored(spark, rows), plain(rows), 0.06)
 
 
+def test_counts_that_need_more_than_two_bytes(spark, rows, monkeypatch):
+    monkeypatch.setattr(lm, "MANY", 5)
+    compare(scored(spark, rows, lm.Settings(base=1.1, bits=24)), plain(rows), 0.02)
+
+
 def test_words_before_help_on_held_out_texts(spark, rows):
     held = [r for r in scored(spark, rows) if r.held_out]
     assert len(held) > 40 and sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
@@ -115,7 +120,7 @@ def test_filter_returns_levels():
     keys = np.unique(keys)
     levels = rng.geometric(0.5, len(keys))
     words = lm.filter_words(keys, levels, 12)
-    row = {"segment": 0, "words": words.tobytes(), "known": b"", "times": b""}
+    row = {"segment": 0, "words": words.tobytes(), "known": b"", "times": b"", "many": b""}
     asked = lm.Filter([row]).levels(keys)
     assert (asked >= levels).all() and (asked > levels).mean() < 0.05
     others = np.unique(rng.integers(1 << 51, 1 << 52, 20_000, dtype=np.uint64) | np.uint64(1))
