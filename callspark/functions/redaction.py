@@ -19,68 +19,84 @@ class Recognizer:
     """A pattern for one kind of personal data.
 
     ``gate`` is a cheap pattern without which ``regex`` cannot match; texts that lack it skip the
-    expensive one. ``linear`` has the same matches in a form for Java that neither recurses nor tries
-    the same characters again and again on long runs.
+    expensive one. ``trigger`` is such a pattern over the :func:`digest` of a text, which one scan
+    makes for all recognizers. ``linear`` has the same matches in a form for Java that neither
+    recurses nor tries the same characters again and again on long runs; if it ``leads``, its first
+    group is what stands before the match, and the second is the match.
     """
 
     entity: str
     regex: str
     score: float
     gate: str = r"\p{Nd}"
+    trigger: str | None = None
     linear: str | None = None
+    leads: bool = False
 
     @property
     def java(self) -> str:
         return f"(?iU){self.linear or self.regex}"
 
+    @property
+    def group(self) -> int:
+        return 2 if self.leads else 0
+
+    @property
+    def replacement(self) -> str:
+        return f"$1{tag(self)}" if self.leads else tag(self)
+
 
 # Entities, patterns and scores.
 RECOGNIZERS = (
     Recognizer("TITLE", r"\b(?:Mr\.|Mrs\.|Miss\b)", 1.0, "(?i)m[ri]"),
-    Recognizer("PHONE_NUMBER", r"\(?\b\d{3}\)?[-.]?\s?\d{3}[-.]?\s?\d{4}\b", 0.5),
+    Recognizer("PHONE_NUMBER", r"\(?\b\d{3}\)?[-.]?\s?\d{3}[-.]?\s?\d{4}\b", 0.5, trigger=r"\p{Nd}{3}[- ]{0,3}\p{Nd}{3}[- ]{0,2}\p{Nd}{4}"),
     Recognizer(
         "EMAIL_ADDRESS",
         r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
         0.5,
         "@",
-        # A start fails where an earlier one in the same run of characters failed: after marks behind
-        # a word, and after a word behind a mark, unless an address that ended here may have begun
-        # less than 1,000 characters ago.
-        r"\b(?<![A-Za-z0-9_][.%+\-]{1,64})(?!(?<=[^@]{1000})(?<=[.%+\-][A-Za-z0-9_]{1,64}))"
-        r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
+        "@",
+        # An address has to begin at the first word boundary of its run of characters: from there to
+        # the "@" all are taken, so if that start fails, so do all later ones. A run begins behind
+        # any other character or where the last match ended, and is looked at once.
+        r"(?:\G|(?<![A-Za-z0-9._%+-]))((?>\b|[.%+-]++\b|[A-Za-z0-9_]++\b))"
+        r"([A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b)",
+        leads=True,
     ),
-    Recognizer("ACCOUNT_NUMBER", r"\b\d{8,12}\b", 0.5),
+    Recognizer("ACCOUNT_NUMBER", r"\b\d{8,12}\b", 0.5, trigger=r"\p{Nd}{8}"),
     Recognizer(
         "DATE",
         r"\b(?:\d{1,2}[-/]\d{1,2}[-/]\d{2,4}|\d{2,4}[-/]\d{1,2}[-/]\d{1,2}"
         r"|\b(?:January|February|March|April|May|June|July|August|September|October|November|December)"
         r"\b\s\d{1,2},?\s\d{4})\b",
         0.5,
+        trigger=r"\p{Nd}[-/]\p{Nd}| \p{Nd}{1,2} \p{Nd}{4}",
     ),
     Recognizer(
         "ADDRESS",
         r"\b\d{1,5}\s([a-zA-Z\s]{1,})\b,?\s([a-zA-Z\s]{1,}),?\s([A-Z]{2}),?\s\d{5}\b",
         0.85,
+        trigger=r"\p{Nd} \p{Nd}{5}",
         # The look-ahead asks for letters, spaces and at most three commas up to five digits, before
         # all ways to cut a long run of words are tried.
         linear=r"\b\d{1,5}\s(?=(?:[a-zA-Z\s]++,?+){1,4}+\d{5}\b)"
         r"([a-zA-Z\s]{1,})\b,?\s([a-zA-Z\s]{1,}),?\s([A-Z]{2}),?\s\d{5}\b",
     ),
-    Recognizer("US_SSN", r"\b\d{3}-\d{2}-\d{4}\b", 0.85),
-    Recognizer("US_SSN_LAST4", r"\b\d{4}\b", 0.85),
-    Recognizer("DOLLAR_AMOUNT", r"\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6),
-    Recognizer("BILL_AMOUNT", r"\b(?:payment|bill|amount)\s?of\s?\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6),
+    Recognizer("US_SSN", r"\b\d{3}-\d{2}-\d{4}\b", 0.85, trigger=r"\p{Nd}{3}-\p{Nd}{2}-\p{Nd}{4}"),
+    Recognizer("US_SSN_LAST4", r"\b\d{4}\b", 0.85, trigger=r"\p{Nd}{4}"),
+    Recognizer("DOLLAR_AMOUNT", r"\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6, trigger=r"\$ ?\p{Nd}"),
+    Recognizer("BILL_AMOUNT", r"\b(?:payment|bill|amount)\s?of\s?\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6, trigger=r"\$ ?\p{Nd}"),
     Recognizer(
         "CONFIRMATION_NUMBER",
         r"confirmation\snumber\s(?:is\s)?((?:\d+|\w+)(?:,\s?(?:\d+|\w+))*)",
         0.9,
         "(?i)confirmation",
         # Items of different lengths in a plain repeated group would be matched by recursion.
-        r"confirmation\snumber\s(?:is\s)?((?:\d++|\w++)(?:,\s?+(?:\d++|\w++))*+)",
+        linear=r"confirmation\snumber\s(?:is\s)?((?:\d++|\w++)(?:,\s?+(?:\d++|\w++))*+)",
     ),
-    Recognizer("PASSPORT", r"\b[A-Z]{1,2}\d{7,8}\b", 0.85),
-    Recognizer("DRIVERS_LICENSE", r"\b[A-Z]{2}\d{7,8}\b|\bDL\s?\d{8,12}\b", 0.85),
-    Recognizer("TAX_ID", r"\bITIN\s?\d{9}\b|\bEIN\s?\d{9}\b", 0.85),
+    Recognizer("PASSPORT", r"\b[A-Z]{1,2}\d{7,8}\b", 0.85, trigger=r"\p{Nd}{7}"),
+    Recognizer("DRIVERS_LICENSE", r"\b[A-Z]{2}\d{7,8}\b|\bDL\s?\d{8,12}\b", 0.85, trigger=r"\p{Nd}{7}"),
+    Recognizer("TAX_ID", r"\bITIN\s?\d{9}\b|\bEIN\s?\d{9}\b", 0.85, trigger=r"\p{Nd}{9}"),
 )
 
 # Tag of an entity whose name differs from it.
@@ -96,8 +112,8 @@ PRIORITY = (
 
 #: Card numbers, IP addresses, bank accounts and links, off unless asked for.
 COMMON_RECOGNIZERS = (
-    Recognizer("CREDIT_CARD", r"\b\d{4}[- ]?\d{4}[- ]?\d{4}[- ]?\d{4}\b", 0.7),
-    Recognizer("IP_ADDRESS", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", 0.7),
+    Recognizer("CREDIT_CARD", r"\b\d{4}[- ]?\d{4}[- ]?\d{4}[- ]?\d{4}\b", 0.7, trigger=r"\p{Nd}{4}[- ]?\p{Nd}{4}"),
+    Recognizer("IP_ADDRESS", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", 0.7, trigger=r"\p{Nd} \p{Nd}{1,3} \p{Nd}{1,3} \p{Nd}"),
     Recognizer("IBAN_CODE", r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b", 0.7),
     Recognizer("URL", r"\bhttps?://[^\s<>\"]+", 0.7, "(?i)http"),
 )
@@ -147,38 +163,60 @@ def in_order(recognizers: Sequence[Recognizer]) -> list[Recognizer]:
     return sorted(recognizers, key=lambda r: PRIORITY.index(r.entity) if r.entity in PRIORITY else -1)
 
 
-def matches(text: Column | str, recognizer: Recognizer) -> Column:
-    """All matches of one recognizer, in the order of the text."""
+#: What the triggers look at; every run of other characters becomes one space.
+_BETWEEN = r"[^\p{Nd}@$/\-]++"
+
+
+def digest(text: Column | str) -> Column:
+    """A text without all that no trigger asks for: its digits, and the marks between them."""
+    return F.regexp_replace(column(text), _BETWEEN, " ")
+
+
+def _open(recognizer: Recognizer, text: Column, digested: Column | None) -> Column | None:
+    """Whether a recognizer can match at all; none if that can't be told."""
+    if recognizer.trigger and digested is not None:
+        return digested.contains(recognizer.trigger) if recognizer.trigger == "@" else digested.rlike(recognizer.trigger)
+    return text.rlike(recognizer.gate) if recognizer.gate else None
+
+
+def matches(text: Column | str, recognizer: Recognizer, digested: Column | None = None) -> Column:
+    """All matches of one recognizer, in the order of the text; ``digested`` is the text's digest, if it is at hand."""
     text = column(text)
-    found = F.regexp_extract_all(text, F.lit(recognizer.java), F.lit(0))
-    if not recognizer.gate:
-        return found
-    return F.when(text.rlike(recognizer.gate), found).otherwise(F.array().cast("array<string>"))
+    found = F.regexp_extract_all(text, F.lit(recognizer.java), F.lit(recognizer.group))
+    able = _open(recognizer, text, digested)
+    return found if able is None else F.when(able, found).otherwise(F.array().cast("array<string>"))
 
 
-def match_count(text: Column | str, recognizer: Recognizer) -> Column:
+def match_count(text: Column | str, recognizer: Recognizer, digested: Column | None = None) -> Column:
     """Number of matches of one recognizer."""
     text = column(text)
     found = F.regexp_count(text, F.lit(recognizer.java))
-    return found if not recognizer.gate else F.when(text.rlike(recognizer.gate), found).otherwise(0)
+    able = _open(recognizer, text, digested)
+    return found if able is None else F.when(able, found).otherwise(0)
 
 
 def replace_all(text: Column | str, recognizers: Sequence[Recognizer] = RECOGNIZERS) -> Column:
     """Each match replaced by its tag, recognizer by recognizer in the order of :data:`PRIORITY`.
 
-    This is the fast path: it stays in the JVM, and where patterns overlap the earlier one wins.
+    This is the fast path: it stays in the JVM, and where patterns overlap the earlier one wins. What
+    a recognizer needs is looked up in the digest of the text as it came; tags bring nothing a
+    trigger asks for.
     :func:`callspark.operators.redact.anonymize` settles overlaps by span instead.
     """
-    result = column(text)
-    for recognizer in in_order(recognizers):
-        result = _gated(result, recognizer.gate, lambda t, r=recognizer: F.regexp_replace(t, r.java, tag(r)))
-    return result
+    def chain(digested: Column) -> Column:
+        result = column(text)
+        for r in in_order(recognizers):
+            result = _changed(result, r, _open(r, column(text), digested))
+        return result
+
+    return let(digest(text), chain)
+
 
+def _changed(text: Column, recognizer: Recognizer, able: Column | None) -> Column:
+    def change(t: Column) -> Column:
+        return F.regexp_replace(t, recognizer.java, recognizer.replacement)
 
-def _gated(text: Column, gate: str, change: Callable[[Column], Column]) -> Column:
-    if not gate:
-        return change(text)
-    return let(text, lambda t: F.when(t.rlike(gate), change(t)).otherwise(t))
+    return change(text) if able is None else let(text, lambda t: F.when(able, change(t)).otherwise(t))
 
 
 def replace_joined(text: Column | str) -> Column:

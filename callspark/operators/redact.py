@@ -151,10 +151,11 @@ def quality(
         F.sum(token_count(original)).alias("tokens"),
         F.sum(F.regexp_count(redacted, F.lit(marks))).alias("marks"),
     ]
+    before, after = F.col("__before"), F.col("__after")
     for r in recognizers:
-        sums.append(F.sum(R.match_count(original, r)).alias(f"matches:{r.entity}"))
-        sums.append(F.sum(R.match_count(redacted, r)).alias(f"residual:{r.entity}"))
-    totals = df.agg(*sums)
+        sums.append(F.sum(R.match_count(original, r, before)).alias(f"matches:{r.entity}"))
+        sums.append(F.sum(R.match_count(redacted, r, after)).alias(f"residual:{r.entity}"))
+    totals = df.select(original, redacted, R.digest(original).alias("__before"), R.digest(redacted).alias("__after")).agg(*sums)
     before, after = (
         sum((F.col(f"`{kind}:{r.entity}`") for r in recognizers), F.lit(0)) for kind in ("matches", "residual")
     )
@@ -176,12 +177,13 @@ def consistency(
     or of none.
     """
     def entity_matches(r: R.Recognizer):
-        distinct = F.array_distinct(R.matches(original, r))
+        distinct = F.array_distinct(R.matches(original, r, F.col("__digest")))
         return F.transform(distinct, lambda m: F.struct(F.lit(r.entity).alias("entity"), m.alias("match")))
 
     found = F.concat(*[entity_matches(r) for r in recognizers])
     per_match = (
-        df.select(redacted, F.explode(found).alias("m"))
+        df.withColumn("__digest", R.digest(original))
+        .select(redacted, F.explode(found).alias("m"))
         .select("m.*", F.col(redacted).contains(F.col("m.match")).cast("int").alias("kept"))
         .groupBy("entity", "match")
         .agg(F.sum("kept").alias("kept"), F.count(F.lit(1)).alias("texts"))

@@ -119,10 +119,38 @@ def test_linear_variants_have_the_same_matches(spark, entity):
     parts = ["1234", "12", "5 ", "12345", " ", ",", ", ", "-", "_", ".", "..", "@", "%", "a", "abc", "x.com", ".x@y.org", "q@r.st.uv", "MA", "é",
              "confirmation number ", "main st", "Boston, MA 02134", "\n", "+1"]
     texts = [("".join(rng.choice(parts) for _ in range(rng.randrange(1, 18))),) for _ in range(5000)]
-    plain, linear = (F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in (f"(?iU){r.regex}", r.java))
+    plain, linear = F.regexp_extract_all("t", F.lit(f"(?iU){r.regex}"), F.lit(0)), F.regexp_extract_all("t", F.lit(r.java), F.lit(r.group))
     assert spark.createDataFrame(texts, "t string").filter(plain != linear).limit(3).collect() == []
 
 
+def test_addresses_behind_long_domains_and_runs(spark):
+    r = next(r for r in R.RECOGNIZERS if r.entity == "EMAIL_ADDRESS")
+    rng = random.Random(9)
+    texts = [f"{a}{'b' * n}{c}" for n in (1, 63, 64, 65, 999, 1000, 1001, 5000) for a in ("a@", "..a@", "é.a@", "éa@", "a.") for c in (".cc-ddd@e.ff", "@x.yy", ".cc@", ".c-d@e.ff.gg")]
+    texts += ["".join(rng.choice("ab.-%@é_ ") for _ in range(rng.randrange(40))) for _ in range(5000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_extract_all("t", F.lit(f"(?iU){r.regex}"), F.lit(0))
+    assert df.filter(R.matches("t", r) != plain).limit(3).collect() == []
+    assert df.filter(R.match_count("t", r) != F.size(plain)).limit(3).collect() == []
+    assert df.filter(R.replace_all("t", [r]) != F.regexp_replace("t", f"(?iU){r.regex}", "<EMAIL_ADDRESS>")).limit(3).collect() == []
+
+
+def test_digest_shuts_out_no_match(spark):
+    rng = random.Random(11)
+    parts = ["1", "12", "123", "1234", "12345678", " ", "-", ".", "/", "(", ")", ", ", "$", "@", "x.com", "AB", "March ", "DL", "EIN", "Main st", "PA ", "19101", "٣", "é", "\n", "amount of ", "a"]
+    texts = [("".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))),) for _ in range(6000)]
+    texts += [("(212) - 555-0187 1.2.3.4 4111-1111 1111-1111",), ("12 Long Street, Springfield, PA 19101",), ("March 3, 1999 on 3/4/99",), ("$ 7",), (None,)]
+    df = spark.createDataFrame(texts, "t string").withColumn("d", R.digest("t"))
+    for r in R.RECOGNIZERS + R.COMMON_RECOGNIZERS:
+        plain = F.regexp_extract_all("t", F.lit(f"(?iU){r.regex}"), F.lit(0))
+        assert df.filter(R.matches("t", r, F.col("d")) != plain).limit(3).collect() == [], r.entity
+    everything = R.RECOGNIZERS + R.COMMON_RECOGNIZERS
+    one_by_one = F.col("t")
+    for r in R.in_order(everything):
+        one_by_one = F.regexp_replace(one_by_one, f"(?iU){r.regex}", R.tag(r))
+    assert df.filter(R.replace_all("t", everything) != one_by_one).limit(3).collect() == []
+
+
 def test_redaction_is_idempotent(texts):
     once = texts.select("id", R.redact_text("text").alias("text"))
     assert column(once, R.redact_text("text")) == column(once, F.col("text"))
