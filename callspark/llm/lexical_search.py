@@ -124,23 +124,31 @@ class Treap:
         self.first += bands
         return self
 
-    def stored(self) -> tuple[int, int, bytes, bytes]:
-        """Depth, bands, child masks two to a byte, and impacts as differences to the cell around."""
+    def stored(self) -> tuple[int, int, bytes, bytes, bytes]:
+        """Depth, bands, child masks two to a byte, and impacts as differences to the cell around.
+
+        At least one cell in each has no difference to it, most of those with a single cell inside; a
+        bit for each cell tells them, and the other differences follow each other.
+        """
         above = np.repeat(self.impact, _BITS[self.children])
         below = np.concatenate((self.impact[: self.bands], above - self.impact[self.bands :])).astype(np.int32)
         masks = np.append(self.children, np.zeros(len(self.children) & 1, np.uint8))
-        return self.depth, self.bands, (masks[::2] | masks[1::2] << 4).tobytes(), below.tobytes()
+        return self.depth, self.bands, (masks[::2] | masks[1::2] << 4).tobytes(), np.packbits(below != 0).tobytes(), below[below != 0].tobytes()
 
     @classmethod
-    def loaded(cls, depth: int, bands: int, masks: bytes, below: bytes) -> "Treap":
-        packed, differences = np.frombuffer(masks, np.uint8), np.frombuffer(below, np.int32)
-        children = np.stack((packed & 15, packed >> 4), 1).ravel()[: len(differences)]
-        impact = differences.copy()
+    def loaded(cls, depth: int, bands: int, masks: bytes, differ: bytes, differences: bytes) -> "Treap":
+        packed = np.frombuffer(masks, np.uint8)
+        children = np.stack((packed & 15, packed >> 4), 1).ravel()
+        cells = bands + int(_BITS[children].sum())  # each is a root or the child of another
+        children = children[:cells]
+        below = np.zeros(cells, np.int32)
+        below[np.unpackbits(np.frombuffer(differ, np.uint8), count=cells).view(bool)] = np.frombuffer(differences, np.int32)
+        impact = below.copy()
         begin, end = 0, bands  # the cells of one depth after the other
         for _ in range(depth):
             held = _BITS[children[begin:end]]
             following = end + int(held.sum())
-            impact[end:following] = np.repeat(impact[begin:end], held) - differences[end:following]
+            impact[end:following] = np.repeat(impact[begin:end], held) - below[end:following]
             begin, end = end, following
         return cls(depth, children, impact)._rooted(bands)
 
@@ -263,14 +271,14 @@ def build(documents: DataFrame, scoring: Scoring = Scoring()) -> Index:
         rows, columns = place[points // len(lists)], points % len(lists)
         words = pa.array(list(vocabulary), pa.binary()).cast(pa.string()).take(pa.array(order))
         treap = Treap.built(rows, columns, scoring.impacts(tf, sizes[columns], some, total))
-        depth, bands, masks, below = treap.stored()
+        depth, bands, *parts = treap.stored()
         one = lambda values, kind: pa.array([values], pa.list_(kind))
         return pa.RecordBatch.from_arrays(
             [
                 one(ids, id_type), pa.ListArray.from_arrays([0, len(words)], words), one(df[order], pa.int32()), pa.array([depth], pa.int32()), pa.array([bands], pa.int32()),
-                pa.array([masks], pa.binary()), pa.array([below], pa.binary()),
+                *(pa.array([x], pa.binary()) for x in parts),
             ],
-            names=["ids", "terms", "df", "depth", "bands", "masks", "below"],
+            names=["ids", "terms", "df", "depth", "bands", "masks", "differ", "differences"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +300,7 @@ def build(documents: DataFrame, scoring: Scoring = Scoring()) -> Index:
         if ids:
             yield block(ids, vocabulary, lists, id_type)
 
-    schema = f"ids array<{kind}>, terms array<string>, df array<int>, depth int, bands int, masks binary, below binary"
+    schema = f"ids array<{kind}>, terms array<string>, df array<int>, depth int, bands int, masks binary, differ binary, differences binary"
     return Index(written(source.mapInArrow(run, schema), "treaps"), some, total, scoring)
 
 
@@ -324,7 +332,7 @@ def search(index: Index, items: DataFrame, k: int = 20, pack: int = PACK) -> Dat
             best = {key: Best(k) for key in items_of_pack.value}
             for batch in batches:
                 for i in range(batch.num_rows):
-                    ids, words, _, *stored = (batch.column(c)[i].as_py() for c in range(7))
+                    ids, words, _, *stored = (batch.column(c)[i].as_py() for c in range(8))
                     place = {w: at for at, w in enumerate(words)}
                     treap = Treap.loaded(*stored)
                     for key, weights in items_of_pack.value.items():
