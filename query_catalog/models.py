@@ -144,7 +144,7 @@ _TOP = f"""{_VECTORS}, top AS (
 @query(f"""WITH {_TOP.format('0.0')} SELECT file_path, position, topic_num, topic, round(cos_sim, 6) AS cos_sim,
     CAST(rank AS INT) AS rank FROM top""")
 def topic_candidates(spark, d):
-    return _rounded(topics.top_candidates(topics.match(_sentences(spark, d), _topics(spark, d), 0.0)))
+    return _rounded(topics.best_matches(_sentences(spark, d), _topics(spark, d), 0.0))
 
 
 _ASSIGN = """best AS (SELECT file_path, topic_num, topic, max(cos_sim) AS c FROM top GROUP BY ALL), named AS (
@@ -160,7 +160,7 @@ def _split(df):
 @query(f"WITH {_TOP.format('0.2')}, calls AS (SELECT DISTINCT file_path FROM vectors), {_ASSIGN}")
 def topic_assignment(spark, d):
     sentences = _sentences(spark, d)
-    candidates = topics.top_candidates(topics.match(sentences, _topics(spark, d), 0.2))
+    candidates = topics.best_matches(sentences, _topics(spark, d), 0.2)
     return _split(topics.assign(candidates, sentences.select("file_path").distinct()))
 
 
@@ -201,6 +201,17 @@ def topic_match_by_words(spark, d):
     return _rounded(topics.match_words(sentences, _taxonomy(spark, d), 0.3))
 
 
+@query(f"""WITH {_BAGS} SELECT file_path, CAST(position AS INT) AS position, topic_num, topic,
+        round(cos_sim, 6) AS cos_sim FROM pairs WHERE cos_sim > 0.3""")
+def topic_match_by_indexed_words(spark, d):
+    from callspark.functions.text import sentences_by_stop
+
+    sentences = _merged(spark, d).select(
+        "file_path", F.posexplode(sentences_by_stop("transcription")).alias("position", "sentence")
+    )
+    return _rounded(topics.match_words(sentences, _taxonomy(spark, d), 0.3, max_words=0))
+
+
 @query(f"""WITH {_BAGS}, top AS (
         SELECT * FROM pairs WHERE cos_sim > 0.4
         QUALIFY row_number() OVER (PARTITION BY file_path ORDER BY round(cos_sim, 9) DESC, position, topic_num) <= 10),
