@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from callspark.functions.text import merge_segments
-from callspark.operators import evaluate, infer, insights, sentiment, summarize, topics
+from callspark.operators import evaluate, infer, insights, levels, sentiment, summarize, topics
 from callspark.operators.transcripts import with_counts
 from query_catalog import views as v
 
@@ -299,6 +299,12 @@ def summaries_of_chunks(spark, d):
 
 @query(_tree_sql(200, 64, 80, 10))
 def summary_tree(spark, d):
+    made = levels.tree(_documents(spark, d), levels.TextPredictor, "doc_id", "text", 200, (64, 80, 10), batch_size=200)
+    return made.select("doc_id", "summary")
+
+
+@query(_tree_sql(200, 64, 80, 10))
+def summary_tree_in_rows(spark, d):
     return summarize.tree(_documents(spark, d), "text", max_tokens=200, chunk=(64, 80, 10)).select("doc_id", "summary")
 
 
