@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callspark.llm.common import small_batches, written
+from callspark.llm.common import sliced, written
 from callspark.llm.components import components
 
 WORDS = 5
@@ -45,6 +45,10 @@ LEAF, SMALL, TREE = 32, 32, 2048
 #: Rounds in which each set is compared with a few others before trees are searched, one in the first
 #: and this many in the others. Fewer rounds only leave more to the trees.
 ROUNDS, SPEAKERS = 5, 4
+#: Names before each of a set's names by which two sets are known to have met already.
+EARLIER = 8
+#: Pairs of a set and a name that a task looks at together.
+CHUNK = 1 << 18
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -142,7 +146,7 @@ def sets(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shingles(x.as_py()) for x in batch.column(2)]
             sigs = [signature(x) for x in found]
             yield pa.RecordBatch.from_arrays(
@@ -162,13 +166,28 @@ def sets(documents: DataFrame) -> DataFrame:
 
 
 def named(documents: DataFrame) -> DataFrame:
-    """(name, short) of every set; a set that a task meets again gives no more rows."""
+    """(name, short, kind) of every set; a set that a task meets again gives no more rows.
+
+    ``kind`` tells what is known of the name from the sets a task has looked at together: 0 that this
+    is the only one of them, 1 that there are others and this is the first, 2 that this is one of them.
+    """
+
+    def flush(shorts: list[int], lists: list[np.ndarray]) -> pa.RecordBatch:
+        name = np.concatenate(lists)
+        short = np.repeat(np.array(shorts, np.int64), np.fromiter(map(len, lists), np.int64, len(lists)))
+        order = np.argsort(name, kind="stable")
+        name, short = name[order], short[order]
+        head = np.ones(len(name), bool)
+        head[1:] = name[1:] != name[:-1]
+        alone = head & np.append(head[1:], True)
+        kind = np.where(alone, 0, np.where(head, 1, 2)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(short), pa.array(kind)], names=["name", "short", "kind"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         shingles = Shingler()
-        for batch in batches:
-            shorts, lists = [], []
+        shorts, lists, size = [], [], 0
+        for batch in sliced(batches):
             for value in batch.column(0):
                 found = shingles(value.as_py())
                 if len(found) < 4:
@@ -177,16 +196,30 @@ def named(documents: DataFrame) -> DataFrame:
                 if short not in seen:
                     seen.add(short)
                     shorts.append(short)
-                    lists.append(names(found).view(np.int64))
-            sizes = np.fromiter(map(len, lists), np.int32, len(lists))
-            offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32))).astype(np.int32)
-            flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shorts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["short", "names"]
-            )
+                    lists.append(np.unique(names(found)).view(np.int64))
+                    size += len(lists[-1])
+            if size >= CHUNK:
+                yield flush(shorts, lists)
+                shorts, lists, size = [], [], 0
+        if size:
+            yield flush(shorts, lists)
+
+    return documents.select(documents["text"].alias("text")).mapInArrow(run, "name long, short long, kind int")
 
-    rows = documents.select(documents["text"].alias("text")).mapInArrow(run, "short long, names array<long>")
-    return rows.select(F.explode("names").alias("name"), "short")
+
+def shared_names(documents: DataFrame) -> DataFrame:
+    """(name, short), each once, of the names that more than one set has.
+
+    A name that several sets of one task have is known to be shared. Of these sets only the first takes
+    part in finding out whether other tasks have it, so a name brings a row per task and no more to
+    one place, and the other rows are dealt by themselves.
+    """
+    place = F.when(F.col("kind") == 2, F.xxhash64("short")).otherwise(F.lit(0).cast("long"))
+    same = Window.partitionBy("name", "place")
+    met = named(documents).withColumn("place", place).withColumns(
+        {"low": F.min("short").over(same), "high": F.max("short").over(same), "known": F.max("kind").over(same)}
+    )
+    return met.filter((F.col("low") < F.col("high")) | (F.col("known") > 0)).select("name", "short").distinct()
 
 
 # --- pairs ---------------------------------------------------------------------------------------
@@ -206,7 +239,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, last, kept = Shingler(), None, np.empty(0, np.uint64)
-        for batch in batches:
+        for batch in sliced(batches):
             linked = []
             for text_a, text_b, b in zip(batch.column("text_a"), batch.column("text_b"), batch.column("b").to_pylist(), strict=True):
                 if b != last:  # neighbours often share their pivot
@@ -285,8 +318,13 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side:
     return np.sort(pairs, 1)
 
 
-def name_pairs(group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Pairs of rows as :func:`tree_pairs` gives them for each run of equal ``group``; few rows need no tree."""
+def name_pairs(
+    group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray, earlier: np.ndarray | None = None
+) -> np.ndarray:
+    """Pairs of rows as :func:`tree_pairs` gives them for each run of equal ``group``; few rows need no tree.
+
+    Rows that share one of their ``earlier`` names have met under it and are left out.
+    """
     largest = points.max(initial=0)
     points = points.astype(np.uint8 if largest < 2**8 else np.uint16 if largest < 2**16 else np.int64)
     starts = np.concatenate(([0], np.flatnonzero(group[1:] != group[:-1]) + 1))
@@ -299,43 +337,90 @@ def name_pairs(group: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels:
             apart = _apart(labels, side, a, b)
             a, b = a[apart], b[apart]
             fit = _fits(points, sizes, a, b)
-            found.append(np.stack((a[fit], b[fit]), 1))
+            found.append(_first_met(np.stack((a[fit], b[fit]), 1), earlier))
     for first, m in zip(starts[counts > SMALL], counts[counts > SMALL], strict=True):
         rows = slice(first, first + m)
-        found.append(tree_pairs(points[rows], sizes[rows], labels[rows], side[rows]) + first)
+        found.append(_first_met(tree_pairs(points[rows], sizes[rows], labels[rows], side[rows]) + first, earlier))
     return np.concatenate(found) if found else np.empty((0, 2), np.int64)
 
 
-def _searched(members: DataFrame) -> DataFrame:
-    """Pairs (a, b, la, lb) of sets that a name brings together from different components and the bound lets pass.
+def _first_met(pairs: np.ndarray, earlier: np.ndarray | None) -> np.ndarray:
+    """The pairs of rows whose earlier names, 0 where there are fewer, have none in common."""
+    if earlier is None or not len(pairs):
+        return pairs
+    kept = []
+    for part in np.array_split(pairs, max(1, len(pairs) >> 15)):
+        a, b = earlier[part[:, 0]], earlier[part[:, 1]]
+        kept.append(part[~((a[:, :, None] == b[:, None, :]) & (a != 0)[:, :, None]).any((1, 2))])
+    return np.concatenate(kept)
+
 
-    ``members``: name, short, label, n, point. Names with more than ``TREE`` rows are dealt into
-    chunks, and each tree holds two of them.
+def _with_earlier(members: DataFrame) -> DataFrame:
+    """Members with up to ``EARLIER`` names of the same set that come before, in the order of the names.
+
+    Two sets meet under every name they share. If they share one of the last names before it, they have
+    met there, or at one still earlier, and the first of all has no such name.
     """
-    counts = members.groupBy("name").agg(F.ceil(F.count(F.lit(1)) / TREE).cast("int").alias("chunks"))
-    dealt = members.join(counts, "name").withColumn("chunk", F.pmod(F.xxhash64("short"), F.col("chunks")).cast("int"))
+    before = Window.partitionBy("short").orderBy("name").rowsBetween(-EARLIER, -1)
+    return members.withColumn("earlier", F.collect_list("name").over(before))
+
+
+def _spread_out(members: DataFrame) -> DataFrame:
+    """Members dealt to trees: tree, side and their columns.
+
+    A name with more than ``TREE`` rows is first cut by size: bands in which sizes differ by a
+    factor of 5/4 at most meet themselves and the next, others can't be linked. What is still larger is dealt
+    into chunks, and each tree holds two of them.
+    """
+    counts = members.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.25))).cast("int")
+    bands = F.when(F.col("rows") > TREE, F.array(F.struct(band.alias("band"), F.lit(0).alias("upper")), F.struct((band - 1).alias("band"), F.lit(1).alias("upper"))))
+    whole = F.array(F.struct(F.lit(0).alias("band"), F.lit(0).alias("upper")))
+    cut = members.join(counts, "name").withColumn("part", F.explode(F.coalesce(bands, whole))).select(
+        F.xxhash64("name", "part.band").alias("group"), F.col("part.upper").alias("upper"), "rows", "short", "label", "n", "point", "earlier"
+    )
+    chunks = cut.filter(F.col("rows") > TREE).groupBy("group").agg(F.ceil(F.count(F.lit(1)) / TREE).cast("int").alias("chunks"))
+    dealt = cut.join(chunks, "group", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn(
+        "chunk", F.pmod(F.xxhash64("short"), F.col("chunks")).cast("int")
+    )
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    spread = dealt.select("name", "short", "label", "n", "point", "chunk", "chunks", other).select(
-        F.xxhash64("name", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tree"),
-        F.when(F.col("chunk") < F.col("other"), 1).when(F.col("chunk") > F.col("other"), 2).otherwise(0).cast("long").alias("side"),
-        "short", "label", "n", "point",
+    return dealt.select("group", "upper", "short", "label", "n", "point", "earlier", "chunk", other).select(
+        F.xxhash64("group", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tree"),
+        F.when(F.col("chunk") < F.col("other"), 1).when(F.col("chunk") > F.col("other"), 2).otherwise(F.col("upper")).cast("long").alias("side"),
+        "short", "label", "n", "point", "earlier",
     )
-    sorted_ = spread.repartition("tree").sortWithinPartitions("tree", "short")
+
+
+def _searched(members: DataFrame) -> DataFrame:
+    """Pairs (a, b, la, lb) of sets that a name brings together from different components and the bound lets pass.
+
+    ``members``: name, short, label, n, point. A pair that shares many names leaves the tree of the
+    first, so the pairs that go out are about as many as the different ones.
+    """
+    sorted_ = _spread_out(_with_earlier(members)).repartition("tree").sortWithinPartitions("tree", "short")
 
     def search(rows: list[np.ndarray]) -> pa.RecordBatch:
-        tree, side, short, label, n, points = rows
-        at = name_pairs(tree, points, n, label, side)
+        tree, side, short, label, n, points, earlier = rows
+        at = name_pairs(tree, points, n, label, side, earlier)
         pairs = np.concatenate((short[at], label[at]), 1)
         swapped = pairs[:, 0] > pairs[:, 1]
         pairs[swapped] = pairs[swapped][:, [1, 0, 3, 2]]
         pairs = np.unique(pairs, axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(4)], names=["a", "b", "la", "lb"])
 
+    def padded(lists: pa.ListArray) -> np.ndarray:
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        out = np.zeros((len(lists), EARLIER), np.int64)
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[np.repeat(np.arange(len(lists)), sizes), at] = lists.flatten().to_numpy(zero_copy_only=False)
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in batches:
+        for batch in sliced(batches, 4000):
             rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
             rows.append(batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, GROUPS))
+            rows.append(padded(batch.column(6)))
             if held:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
             last = int(np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))[-1])  # the unfinished tree
@@ -384,8 +469,6 @@ def _joined(members: DataFrame, step: DataFrame) -> DataFrame:
 
 def _linked(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, text_hash, n_shingles, component_id, and the component's label (null without words), as ids may repeat."""
-    spark = documents.sparkSession
-    small_batches(spark)
     every = written(sets(documents), "sets")
     classes = written(
         every.filter("n > 0").groupBy("sig").agg(
@@ -395,10 +478,7 @@ def _linked(documents: DataFrame) -> DataFrame:
         "classes",
     )
 
-    # Names that more than one set has.
-    same = Window.partitionBy("name")
-    met = named(documents).withColumns({"low": F.min("short").over(same), "high": F.max("short").over(same)})
-    shared = written(met.filter("low < high").select("name", "short"), "shared-names", let_go=True)
+    shared = written(shared_names(documents), "shared-names", let_go=True)
 
     # Texts of one document of each set that has company.
     wanted = shared.select("short").distinct().join(classes, "short").select(
@@ -423,9 +503,7 @@ def _linked(documents: DataFrame) -> DataFrame:
             break
 
     # Then trees, where a name still joins different components.
-    small_batches(spark, 4000)
     pairs = written(_searched(members.join(classes.select("short", "n", "point"), "short")), "further-pairs", let_go=True)
-    small_batches(spark)
     links = written(verified(pairs, texts), "further-links")
     steps.append(components(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
 

@@ -3,7 +3,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from tests_support import docs, edges, prose  # noqa: F401
+from pyspark.sql import functions as F
+from tests_support import docs, edges, frame, prose  # noqa: F401
 
 from callspark.llm import jaccard_join
 from callspark.llm.components import components
@@ -167,3 +168,55 @@ def test_one_of_each_with_null_and_repeated_ids(docs):
     # Two unrelated texts of id 1 stay, one of the near copies of id 3, and the text of id 4 stands for its copy without an id.
     assert Counter(d for d, _ in got.elements()) == Counter({1: 2, 3: 1, 4: 1, None: 1})
     assert got[1, one] == got[1, two] == got[None, "a b c d e f"] == 1
+
+
+def test_names_of_a_task_and_of_others(spark, monkeypatch):
+    """A name is shared if two sets have it, in one task or in two; each row comes once."""
+    from collections import defaultdict
+
+    from callspark.llm import jaccard_join as jj
+
+    rng = random.Random(8)
+    texts = [prose(rng, rng.randrange(5, 40), 30) for _ in range(60)]
+    texts += texts[:20] + [" ".join(t.split()[:-1]) for t in texts[:30]] + ["", None, "a b"]
+    holders = defaultdict(set)
+    for t in texts:
+        found = Shingler()(t)
+        if len(found) >= 4:
+            for n in names(found).view(np.int64).tolist():
+                holders[n].add(int.from_bytes(jj.signature(found)[:8], "big", signed=True))
+    want = sorted((n, s) for n, sets in holders.items() if len(sets) > 1 for s in sets)
+    table = frame(spark, list(enumerate(texts)))
+    assert want
+    for parts, chunk in ((1, 1 << 18), (1, 40), (16, 1 << 18)):
+        monkeypatch.setattr(jj, "CHUNK", chunk)
+        assert sorted(map(tuple, jj.shared_names(table.repartition(parts)).collect())) == want
+
+
+def test_pairs_leave_the_trees_once(spark, monkeypatch):
+    """Sets that share many names are given out under the first; large names are cut by size and dealt."""
+    from callspark.llm import jaccard_join as jj
+
+    rng = random.Random(6)
+    base = prose(rng, 150, 400).split()
+    texts = []
+    for i in range(70):  # a family in which many pairs are just under the threshold
+        words = list(base[: 120 + i % 30])
+        for at in rng.sample(range(len(words)), 2):
+            words[at] = f"x{i}{at}"
+        texts.append(" ".join(words))
+    table = frame(spark, list(enumerate(texts)))
+    rows = jj.sets(table).collect()
+    place = {r.short: i for i, r in enumerate(rows)}
+    points, sizes = np.array([r.point for r in rows]), np.array([r.n for r in rows])
+    a, b = np.triu_indices(len(rows), 1)
+    members = jj.shared_names(table).join(jj.sets(table).select("short", "n", "point"), "short").withColumn("label", F.col("short"))
+    met = {(min(p), max(p)) for p in (
+        (place[x], place[y]) for s in members.groupBy("name").agg(F.collect_set("short").alias("s")).collect() for x in s.s for y in s.s if x < y
+    )}
+    want = {(i, j) for i, j in zip(a[jj._fits(points, sizes, a, b)].tolist(), b[jj._fits(points, sizes, a, b)].tolist(), strict=True) if (i, j) in met}
+    assert len(want) > 300
+    for tree in (2048, 16):
+        monkeypatch.setattr(jj, "TREE", tree)
+        got = [tuple(sorted((place[r.a], place[r.b]))) for r in jj._searched(members).collect()]
+        assert set(got) == want and len(got) == len(want)
