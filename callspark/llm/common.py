@@ -55,13 +55,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bounds the rows of an Arrow batch, and with it the memory of a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(rows))
-
-
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of few rows and bytes, which bounds what a Python function makes of one piece.
 

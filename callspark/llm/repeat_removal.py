@@ -13,8 +13,12 @@ into order to the depth of ``LENGTH`` bytes, by a hash of that depth, and again
 keeps its string. Suffix order beyond that depth is never needed and never made.
 
 Each task first settles what repeats among its own documents, so that a phrase of a third of the
-corpus reaches its group once per chunk of text. Bytes are compared by 64-bit hashes. Ids are integers; rows that repeat an id repeat its text. Rows without an id
-have no order and stay whole, and nothing is removed for them.
+corpus reaches its group once per chunk of text. Bytes are compared by 64-bit hashes.
+
+Documents go by a number: their order is that of the ids, whatever their type, and different texts of
+one id have numbers that differ in the last bits only, which comparisons leave out. So a text never
+loses bytes to another text of its own id, and rows with equal id and text are treated alike. Rows
+without an id have no order and stay whole, and nothing is removed for them.
 """
 
 from __future__ import annotations
@@ -25,9 +29,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-from callspark.llm.common import small_batches, written
+from callspark.llm.common import sliced, written
+from callspark.operators.report import numbered as numbered_rows
 
 #: Bytes of a string that counts as a repeat, and of a trigger.
 LENGTH, TRIGGER = 50, 16
@@ -110,14 +116,14 @@ class Parser:
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def _settled(keys: tuple[np.ndarray, ...], docs: np.ndarray) -> np.ndarray:
-    """Which rows have an equal key in a lesser document among these rows."""
+def _settled(keys: tuple[np.ndarray, ...], docs: np.ndarray, shift: int) -> np.ndarray:
+    """Which rows have an equal key in a document of a lesser id among these rows."""
     order = np.lexsort((docs, *keys))
     new = np.ones(len(docs), bool)
     new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
     least = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
     out = np.empty(len(docs), bool)
-    out[order] = docs[order] > least
+    out[order] = docs[order] >> shift > least >> shift
     return out
 
 
@@ -125,25 +131,48 @@ def _longs(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in columns], names=names)
 
 
-def parsed(documents: DataFrame) -> DataFrame:
-    """The parse: trigger, phrase, doc_id, place (256 * first string + number of strings).
+def numbered(documents: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, number, data) of every row, and how many last bits of a number tell texts of one id apart.
+
+    Numbers are in the order of ids, null where there is no id. Integer ids that have one text each are
+    their own numbers. Otherwise the different pairs of id and hash of the text are sorted in ranges and
+    counted through.
+    """
+    rows = documents.select(documents["doc_id"].alias("doc_id"), F.coalesce(documents["text"], F.lit("")).cast("binary").alias("data"))
+    whole = isinstance(rows.schema["doc_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    pairs = rows.filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64("data").alias("hash"))
+    if whole:
+        texts = pairs.groupBy("doc_id").agg((F.min("hash") < F.max("hash")).alias("several"))
+        if texts.filter("several").isEmpty():
+            return rows.select("doc_id", F.col("doc_id").cast("long").alias("number"), "data"), 0
+    placed = written(numbered_rows(pairs.distinct(), ["doc_id", "hash"]), "numbers")
+    first = placed.groupBy("doc_id").agg(F.min("row_no").alias("first"), F.count(F.lit(1)).alias("texts"))
+    shift = int((first.agg(F.max("texts")).first()[0] or 1) - 1).bit_length()
+    number = F.shiftleft("first", shift) + F.col("row_no") - F.col("first")
+    numbers = placed.join(first, "doc_id").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), number.alias("number"))
+    joined = rows.join(numbers, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("data") == F.col("__hash")), "left")
+    return written(joined.select("doc_id", "number", "data"), "numbered"), shift
+
+
+def parsed(rows: DataFrame, shift: int = 0) -> DataFrame:
+    """The parse of numbered rows: trigger, phrase, number, place (256 * first string + number of strings).
 
     A phrase that a lesser document of the same task has is settled: it has the complement of its
     place, and a number of its own for a trigger, so that many of them do not meet.
     """
-    names = ["trigger", "phrase", "doc_id", "place"]
+    names = ["trigger", "phrase", "number", "place"]
 
     def flush(found: list[tuple]) -> pa.RecordBatch:
         trigger, phrase, first, count = (np.concatenate([f[i] for f in found]) for i in range(4))
         docs = np.concatenate([np.full(len(f[0]), f[4], np.int64) for f in found])
-        done = _settled((phrase, trigger), docs)
+        done = _settled((phrase, trigger), docs, shift)
         place = (first << 8) | count
         trigger = np.where(done, _mixed(docs.view(np.uint64) + place.astype(np.uint64)), trigger)
         return _longs(trigger, phrase, docs, np.where(done, ~place, place), names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser, found, size = Parser(), [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = text.as_py()
                 found += [(*phrases, doc) for phrases in parser.phrases(data)]
@@ -154,24 +183,18 @@ def parsed(documents: DataFrame) -> DataFrame:
         if found:
             yield flush(found)
 
-    long_enough = _with_bytes(documents).filter(F.octet_length("data") >= LENGTH)
+    long_enough = rows.filter(F.col("number").isNotNull() & (F.octet_length("data") >= LENGTH)).select("number", "data")
     return long_enough.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def _with_bytes(documents: DataFrame) -> DataFrame:
-    """Id and bytes of the rows that have an id."""
-    rows = documents.filter(documents["doc_id"].isNotNull())
-    return rows.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"].cast("binary").alias("data"))
-
-
-def looked_up(parse: DataFrame) -> DataFrame:
-    """Rows (doc_id, first, count, open) that are repeats (open null) or may hold some (open true).
+def looked_up(parse: DataFrame, shift: int = 0) -> DataFrame:
+    """Rows (number, first, count, open) that are repeats (open null) or may hold some (open true).
 
     The second kind are phrases of the least document that share their trigger and a half context
     with another phrase.
     """
-    sorted_ = parse.repartition("trigger").sortWithinPartitions("trigger", "phrase", "doc_id")
-    names = ["doc_id", "first", "count", "open"]
+    sorted_ = parse.repartition("trigger").sortWithinPartitions("trigger", "phrase", "number")
+    names = ["number", "first", "count", "open"]
 
     def shared(groups: np.ndarray, context: np.ndarray, heads: np.ndarray) -> np.ndarray:
         """Rows whose context another phrase of the trigger has as well; heads: first row of each phrase."""
@@ -190,7 +213,7 @@ def looked_up(parse: DataFrame) -> DataFrame:
         goes_on = state.get("trigger") == trigger[0]
         if goes_on and state["phrase"] == phrase[0]:
             least[np.cumsum(heads) == 1] = state["least"]
-        repeat = doc > least
+        repeat = doc >> shift > least >> shift
         groups = np.cumsum(starts) - 1
         mixed = np.bincount(groups, heads)[groups] > 1
         bits = phrase.view(np.uint64)
@@ -239,25 +262,25 @@ def looked_up(parse: DataFrame) -> DataFrame:
         if held:
             yield settle([np.concatenate([h[i] for h in held]) for i in range(4)], state, False)
 
-    return sorted_.mapInArrow(run, "doc_id long, first long, count long, open boolean")
+    return sorted_.mapInArrow(run, "number long, first long, count long, open boolean")
 
 
-def repeated_strings(documents: DataFrame, open_phrases: DataFrame) -> DataFrame:
-    """(doc_id, first, count) of the strings of open phrases that a lesser document has."""
-    wanted = open_phrases.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("phrases"))
-    rows = _with_bytes(documents).join(wanted, "doc_id").select("doc_id", "data", "phrases")
-    names = ["string", "doc_id", "start"]
+def repeated_strings(numbered_: DataFrame, open_phrases: DataFrame, shift: int = 0) -> DataFrame:
+    """(number, first, count) of the strings of open phrases that a document of a lesser id has."""
+    wanted = open_phrases.groupBy("number").agg(F.collect_list(F.struct("first", "count")).alias("phrases"))
+    rows = numbered_.join(wanted, "number").select("number", "data", "phrases")
+    names = ["string", "number", "start"]
 
     def flush(found: list[tuple]) -> pa.RecordBatch:
         string, start = (np.concatenate([f[i] for f in found]) for i in range(2))
         docs = np.concatenate([np.full(len(f[0]), f[2], np.int64) for f in found])
-        done = _settled((string,), docs)
+        done = _settled((string,), docs, shift)
         string = np.where(done, _mixed(docs.view(np.uint64) + start.astype(np.uint64)), string)
         return _longs(string, docs, np.where(done, ~start, start), names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser, found, size = Parser(), [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, data, phrases in zip(*(batch.column(i) for i in range(3)), strict=True):
                 first = phrases.values.field("first").to_numpy(zero_copy_only=False)
                 counts = phrases.values.field("count").to_numpy(zero_copy_only=False)
@@ -285,25 +308,24 @@ def repeated_strings(documents: DataFrame, open_phrases: DataFrame) -> DataFrame
                 least = doc[heads][runs]
                 if string[0] == last:
                     least[runs == 0] = least_of_last
-                repeated.append(doc[doc > least])
-                first.append(start[doc > least])
+                repeat = doc >> shift > least >> shift
+                repeated.append(doc[repeat])
+                first.append(start[repeat])
                 last, least_of_last = string[-1], least[-1]
             out, at = np.concatenate(repeated), np.concatenate(first)
-            yield _longs(out, at, np.ones(len(out), np.int64), names=["doc_id", "first", "count"])
+            yield _longs(out, at, np.ones(len(out), np.int64), names=["number", "first", "count"])
 
     strings = rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
-    sorted_ = strings.repartition("string").sortWithinPartitions("string", "doc_id")
-    return sorted_.mapInArrow(settle, "doc_id long, first long, count long")
+    sorted_ = strings.repartition("string").sortWithinPartitions("string", "number")
+    return sorted_.mapInArrow(settle, "number long, first long, count long")
 
 
-def spans(documents: DataFrame) -> DataFrame:
-    """Per document with repeats: doc_id and the runs of strings (first, count) that a lesser document has."""
-    small_batches(documents.sparkSession, 2000)
-    found = written(looked_up(parsed(documents)), "phrases", let_go=True)
-    strings = written(repeated_strings(documents, found.filter("open")), "strings", let_go=True)
-    rows = found.filter("open IS NULL").select("doc_id", "first", "count").unionByName(strings)
-    small_batches(documents.sparkSession)
-    return rows.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+def spans(rows: DataFrame, shift: int = 0) -> DataFrame:
+    """Per numbered row with repeats: number and the runs of strings (first, count) that a lesser id has."""
+    found = written(looked_up(parsed(rows, shift), shift), "phrases", let_go=True)
+    strings = written(repeated_strings(rows, found.filter("open"), shift), "strings", let_go=True)
+    every = found.filter("open IS NULL").select("number", "first", "count").unionByName(strings)
+    return every.groupBy("number").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
 
 
 def kept_bytes(text: bytes, first: np.ndarray, count: np.ndarray, length: int = LENGTH) -> tuple[bytes, int, int]:
@@ -327,14 +349,13 @@ def report(documents: DataFrame) -> DataFrame:
 
     One row per input row; other columns are left out. Null and empty texts have no bytes.
     """
-    runs = spans(documents).withColumnRenamed("doc_id", "__id")
-    text = F.coalesce(documents["text"], F.lit("")).cast("binary")
-    rows = documents.select(documents["doc_id"].alias("doc_id"), text.alias("data"))
+    rows, shift = numbered(documents)
     kind = dict(rows.dtypes)["doc_id"]
-    joined = rows.join(runs, rows["doc_id"].cast("long") == F.col("__id"), "left")
+    runs = spans(rows, shift).withColumnRenamed("number", "__number")
+    joined = rows.join(runs, F.col("number") == F.col("__number"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for value, found in zip(batch.column(1), batch.column(2), strict=True):
                 data = value.as_py()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callspark.llm.common import small_batches, written
+from callspark.llm.common import sliced, written
 
 #: Groups of identity terms; a term is swapped for the next one of its group.
 IDENTITY_TERMS = (
@@ -78,10 +78,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 class Model:
-    """Weights by feature number. One that has not seen both classes, ``rejects`` false, scores but rejects nothing."""
+    """Weights by feature number. One that has not seen both classes has a bias of minus infinity: every score is 0."""
 
-    def __init__(self, bias: float, weights: dict[int, float], rejects: bool = True):
-        self.bias, self.weights, self.rejects = bias, weights, rejects
+    def __init__(self, bias: float, weights: dict[int, float]):
+        self.bias, self.weights = bias, weights
 
     def score(self, words: set[bytes]) -> float:
         weights = self.weights
@@ -90,7 +90,10 @@ class Model:
 
 
 def _sample(documents: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """A bounded, repeatable sample of the labelled rows that may be learned from: id, text, label, rows of its class per sampled row."""
+    """A bounded, repeatable sample of the labelled rows that may be learned from: id, text, label, rows of its class per sampled row.
+
+    An id is one row however often it comes; of its texts that of the least hash is taken.
+    """
     known = labels.select(labels["doc_id"].alias("__id"), labels["toxic"].alias("__toxic")).filter(
         F.col("__id").isNotNull() & F.col("__toxic").isin(0, 1) & ~held_out(F.col("__id"))
     )
@@ -104,7 +107,9 @@ def _sample(documents: DataFrame, labels: DataFrame, settings: Settings) -> Data
     drawn = draw(1, settings.sample_positive).unionByName(draw(0, settings.sample_negative))
     # Bounded by the two sample sizes: 24 bytes for each drawn id.
     texts = documents.select(documents["doc_id"].alias("__id"), documents["text"].alias("__text"))
-    return texts.join(F.broadcast(drawn), "__id").select("__id", "__text", "__toxic", "__weight")
+    found = texts.join(F.broadcast(drawn), "__id").groupBy("__id", "__toxic", "__weight")
+    one = found.agg(F.min(F.struct(F.xxhash64("__text").alias("h"), F.col("__text").alias("t"))).alias("__one"))
+    return one.select("__id", F.col("__one.t").alias("__text"), "__toxic", "__weight")
 
 
 def _featured(sample: DataFrame, settings: Settings) -> DataFrame:
@@ -112,7 +117,7 @@ def _featured(sample: DataFrame, settings: Settings) -> DataFrame:
     swaps = _swaps(settings.identity_terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             own, swapped = [], []
             for value in batch.column(1):
                 words = words_of(value.as_py())
@@ -159,17 +164,15 @@ def _chosen(featured: DataFrame, settings: Settings) -> list[int]:
 
 
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    """Learns from at most the sampled rows; without both classes or any feature the model is the share of ones and rejects nothing."""
-    small_batches(documents.sparkSession)
+    """Learns from at most the sampled rows; without both classes there is nothing to tell them by, and every score is 0."""
     featured = written(_featured(_sample(documents, labels, settings), settings), "toxicity-sample")
     chosen = _chosen(featured, settings)
     if not chosen:
-        ones, rows = featured.agg(F.sum(F.col("toxic") * F.col("weight")), F.sum("weight")).first()
-        return Model(math.log(((ones or 0) + 0.5) / ((rows or 0) - (ones or 0) + 0.5)), {}, rejects=False)
+        return Model(-math.inf, {})
     column = {f: i for i, f in enumerate(chosen)}
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             lists = [
                 pa.array([None if v is None else [column[f] for f in v if f in column] for v in batch.column(i).to_pylist()], pa.list_(pa.int32()))
                 for i in (3, 4)
@@ -251,30 +254,26 @@ def score(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
 
     One row per input row, also for nulls, empty texts and repeated ids; other columns are left out.
     """
-    small_batches(documents.sparkSession)
     source = documents.select(documents[doc_id].alias("doc_id"), documents[text].alias("text"))
     kind = dict(source.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             scores = [model.score(words_of(v.as_py())) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     scored = source.mapInArrow(run, f"doc_id {kind}, score double")
-    rejected = (F.col("score") >= threshold) & F.lit(model.rejects)
+    rejected = F.col("score") >= threshold
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", rejected.cast("int").alias("predicted"))
 
 
 def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows whose text scores under the threshold, with the columns they came with; all rows if the model rejects nothing."""
-    if not model.rejects:
-        return documents
-    small_batches(documents.sparkSession)
+    """The rows whose text scores under the threshold, with the columns they came with."""
     place = documents.columns.index("text")
     schema = documents.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array([model.score(words_of(v.as_py())) < threshold for v in batch.column(place)], pa.bool_()))
 
     return documents.mapInArrow(run, schema)

@@ -55,6 +55,24 @@ def test_equals_brute_force(docs, rows):
     assert got == brute(rows)
 
 
+def test_an_id_with_several_texts(docs, rows):
+    """A text loses what lesser ids have, and nothing to other texts of its own id."""
+    rng = random.Random(47)
+    base = prose(rng, 90, 50_000)
+    more = [(1, base[:400]), (5, base[:401]), (5, base[300:366]), (5, base[:401]), (4, base[350:]), (6, base), (6, base[100:] + base), (None, base), (-3, base[-60:])]
+    for every in (more, more + rows + [(i % 7 + 100, t) for i, (_, t, *_) in enumerate(rows[:60])]):
+        assert Counter(tuple(r) for r in repeat_removal.report(docs(every)).collect()) == brute(every)
+
+
+def test_ids_that_are_no_integers(spark):
+    rng = random.Random(53)
+    base = prose(rng, 60, 50_000)
+    rows = [("b", base), ("a", base[20:200]), ("10", base[100:]), ("9", base[:150]), (None, base), ("b", base[:90]), ("a", base[20:200])]
+    found = repeat_removal.report(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert Counter(tuple(r) for r in found.collect()) == brute(rows)
+    assert repeat_removal.report(spark.createDataFrame([], "doc_id string, text string")).collect() == []
+
+
 def test_a_text_of_several_pieces(docs, monkeypatch):
     rng = random.Random(43)
     long = prose(rng, 150_000, 10**6)  # over a million bytes

@@ -77,7 +77,7 @@ def test_edges(spark, docs, edges):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.fit(docs(edges), none)
     got = toxicity.score(docs(edges), model).collect()
-    assert len(got) == len(edges) and all(r["score"] == 0.5 for r in got)
+    assert len(got) == len(edges) and all(r["score"] == 0.0 and r["predicted"] == 0 for r in got)
     strange = spark.createDataFrame([(1, 1, None), (None, 1, 1), (4, 0, 1), (4, 0, 1), (99, 1, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
     toxicity.score(docs(edges), toxicity.fit(docs(edges), strange)).collect()
     assert toxicity.score(docs(edges).limit(0), model).collect() == []
@@ -136,4 +136,53 @@ def test_without_both_classes_nothing_is_rejected(spark, docs, edges, tmp_path):
         left = corpus_pipeline.toxic_documents(spark, documents, f"{tmp_path}/{k}")
         assert left.columns == documents.columns and sorted(map(str, left.collect())) == sorted(map(str, documents.collect()))
         model = toxicity.fit(documents, spark.read.parquet(f"{tmp_path}/{k}/labels.parquet"))
-        assert [r["predicted"] for r in toxicity.score(documents, model).collect()] == [0] * len(edges)
+        assert [(r["score"], r["predicted"]) for r in toxicity.score(documents, model).collect()] == [(0.0, 0)] * len(edges)
+
+
+def test_an_id_is_learned_from_once(spark, docs):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(9))) for i in range(60)]
+    many = rows + [(8, f"again {i % 40}") for i in range(10_000)]
+    labels = spark.createDataFrame([(i, 1, i % 4 // 2) for i in range(60)] * 3, "doc_id long, quality int, toxic int")
+    sampled = toxicity._sample(docs(many), labels, Settings()).collect()
+    assert len(sampled) == len({r["__id"] for r in sampled}) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(60))
+    again = toxicity._sample(docs(many[::-1]).repartition(7), labels, Settings()).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, sampled))
+
+
+def test_predicted_follows_the_score(spark, docs, edges):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 9)], "doc_id long, quality int, toxic int")
+    for r in toxicity.score(docs(edges), toxicity.fit(docs(edges), labels)).collect():
+        assert r["predicted"] == int(r["score"] >= 0.3)
+
+
+def plain_training(rows, width, settings, steps=200_000):
+    """The same loss, by small plain steps on dense matrices."""
+    x, y = np.zeros((len(rows), width)), np.array([r[0] for r in rows], float)
+    change = []
+    for i, (_, own, swapped) in enumerate(rows):
+        x[i, own] = 1
+        if swapped is not None:
+            d = np.zeros(width)
+            d[swapped] += 1
+            d[own] -= 1
+            change.append(d)
+    change = np.array(change)
+    w, bias, step = np.zeros(width), 0.0, 0.05
+    for _ in range(steps):
+        error = (1 / (1 + np.exp(-(x @ w + bias))) - y) / len(rows)
+        g = x.T @ error + 2 * settings.fairness * change.T @ (change @ w) / len(change)
+        w, bias = w - step * g, bias - step * error.sum()
+        w = np.sign(w) * np.maximum(np.abs(w) - step * settings.sparsity, 0)
+    return bias, w
+
+
+def test_training_equals_plain_steps():
+    rng = random.Random(1)
+    rows = []
+    for i in range(80):
+        own = sorted(rng.sample(range(12), 4))
+        rows.append((int(0 in own or rng.random() < 0.2), own, sorted({(f + 1) % 12 if f > 8 else f for f in own}) if i % 3 == 0 else None))
+    settings = Settings(fairness=0.5, sparsity=5e-3, rounds=4000)
+    (bias, w), (plain_bias, plain_w) = train(rows, 12, settings), plain_training(rows, 12, settings)
+    assert abs(bias - plain_bias) < 0.002 and np.abs(w - plain_w).max() < 0.002
