@@ -71,10 +71,13 @@ def _same(a: str, b: str, *columns: str) -> Column:
     return reduce(Column.__and__, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns])
 
 
-def _blocks(rows: DataFrame, key: str, at_once: int) -> list[DataFrame]:
-    """A table of distinct keys cut by hash into pieces of about ``at_once`` rows, each small enough to be sent."""
+def _blocks(rows: DataFrame, at_once: int) -> list[DataFrame]:
+    """A table cut by a hash of its rows into pieces of about ``at_once`` rows, each small enough to be sent.
+
+    Rows with the same term may be in different pieces.
+    """
     n = max(1, -(-rows.count() // at_once))
-    return [F.broadcast(rows if n == 1 else rows.filter(F.pmod(F.col(key), F.lit(n)) == i)) for i in range(n)]
+    return [F.broadcast(rows if n == 1 else rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(n)) == i)) for i in range(n)]
 
 
 def build(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", at_once: int = TERMS_AT_ONCE) -> Index:
@@ -88,16 +91,16 @@ def build(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
         F.posexplode(F.concat(words(documents[text]), F.array(F.lit(None).cast("string")))).alias("pos", "word"),
     ).select(F.when(F.col("word").isNull(), F.lit(_END)).otherwise(term(F.col("word"))).alias("term"), "doc_id", "text_hash", "pos")
     ends = vocabulary.sparkSession.range(1).select(F.lit(_END).cast("long").alias("term"))
-    parts = [tokens.join(block, "term") for block in _blocks(vocabulary.unionByName(ends), "term", at_once)]
+    parts = [tokens.join(block, "term") for block in _blocks(vocabulary.unionByName(ends), at_once)]
     postings = written(reduce(DataFrame.unionByName, parts), "postings")
     counts = written(postings.filter(F.col("term") != _END).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
     return Index(postings, counts)
 
 
 def rarest_pairs(index: Index, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """For every window of an item its two rarest terms and their places: item_id, item_hash, o1, t1, o2, t2.
+    """For every window of an item its two rarest terms and their places: item_id, item_hash, o1, t1, o2, t2, low, high.
 
-    A window with a term that no document has can't occur and is left out. An item of fewer words
+    Windows with the same two places are one row; the first of them starts at ``low``, the last at ``high``. A window with a term that no document has can't occur and is left out. An item of fewer words
     is one window.
     """
     placed = test_words(items).select(*ITEM, F.size("item_words").alias("n"), F.posexplode("item_words").alias("o", "w"))
@@ -111,63 +114,82 @@ def rarest_pairs(index: Index, items: DataFrame, window: int = WINDOW) -> DataFr
     first, second = F.get("t", F.lit(0)), F.coalesce(F.get("t", F.lit(1)), F.get("t", F.lit(0)))
     return (
         ranked.filter(first["df"] > 0)
-        .select(*ITEM, first["o"].alias("o1"), first["term"].alias("t1"), second["o"].alias("o2"), second["term"].alias("t2"))
-        .distinct()
+        .groupBy(*ITEM, first["o"].alias("o1"), first["term"].alias("t1"), second["o"].alias("o2"), second["term"].alias("t2"))
+        .agg(F.min("s").alias("low"), F.max("s").alias("high"))
     )
 
 
 def _lists(index: Index, anchors: DataFrame, at_once: int = TERMS_AT_ONCE) -> DataFrame:
     """Postings of the anchors (term, item_id, item_hash, ...), from the index."""
-    parts = [index.postings.join(block, "term") for block in _blocks(anchors, "term", at_once)]
+    parts = [index.postings.join(block, "term") for block in _blocks(anchors, at_once)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def candidates(index: Index, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_hash, item_id, item_hash, shift) where the two rarest terms of a window stand as in the item."""
+    """(doc_id, text_hash, item_id, item_hash, shift, low, high) where the two rarest terms of a window stand as in the item.
+
+    ``low`` and ``high`` are the first and the last start of the windows in question.
+    """
     pairs = written(rarest_pairs(index, items, window), "rarest-pairs")
-    first = _lists(index, pairs.select(F.col("t1").alias("term"), *ITEM, "o1", "o2")).select(
-        "doc_id", "text_hash", *ITEM, (F.col("pos") - F.col("o1")).alias("shift"), "o2"
+    first = _lists(index, pairs.select(F.col("t1").alias("term"), *ITEM, "o1", "o2", "low", "high")).select(
+        "doc_id", "text_hash", *ITEM, (F.col("pos") - F.col("o1")).alias("shift"), "o2", "low", "high"
     )
     second = _lists(index, pairs.select(F.col("t2").alias("term"), *ITEM, "o2").distinct()).select(
         "doc_id", "text_hash", *ITEM, (F.col("pos") - F.col("o2")).alias("shift"), "o2"
     )
     same = _same("a", "b", "doc_id", "text_hash", *ITEM, "shift", "o2")
     met = first.alias("a").join(second.alias("b"), same, "left_semi")
-    return met.select("doc_id", "text_hash", *ITEM, "shift").distinct()
+    return met.groupBy("doc_id", "text_hash", *ITEM, "shift").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def phrase_matches(index: Index, documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Every word of a document inside an occurrence of a window of an item: doc_id, text_hash, item_id, pos."""
-    found = written(candidates(index, items, window), "candidates")
-    with_words = found.alias("f").join(test_words(items).alias("i"), _same("f", "i", *ITEM)).select("f.*", "item_words")
+    """Every word of a document inside an occurrence of a window of an item: doc_id, text_hash, item_id, pos.
+
+    The candidates of a document come together first, at most one for each item and shift, so that its
+    text is cut into words once; then only the words of the windows in question are compared.
+    """
+    found = written(candidates(index, items, window), "candidates").groupBy("doc_id", "text_hash", *ITEM).agg(
+        F.collect_list(F.struct("shift", "low", "high")).alias("places")
+    )
+    with_words = found.alias("f").join(test_words(items).alias("i"), _same("f", "i", *ITEM))
+    of_document = with_words.groupBy("f.doc_id", "f.text_hash").agg(
+        F.collect_list(F.struct("f.item_id", "places", "item_words")).alias("items")
+    )
     texts = documents.select(
         documents["doc_id"].alias("__id"), documents["text"].alias("__text"), fingerprint(documents["text"]).alias("__hash")
     )
-    grouped = texts.join(
-        with_words, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash"))
-    ).select("doc_id", "text_hash", "item_id", "shift", "item_words", words(F.col("__text")).alias("doc_words"))
-    n = F.size("item_words")
-    length = F.least(F.lit(window), n)
-    state = F.aggregate(
-        F.sequence(F.lit(0), n - 1),
-        F.struct(F.lit(0).alias("run"), F.array().cast("array<int>").alias("ends")),
-        lambda s, i: _extended(s, i, length),
-        lambda s: s["ends"],
-    )
-    ends = grouped.select("doc_id", "text_hash", "item_id", "shift", length.cast("int").alias("length"), F.explode(state).alias("end"))
-    return ends.select(
-        "doc_id", "text_hash", "item_id",
-        F.explode(F.sequence(F.col("shift") + F.col("end") - F.col("length") + 1, F.col("shift") + F.col("end"))).alias("pos"),
-    ).distinct()
+    met = texts.join(of_document, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash")))
+
+    def hits(doc_words: Column) -> Column:
+        return F.transform("items", lambda it: F.struct(it["item_id"].alias("item_id"), _hit(doc_words, it, window).alias("pos")))
+
+    each = met.select("doc_id", "text_hash", F.explode(F.element_at(F.transform(F.array(words(F.col("__text"))), hits), 1)).alias("hit"))
+    return each.select("doc_id", "text_hash", F.col("hit.item_id").alias("item_id"), F.explode("hit.pos").alias("pos")).distinct()
+
+
+def _hit(doc_words: Column, item: Column, window: int) -> Column:
+    """Places of a document's words that lie in an occurrence of a window of an item, each once."""
+    length = F.least(F.lit(window), F.size(item["item_words"]))
+
+    def starts(place: Column) -> Column:
+        """Starts in the document of the windows that occur at a shift."""
+        return F.aggregate(
+            F.sequence(place["low"], place["high"] + length - 1),
+            F.struct(F.lit(0).alias("run"), F.array().cast("array<int>").alias("starts")),
+            lambda s, i: _extended(s, i, place["shift"] + i, doc_words, item["item_words"], length),
+            lambda s: s["starts"],
+        )
+
+    found = F.array_distinct(F.flatten(F.transform(item["places"], starts)))
+    return F.array_distinct(F.flatten(F.transform(found, lambda at: F.sequence(at, at + length - 1))))
 
 
-def _extended(state: Column, i: Column, length: Column) -> Column:
-    """Length of the run of equal words up to place i of the item, and the ends of full windows."""
-    at = F.col("shift") + i
-    same = (at >= 0) & (F.get(F.col("doc_words"), at) == F.get(F.col("item_words"), i))
+def _extended(state: Column, i: Column, at: Column, doc_words: Column, item_words: Column, length: Column) -> Column:
+    """Length of the run of equal words up to place i of the item, and the starts of full windows in the document."""
+    same = (at >= 0) & (F.get(doc_words, at) == F.get(item_words, i))
     run = F.when(F.coalesce(same, F.lit(False)), state["run"] + 1).otherwise(F.lit(0))
-    ends = F.when(run >= length, F.array_append(state["ends"], i)).otherwise(state["ends"])
-    return F.struct(run.alias("run"), ends.alias("ends"))
+    starts = F.when(run >= length, F.array_append(state["starts"], at - length + 1)).otherwise(state["starts"])
+    return F.struct(run.alias("run"), starts.alias("starts"))
 
 
 def report(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

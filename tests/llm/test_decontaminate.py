@@ -116,3 +116,27 @@ def test_proximity_of_items_with_null_and_repeated_ids(spark, docs):
     rows = [(1, "rare x gem common"), (None, "gem rare common"), (2, "blue and red")]
     near = decontaminate.proximity_matches(decontaminate.build(docs(rows), items), items, 3, 10)
     assert {(r["item_id"], r["doc_id"]) for r in near.collect()} == {(None, 1), (None, None), (1, 2)}
+
+
+def test_repetitive_texts_are_linear(spark, docs):
+    """A very long text of one word, and of two in turn: shifts are many, the text is cut once."""
+    import time
+
+    same, turns = "so " * 100_000, "to and " * 50_000
+    items = spark.createDataFrame([(1, "so " * 20), (2, "to and " * 10), (3, "to and so " * 7), (4, "so so")], "item_id long, text string")
+    begin = time.time()
+    rows = {r["doc_id"]: r for r in decontaminate.report(docs([(1, same), (2, turns), (3, "x " + "so " * 9), (4, "to so " * 20)]), items).collect()}
+    assert time.time() - begin < 40  # with all the small jobs before; the comparison itself takes a few seconds
+    assert [(rows[i]["n_words"], rows[i]["n_hit"], rows[i]["n_items"]) for i in (1, 2, 3, 4)] == [(100_000, 100_000, 2), (100_000, 100_000, 1), (10, 9, 1), (40, 0, 0)]
+
+
+def test_blocks_split_a_term_of_many_windows(spark, docs):
+    items = spark.createDataFrame([(i, "so be it " * 4 + f"w{i}") for i in range(60)], "item_id long, text string")
+    table = docs([(1, "so be it " * 30), (2, "so be it " * 3 + "w7"), (3, "nothing")])
+    index = decontaminate.build(table, items)
+    whole = sorted(map(tuple, decontaminate.phrase_matches(index, table, items).collect()))
+    from unittest import mock
+
+    plain = decontaminate._lists
+    with mock.patch.object(decontaminate, "_lists", lambda index, anchors: plain(index, anchors, 50)):
+        assert sorted(map(tuple, decontaminate.phrase_matches(index, table, items).collect())) == whole
