@@ -94,10 +94,15 @@ class Shingler:
 
 
 def signature(found: np.ndarray) -> bytes:
-    """16 bytes that stand for a set; its first 8 are the short number of the set."""
+    """16 bytes that stand for a set."""
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
+def short_of(sig: bytes) -> int:
+    """The short number of a set: the first 8 bytes, less two bits that are left to the passes over names."""
+    return int.from_bytes(sig[:8], "big", signed=True) & ~3
+
+
 def point(found: np.ndarray) -> np.ndarray:
     return np.bincount((found >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
@@ -154,7 +159,7 @@ def sets(documents: DataFrame) -> DataFrame:
                     batch.column(0),
                     batch.column(1),
                     pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([int.from_bytes(s[:8], "big", signed=True) for s in sigs], pa.int64()),
+                    pa.array([short_of(s) for s in sigs], pa.int64()),
                     pa.array(sigs, pa.binary()),
                     pa.array([point(x) for x in found], pa.list_(pa.int32())),
                 ],
@@ -166,9 +171,9 @@ def sets(documents: DataFrame) -> DataFrame:
 
 
 def named(documents: DataFrame) -> DataFrame:
-    """(name, short, kind) of every set; a set that a task meets again gives no more rows.
+    """(name, short) of every set, the last two bits of ``short`` its kind; a set that a task meets again gives no more rows.
 
-    ``kind`` tells what is known of the name from the sets a task has looked at together: 0 that this
+    The kind tells what is known of the name from the sets a task has looked at together: 0 that this
     is the only one of them, 1 that there are others and this is the first, 2 that this is one of them.
     """
 
@@ -180,8 +185,8 @@ def named(documents: DataFrame) -> DataFrame:
         head = np.ones(len(name), bool)
         head[1:] = name[1:] != name[:-1]
         alone = head & np.append(head[1:], True)
-        kind = np.where(alone, 0, np.where(head, 1, 2)).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(short), pa.array(kind)], names=["name", "short", "kind"])
+        kind = np.where(alone, 0, np.where(head, 1, 2))
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(short | kind)], names=["name", "short"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -192,7 +197,7 @@ def named(documents: DataFrame) -> DataFrame:
                 found = shingles(value.as_py())
                 if len(found) < 4:
                     continue
-                short = int.from_bytes(signature(found)[:8], "big", signed=True)
+                short = short_of(signature(found))
                 if short not in seen:
                     seen.add(short)
                     shorts.append(short)
@@ -204,22 +209,29 @@ def named(documents: DataFrame) -> DataFrame:
         if size:
             yield flush(shorts, lists)
 
-    return documents.select(documents["text"].alias("text")).mapInArrow(run, "name long, short long, kind int")
+    return documents.select(documents["text"].alias("text")).mapInArrow(run, "name long, short long")
 
 
 def shared_names(documents: DataFrame) -> DataFrame:
-    """(name, short), each once, of the names that more than one set has.
+    """(name, short) of the names that more than one set has.
 
     A name that several sets of one task have is known to be shared. Of these sets only the first takes
     part in finding out whether other tasks have it, so a name brings a row per task and no more to
-    one place, and the other rows are dealt by themselves.
+    one place; the others go by a name of their own, from which theirs is won back. A row may come twice, if
+    its set was the first in one task only.
     """
-    place = F.when(F.col("kind") == 2, F.xxhash64("short")).otherwise(F.lit(0).cast("long"))
-    same = Window.partitionBy("name", "place")
-    met = named(documents).withColumn("place", place).withColumns(
-        {"low": F.min("short").over(same), "high": F.max("short").over(same), "known": F.max("kind").over(same)}
-    )
-    return met.filter((F.col("low") < F.col("high")) | (F.col("known") > 0)).select("name", "short").distinct()
+    kind, short = F.col("short").bitwiseAND(3), F.col("short").bitwiseAND(~3)
+    own = F.xxhash64(short)
+    dealt = named(documents).select(F.when(kind == 2, F.col("name").bitwiseXOR(own)).otherwise(F.col("name")).alias("place"), "short")
+    same, ordered = Window.partitionBy("place"), Window.partitionBy("place").orderBy("short")
+    met = dealt.select(
+        "place", short.alias("short"), kind.alias("kind"), F.lag(short).over(ordered).alias("before"),
+        F.min(short).over(same).alias("low"), F.max(short).over(same).alias("high"), F.max(kind).over(same).alias("known"),
+    )
+    known = (F.col("low") < F.col("high")) | (F.col("known") > 0)
+    again = F.coalesce(F.col("before") == F.col("short"), F.lit(False))
+    name = F.when(F.col("kind") == 2, F.col("place").bitwiseXOR(F.xxhash64("short"))).otherwise(F.col("place"))
+    return met.filter(known & ~again).select(name.alias("name"), "short")
 
 
 # --- pairs ---------------------------------------------------------------------------------------
