@@ -277,6 +277,21 @@ def mask_words(text: Column | str, words: Column | str) -> Column:
     return F.when(F.size(words) > 0, F.aggregate(words, column(text), mask)).otherwise(column(text))
 
 
+_WORD = r"(?U)\w+"
+
+
+def words(text: Column | str) -> Column:
+    """The words of a text in their order, with repeats."""
+    return F.regexp_extract_all(column(text), F.lit(_WORD), F.lit(0))
+
+
+def mask_flagged(text: Column | str, own: Column | str, flags: Column | str) -> Column:
+    """A text with stars for those of its :func:`words` whose flag is set; the work does not grow with the number of names."""
+    shown = F.zip_with(own, flags, lambda w, hit: F.when(hit, F.repeat(F.lit("*"), F.length(w))).otherwise(w))
+    gaps = F.split(column(text), _WORD, -1)
+    return F.array_join(F.zip_with(gaps, shown, lambda gap, word: F.concat(gap, F.coalesce(word, F.lit("")))), "")
+
+
 def redact_text(text: Column | str, recognizers: Sequence[Recognizer] = RECOGNIZERS) -> Column:
     """Pattern replacement followed by the sequence rules."""
     return sequence_rules(replace_all(text, recognizers))

@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from callspark.functions import redaction as R
 from callspark.operators.skew import lookup_join
 
+#: A list of up to this many names is sent to the tasks whole (some 100 MB there).
+MAX_NAMES = 1_000_000
+
+
 def find(df: DataFrame, text: str, recognizer: R.Recognizer) -> DataFrame:
     """One row per match of a recognizer: the columns of ``df`` but the text, number, match."""
     others = [c for c in df.columns if c != text]
@@ -116,18 +120,27 @@ def anonymize(
 
 def mask_listed(
     df: DataFrame, key: str, text: str, names: DataFrame, name: str = "name", into: str = "masked",
-    rows_per_task: int | None = None,
+    rows_per_task: int | None = None, max_names: int = MAX_NAMES,
 ) -> DataFrame:
     """Masks the words of a text that are in a table of names of any size.
 
-    The distinct words of each text are joined to the names, and come back as one short list per
-    text. ``key`` identifies a text.
+    A list whose size has been checked, at most ``max_names`` names and 32 letters for each, goes to the
+    tasks as a set, and each row looks up its own words: nothing is shuffled. With a longer list the distinct words of each
+    text are joined to the names, and come back as one short list per text. ``key`` identifies a text.
     """
-    words = df.select(
-        key,
-        F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0)))).alias(name),
-    )
-    listed = lookup_join(words, names.select(name).distinct(), [name], "left_semi", rows_per_task=rows_per_task)
+    listed = names.select(name).filter(F.col(name).isNotNull()).distinct()
+    size = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(name)), F.lit(0))).first()
+    if size[0] <= max_names and size[1] <= 32 * max_names:
+        known = df.sparkSession.sparkContext.broadcast({r[0] for r in listed.collect()})
+
+        @F.pandas_udf(T.ArrayType(T.BooleanType()))
+        def found(lists: pd.Series) -> pd.Series:
+            return lists.map(lambda own: None if own is None else [w in known.value for w in own])
+
+        flagged = df.withColumn("__words", R.words(text)).withColumn("__flags", found("__words"))
+        return flagged.withColumn(into, R.mask_flagged(text, "__words", "__flags")).drop("__words", "__flags")
+    words = F.array_distinct(R.words(text))
+    listed = lookup_join(df.select(key, F.explode(words).alias(name)), listed, [name], "left_semi", rows_per_task=rows_per_task)
     hits = listed.groupBy(key).agg(F.array_sort(F.collect_list(name)).alias("__hits"))
     return (
         df.join(hits, key, "left")

@@ -23,15 +23,10 @@ LEXICON = {
         "broken", "unhappy", "complaint", "disappointed", "worst", "hate", "slow", "late", "outage",
     ), -1),
 }
-#: Above this a word list belongs in a table, see :func:`label_rows`.
-MAX_LEXICON = 10_000
-
 _WORDS = r"(?U)\w+"
 
 
 def _by_weight(lexicon: Mapping[str, float]) -> dict[float, list[str]]:
-    if len(lexicon) > MAX_LEXICON:
-        raise ValueError(f"{len(lexicon)} words: put the list in a table and use label_rows")
     weights: dict[float, list[str]] = {}
     for word, weight in lexicon.items():
         weights.setdefault(float(weight), []).append(word.lower())
@@ -39,7 +34,11 @@ def _by_weight(lexicon: Mapping[str, float]) -> dict[float, list[str]]:
 
 
 def score(sentence: Column, lexicon: Mapping[str, float] = LEXICON) -> Column:
-    """Sum of the weights of the words of a sentence."""
+    """Sum of the weights of the words of a sentence.
+
+    The list becomes one set per weight in the plan, which is looked up by hash; a list that is a table
+    goes to :func:`label_rows`.
+    """
     weights = _by_weight(lexicon)
 
     def total(words: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,31 +32,55 @@ def month_paths(root: str, kind: str, start: str, end: str, months: str = "all")
 
 def read_activity_log(
     spark: SparkSession, root: str, kind: str, start: str, end: str, months: str = "all",
-    channel: str | None = "TwilioVoice", missing: str = "fail",
+    channel: str | None = "TwilioVoice", missing: str = "fail", late_days: int = 0,
 ) -> DataFrame:
-    """One activity log over a window of days, read from the month directories it touches.
+    """One activity log over a window of days, read from the day directories in it.
 
     A month without a directory is an error, as the result would look complete; with
-    ``missing="skip"`` it is left out. The day and channel filters reach the scan.
+    ``missing="skip"`` it is left out. The directories of the months are listed once, by Spark, and
+    those of days outside the window are not read; directories that are not named by a day are.
+    ``late_days`` reads so many more days at the end, for entries that are filed after their day. The
+    day and channel filters reach the scan.
     """
     if missing not in ("fail", "skip"):
         raise ValueError(f"unknown way with missing months: {missing}")
     wanted = month_paths(root, kind, start, end, months)
-    paths = [p for p in wanted if _exists(spark, p)]
-    if missing == "fail" and paths and len(paths) < len(wanted):
-        raise FileNotFoundError(f"no directory for {sorted(set(wanted) - set(paths))}")
-    if not paths:
+    listed = {p: files for p in wanted if (files := _listed(spark, p)) is not None}
+    if missing == "fail" and listed and len(listed) < len(wanted):
+        raise FileNotFoundError(f"no directory for {sorted(set(wanted) - set(listed))}")
+    if not listed:
         raise FileNotFoundError(f"no {kind} directory between {start} and {end} below {root}")
-    log = spark.read.parquet(*paths)
+    upto = (dt.date.fromisoformat(end) + dt.timedelta(days=late_days)).isoformat()
+    directories = [d for month, files in listed.items() for d in directories_of_days(files, month, start, upto)]
+    log = spark.read.parquet(*directories) if directories else spark.read.parquet(*listed).limit(0)
     day = F.col(TIMESTAMP_NAMES.get(kind, "timestamp")).cast("date")
     log = log.filter(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return log.filter(F.col("channelId") == channel) if channel else log
 
 
-def _exists(spark: SparkSession, pattern: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+def _listed(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """Paths of the files in the directories of a pattern, from a listing alone; none if there is no such directory."""
+    try:
+        return spark.read.format("binaryFile").load(pattern).select("path")
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def directories_of_days(files: DataFrame, month: str, start: str, end: str) -> list[str]:
+    """The directories that hold files and whose day is in the window, or that name no day.
+
+    ``month`` is a pattern of :func:`month_paths`; what follows the month in a path is the day. There are
+    as many rows as directories.
+    """
+    year, number = month.rstrip("/").removesuffix("/*/*").split("/")[-2:]
+    directory = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    day = F.regexp_extract("path", rf"/{year}/{number}/(\d{{1,2}})/[^/]+/[^/]+$", 1)
+    found = files.select(directory.alias("directory"), F.make_date(F.lit(int(year)), F.lit(int(number)), F.expr("1")).alias("first"), day.alias("day"))
+    date = F.when(F.col("day") == "", None).otherwise(F.date_add("first", F.col("day").cast("int") - 1))
+    within = date.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return sorted(r["directory"] for r in found.filter(date.isNull() | within).select("directory").distinct().collect())
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
@@ -83,8 +108,25 @@ def read_csv_stage(spark: SparkSession, path: str, schema: T.StructType | str |
     return reader.csv(path)
 
 
+def read_taxonomy_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A taxonomy of any size: one JSON object with one topic and its description per line, in the order of the files and lines.
+
+    Lines are numbered by ranges, so that no task holds them all.
+    """
+    from callspark.operators.report import numbered
+
+    lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    named = lines.select("file", "line", F.map_entries(F.from_json("value", "map<string,string>")).alias("e"))
+    entries = named.select("file", "line", F.posexplode("e").alias("at", "pair"))
+    rows = numbered(entries, ["file", "line", "at"], "topic_num")
+    return rows.select(F.col("topic_num").cast("int").alias("topic_num"), F.col("pair.key").alias("topic"), F.col("pair.value").alias("description"))
+
+
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON object of topic name to description, as (topic_num, topic, description) rows."""
+    """A JSON object of topic name to description, as (topic_num, topic, description) rows.
+
+    The object is read as one text; see :func:`read_taxonomy_lines` for large taxonomies.
+    """
     text = spark.read.text(path, wholetext=True)
     pairs = F.from_json("value", "map<string,string>")
     return text.select(F.posexplode(pairs).alias("topic_num", "topic", "description"))

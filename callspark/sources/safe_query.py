@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Columns and tables a caller may name.
+# Columns, tables and databases a caller may name.
 APPROVED_COLUMNS = frozenset({
     "taskId", "agentConnectTimestamp", "taskURL", "accountId", "conversationId", "timeStamp",
     "timestamp", "eventMessage_recognizerResult_text", "eventMessage_topIntent",
@@ -21,6 +21,8 @@ APPROVED_TABLES = frozenset({
     "dfTransferReasonFiltered", "dfUnion", "Intent",
 })
 
+APPROVED_DATABASES = frozenset({"csda"})
+
 
 def check_names(names: Iterable[str], approved: Iterable[str]) -> None:
     """Raises if a name is not on the list."""
@@ -60,11 +62,14 @@ def select(
 
 def select_table(
     spark: SparkSession, table: str, columns: Sequence[str], *,
-    approved_tables: Iterable[str] = APPROVED_TABLES, **options,
+    approved_tables: Iterable[str] = APPROVED_TABLES, approved_databases: Iterable[str] = APPROVED_DATABASES, **options,
 ) -> DataFrame:
-    """:func:`select` on an approved table or view of the catalog."""
-    check_names([table], approved_tables)
-    return select(spark.table(table), columns, **options)
+    """:func:`select` on an approved table or view of the catalog, or on such a table of an approved database."""
+    database, dot, name = table.rpartition(".")
+    check_names([name], approved_tables)
+    if dot:
+        check_names([database], approved_databases)
+    return select(spark.table(".".join(quoted(n) for n in (database, name) if n)), columns, **options)
 
 
 def run(spark: SparkSession, query: str, params: Sequence | dict | None = None) -> DataFrame:

@@ -133,13 +133,12 @@ def redact_segments(spark, d):
 
 
 _NAMES = rf"""names AS (
-    SELECT DISTINCT name FROM (SELECT unnest(regexp_extract_all(text, '{v.W}+')) AS name FROM benchmark)
-    WHERE length(name) >= 8), listed AS (SELECT list(name) AS all_names FROM names)"""
+    SELECT DISTINCT name FROM (SELECT unnest(regexp_extract_all(text, '{v.W}+')) AS name FROM benchmark)), listed AS (SELECT list(name) AS all_names FROM names)"""
 
 
 def _names(spark, d):
     words = F.regexp_extract_all("text", F.lit(r"(?U)\w+"), F.lit(0))
-    return v.table(spark, d, "benchmark").select(F.explode(words).alias("name")).filter("length(name) >= 8").distinct()
+    return v.table(spark, d, "benchmark").select(F.explode(words).alias("name")).distinct()
 
 
 @query(rf"""WITH {_NAMES} SELECT doc_id, array_to_string(list_transform(
@@ -151,6 +150,15 @@ def mask_listed_names(spark, d):
     return redact.mask_listed(documents, "doc_id", "text", _names(spark, d)).drop("text")
 
 
+@query(rf"""WITH {_NAMES} SELECT doc_id, array_to_string(list_transform(
+        regexp_extract_all(text, '{v.W}+|[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}]+'),
+        lambda t: CASE WHEN list_contains(all_names, t) THEN repeat('*', length(t)) ELSE t END), '') AS masked
+    FROM documents, listed""")
+def mask_joined_names(spark, d):
+    documents = v.table(spark, d, "documents").select("doc_id", "text")
+    return redact.mask_listed(documents, "doc_id", "text", _names(spark, d), max_names=0).drop("text")
+
+
 @query(rf"""SELECT conv_id, turn, array_to_string(list_transform(
         regexp_extract_all(text, '{v.W}+|[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}]+'),
         lambda t: CASE WHEN t = regexp_extract(text, '{v.W}+') THEN repeat('*', length(t)) ELSE t END), '') AS text

@@ -38,12 +38,10 @@ def activity_log(spark, d):
         F.col("user_id").alias("conversationId"), "event_id", F.col("ts").alias("timestamp"), F.col("event_type").alias("channelId")
     )
     first, last = events.agg(F.min("timestamp"), F.max("timestamp")).first()
-    year, month = first.year, first.month
-    while (year, month) <= (last.year, last.month):
-        after = dt.date(year + month // 12, month % 12 + 1, 1)
-        rows = events.filter((F.col("timestamp") >= F.lit(dt.date(year, month, 1))) & (F.col("timestamp") < F.lit(after)))
-        writers.write_stage(rows, f"{root}/audio_response/{year:04d}/{month:02d}/01/00")
-        year, month = after.year, after.month
+    for i in range((last.date() - first.date()).days + 1):
+        day = first.date() + dt.timedelta(days=i)
+        rows = events.filter((F.col("timestamp") >= F.lit(day)) & (F.col("timestamp") < F.lit(day + dt.timedelta(days=1))))
+        writers.write_stage(rows, f"{root}/audio_response/{day:%Y/%m/%d}/00")
     log = readers.read_activity_log(spark, root, "audio_response", str(first.date()), str(last.date()), channel="click")
     return log.withColumn("timestamp", v.ts("timestamp"))
 
@@ -84,11 +82,10 @@ def csv_sink(spark, d):
     text AS description FROM benchmark""")
 def taxonomy_rows(spark, d):
     path = _folder(spark, "taxonomy")
-    entry = F.struct("item_id", F.concat(F.lit("topic "), "item_id").alias("topic"), "text")
-    pairs = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["topic"], e["text"]))
-    # A taxonomy is one JSON object in one file.
-    v.table(spark, d, "benchmark").agg(F.to_json(F.map_from_entries(pairs)).alias("value")).coalesce(1).write.text(path)
-    return readers.read_taxonomy(spark, path)
+    topic = F.concat(F.lit("topic "), "item_id")
+    lines = v.table(spark, d, "benchmark").repartitionByRange("item_id").sortWithinPartitions("item_id")
+    lines.select(F.to_json(F.create_map(topic, F.col("text"))).alias("value")).write.text(path)
+    return readers.read_taxonomy_lines(spark, path)
 
 
 @query("""SELECT concat('turn ', turn) AS instruction, role AS context, text AS response FROM conversations""")

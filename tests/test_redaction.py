@@ -169,11 +169,21 @@ def test_mask_words_keeps_length(spark):
 def test_mask_listed_equals_per_text_list(spark):
     df = spark.createDataFrame([(0, "Ann met Bob, not Bobby"), (1, "nobody"), (2, "Ann Ann")], "id int, text string")
     names = spark.createDataFrame([("Ann",), ("Bob",), ("Bob",)], "name string")
-    for rows in (1, 4_000_000):
-        got = redact.mask_listed(df, "id", "text", names, rows_per_task=rows)
+    for rows, most in ((1, 0), (4_000_000, 0), (None, 1_000_000)):
+        got = redact.mask_listed(df, "id", "text", names, rows_per_task=rows, max_names=most)
         assert {r.id: r.masked for r in got.collect()} == {0: "*** met ***, not Bobby", 1: "nobody", 2: "*** ***"}
 
 
+def test_mask_listed_in_tasks_shuffles_nothing(spark):
+    odd = ["a, b a", "", None, "é1 naïve_x é1", "-a-", "a" * 3000 + " a", "no\nnames, here", "x\u0301y x", "a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "id int, text string")
+    names = spark.createDataFrame([("a",), ("é1",), ("x",), (None,), ("",), ("x\u0301y",)], "name string")
+    here, joined = redact.mask_listed(df, "id", "text", names), redact.mask_listed(df, "id", "text", names, max_names=0)
+    assert "Exchange" not in plan(here) and "Exchange" in plan(joined)
+    assert {r.id: r.masked for r in here.collect()} == {r.id: r.masked for r in joined.collect()}
+    assert here.filter("id = 0").first().masked == "*, b *"
+
+
 def test_mask_account(spark):
     df = spark.createDataFrame([(0, "1234-5678-9012"), (1, "12"), (2, "A1B2C3D4E5")], "id int, text string")
     assert column(df, R.mask_account("text")) == {0: "XXXX-XXXX-9012", 1: "12", 2: "AXB2C3D4E5"}

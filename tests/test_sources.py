@@ -41,6 +41,36 @@ def test_read_activity_log(spark, tmp_path):
         readers.read_activity_log(spark, root, "audio_response", "2020-01-01", "2020-01-02")
 
 
+def test_days_outside_the_window_are_not_read(spark, tmp_path):
+    def write(folder, day):
+        when = dt.datetime.combine(day, dt.time(12))
+        spark.createDataFrame([(folder, when, "TwilioVoice")], "conversationId string, timestamp timestamp_ntz, channelId string").coalesce(1).write.parquet(
+            f"{tmp_path}/log/{folder}"
+        )
+
+    for day in (dt.date(2024, 1, 30), dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 2), dt.date(2024, 2, 3)):
+        write(f"{day:%Y/%m/%d}/00", day)
+    write("2024/02/01/13", dt.date(2024, 2, 1))
+    write("2024/02/rest/00", dt.date(2024, 2, 1))  # names no day
+    write("2024/02/03/13", dt.date(2024, 2, 2))  # filed a day late
+    log = readers.read_activity_log(spark, str(tmp_path), "log", "2024-01-31", "2024-02-01")
+    read = {"/".join(f.split("/log/")[1].split("/")[:4]) for f in log.inputFiles()}
+    assert read == {"2024/01/31/00", "2024/02/01/00", "2024/02/01/13", "2024/02/rest/00"}
+    assert {r.conversationId for r in log.collect()} == read
+    late = readers.read_activity_log(spark, str(tmp_path), "log", "2024-02-02", "2024-02-02", late_days=1)
+    assert {r.conversationId for r in late.collect()} == {"2024/02/02/00", "2024/02/03/13"}
+    none = readers.read_activity_log(spark, str(tmp_path), "log", "2024-01-05", "2024-01-06")
+    assert none.count() == 0 and none.columns == log.columns
+
+
+def test_taxonomy_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"Billing": "bills"}\n\n{"Power": "outages", "Gas": "leaks"}\n')
+    (tmp_path / "b.json").write_text('{"Other": null}\n')
+    assert tuples(readers.read_taxonomy_lines(spark, f"{tmp_path}/*.json")) == [
+        (0, "Billing", "bills"), (1, "Power", "outages"), (2, "Gas", "leaks"), (3, "Other", None)
+    ]
+
+
 def test_stage_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("f", [(0.0, 1.0, "hi", None)])], "file_path string, t array<struct<start:double,end:double,text:string,p:double>>")
     writers.write_stage(df, f"{tmp_path}/s")
@@ -103,6 +133,16 @@ def test_names_are_checked(spark):
     assert safe_query.select(df, ["taskId"]).columns == ["taskId"]
 
 
+def test_tables_of_an_approved_database(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS csda LOCATION '{tmp_path}/csda'")
+    spark.range(2).select(F.col("id").alias("taskId")).write.saveAsTable("csda.tasksegments")
+    assert tuples(safe_query.select_table(spark, "csda.tasksegments", ["taskId"])) == [(0,), (1,)]
+    for name in ("other.tasksegments", "csda.secrets", "csda.x.tasksegments", ".tasksegments"):
+        with pytest.raises(ValueError):
+            safe_query.select_table(spark, name, ["taskId"])
+    spark.sql("DROP TABLE csda.tasksegments")
+
+
 def test_two_conditions_and_odd_names(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "taskId int, `a``b c` string")
     got = safe_query.select(df, ["a`b c"], approved=["a`b c"], where=[F.col("taskId") > 0, F.col("taskId") < 2])
