@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callspark.functions import textmetrics as M
 from callspark.operators.evaluate import describe, histogram
@@ -12,6 +14,10 @@ from callspark.session import written
 METRICS = ("WER", "CER", "Levenshtein", "Precision", "Recall", "F1_Score", "BLEU")
 REFERENCE, HYPOTHESIS = "transcription_medium", "transcription_large"
 
+#: Characters from which on a pair is first looked at along its diagonals, and the share of them that may be
+#: edits there: so many diagonals cost a fraction of the product of both lengths.
+LONG, SHARE = 5_000, 0.03
+
 
 def pair_runs(
     first: DataFrame, second: DataFrame, key: str = "file", suffixes: tuple[str, str] = ("_medium", "_large")
@@ -24,20 +30,95 @@ def pair_runs(
     return left.join(right, key)
 
 
-def with_metrics(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str = HYPOTHESIS) -> DataFrame:
+def _equal_ahead(a: str, b: str, i: int, j: int) -> int:
+    """How many characters from the places on are equal, in steps that double and then halve."""
+    most, done, step = min(len(a) - i, len(b) - j), 0, 8
+    while done + step <= most and a[i + done:i + done + step] == b[j + done:j + done + step]:
+        done, step = done + step, 2 * step
+    while step > 1:
+        step //= 2
+        if done + step <= most and a[i + done:i + done + step] == b[j + done:j + done + step]:
+            done += step
+    return done
+
+
+def edits_within(a: str, b: str, most: int) -> int | None:
+    """Character edits between two texts if they are at most ``most``, else none.
+
+    For every number of edits, how far each diagonal gets with it. The band of diagonals that can still
+    end in time doubles until the distance fits, so the work grows with the edits, not with the product
+    of the lengths.
+    """
+    if abs(len(a) - len(b)) > most:
+        return None
+    bound = max(16, abs(len(a) - len(b)))
+    while True:
+        found = _edits_in_band(a, b, min(bound, most))
+        if found is not None or bound >= most:
+            return found
+        bound *= 2
+
+
+def _edits_in_band(a: str, b: str, most: int) -> int | None:
+    end = len(b) - len(a)
+    reach = {0: _equal_ahead(a, b, 0, 0)}  # by diagonal (place in b less place in a): the place in a
+    for edits in range(most + 1):
+        if reach.get(end, -1) >= len(a):
+            return edits
+        left = most - edits - 1
+        further = {}
+        for k in range(max(-edits - 1, end - left), min(edits + 1, end + left) + 1):
+            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -2), reach.get(k + 1, -2) + 1)
+            i = min(i, len(a), len(b) - k)
+            if i >= 0 and i + k >= 0:
+                further[k] = i + _equal_ahead(a, b, i, i + k)
+        reach = further
+    return None
+
+
+@F.pandas_udf(T.IntegerType())
+def _near(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
+    def one(a: str | None, b: str | None) -> int | None:
+        return None if a is None or b is None else edits_within(a, b, int(SHARE * max(len(a), len(b))))
+
+    return pd.Series([one(a, b) for a, b in zip(reference, hypothesis, strict=True)], index=reference.index, dtype="Int32")
+
+
+def levenshtein(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str = HYPOTHESIS, into: str = "Levenshtein", long: int = LONG) -> DataFrame:
+    """Adds the character edits between two texts of any length.
+
+    Short pairs, and long ones that differ much, take the built-in distance. Long pairs with few edits,
+    such as two runs over one call, are settled along their diagonals; two texts of 200,000
+    characters with ten edits take milliseconds and not minutes.
+    """
+    size = F.greatest(F.length(reference), F.length(hypothesis))
+    apart = F.abs(F.length(reference) - F.length(hypothesis))
+    side = lambda c: F.when((size >= long) & (apart <= SHARE * size), F.col(c))
+    staged = pairs.withColumns({"__a": side(reference), "__b": side(hypothesis)}).withColumn("__near", _near("__a", "__b"))
+    return staged.withColumn(into, F.coalesce("__near", M.levenshtein(reference, hypothesis))).drop("__a", "__b", "__near")
+
+
+def character_error_rate(edits: Column | str, reference: Column | str = REFERENCE) -> Column:
+    """Edits per character of the reference; null for an empty reference."""
+    edits, reference = (F.col(c) if isinstance(c, str) else c for c in (edits, reference))
+    return edits / F.nullif(F.length(reference), F.lit(0))
+
+
+def with_metrics(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str = HYPOTHESIS, long: int | None = None) -> DataFrame:
     """Adds the seven metrics; each is computed from its own row, without a shuffle.
 
     The distances cost the product of both lengths: deal few pairs over the cores with
-    :func:`callspark.session.spread` first.
+    :func:`callspark.session.spread` first. For texts of whole calls give ``long``, such as ``LONG``: pairs from
+    that length on take the character distance of :func:`levenshtein`, which runs in Python.
     """
     sides = (reference, hypothesis)
     # The character distance is the dear part: one column, which the error rate is taken from.
-    measured = pairs.withColumns({
-        "WER": M.wer(*sides), "Levenshtein": M.levenshtein(*sides),
-        "Precision": M.precision(*sides), "Recall": M.recall(*sides), "BLEU": M.bleu(*sides),
+    staged = pairs.withColumn("Levenshtein", M.levenshtein(*sides)) if long is None else levenshtein(pairs, *sides, long=long)
+    measured = staged.withColumns({
+        "WER": M.wer(*sides), "Precision": M.precision(*sides), "Recall": M.recall(*sides), "BLEU": M.bleu(*sides),
     })
     return measured.withColumns({
-        "CER": F.col("Levenshtein") / F.nullif(F.length(reference), F.lit(0)), "F1_Score": M.f1("Precision", "Recall"),
+        "CER": character_error_rate("Levenshtein", reference), "F1_Score": M.f1("Precision", "Recall"),
     })
 
 

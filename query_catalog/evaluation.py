@@ -64,10 +64,8 @@ def paired_runs(spark, d):
 @query(f"""WITH {_PAIRS} SELECT file, levenshtein({_bytes('m')}, {_bytes('l')}) AS "Levenshtein",
         round(levenshtein({_bytes('m')}, {_bytes('l')}) / length(m), 6) AS "CER" FROM pairs""")
 def character_error_rate(spark, d):
-    sides = (T.REFERENCE, T.HYPOTHESIS)
-    return _pairs(spark, d).select(
-        "file", M.levenshtein(*sides).cast("bigint").alias("Levenshtein"), F.round(M.cer(*sides), 6).alias("CER")
-    )
+    edits = F.col("Levenshtein").cast("bigint").alias("Levenshtein")
+    return T.levenshtein(_pairs(spark, d), long=200).select("file", edits, F.round(T.character_error_rate("Levenshtein"), 6).alias("CER"))
 
 
 _WORDS = rf"""words AS (

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -84,3 +85,34 @@ def test_metrics_need_no_shuffle(spark):
     df = spark.createDataFrame([(1, "a", "b")], f"file int, {T.REFERENCE} string, {T.HYPOTHESIS} string")
     text = plan(T.with_metrics(df))
     assert "Exchange" not in text and "Python" not in text
+
+
+def test_edits_within_equal_the_full_table():
+    rng = random.Random(12)
+    for _ in range(400):
+        a = "".join(rng.choice("abc é") for _ in range(rng.randrange(40)))
+        b = list(a)
+        for _ in range(rng.randrange(8)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = rng.choice(["", "x", "ab"])
+        b = "".join(b) if rng.random() < 0.8 else "".join(rng.choice("abc") for _ in range(rng.randrange(30)))
+        want = edits(a, b)
+        for most in (0, 1, 3, 10, 100):
+            assert T.edits_within(a, b, most) == (want if want <= most else None)
+
+
+def test_long_texts_with_few_edits_take_no_time(spark):
+    rng = random.Random(13)
+    text = "".join(rng.choice("abcdefg é") for _ in range(200_000))
+    other = list(text)
+    for at in rng.sample(range(200_000), 10):
+        other[at] = "#"
+    df = spark.createDataFrame([("a", text, "".join(other)), ("b", text, text[5:]), ("c", "kitten", "sitting"), ("d", None, "x"), ("e", "", "abc")], f"file string, {T.REFERENCE} string, {T.HYPOTHESIS} string")
+    assert T.edits_within(text, "".join(other), 6000) == 10
+    begin = time.perf_counter()
+    assert T.edits_within(text, "".join(other), 6000) == 10
+    assert time.perf_counter() - begin < 1
+    short = df.filter("file = 'c'")
+    assert T.with_metrics(short, long=2).select(sorted(T.METRICS)).collect() == T.with_metrics(short).select(sorted(T.METRICS)).collect()
+    got = {r.file: r.Levenshtein for r in T.levenshtein(df).select("file", "Levenshtein").collect()}
+    assert got == {"a": 10, "b": 5, "c": 3, "d": None, "e": 3}
