@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from callspark.functions import redaction as R
 from callspark.session import ensure_checkpoint_dir
 from callspark.sources import readers, writers
+from callspark.sources.stages import Stages
 from query_catalog import views as v
 from query_catalog.redaction import literal
 
@@ -109,10 +110,12 @@ def file_listing(spark, d):
 
 @query("""SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice, o_orderpriority FROM orders""")
 def parquet_stage(spark, d):
-    path = _folder(spark, "orders")
-    writers.write_stage(v.table(spark, d, "orders"), path)
-    writers.write_stage(v.table(spark, d, "orders"), path)  # a second run replaces the first
-    return readers.read_stage(spark, path).select("o_orderkey", "o_custkey", v.day("o_orderdate").alias("day"), "o_totalprice", "o_orderpriority")
+    stages = Stages(spark, _folder(spark, "stages"))
+    orders = v.table(spark, d, "orders")
+    stages.write("orders", orders.limit(0))
+    stages.write("orders", orders)  # a second run takes the place of the first
+    stages.retire("orders")
+    return stages.read("orders").select("o_orderkey", "o_custkey", v.day("o_orderdate").alias("day"), "o_totalprice", "o_orderpriority")
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")

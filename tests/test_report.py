@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from callspark.operators import report
 from callspark.operators.insights import FIELDS
 from callspark.plans import chain
+from callspark.sources.stages import Stages
 from callspark.sources.readers import read_csv_stage, read_table
 from callspark.sources.writers import save_table, write_csv
 
@@ -75,7 +76,7 @@ def test_align_by_position(spark):
     assert tuples(got, "x", "y") == [("a", "A"), ("b", "B"), ("c", "C")]
 
 
-def test_whole_chain(spark, tmp_path):
+def chain_inputs(spark):
     _, metadata, master = inputs(spark)
     talk = "My power is out again. I am upset. We scheduled a crew. It will be fixed today! " * 8
     transcripts = spark.createDataFrame(
@@ -83,6 +84,11 @@ def test_whole_chain(spark, tmp_path):
         "file_path string, transcription array<struct<start:double,end:double,text:string,no_speech_probability:double>>",
     )
     taxonomy = spark.createDataFrame([(0, "Outage", "power is out again"), (1, "Bill", "payment of a bill")], "topic_num int, topic string, description string")
+    return transcripts, metadata, master, taxonomy
+
+
+def test_whole_chain(spark, tmp_path):
+    transcripts, metadata, master, taxonomy = chain_inputs(spark)
     table = chain.run_all(spark, transcripts, metadata, master, taxonomy, str(tmp_path))
     got = {r.file_path: r for r in table.collect()}
     assert set(got) == {"f1", "f2"}
@@ -90,4 +96,4 @@ def test_whole_chain(spark, tmp_path):
     assert got["f2"].summary == "No summary generated" and got["f2"].Category == "Not Generated"
     assert got["f1"].topics == '["Outage","None"]' and got["f2"].topics == '["Unidentified","None"]'
     for stage in chain.STAGES:
-        assert spark.read.parquet(f"{tmp_path}/{stage}").count() == 2
+        assert Stages(spark, str(tmp_path)).read(stage).count() == 2
