@@ -77,13 +77,21 @@ def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op9_quality_ledger(spark: SparkSession, d: str) -> DataFrame:
-    book = quality.verdicts(quality.ledger(table(spark, d, "documents")))
+    book = quality.stored(table(spark, d, "documents"))
+    # Both policies are read off the stored bits.
     base = F.col("failed").bitwiseAND(F.lit(quality.BASE.mask)) != 0
-    return book.select(
+    return quality.verdicts(book, quality.STRICT).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "failed"
     )
 
 
+def quality_ablation(spark: SparkSession, d: str) -> DataFrame:
+    """Per policy and rule the documents that break it, and those that no other rule of the policy rejects."""
+    book = quality.stored(table(spark, d, "documents"))
+    parts = [quality.ablation(book, p).withColumn("policy", F.lit(p.version)) for p in (quality.BASE, quality.STRICT)]
+    return parts[0].unionByName(parts[1])
+
+
 def op10_repeat_removal(spark: SparkSession, d: str) -> DataFrame:
     return repeat_removal.report(table(spark, d, "documents"))
 
@@ -116,6 +124,7 @@ QUERIES = {
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_quality_ledger": op9_quality_ledger,
+    "quality_ablation": quality_ablation,
     "op10_repeat_removal": op10_repeat_removal,
     "op11_language_model": op11_language_model,
     "op12_lexical_search": op12_lexical_search,
@@ -126,6 +135,30 @@ _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
 _TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_LEDGER = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_SPACED} AS w FROM documents),
+        lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+        line_counts AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+                  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        windows AS (SELECT doc_id, s, array_to_string(w[s : s + 7], ' ') AS g
+                    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS s FROM d)),
+        again AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
+        repeated AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+                     FROM (SELECT doc_id, unnest(range(s, s + 8)) AS p FROM again) GROUP BY doc_id),
+        m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                     CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                     coalesce(n_lines, 0) AS n_lines,
+                     length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals
+              FROM d LEFT JOIN line_counts USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+        f AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END
+                 + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+                 + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END
+                 + CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
+                 + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) THEN 16 ELSE 0 END
+                 + CASE WHEN n_words > 0 AND 2 * n_capitals > word_chars THEN 32 ELSE 0 END AS failed
+              FROM m)"""
+
 SQL = {
     "op2_decontamination": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -169,32 +202,15 @@ SQL = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
         FROM d LEFT JOIN n USING (doc_id)
         JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reached GROUP BY node) c USING (doc_id)""",
-    "op9_quality_ledger": f"""
-        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_SPACED} AS w FROM documents),
-        lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-        line_counts AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
-                  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-        windows AS (SELECT doc_id, s, array_to_string(w[s : s + 7], ' ') AS g
-                    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS s FROM d)),
-        again AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
-        repeated AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
-                     FROM (SELECT doc_id, unnest(range(s, s + 8)) AS p FROM again) GROUP BY doc_id),
-        m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
-                     CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
-                     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-                     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-                     coalesce(n_lines, 0) AS n_lines,
-                     length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals
-              FROM d LEFT JOIN line_counts USING (doc_id) LEFT JOIN repeated USING (doc_id)),
-        f AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END
-                 + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
-                 + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END
-                 + CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
-                 + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) THEN 16 ELSE 0 END
-                 + CASE WHEN n_words > 0 AND 2 * n_capitals > word_chars THEN 32 ELSE 0 END AS failed
-              FROM m)
+    "op9_quality_ledger": f"""{_LEDGER}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
                failed & 3 != 0 AS base_failed, failed = 0 AS kept, failed FROM f""",
+    "quality_ablation": f"""{_LEDGER},
+        rules AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('repeated_lines', 8),
+                                        ('word_length', 16), ('capitals', 32)) v(rule, b)),
+        policies AS (SELECT * FROM (VALUES (1, 3), (2, 63)) v(policy, mask))
+        SELECT rule, count(*) FILTER (failed & b != 0) AS n_failed, count(*) FILTER (failed & mask = b) AS n_only, policy
+        FROM f, rules, policies WHERE b & mask != 0 GROUP BY rule, policy""",
     "op12_lexical_search": rf"""
         WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, {_TERMS} AS w FROM documents),
         d AS (SELECT row_id, doc_id, len(w) AS n, w FROM t WHERE len(w) > 0),

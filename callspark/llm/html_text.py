@@ -3,7 +3,8 @@
 The first pass labels a block from its length, its share of stop words and its share of linked
 text. Blocks it can't decide (short ones, and long ones without known stop words) take the label of
 their nearest decided neighbours in the second pass, inside an <article> or <main> as elsewhere.
-Regions that a page marks as something other than its article (menus, footers, asides, forms,
+Of several articles those without a block that is text by itself are left out, if another has one, and
+so are the labels of adverts. Regions that a page marks as something other than its article (menus, footers, asides, forms,
 adverts, notices, comments) are left out before; a class or an id does not mark an element that
 holds an <article> or a <main>.
 
@@ -13,6 +14,7 @@ Nulls give an empty text. Work is per page and linear in its length; no page is
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -31,6 +33,8 @@ _INLINE = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that stay open until their end tag; all others only separate blocks.
 _NESTED = _DROPPED | frozenset("article main header section div ul ol dl table blockquote details figure center body html".split())
+#: Blocks that end where another block begins.
+_CLOSED_BY_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 _HINTS = frozenset(
     """ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar
@@ -55,6 +59,10 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HINT_WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
+#: What an advert is headed by when nothing else marks it.
+_ADVERT_LABELS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising anzeige anzeigen werbung publicité pub publicidad anuncio anuncios sponsored promoted".split()
+)
 _RIGHTS = re.compile(r"©|\(c\)\s*\d{4}|\ball rights reserved\b", re.I)
 _WORD = re.compile(r"\w+")
 
@@ -106,7 +114,10 @@ def blocks(html: str) -> list[Block]:
     found: list[tuple[Block, Hinted | None]] = []
     pieces: list[str] = []
     stack: list[tuple[str, bool, int, Hinted | None]] = []  # tag, dropped, scope, hinted element around
+    opened: Counter[str] = Counter()  # tags on the stack
     linked = links = scopes = 0
+    block = link_block = ""  # the paragraph, item, heading or cell that is open, and the one in which the link began
+    link_depth = 0
     item = heading = False
 
     def flush() -> None:
@@ -145,7 +156,7 @@ def blocks(html: str) -> list[Block]:
             pieces.append(" ")
             continue
         if tag == "a":
-            links = 0 if closing else 1
+            links, link_block, link_depth = (0, "", 0) if closing else (1, block, len(stack))
             continue
         if tag in _INLINE:
             continue
@@ -153,7 +164,10 @@ def blocks(html: str) -> list[Block]:
             pieces.append(" ")
             continue
         flush()
-        links = 0
+        # A link goes on over the blocks in it, and ends with the block or the element it began in.
+        if links and link_block and (tag == link_block or not closing and link_block in _CLOSED_BY_BLOCKS):
+            links = 0
+        block = "" if closing or tag in _NESTED or tag in _VOID else tag
         if tag == "li":
             item = not closing
         if len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
@@ -161,9 +175,14 @@ def blocks(html: str) -> list[Block]:
         if tag in _VOID or tag not in _NESTED:
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                del stack[depth:]
+            if opened[tag]:  # else nothing of that name is open
+                while True:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == tag:
+                        break
+                if len(stack) < link_depth:
+                    links = 0
             continue
         dropped, scope, hinted = stack[-1][1:] if stack else (False, 0, None)
         if tag in ("article", "main") and not scope:
@@ -179,6 +198,7 @@ def blocks(html: str) -> list[Block]:
             while holder and holder.dropped:  # what is around a kept one is kept already
                 holder.dropped, holder = False, holder.around
         stack.append((tag, dropped, scope, hinted))
+        opened[tag] += 1
     flush()
     return [block for block, hinted in found if not (hinted and hinted.dropped)]
 
@@ -238,7 +258,7 @@ def main_text(html: str | None, short: int = 70, dense: float = 0.2, link_share:
     """
     if not html:
         return ""
-    found = blocks(html)
+    found = [b for b in blocks(html) if b.text.strip(" :-–").lower() not in _ADVERT_LABELS]
     scoped = [b for b in found if b.scope]
     if scoped:
         found = scoped  # the page says where its article is
@@ -246,6 +266,8 @@ def main_text(html: str | None, short: int = 70, dense: float = 0.2, link_share:
     for b in found:
         b.label = first_pass(b, short, dense, link_share)
         regions.setdefault(b.scope, []).append(b)
+    decided = {scope: members for scope, members in regions.items() if any(b.label == GOOD for b in members)}
+    regions = decided or regions  # cards and teasers beside an article have no text of their own
     kept: set[int] = set()
     for scope, members in regions.items():
         for b, keep in zip(members, second_pass([b.label for b in members], bool(scope)), strict=True):

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callspark.llm.common import SPACED_WORD, UPPER
+from callspark.llm.common import SPACED_WORD, UPPER, written
 
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -134,6 +134,11 @@ def ledger(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return measured.select("doc_id", *MEASURES, failed.alias("failed"))
 
 
+def stored(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The ledger, written once: policies and ablations then read its numbers and no text."""
+    return written(ledger(documents, doc_id, text), "ledger")
+
+
 def verdicts(book: DataFrame, policy: Policy = STRICT) -> DataFrame:
     """The ledger with the policy's version and ``kept``; a document breaks a policy by any of its rules."""
     return book.withColumns({

@@ -6,7 +6,7 @@ bytes. Rebalancing or adding a shard edits the map alone: slots move as wholes,
 
 Only the slot table, whose length is the parameter ``slots``, is handled by the driver. Records are
 shuffled once, without their texts, to number the rows of a shard. Rows that are equal in id and
-text share a slot; rows without an id are spread by their text.
+text share a slot; rows without an id are spread by all their columns.
 """
 
 from __future__ import annotations
@@ -41,6 +41,13 @@ class SlotMap:
         )
 
 
+def stored_map(maps: DataFrame) -> SlotMap:
+    """The last version of a stored table of maps; it has one row per virtual slot and version."""
+    last = maps.agg(F.max("version")).first()[0]
+    rows = maps.filter(F.col("version") == last).orderBy("virtual_slot").collect()
+    return SlotMap(last, rows[0]["shards"], tuple(r["shard"] for r in rows))
+
+
 def looked_up(values, at: Column) -> Column:
     """The value at a place of a constant list, which travels as one literal."""
     constant = F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
@@ -103,7 +110,11 @@ def slotted(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
         documents["doc_id"].alias("doc_id"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-    ).withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(slots)).cast("int"))
+        F.when(documents["doc_id"].isNull(), F.to_json(F.struct(*[documents[c] for c in documents.columns]))).alias("nameless"),
+    ).select(
+        "doc_id", "size", "text_crc32",
+        F.pmod(F.xxhash64("doc_id", "size", "text_crc32", F.xxhash64("nameless")), F.lit(slots)).cast("int").alias("virtual_slot"),
+    )
 
 
 def slot_loads(records: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int]]:
@@ -132,18 +143,23 @@ def place(records: DataFrame, slot_map: SlotMap, rows: list[int]) -> DataFrame:
     )
 
 
-def shard(documents: DataFrame, shards: int = 16, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def shard(documents: DataFrame, shards: int = 16, slots: int = SLOTS, earlier: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """All documents with shard and place under the law of equal bytes, and the stored maps.
 
-    Other columns of ``documents`` are left out. Null texts have one byte; an empty table gives no
+    ``earlier`` is the table of maps of a former run: its last version is edited for the bytes
+    there are now, so that most documents keep their shard, and ``slots`` is the number it has. Without
+    it the first map deals slots in turn. Columns of ``documents`` other than id and text are left out; those of
+    rows without an id decide with the text where they go. Null texts have one byte; an empty table gives no
     rows. The second result holds every version of the map.
     """
     spark = documents.sparkSession
+    first = first_map(shards, slots) if earlier is None else stored_map(earlier)
+    slots = len(first.shard_of)
     records = written(slotted(documents, slots), "slotted")
     load, rows = slot_loads(records, slots)
-    first = first_map(shards, slots)
-    second = rebalanced(first, load)
-    maps = written(first.table(spark).unionByName(second.table(spark)), "slot-map")
+    second = rebalanced(first, load, shards)
+    before = first.table(spark) if earlier is None else earlier
+    maps = written(before.unionByName(second.table(spark)), "slot-map")
     placed = place(records, second, rows).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(second.version).alias("map_version"),

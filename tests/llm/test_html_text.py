@@ -95,3 +95,83 @@ def test_links_neighbours_and_hints_with_articles(html, text):
 @pytest.mark.parametrize("html", ["<div class=ad>" * 50_000 + "<article>x" * 1_000])
 def test_nested_hints_end(html):
     assert main_text(html) == " ".join("x" * 1_000)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # A link around whole blocks counts for them, and ends with what it began in.
+        (f"<article><p>{LONG}</p><a href=x><p>Read also: {LONG}</p></a><a href=y><div>{LONG}</div></a><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+        (f"<article><p><a href=x>{LONG}</p><p>{LONG} 1</p></article>", f"{LONG} 1"),
+        (f"<article><p>{LONG}<a href=x>more<p>{LONG} 1</article>", f"{LONG}more {LONG} 1"),
+        (f"<div><section><a href=x>{LONG}</section><p>{LONG} 1</p></div>", f"{LONG} 1"),
+        # Cards beside the article have no text of their own.
+        (f"<main><p>{LONG}</p></main><article><a href=1><h3>Card</h3></a><p>Teaser</p></article><article><h3>Other</h3></article>", LONG),
+        ("<article><p>One</p></article><article><p>Two</p></article>", "One Two"),
+        # Labels of adverts, in an article or without one.
+        (f"<p>{LONG}</p><p>Advertisement</p><p>{LONG} 1</p>", f"{LONG} {LONG} 1"),
+        (f"<article><p>{LONG}</p><div>Anzeige:</div><p>{LONG} 1</p></article>", f"{LONG} {LONG} 1"),
+    ],
+)
+def test_block_links_cards_and_labels(html, text):
+    assert main_text(html) == text
+
+
+def test_end_tags_of_nothing_are_passed_over():
+    import time
+
+    def spent(n):
+        begin = time.perf_counter()
+        main_text("<div>" * n + "</section>" * n + "x")
+        return time.perf_counter() - begin
+
+    spent(1000)
+    assert spent(40_000) < 20 * spent(8_000) + 0.5
+
+
+def plain_article(blocks, in_article):
+    """Both passes over (text, linked) blocks, written as the rule says: every open block asks all others."""
+    labels = []
+    for text, linked in blocks:
+        words = [w.lower() for w in text.replace(".", "").split()]
+        if linked:
+            labels.append(-1)
+        elif len(text) >= 70 and sum(w in html_text._STOP_WORDS for w in words) >= 0.2 * len(words):
+            labels.append(1)
+        else:
+            labels.append(0)
+    decided = [(i, x) for i, x in enumerate(labels) if x] + ([(-1, 1), (len(labels), 1)] if in_article else [])
+    kept = []
+    for i, own in enumerate(labels):
+        if own:
+            kept.append(own > 0)
+            continue
+        left = max((d for d in decided if d[0] < i), default=None)
+        right = min((d for d in decided if d[0] > i), default=None)
+        kept.append(_nearest(i, left, right, in_article))
+    return " ".join(t for (t, _), k in zip(blocks, kept, strict=True) if k)
+
+
+def _nearest(i, left, right, in_article):
+    found = [d for d in (left, right) if d]
+    if not found:
+        return True
+    least = min(abs(d[0] - i) for d in found)
+    labels = {d[1] for d in found if abs(d[0] - i) == least}
+    return labels == {1} or (labels == {1, -1} and in_article)
+
+
+@pytest.mark.parametrize("in_article", [True, False])
+def test_generated_pages_equal_the_plain_rule(in_article):
+    import random
+
+    rng = random.Random(17)
+    for _ in range(400):
+        blocks = []
+        for i in range(rng.randrange(1, 12)):
+            kind = rng.choice("gggoosl")
+            text = {"g": f"{LONG} {i}", "o": f"Words without any {i}", "s": f"xyzzy {'plugh ' * 20}{i}".strip(), "l": f"Linked {LONG if rng.random() < 0.5 else 'menu'} {i}"}[kind]
+            blocks.append((text, kind == "l"))
+        body = "".join(f"<p><a href=#>{t}</a></p>" if linked else f"<p>{t}</p>" for t, linked in blocks)
+        page = f"<nav>{LONG}</nav><article>{body}</article><footer>{LONG}</footer>" if in_article else f"<nav>{LONG}</nav><div>{body}</div><footer>{LONG}</footer>"
+        assert main_text(page) == plain_article(blocks, in_article)

@@ -48,3 +48,19 @@ def test_policies_and_ablation(spark, docs):
 
 def test_native(spark, docs):
     plan_has_no_python(quality.verdicts(quality.ledger(docs([(1, "a")]))))
+
+
+def test_policies_and_ablation_read_the_stored_bits(spark, docs, edges):
+    from callspark.llm import catalog
+
+    book = quality.stored(docs(edges + [(50, "# " * 40), (51, "AB CD " * 30), (52, "a b"), (53, "word " * 40)]))
+    assert "FileScan" in book._jdf.queryExecution().executedPlan().toString()
+    masks = [r["failed"] for r in book.collect()]
+    for policy in (quality.BASE, quality.STRICT):
+        kept = [r["kept"] for r in quality.verdicts(book, policy).collect()]
+        assert sum(kept) == sum(not m & policy.mask for m in masks)
+        for r in quality.ablation(book, policy).collect():
+            own = quality.bit(r["rule"])
+            assert r["n_failed"] == sum(bool(m & own) for m in masks)
+            assert r["n_only"] == sum(m & policy.mask == own for m in masks)
+    assert "quality_ablation" in catalog.QUERIES and "quality_ablation" in catalog.SQL

@@ -47,3 +47,32 @@ def test_one_heavy_slot():
     even = sharding.rebalanced(sharding.first_map(4, 64), load)
     alone = even.shard_of[5]
     assert [s for s, shard in enumerate(even.shard_of) if shard == alone] == [5]
+
+
+def test_a_second_run_edits_the_stored_map(spark, docs):
+    rng = random.Random(19)
+    rows = [(i, "x" * rng.randrange(500, 1500)) for i in range(6000)]
+    first, maps = sharding.shard(docs(rows), slots=256)
+    more = rows + [(i, "y" * rng.randrange(500, 1500)) for i in range(6000, 6600)]
+    second, both = sharding.shard(docs(more), earlier=maps)
+    assert {r["version"] for r in both.select("version").distinct().collect()} == {1, 2, 3}
+    assert sharding.stored_map(both).version == 3 and len(sharding.stored_map(both).shard_of) == 256
+    before = {r["doc_id"]: r["shard"] for r in first.collect()}
+    after = {r["doc_id"]: r["shard"] for r in second.collect()}
+    kept = sum(after[i] == s for i, s in before.items())
+    assert len(after) == 6600 and kept > 0.8 * len(before)
+    held = Counter()
+    for r in second.collect():
+        held[r["shard"]] += r["size"]
+    assert max(held.values()) - min(held.values()) < 0.1 * sum(held.values()) / 16
+    anew = {r["doc_id"]: r["shard"] for r in sharding.shard(docs(more), slots=256)[0].collect()}
+    assert sum(anew[i] == s for i, s in before.items()) <= kept
+    grown, _ = sharding.shard(docs(more), shards=17, earlier=both)
+    assert {r["shard"] for r in grown.select("shard").distinct().collect()} == set(range(17))
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None, "same text", i) for i in range(4000)]
+    placed, _ = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, n int"))
+    shards = Counter(r["shard"] for r in placed.collect())
+    assert len(shards) == 16 and max(shards.values()) < 1.3 * 4000 / 16
