@@ -33,13 +33,12 @@ _LEXICON = {
     **dict.fromkeys(("the", "and", "in", "la", "les", "der", "und", "que", "los"), 1),
     **dict.fromkeys(("of", "is", "was", "de", "des", "die", "das", "el", "para"), -1),
 }
-_POSITIVE = [w for w, x in _LEXICON.items() if x > 0]
-_NEGATIVE = [w for w, x in _LEXICON.items() if x < 0]
 
 
-def _label_sql(words):
-    return f"""CASE sign(len(list_filter({words}, lambda w: list_contains({_POSITIVE}, w)))
-        - len(list_filter({words}, lambda w: list_contains({_NEGATIVE}, w))))
+def _label_sql(words, lexicon=_LEXICON):
+    positive, negative = ([w for w, x in lexicon.items() if x * side > 0] for side in (1, -1))
+    return f"""CASE sign(len(list_filter({words}, lambda w: list_contains({positive}, w)))
+        - len(list_filter({words}, lambda w: list_contains({negative}, w))))
         WHEN 1 THEN 'Positive' WHEN -1 THEN 'Negative' ELSE 'Neutral' END"""
 
 
@@ -212,10 +211,15 @@ def topic_match_by_indexed_words(spark, d):
     return _rounded(topics.match_words(sentences, _taxonomy(spark, d), 0.3, max_words=0))
 
 
-@query(f"""WITH {_BAGS}, top AS (
-        SELECT * FROM pairs WHERE cos_sim > 0.4
+def topics_sql(threshold, merged=v.MERGED):
+    """Primary and secondary topic by word overlap of the texts of ``merged`` (file_path, transcription)."""
+    return f"""WITH {_BAGS.replace(v.MERGED, merged)}, top AS (
+        SELECT * FROM pairs WHERE cos_sim > {threshold}
         QUALIFY row_number() OVER (PARTITION BY file_path ORDER BY round(cos_sim, 9) DESC, position, topic_num) <= 10),
-        calls AS (SELECT file_path FROM merged), {_ASSIGN.replace('max(cos_sim)', 'round(max(cos_sim), 9)')}""")
+        calls AS (SELECT file_path FROM merged), {_ASSIGN.replace('max(cos_sim)', 'round(max(cos_sim), 9)')}"""
+
+
+@query(topics_sql(0.4))
 def topics_of_calls(spark, d):
     return _split(topics.assign_topics(_merged(spark, d), _taxonomy(spark, d), text="transcription"))
 
@@ -258,7 +262,7 @@ def _pieces_sql(whole, size, most, overlap, gate="true"):
         UNION ALL SELECT doc_id, 0, text FROM counted WHERE {gate} AND {whole})"""
 
 
-def _summary_sql(limit, size, most, overlap):
+def summary_sql(limit, size, most, overlap):
     return f"""WITH {_pieces_sql(f'len(w) <= {limit}', size, most, overlap, 'word_count > 50')}, {_extract_sql('pieces')}, done AS (
         SELECT doc_id, string_agg(p, chr(10) ORDER BY piece) AS summary FROM parts GROUP BY doc_id)
     SELECT doc_id, CASE WHEN word_count > 50 THEN summary ELSE 'No summary generated' END AS summary
@@ -287,12 +291,12 @@ def _tree_sql(budget, size, most, overlap):
     SELECT doc_id, summary FROM done UNION ALL SELECT doc_id, p FROM firsts WHERE whole"""
 
 
-@query(_summary_sql(3900, 3200, 3800, 50))
+@query(summary_sql(3900, 3200, 3800, 50))
 def summaries(spark, d):
     return summarize.summary(_documents(spark, d), "text").select("doc_id", "summary")
 
 
-@query(_summary_sql(200, 64, 80, 10))
+@query(summary_sql(200, 64, 80, 10))
 def summaries_of_chunks(spark, d):
     return summarize.summary(_documents(spark, d), "text", max_tokens=200, chunk=(64, 80, 10)).select("doc_id", "summary")
 
@@ -340,30 +344,31 @@ _RULES = tuple(insights.Rule(f, rf"\b(?:{'|'.join(w)})\b", x) for f, w, x in _RU
 _PROBLEMS, _FOLLOW_UPS = ("was", "dans"), ("from", "mit")
 
 
-def _field_sql(field):
+def _field_sql(field, rules, actions, problems, follow_ups):
     letter = v.W.replace("[", "[^", 1)
     special = {
         "Summary": "summary",
-        "Main Issue": f"coalesce(nullif({_with_words('text', _PROBLEMS)}, ''), main)",
-        "Steps Taken": f"coalesce(nullif({_with_words('text', _ACTION_WORDS)}, ''), 'None')",
+        "Main Issue": f"coalesce(nullif({_with_words('text', problems)}, ''), main)",
+        "Steps Taken": f"coalesce(nullif({_with_words('text', actions)}, ''), 'None')",
         "Sentiment": "sentiment",
-        "Follow-Up Actions": f"coalesce(nullif({_with_words('text', _FOLLOW_UPS)}, ''), 'None')",
+        "Follow-Up Actions": f"coalesce(nullif({_with_words('text', follow_ups)}, ''), 'None')",
     }
     if field in special:
         value = special[field]
     else:
         whens = " ".join(
-            f"WHEN regexp_matches(text, '(?i)(^|{letter})({'|'.join(w)})($|{letter})') THEN '{x}'"
-            for f, w, x in _RULE_WORDS if f == field
+            f"WHEN regexp_matches(text, '(?i)(^|{letter})({w})($|{letter})') THEN '{x}'" for f, w, x in rules if f == field
         )
         value = f"CASE {whens} ELSE '{insights.DEFAULTS[field]}' END"
     return f"CASE WHEN tokens >= 20 THEN {value} ELSE 'Not Generated' END AS \"{field}\""
 
 
-@query(rf"""WITH split AS (SELECT doc_id, text, string_split_regex(text, '[.!?] ') AS s,
+def insights_sql(rules, actions, problems, follow_ups, lexicon):
+    """The fourteen fields of ``documents``; rules are (field, alternatives, value)."""
+    return rf"""WITH split AS (SELECT doc_id, text, string_split_regex(text, '[.!?] ') AS s,
         len(regexp_extract_all(text, '\S+')) AS tokens FROM documents), w AS (
         SELECT doc_id, i, {_words('s[i]')} AS words FROM split, unnest(range(1, len(s) + 1)) AS u(i)), labelled AS (
-        SELECT doc_id, i, {_label_sql('words')} AS sentiment FROM w), {_majority_sql('labelled', 'doc_id', 'sentiment', 'i')},
+        SELECT doc_id, i, {_label_sql('words', lexicon)} AS sentiment FROM w), {_majority_sql('labelled', 'doc_id', 'sentiment', 'i')},
         tf AS (SELECT doc_id, word, count(*) AS f FROM (
             SELECT doc_id, unnest(regexp_extract_all(lower(text), '\S+')) AS word FROM documents) GROUP BY ALL), parts AS (
         SELECT doc_id, list_filter(string_split_regex(text, '[.!?]\s+'), lambda x: regexp_matches(x, '\S')) AS p
@@ -377,8 +382,11 @@ def _field_sql(field):
                array_to_string(regexp_extract_all(string_agg(sentence, '. ' ORDER BY i) FILTER (r <= 3), '\S+'), ' ') AS summary,
                array_to_string(regexp_extract_all(any_value(sentence) FILTER (r = 1), '\S+'), ' ') AS main
         FROM chosen JOIN whole USING (doc_id, i) GROUP BY doc_id)
-    SELECT doc_id, {', '.join(_field_sql(f) for f in insights.FIELDS)}
-    FROM split JOIN best USING (doc_id) LEFT JOIN extracts USING (doc_id)""")
+    SELECT doc_id, {', '.join(_field_sql(f, rules, actions, problems, follow_ups) for f in insights.FIELDS)}
+    FROM split JOIN best USING (doc_id) LEFT JOIN extracts USING (doc_id)"""
+
+
+@query(insights_sql([(f, "|".join(w), x) for f, w, x in _RULE_WORDS], _ACTION_WORDS, _PROBLEMS, _FOLLOW_UPS, _LEXICON))
 def structured_insights(spark, d):
     found = insights.extract(
         v.table(spark, d, "documents").select("doc_id", "text"), "text", _RULES, lexicon=_LEXICON,

@@ -6,11 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from callspark.operators import calls, report
+from callspark.operators import calls, insights, report, sentiment, summarize
 from callspark.plans import chain
 from callspark.plans import relational as plans
 from callspark.session import ensure_checkpoint_dir, written
-from query_catalog import relational
+from query_catalog import models, redaction, relational
 from query_catalog import views as v
 
 QUERIES, SQL = {}, {}
@@ -110,7 +110,24 @@ def reporting_table(spark, d):
     return _plain(chain.reporting_table(v.stages(spark, d), *_inputs(spark, d)))
 
 
-@query()
+def _chain_sql():
+    """Every stage as a statement over the one before, under the names the stage statements read."""
+    rules = [(r.field, r.regex.removeprefix(r"\b(?:").removesuffix(r")\b"), r.value) for r in insights.RULES]
+    found = models.insights_sql(rules, summarize.ACTION_WORDS, insights.PROBLEM_WORDS, insights.FOLLOW_UP_WORDS, sentiment.LEXICON)
+    merged = "merged AS (SELECT doc_id AS file_path, summary AS transcription FROM chain_summary)"
+    fields = ", ".join('chain_insights."Summary" AS summary_concise' if f == "Summary" else f'"{f}"' for f in insights.FIELDS)
+    return f"""WITH documents AS (
+        SELECT concat('call-', conv_id) AS doc_id, string_agg({redaction._sequence(redaction._replaced('text'))}, ' ' ORDER BY turn) AS text
+        FROM conversations GROUP BY conv_id), chain_summary AS ({models.summary_sql(3900, 3200, 3800, 50)}),
+        chain_insights AS ({found}), chain_topics AS ({models.topics_sql(0.2, merged)}), stages AS (
+        SELECT concat('/audio/RE', substr(doc_id, 6), '-', line, '.wav') AS file_path, text AS transcription, chain_summary.summary,
+               concat('["', "primary", '","', secondary, '"]') AS topics, {fields}
+        FROM documents JOIN chain_summary USING (doc_id) JOIN chain_insights USING (doc_id)
+        JOIN chain_topics ON chain_topics.file_path = doc_id, (VALUES (1), (2)) lines(line)), {_METADATA}
+        SELECT {', '.join(_typed(*c) for c in report.LAYOUT)} FROM assembled"""
+
+
+@query(_chain_sql())
 def whole_chain(spark, d):
     metadata, master = _inputs(spark, d)
     per_file = v.transcripts(spark, d).withColumn("line", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
