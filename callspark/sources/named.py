@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The names of the statements, of their views and columns, and the values they compare with.
 #: Views: dfIntent, dfTransferReasonFiltered and dfAudioResponseFiltered for Union, dfUnion for
 #: Minimum, tasksegments and task_ids_temp for Filter, Intent for Aggregate. First and last are
 #: decided by time, as the order of rows does not survive a shuffle.
