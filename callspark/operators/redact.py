@@ -27,19 +27,27 @@ _GIVEN = "array<struct<entity:string,start:int,end:int,score:double>>"
 
 
 def _patterns(recognizers: Sequence[R.Recognizer]) -> list[tuple]:
+    """Tag, score, pattern, and what has to be found first: in the digest of the text, or in the text itself."""
+    def compiled(gate: str) -> re.Pattern:
+        return re.compile(gate.replace(r"\p{Nd}", r"\d"))
+
     return [
-        (R.tag(r)[1:-1], r.score, re.compile(r.regex, re.IGNORECASE), re.compile(r.gate.replace(r"\p{Nd}", r"\d")))
+        (R.tag(r)[1:-1], r.score, re.compile(r.regex, re.IGNORECASE), bool(r.trigger), compiled(r.trigger or r.gate))
         for r in recognizers
     ]
 
 
+_BETWEEN = re.compile(r"[^\d@$/\-]+")
+
+
 def _spans(text: str | None, patterns) -> list[tuple[str, int, int, float]]:
     if not text:
         return []
+    digested = _BETWEEN.sub(" ", text)  # as :func:`callspark.functions.redaction.digest`
     return [
         (entity, m.start(), m.end(), score)
-        for entity, score, pattern, gate in patterns
-        if gate.search(text)
+        for entity, score, pattern, in_digest, gate in patterns
+        if gate.search(digested if in_digest else text)
         for m in pattern.finditer(text)
         if m.end() > m.start()
     ]

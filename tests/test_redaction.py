@@ -196,6 +196,17 @@ def test_detect_positions(texts):
     assert (0, "PHONE_NUMBER", "(212) 555-0187") in by_text
 
 
+def test_digest_shuts_out_no_span():
+    rng = random.Random(21)
+    parts = ["1", "12", "123", "1234", "12345678", " ", "-", ".", "/", "(", ")", ", ", "$", "@", "x.com", "AB", "March ", "DL", "EIN", "Main st", "PA ", "19101", "٣", "é", "\n", "amount of ", "Mr. ", "confirmation number "]
+    everything = R.RECOGNIZERS + R.COMMON_RECOGNIZERS
+    patterns = redact._patterns(everything)
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 16)))
+        plain = [(R.tag(r)[1:-1], m.start(), m.end(), r.score) for r in everything for m in re.finditer(r.regex, text, re.IGNORECASE) if m.end() > m.start()]
+        assert redact._spans(text, patterns) == plain
+
+
 def test_anonymize_preferences(spark):
     low = R.Recognizer("LOW", r"\d+", 0.3, "")
     high = R.Recognizer("HIGH", r"b\d", 0.9, "")
