@@ -181,11 +181,13 @@ def named(documents: DataFrame) -> DataFrame:
         name = np.concatenate(lists)
         short = np.repeat(np.array(shorts, np.int64), np.fromiter(map(len, lists), np.int64, len(lists)))
         order = np.argsort(name, kind="stable")
-        name, short = name[order], short[order]
+        sorted_ = name[order]
         head = np.ones(len(name), bool)
-        head[1:] = name[1:] != name[:-1]
+        head[1:] = sorted_[1:] != sorted_[:-1]
         alone = head & np.append(head[1:], True)
-        kind = np.where(alone, 0, np.where(head, 1, 2))
+        # Rows stay in the order of the sets: equal numbers behind each other shrink when they are shuffled.
+        kind = np.empty(len(name), np.int64)
+        kind[order] = np.where(alone, 0, np.where(head, 1, 2))
         return pa.RecordBatch.from_arrays([pa.array(name), pa.array(short | kind)], names=["name", "short"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
