@@ -295,10 +295,11 @@ def _match_in_tasks(sentences: DataFrame, weights: DataFrame, threshold: float,
         at, weight = by_word.setdefault(r["word"], ([], []))
         at.append(place[r["topic_num"], r["topic"]])
         weight.append(r["n"])
-    columns = {w: (np.array(at), np.array(weight)) for w, (at, weight) in by_word.items()}
+    columns = {w: (np.array(at), np.array(weight, dtype=np.float64)) for w, (at, weight) in by_word.items()}
     nums, names = [t[0] for t in topics], [t[1] for t in topics]
-    of_topic = {(r["topic_num"], r["topic"]): r["length"] for r in entries}
-    lengths = np.array([of_topic[t] for t in topics])
+    squares = np.zeros(len(topics))
+    for at, weight in columns.values():
+        squares[at] += weight * weight
     words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), F.lit(0))
     narrow = sentences.select(*keys, words.alias("__words"))
     schema = T.StructType([
@@ -316,7 +317,7 @@ def _match_in_tasks(sentences: DataFrame, weights: DataFrame, threshold: float,
                     at, weight = columns[w]
                     dots[at] += counts[w] * weight
                 if counts:
-                    cos = dots / (math.sqrt(sum(n * n for n in counts.values())) * lengths)
+                    cos = np.sqrt(dots * dots / (sum(n * n for n in counts.values()) * squares))
                     hits = np.flatnonzero(cos > threshold)
                     rows += [i] * len(hits)
                     found += hits.tolist()
@@ -371,6 +372,9 @@ def match_words(
     the threshold leave. With a larger one sentences and descriptions meet by the words that can lift
     a pair over the threshold (:func:`word_candidates`), and their cosine is computed from the word
     counts of both.
+
+    Cosines are the root of one quotient of whole numbers, so that equal ones are equal to the last bit
+    and what is still equal is decided by position and topic.
     """
     keys, topic = [id, position], ["topic_num", "topic"]
     topic_counts, topic_lengths = _bag(taxonomy, topic, "description")
@@ -381,9 +385,10 @@ def match_words(
     counts, lengths = (written(x) for x in _bag(sentences, keys, text))
     weights = written(weights)
     pairs = word_candidates(counts, lengths, weights, keys, topic, threshold, rows_per_task)
-    of_text = counts.groupBy(*keys).agg(F.collect_list(F.struct("word", "n")).alias("__words")).join(lengths, keys)
+    square = F.sum(F.col("n") * F.col("n"))
+    of_text = counts.groupBy(*keys).agg(F.collect_list(F.struct("word", "n")).alias("__words"), square.alias("of_text"))
     of_topic = weights.groupBy(*topic).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("__counts"), F.first("length").alias("of_topic")
+        F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("__counts"), square.alias("of_topic")
     )
     product = F.aggregate(
         "__words", F.lit(0).cast("bigint"),
@@ -391,7 +396,8 @@ def match_words(
     )
     return (
         pairs.join(of_text, keys).join(of_topic, topic)
-        .select(*keys, *topic, (product / (F.col("length") * F.col("of_topic"))).alias("cos_sim"))
+        .withColumn("__product", product)
+        .select(*keys, *topic, F.sqrt(F.col("__product") * F.col("__product") / (F.col("of_text") * F.col("of_topic"))).alias("cos_sim"))
         .filter(F.col("cos_sim") > threshold)
     )
 

@@ -144,3 +144,19 @@ def test_a_word_that_is_everywhere_joins_few_rows(spark):
     for r in topics.match_words(sentences, taxonomy, 0.5, max_words=0).collect():
         found[r.position].append(r.topic_num)
     assert found == {i: [i] for i in range(400)}
+
+
+@pytest.mark.parametrize("max_words", [0, 1_000_000])
+def test_equal_cosines_are_equal_to_the_last_bit(spark, max_words):
+    # a x, and a and y so many times over, are as near to every sentence with one a
+    sentences = spark.createDataFrame(
+        [(f"c{n}", 0, "a " + " ".join(f"b{i}" for i in range(n))) for n in range(2, 24)], "file_path string, position int, sentence string"
+    )
+    taxonomy = spark.createDataFrame(
+        [(m, f"t{m}", "a " * m + f"x{m} " * m) for m in (1, 2, 3, 5, 6)],
+        "topic_num int, topic string, description string",
+    )
+    matches = topics.match_words(sentences, taxonomy, 0.1, max_words=max_words)
+    for r in matches.groupBy("file_path").agg(F.collect_set("cos_sim").alias("c"), F.count("*").alias("n")).collect():
+        assert len(r.c) == 1 and r.n == 5
+    assert {r.topic_num for r in topics.top_candidates(matches, 1).collect()} == {1}
