@@ -149,12 +149,23 @@ def mask_listed(
         return flagged.withColumn(into, R.mask_flagged(text, "__words", "__flags")).drop("__words", "__flags")
     words = F.array_distinct(R.words(text))
     listed = lookup_join(df.select(key, F.explode(words).alias(name)), listed, [name], "left_semi", rows_per_task=rows_per_task)
-    hits = listed.groupBy(key).agg(F.array_sort(F.collect_list(name)).alias("__hits"))
-    return (
-        df.join(hits, key, "left")
-        .withColumn(into, F.when(F.col("__hits").isNull(), F.col(text)).otherwise(R.mask_words(text, "__hits")))
-        .drop("__hits")
-    )
+    hits = listed.groupBy(key).agg(F.collect_list(name).alias("__hits"))
+
+    @F.pandas_udf(T.ArrayType(T.BooleanType()))
+    def among(lists: pd.Series, hits: pd.Series) -> pd.Series:
+        def flags(own, names) -> list[bool] | None:
+            if own is None or names is None:
+                return None
+            known = set(names)
+            return [w in known for w in own]
+
+        return pd.Series([flags(o, h) for o, h in zip(lists, hits, strict=True)], index=lists.index, dtype=object)
+
+    # A text is gone through once, however many of its words are listed.
+    flagged = df.join(hits, key, "left").withColumn("__words", F.when(F.col("__hits").isNotNull(), R.words(text)))
+    flagged = flagged.withColumn("__flags", among("__words", "__hits"))
+    masked = F.when(F.col("__hits").isNull(), F.col(text)).otherwise(R.mask_flagged(text, "__words", "__flags"))
+    return flagged.withColumn(into, masked).drop("__hits", "__words", "__flags")
 
 
 def quality(
