@@ -385,19 +385,23 @@ def match_words(
     counts, lengths = (written(x) for x in _bag(sentences, keys, text))
     weights = written(weights)
     pairs = word_candidates(counts, lengths, weights, keys, topic, threshold, rows_per_task)
+    # Words that both have are found by hashing; counts are looked up among the few words with more than one.
     square = F.sum(F.col("n") * F.col("n"))
-    of_text = counts.groupBy(*keys).agg(F.collect_list(F.struct("word", "n")).alias("__words"), square.alias("of_text"))
-    of_topic = weights.groupBy(*topic).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("__counts"), square.alias("of_topic")
-    )
+
+    def bag(side: str) -> list[Column]:
+        repeated = F.collect_list(F.when(F.col("n") > 1, F.struct("word", "n")))
+        return [F.collect_list("word").alias(f"__words_{side}"), F.map_from_entries(repeated).alias(f"__repeated_{side}"), square.alias(f"__square_{side}")]
+
+    of_text, of_topic = counts.groupBy(*keys).agg(*bag("a")), weights.groupBy(*topic).agg(*bag("b"))
+    one = F.lit(1).cast("bigint")
     product = F.aggregate(
-        "__words", F.lit(0).cast("bigint"),
-        lambda total, e: total + e["n"] * F.coalesce(F.try_element_at("__counts", e["word"]), F.lit(0)),
+        F.array_intersect("__words_a", "__words_b"), F.lit(0).cast("bigint"),
+        lambda total, w: total + F.coalesce(F.try_element_at("__repeated_a", w), one) * F.coalesce(F.try_element_at("__repeated_b", w), one),
     )
     return (
         pairs.join(of_text, keys).join(of_topic, topic)
         .withColumn("__product", product)
-        .select(*keys, *topic, F.sqrt(F.col("__product") * F.col("__product") / (F.col("of_text") * F.col("of_topic"))).alias("cos_sim"))
+        .select(*keys, *topic, F.sqrt(F.col("__product") * F.col("__product") / (F.col("__square_a") * F.col("__square_b"))).alias("cos_sim"))
         .filter(F.col("cos_sim") > threshold)
     )
 

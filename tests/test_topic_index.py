@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -160,3 +161,14 @@ def test_equal_cosines_are_equal_to_the_last_bit(spark, max_words):
     for r in matches.groupBy("file_path").agg(F.collect_set("cos_sim").alias("c"), F.count("*").alias("n")).collect():
         assert len(r.c) == 1 and r.n == 5
     assert {r.topic_num for r in topics.top_candidates(matches, 1).collect()} == {1}
+
+
+def test_long_texts_meet_a_long_description_by_hashing(spark):
+    words = [f"w{i}" for i in range(50_000)]
+    sentences = spark.createDataFrame([("c", 0, " ".join(words + words[:7]))], "file_path string, position int, sentence string")
+    taxonomy = spark.createDataFrame([(1, "t", " ".join(words[::-1] + words[:3]))], "topic_num int, topic string, description string")
+    begin = time.time()
+    got = topics.match_words(sentences, taxonomy, 0.5, max_words=0).collect()
+    assert time.time() - begin < 15
+    dot, a, b = 50_000 - 7 + 3 * 4 + 4 * 2, 50_000 + 3 * 7, 50_000 + 3 * 3
+    assert [r.cos_sim for r in got] == [pytest.approx(dot / math.sqrt(a * b), abs=1e-12)]
