@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callspark.operators.skew import lookup_join
+from callspark.operators.skew import hot_keys, lookup_join
 from callspark.session import cut_lineage
 
 # Report columns in order, as (input name, output name, type).
@@ -68,6 +68,8 @@ LAYOUT = (
     ("RecordingSID", "RecordingSID", "string"),
 )
 IVR_COLUMNS = ("User_Response", "Intent", "Intent_Score", "IVR_Question")
+#: Rows of one file from which on it is looked up among the stages before the join.
+HOT_ROWS = 100_000
 INDEX_COLUMNS = ("Unnamed: 0.1", "Unnamed: 0")
 
 
@@ -137,6 +139,16 @@ def align_by_position(left: DataFrame, right: DataFrame, left_order: list[str],
     return numbered(left, left_order).join(numbered(right, right_order), "row_no", "full").drop("row_no")
 
 
+def without_unmatched(df: DataFrame, other: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
+    """The rows of ``df`` but those of keys with more than ``rows`` rows that ``other`` lacks.
+
+    An inner join drops these rows anyhow; here they go before the shuffle, which would bring all rows of
+    such a key to one task. Keys are counted on the map side, and few can have so many rows.
+    """
+    unmatched = hot_keys(df, [key], rows).select(key).join(other.select(key), key, "left_anti")
+    return df.join(F.broadcast(unmatched), key, "left_anti")
+
+
 def assemble(
     stages: dict[str, DataFrame], metadata: DataFrame, master: DataFrame, rows_per_task: int | None = None
 ) -> DataFrame:
@@ -148,8 +160,10 @@ def assemble(
     """
     renamed = [s.withColumnRenamed("Summary", "summary_concise") if "Summary" in s.columns else s for s in stages.values()]
     metadata = metadata.drop(*IVR_COLUMNS)
-    # A file may stand for many segments, above all the sentinel of recordings not downloaded.
-    calls = lookup_join(metadata, align(renamed, unique=True), ["file_path"], rows_per_task=rows_per_task)
+    # A file may stand for many segments, above all the sentinel of recordings not downloaded, which no stage has.
+    files = align(renamed, unique=True)
+    matched = without_unmatched(metadata, renamed[0], "file_path")
+    calls = lookup_join(matched, files, ["file_path"], rows_per_task=rows_per_task)
     accounts = master.withColumnsRenamed({"TASK_ID": "taskId", "Task_ID": "taskId"}).select("KY_BA", "taskId")
     joined = lookup_join(calls, accounts, ["taskId"], rows_per_task=rows_per_task, count_on=metadata)
     return joined.drop(*INDEX_COLUMNS)

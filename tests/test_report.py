@@ -97,3 +97,12 @@ def test_whole_chain(spark, tmp_path):
     assert got["f1"].topics == '["Outage","None"]' and got["f2"].topics == '["Unidentified","None"]'
     for stage in chain.STAGES:
         assert Stages(spark, str(tmp_path)).read(stage).count() == 2
+
+
+def test_rows_of_a_hot_file_that_no_stage_has_are_not_shuffled(spark):
+    rows = [(i, "Not Downloaded") for i in range(50)] + [(i, "a.wav") for i in range(60)] + [(1, "b.wav"), (2, "c.wav"), (3, None)]
+    metadata = spark.createDataFrame(rows, "taskId int, file_path string")
+    stage = spark.createDataFrame([("a.wav", "s"), ("c.wav", "t")], "file_path string, summary string")
+    left = report.without_unmatched(metadata, stage, "file_path", 20)
+    assert sorted(left.groupBy("file_path").count().collect(), key=str) == sorted([("a.wav", 60), ("b.wav", 1), ("c.wav", 1), (None, 1)], key=str)
+    assert left.join(stage, "file_path").count() == metadata.join(stage, "file_path").count() == 61
