@@ -32,7 +32,7 @@ def _patterns(recognizers: Sequence[R.Recognizer]) -> list[tuple]:
         return re.compile(gate.replace(r"\p{Nd}", r"\d"))
 
     return [
-        (R.tag(r)[1:-1], r.score, re.compile(r.regex, re.IGNORECASE), bool(r.trigger), compiled(r.trigger or r.gate))
+        (R.tag(r)[1:-1], r.score, re.compile(r.python or r.regex, re.IGNORECASE), bool(r.trigger), compiled(r.trigger or r.gate))
         for r in recognizers
     ]
 

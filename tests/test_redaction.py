@@ -260,3 +260,17 @@ def test_joined_names_cost_one_pass_over_a_text(spark):
     got = {r.id: r.masked for r in redact.mask_listed(df, "id", "text", names, max_names=0).collect()}
     assert time.time() - begin < 20
     assert got == {1: " ".join("*" * len(w) for w in words), 2: "none here", 3: None, 4: "**-**.** x"}
+
+
+def test_python_forms_have_the_matches_of_the_patterns():
+    rng = random.Random(8)
+    bits = ["1", "23", "456", "7890", "12345", "(", ")", "-", ".", "/", " ", " ", ",", "_", "é", "٣", "A", "PA", "ſ", "Mr.", "Miss", "March", "ſeptember",
+            "Sept", "May", "bill", "amount", "of", "$", "xbill", "Long St", "200-55-1234", "12/3/2001", "555 123 4567", "12345678"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
+    texts += [f"{a}{m}{b}" for m in ("(555) 123-4567", "12 Long Street, Springfield, PA 12345", "March 3, 2001", "payment of $1,000.50", "Mrs.", "123456789") for a in bits for b in bits]
+    forms = [r for r in R.RECOGNIZERS if r.python]
+    assert len(forms) >= 8
+    for r in forms:
+        plain, form = re.compile(r.regex, re.IGNORECASE), re.compile(r.python, re.IGNORECASE)
+        found = [[m.span() for m in plain.finditer(t)] for t in texts]
+        assert found == [[m.span() for m in form.finditer(t)] for t in texts] and any(found), r.entity
