@@ -78,11 +78,15 @@ def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Deals the rows of a scan over all cores if it has fewer partitions than there are cores.
 
     Meant for work that is dear per row, such as text patterns or edit distances. A table of any
-    size has more partitions than cores and is left as it is.
+    size has more partitions than cores and is left as it is. Where short rows bring long work, bytes
+    tell little of it: with ``rows_per_task`` the rows are counted, which a Parquet footer answers, and dealt
+    over as many tasks as have so many each, but no fewer than the cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows_per_task:
+        return df.repartition(max(cores, -(-df.count() // rows_per_task)))
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -255,11 +255,15 @@ NOTE = """concat(
     '. Pay DE', lpad(CAST(o_custkey AS STRING), 20, '0'), ' or https://pay.example.com/c/', o_custkey)"""
 
 
+#: A row of an order is some 20 bytes on disk, and its note 500 characters.
+NOTES_PER_TASK = 50_000
+
+
 def texts(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").selectExpr("concat('d', doc_id) AS text_id", "text")
     notes = spread(table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
-    )).selectExpr("concat('o', o_orderkey) AS text_id", f"{NOTE} AS text")
+    ), NOTES_PER_TASK).selectExpr("concat('o', o_orderkey) AS text_id", f"{NOTE} AS text")
     return documents.unionByName(notes)
 
 

@@ -5,6 +5,7 @@ import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from callspark.session import spread
 from callspark.functions.text import instruction_text
 from callspark.operators import report
 from callspark.sources import named, readers, safe_query, writers
@@ -170,3 +171,11 @@ def test_report_save(spark, tmp_path):
     assert len(layout) == 54
     types = [t for _, _, t in layout]
     assert (types.count("string"), types.count("timestamp"), types.count("int")) == (43, 5, 6)
+
+
+def test_short_rows_are_dealt_by_their_number(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    assert spread(rows, 10).rdd.getNumPartitions() == 100
+    assert spread(rows, 10_000).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(rows, 10).count() == 1000 and max(map(len, spread(rows, 10).rdd.glom().collect())) <= 30
