@@ -10,7 +10,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,12 +50,13 @@ def _scored(
 ) -> DataFrame:
     """Adds ``combine`` of an array of texts, in Arrow batches; ``otherwise`` where it is null.
 
-    The array is read twice, in the test and by the function, which keeps it a column of its own:
+    The texts of one row at a time become Python objects, so a batch of long texts takes its bytes and
+    no more. The array is read twice, in the test and by the function, which keeps it a column of its own:
     Spark does not evaluate such an array inside the arguments of a Python function.
     """
-    @F.pandas_udf("string")
-    def run(arrays: pd.Series) -> pd.Series:
-        return arrays.map(lambda a: None if a is None else combine(list(a)))
+    @F.arrow_udf("string")
+    def run(arrays: pa.Array) -> pa.Array:
+        return pa.array((None if not a.is_valid else combine(a.as_py()) for a in arrays), pa.string())
 
     staged = df.withColumn("__pieces", pieces)
     result = F.when(F.col("__pieces").isNull(), F.lit(otherwise)).otherwise(run("__pieces"))
