@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+#: Rows that are sent on together, unless a batch of the model has more.
+ROWS_OUT = 500
+
+
 class Predictor(Protocol):
     """A model. ``setup`` runs once per task, ``predict`` once per batch of rows."""
 
@@ -76,8 +80,10 @@ def map_predict(
                 except Exception:
                     result = one_by_one(model, rows)
                 done.append(result)
-            if done:
-                yield pd.concat([pdf, pd.concat(done)], axis=1)[out.names]
+                if sum(map(len, done)) >= ROWS_OUT or at + batch_size >= len(pdf):  # texts leave before the batch ends
+                    done = pd.concat(done)
+                    yield pd.concat([pdf.loc[done.index], done], axis=1)[out.names]
+                    done = []
 
     source = df.repartition(partitions) if partitions else df
     return source.mapInPandas(run, out)

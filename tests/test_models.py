@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 import pandas as pd
@@ -235,3 +236,29 @@ def test_parse_literal(spark):
     assert [tuple(x) for x in got[1]] == [("x", None)] and got[2] is None and got[3] is None
     counts = df.select(insights.parse_literal(F.lit("{'a': 1, 'b': 2}"), "map<string,int>").alias("x")).first().x
     assert counts == {"a": 1, "b": 2}
+
+
+def test_results_leave_before_their_batch_ends(spark):
+    from pyspark.sql import types as T
+
+    from callspark.operators import levels
+
+    class Table:
+        schema, columns = T.StructType.fromDDL("k int, piece string"), ["k", "piece"]
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    run = infer.map_predict(Table(), lambda: levels.TextPredictor(str.upper), "result string", batch_size=200)
+    rows = pd.DataFrame({"k": range(2100), "piece": [f"t{i}" for i in range(2100)]})
+    parts = list(run(iter([rows])))
+    assert max(map(len, parts)) <= infer.ROWS_OUT + 200 and len(parts) > 2
+    assert pd.concat(parts)["result"].tolist() == [f"T{i}" for i in range(2100)]
+
+
+def test_scorer_takes_texts_row_by_row(spark):
+    df = spark.createDataFrame([(1, "a b c. d e f", 6)], "id int, transcription string, token_count int")
+    made = summarize.tree(df)
+    kinds = set(re.findall(r"ArrowEvalPython \[.*\], \[.*\], (\d+)", plan(made)))
+    assert kinds == {"250"}, plan(made)  # 200 would be a function of whole pandas columns
+    assert {r.id: r.summary for r in made.collect()} == {1: "a b c. d e f"}
