@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +20,43 @@ from callspark.operators.skew import lookup_join
 MAX_NAMES = 1_000_000
 
 
+#: Recognizers whose ``regex`` Arrow's matcher reads as Java does, on texts that :func:`_plain` lets through.
+_KNOWN = frozenset(R.RECOGNIZERS + R.COMMON_RECOGNIZERS)
+#: A character that no text :func:`_plain` lets through has.
+_MARK = "\x01"
+
+
+def _plain(texts: pa.Array) -> pa.Array:
+    """Texts of ASCII characters and the usual white space; null for all others.
+
+    On these Unicode rules, which Arrow's matcher does not know, say the same as its own.
+    """
+    odd = pc.match_substring_regex(texts, pattern=r"[\x00-\x08\x0B\x0E-\x1F\x7F]")
+    return pc.if_else(pc.and_(pc.string_is_ascii(texts), pc.invert(odd)), texts, pa.scalar(None, texts.type))
+
+
+def replace_all(text: Column | str, recognizers: Sequence[R.Recognizer] = R.RECOGNIZERS) -> Column:
+    """:func:`callspark.functions.redaction.replace_all`, with the same results in a fraction of the time.
+
+    Arrow's matcher goes through a batch of texts without backtracking. What it does not know, other
+    patterns and texts beyond ASCII, stays with the built-in functions. A column for tables: it
+    cannot stand inside a function over an array.
+    """
+    built_in = R.replace_all(text, recognizers)
+    if not _KNOWN.issuperset(recognizers):
+        return built_in
+    chain = [(f"(?i){r.regex}", R.tag(r)) for r in R.in_order(recognizers)]
+
+    @F.arrow_udf("string")
+    def fast(texts: pa.Array) -> pa.Array:
+        result = _plain(texts)
+        for pattern, mark in chain:
+            result = pc.replace_substring_regex(result, pattern=pattern, replacement=mark)
+        return result
+
+    return F.coalesce(fast(text), built_in)
+
+
 def find(df: DataFrame, text: str, recognizer: R.Recognizer) -> DataFrame:
     """One row per match of a recognizer: the columns of ``df`` but the text, number, match."""
     others = [c for c in df.columns if c != text]

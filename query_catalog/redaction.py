@@ -60,19 +60,19 @@ def _spoken(expression: str) -> str:
 
 @query(f"WITH {v.TEXTS} SELECT text_id, {_replaced('text')} AS text FROM texts")
 def redact_patterns(spark, d):
-    return v.texts(spark, d).select("text_id", R.replace_all("text").alias("text"))
+    return v.texts(spark, d).select("text_id", redact.replace_all("text").alias("text"))
 
 
 @query(f"WITH {v.TEXTS} SELECT text_id, {_replaced('text', R.without('US_SSN_LAST4'))} AS text FROM texts")
 def redact_patterns_keep_years(spark, d):
     kept = R.without("US_SSN_LAST4")
-    return v.texts(spark, d).select("text_id", R.replace_all("text", kept).alias("text"))
+    return v.texts(spark, d).select("text_id", redact.replace_all("text", kept).alias("text"))
 
 
 @query(f"WITH {v.TEXTS} SELECT text_id, {_replaced('text', R.RECOGNIZERS + R.COMMON_RECOGNIZERS)} AS text FROM texts")
 def redact_patterns_extended(spark, d):
     return v.texts(spark, d).select(
-        "text_id", R.replace_all("text", R.RECOGNIZERS + R.COMMON_RECOGNIZERS).alias("text")
+        "text_id", redact.replace_all("text", R.RECOGNIZERS + R.COMMON_RECOGNIZERS).alias("text")
     )
 
 
@@ -110,7 +110,7 @@ def sequence_rules(spark, d):
 
 @query(f"WITH {v.TEXTS} SELECT text_id, {_sequence(_replaced('text'))} AS text FROM texts")
 def redact_text(spark, d):
-    return v.texts(spark, d).select("text_id", R.redact_text("text").alias("text"))
+    return v.texts(spark, d).select("text_id", R.sequence_rules(redact.replace_all("text")).alias("text"))
 
 
 @query(r"""WITH a AS (SELECT o_orderkey, concat(lpad(CAST(o_custkey AS VARCHAR), 4, '0'), '-',
@@ -248,7 +248,7 @@ def _quality_sql():
 
 @query(_quality_sql())
 def redaction_quality(spark, d):
-    texts = v.texts(spark, d).withColumn("redacted", R.replace_all("text"))
+    texts = v.texts(spark, d).withColumn("redacted", redact.replace_all("text"))
     return redact.quality(texts, "text", "redacted").withColumn("value", F.round("value", 6))
 
 
@@ -266,5 +266,5 @@ def _consistency_sql():
 
 @query(_consistency_sql())
 def redaction_consistency(spark, d):
-    texts = v.texts(spark, d).withColumn("redacted", R.replace_all("text"))
+    texts = v.texts(spark, d).withColumn("redacted", redact.replace_all("text"))
     return redact.consistency(texts, "text", "redacted")

@@ -51,6 +51,27 @@ def test_replace_all_equals_python(texts):
     assert column(texts, R.replace_all("text")) == expected(chain)
 
 
+def test_replacement_in_arrow_equals_the_built_in_one(spark):
+    rng = random.Random(21)
+    parts = ["1234", "12", "5 ", "12345", "19101", " ", ",", ", ", "-", "_", ".", "@", "$", "(212) 555-", "0187", "a", "x.com", "é", "٣", "K", "\n", "\x0b", "\x1c", "\x7f", "\\1",
+             "Mr.", "Miss", "confirmation number ", "main st", "payment of $20", "Boston, MA 02134", "March 3, 1999", "AB1234567", "DL 123456789", "EIN123456789", "DE12", "http://a.b/", "192.168.", "4111-1111-"]
+    made = TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 18))) for _ in range(4000)]
+    df = spark.createDataFrame([(t,) for t in made], "t string").repartition(3)
+    for recognizers in (R.RECOGNIZERS, R.without("US_SSN_LAST4"), R.RECOGNIZERS + R.COMMON_RECOGNIZERS):
+        both = df.select("t", redact.replace_all("t", recognizers).alias("a"), R.replace_all("t", recognizers).alias("b"))
+        assert "ArrowEvalPython" in plan(both)
+        assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).limit(3).collect() == []
+    own = R.from_config({"pattern_recognizers": {"word": {"name": "w", "regex": r"(?<=a)b++", "score": 0.5}}})
+    assert spark.createDataFrame([("abbc",)], "t string").select(redact.replace_all("t", own)).first()[0] == "a<WORD>c"
+
+
+@pytest.mark.parametrize("name", ["redact_patterns", "redact_patterns_keep_years", "redact_patterns_extended", "redact_text"])
+def test_pattern_queries_replace_in_arrow(spark, sf, name):
+    from query_catalog import redaction
+
+    assert "ArrowEvalPython" in plan(redaction.QUERIES[name](spark, sf))
+
+
 JOINED = r"\b\w+([.*\-_]+\w+)+\b"
 NUMBERS = r"\b(?:(?:" + "|".join(R.NUMBER_WORDS) + r")\s*)+\b"
 
