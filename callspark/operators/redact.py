@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callspark.functions import redaction as R
+from callspark.functions.text import let
 from callspark.operators.skew import lookup_join
 
 #: A list of up to this many names is sent to the tasks whole (some 100 MB there).
@@ -57,6 +58,81 @@ def replace_all(text: Column | str, recognizers: Sequence[R.Recognizer] = R.RECO
     return F.coalesce(fast(text), built_in)
 
 
+def match_counts(
+    df: DataFrame, more: dict[str, tuple[str, Column]], recognizers: Sequence[R.Recognizer] = R.RECOGNIZERS
+) -> DataFrame:
+    """For each text column in ``more`` the numbers of matches of the recognizers and of its pattern there, as an array.
+
+    By Arrow's matcher where it can, as in :func:`replace_all`; the column beside a pattern counts it where it cannot.
+    """
+    columns = list(more)
+
+    def built_in(text: str) -> Column:
+        return let(R.digest(text), lambda d: F.array(*[R.match_count(text, r, d) for r in recognizers], more[text][1]))
+
+    if not _KNOWN.issuperset(recognizers):
+        return df.select(*[built_in(c).alias(c) for c in columns])
+    patterns = [[*(f"(?i){r.regex}" for r in recognizers), pattern] for pattern, _ in more.values()]
+
+    def counts(plain: pa.Array, own: list[str]) -> pa.Array:
+        # A match becomes one mark, as counting the matches would forget what stands before each.
+        found = np.stack([
+            pc.count_substring(pc.replace_substring_regex(plain, pattern=p, replacement=_MARK), pattern=_MARK)
+            .fill_null(0).to_numpy(zero_copy_only=False) for p in own
+        ], axis=1).astype(np.int32)
+        starts = pa.array(np.arange(len(plain) + 1, dtype=np.int32) * len(own))
+        return pa.ListArray.from_arrays(starts, pa.array(found.ravel()), mask=plain.is_null())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plain = [_plain(batch.column(c)) for c in columns]
+            left = [pc.if_else(p.is_null(), batch.column(c), pa.scalar(None, pa.string())) for p, c in zip(plain, columns)]
+            numbers = [counts(p, own) for p, own in zip(plain, patterns)]
+            yield pa.RecordBatch.from_arrays([*left, *numbers], [*columns, *(f"__{c}" for c in columns)])
+
+    schema = ", ".join([*(f"`{c}` string" for c in columns), *(f"`__{c}` array<int>" for c in columns)])
+    staged = df.select(*columns).mapInArrow(run, schema)
+    return staged.select(*[F.coalesce(f"`__{c}`", built_in(c)).alias(c) for c in columns])
+
+
+def match_lists(text: str, recognizers: Sequence[R.Recognizer]) -> Column:
+    """All matches of all recognizers in a text as structs of entity and match, each of them once.
+
+    By Arrow's matcher where it can, as in :func:`replace_all`.
+    """
+    def entity_matches(r: R.Recognizer, digested: Column) -> Column:
+        return F.transform(R.matches(text, r, digested), lambda m: F.struct(F.lit(r.entity).alias("entity"), m.alias("match")))
+
+    built_in = let(R.digest(text), lambda d: F.concat(*[entity_matches(r, d) for r in recognizers]))
+    if not _KNOWN.issuperset(recognizers):
+        return F.array_distinct(built_in)
+    patterns = [(r.entity, f"(?i){r.regex}") for r in recognizers]
+
+    @F.arrow_udf("array<struct<entity:string,match:string>>")
+    def fast(texts: pa.Array) -> pa.Array:
+        plain = _plain(texts)
+        rows, entities, found = [], [], []
+        for entity, pattern in patterns:
+            # What stands between two marks is in turn a gap and a match.
+            marked = pc.replace_substring_regex(plain, pattern=pattern, replacement=rf"{_MARK}\0{_MARK}")
+            pieces = pc.split_pattern(marked, pattern=_MARK)
+            row = pc.list_parent_indices(pieces).to_numpy(zero_copy_only=False)
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            matches = np.flatnonzero(place % 2)
+            rows.append(row[matches])
+            entities.append(pa.repeat(entity, len(matches)))
+            found.append(pieces.flatten().take(pa.array(matches)))
+        row = np.concatenate(rows)
+        order = pa.array(np.argsort(row, kind="stable"))
+        starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))]).astype(np.int32)
+        structs = pa.StructArray.from_arrays(
+            [pa.concat_arrays(entities).take(order), pa.concat_arrays(found).take(order)], ["entity", "match"]
+        )
+        return pa.ListArray.from_arrays(pa.array(starts), structs, mask=plain.is_null())
+
+    return F.array_distinct(F.coalesce(fast(text), built_in))
+
+
 def find(df: DataFrame, text: str, recognizer: R.Recognizer) -> DataFrame:
     """One row per match of a recognizer: the columns of ``df`` but the text, number, match."""
     others = [c for c in df.columns if c != text]
@@ -219,15 +295,15 @@ def quality(
     from callspark.functions.text import token_count
 
     marks = r"<[A-Z_]+>|\[REDACTED\]|\*{3,}"
-    sums = [
-        F.sum(token_count(original)).alias("tokens"),
-        F.sum(F.regexp_count(redacted, F.lit(marks))).alias("marks"),
-    ]
-    before, after = F.col("__before"), F.col("__after")
-    for r in recognizers:
-        sums.append(F.sum(R.match_count(original, r, before)).alias(f"matches:{r.entity}"))
-        sums.append(F.sum(R.match_count(redacted, r, after)).alias(f"residual:{r.entity}"))
-    totals = df.select(original, redacted, R.digest(original).alias("__before"), R.digest(redacted).alias("__after")).agg(*sums)
+    counts = match_counts(df, {
+        original: (r"\S+", token_count(original)), redacted: (marks, F.regexp_count(redacted, F.lit(marks))),
+    }, recognizers)
+    n = len(recognizers)
+    sums = [F.sum(F.col(original)[n]).alias("tokens"), F.sum(F.col(redacted)[n]).alias("marks")]
+    for i, r in enumerate(recognizers):
+        sums.append(F.sum(F.col(original)[i]).alias(f"matches:{r.entity}"))
+        sums.append(F.sum(F.col(redacted)[i]).alias(f"residual:{r.entity}"))
+    totals = counts.agg(*sums)
     before, after = (
         sum((F.col(f"`{kind}:{r.entity}`") for r in recognizers), F.lit(0)) for kind in ("matches", "residual")
     )
@@ -248,14 +324,8 @@ def consistency(
     A matched text is treated alike if it is found in the redacted form of all the texts it was in,
     or of none.
     """
-    def entity_matches(r: R.Recognizer):
-        distinct = F.array_distinct(R.matches(original, r, F.col("__digest")))
-        return F.transform(distinct, lambda m: F.struct(F.lit(r.entity).alias("entity"), m.alias("match")))
-
-    found = F.concat(*[entity_matches(r) for r in recognizers])
     per_match = (
-        df.withColumn("__digest", R.digest(original))
-        .select(redacted, F.explode(found).alias("m"))
+        df.select(redacted, F.explode(match_lists(original, recognizers)).alias("m"))
         .select("m.*", F.col(redacted).contains(F.col("m.match")).cast("int").alias("kept"))
         .groupBy("entity", "match")
         .agg(F.sum("kept").alias("kept"), F.count(F.lit(1)).alias("texts"))

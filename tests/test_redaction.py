@@ -295,3 +295,22 @@ def test_python_forms_have_the_matches_of_the_patterns():
         plain, form = re.compile(r.regex, re.IGNORECASE), re.compile(r.python, re.IGNORECASE)
         found = [[m.span() for m in plain.finditer(t)] for t in texts]
         assert found == [[m.span() for m in form.finditer(t)] for t in texts] and any(found), r.entity
+
+
+def test_counts_and_lists_in_arrow_equal_the_built_in_ones(spark):
+    rng = random.Random(22)
+    parts = ["1234", "5 ", "19101", " ", ", ", "-", ".", "@", "$", "é", "٣", "\n", "\x0b", "\x01", "Mr.", "Miss", "confirmation number ", "payment of $20", "Boston, MA 02134", "x@y.org", "123456789"]
+    made = TEXTS + ["payment of $20payment of $30", "Mr.Mr."] + ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in made], "t string").repartition(3)
+    digested = df.withColumn("d", R.digest("t"))
+    counts = redact.match_counts(df, {"t": (r"\S+", F.regexp_count("t", F.lit(r"(?U)\S+")))}, R.RECOGNIZERS)
+    assert "MapInArrow" in plan(counts)
+    got = counts.agg(*[F.sum(F.col("t")[i]) for i in range(len(R.RECOGNIZERS) + 1)]).first()
+    want = digested.agg(*[F.sum(R.match_count("t", r, F.col("d"))) for r in R.RECOGNIZERS], F.sum(F.regexp_count("t", F.lit(r"(?U)\S+")))).first()
+    assert tuple(got) == tuple(want)
+    found = df.select("t", F.explode(redact.match_lists("t", R.RECOGNIZERS)).alias("m")).select("t", "m.*")
+    assert "ArrowEvalPython" in plan(found)
+    for r in R.RECOGNIZERS:
+        each = digested.select("t", F.explode(F.array_distinct(R.matches("t", r, F.col("d")))).alias("match"))
+        own = found.filter(F.col("entity") == r.entity).select("t", "match")
+        assert each.exceptAll(own).collect() == own.exceptAll(each).collect() == []
