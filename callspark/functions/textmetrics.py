@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -126,16 +126,23 @@ def _numbered(grams: Column) -> Column:
     return F.coalesce(numbered, F.array().cast("array<string>"))
 
 
+def bleu_score(hits: Sequence[Column], reference: Column, hypothesis: Column) -> Column:
+    """Sentence BLEU from the common n-grams of each order, from 1 on, and the words of both texts."""
+    logs = F.lit(0.0)
+    for n, common in enumerate(hits):
+        logs = logs + _log_precision(common, hypothesis - n)
+    brevity = F.when(hypothesis > reference, F.lit(1.0)).otherwise(F.exp(1 - reference / hypothesis))
+    return let(logs, lambda l: F.when(l.isNotNull(), brevity * F.exp(l / BLEU_ORDERS)).otherwise(F.lit(0.0)))
+
+
 def bleu(reference: Column | str, hypothesis: Column | str) -> Column:
     """Sentence BLEU over n-grams of 1 to 4 words, unsmoothed; 0 if an order has no match."""
     def score(s: Column) -> Column:
         r, h = s["r"], s["h"]
-        logs = F.lit(0.0)
-        for n in range(1, BLEU_ORDERS + 1):
-            hits = F.size(F.array_intersect(_numbered(_ngrams(h, n)), _numbered(_ngrams(r, n))))
-            logs = logs + _log_precision(hits, F.size(h) - (n - 1))
-        brevity = F.when(F.size(h) > F.size(r), F.lit(1.0)).otherwise(F.exp(1 - F.size(r) / F.size(h)))
-        return let(logs, lambda l: F.when(l.isNotNull(), brevity * F.exp(l / BLEU_ORDERS)).otherwise(F.lit(0.0)))
+        hits = [
+            F.size(F.array_intersect(_numbered(_ngrams(h, n)), _numbered(_ngrams(r, n)))) for n in range(1, BLEU_ORDERS + 1)
+        ]
+        return bleu_score(hits, F.size(r), F.size(h))
 
     return let(F.struct(tokens(reference).alias("r"), tokens(hypothesis).alias("h")), score)
 

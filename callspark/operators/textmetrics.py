@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Sequence
+from math import isqrt
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,26 +81,62 @@ def _edits_in_band(a: str, b: str, most: int) -> int | None:
     return None
 
 
-@F.pandas_udf(T.IntegerType())
-def _near(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
-    def one(a: str | None, b: str | None) -> int | None:
-        return None if a is None or b is None else edits_within(a, b, int(SHARE * max(len(a), len(b))))
+def edits_between(a: Sequence, b: Sequence) -> int:
+    """Edits between two texts, or two lists of words, however different they are.
+
+    One column of the table at a time, as two integers: bits for the places where it rises and where it
+    falls (Myers, Hyyrö). The shorter side gives the columns.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
+        return len(a)
+    places: dict = {}
+    bit = 1
+    for x in a:
+        places[x] = places.get(x, 0) | bit
+        bit <<= 1
+    whole = bit - 1
+    rises, falls = whole, 0
+    for y in b:
+        equal = places.get(y, 0)
+        across = (((equal & rises) + rises) ^ rises) | equal
+        equal |= falls
+        up = falls | ~(across | rises)
+        up = up << 1 | 1
+        rises, falls = ((rises & across) << 1 | ~(equal | up)) & whole, up & equal
+    return len(b) + rises.bit_count() - falls.bit_count()
+
+
+def _character_edits(a: str | None, b: str | None, long: int) -> int | None:
+    if a is None or b is None:
+        return None
+    size = max(len(a), len(b))
+    if size >= long and abs(len(a) - len(b)) <= SHARE * size:
+        # More edits than this take longer along the diagonals than column by column.
+        near = edits_within(a, b, min(int(SHARE * size), max(16, isqrt(size) // 2)))
+        if near is not None:
+            return near
+    return edits_between(a, b)
+
 
-    return pd.Series([one(a, b) for a, b in zip(reference, hypothesis, strict=True)], index=reference.index, dtype="Int32")
+def _edits(long: int):
+    @F.pandas_udf(T.IntegerType())
+    def edits(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
+        found = [_character_edits(a, b, long) for a, b in zip(reference, hypothesis, strict=True)]
+        return pd.Series(found, index=reference.index, dtype="Int32")
+
+    return edits
 
 
 def levenshtein(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str = HYPOTHESIS, into: str = "Levenshtein", long: int = LONG) -> DataFrame:
     """Adds the character edits between two texts of any length.
 
-    Short pairs, and long ones that differ much, take the built-in distance. Long pairs with few edits,
-    such as two runs over one call, are settled along their diagonals; two texts of 200,000
-    characters with ten edits take milliseconds and not minutes.
+    Pairs from ``long`` characters on with few edits, such as two runs over one call, are settled along their
+    diagonals: two texts of 200,000 characters with ten edits take milliseconds. All others go
+    column by column, many rows at a time.
     """
-    size = F.greatest(F.length(reference), F.length(hypothesis))
-    apart = F.abs(F.length(reference) - F.length(hypothesis))
-    side = lambda c: F.when((size >= long) & (apart <= SHARE * size), F.col(c))
-    staged = pairs.withColumns({"__a": side(reference), "__b": side(hypothesis)}).withColumn("__near", _near("__a", "__b"))
-    return staged.withColumn(into, F.coalesce("__near", M.levenshtein(reference, hypothesis))).drop("__a", "__b", "__near")
+    return pairs.withColumn(into, _edits(long)(reference, hypothesis))
 
 
 def character_error_rate(edits: Column | str, reference: Column | str = REFERENCE) -> Column:
@@ -122,6 +163,55 @@ def with_metrics(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str =
     })
 
 
+#: A token as Java's Unicode rules have it; Python's own white space takes in four separators more.
+_TOKEN = re.compile("[^\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+
+_COUNTS = "edits int, words int, r int, h int, common int, dr int, dh int, hits array<int>"
+
+
+def _counted(a: str, b: str, long: int) -> tuple:
+    """What :data:`_COUNTS` names: character and word edits, words, distinct words, common n-grams of each order."""
+    r, h = _TOKEN.findall(a), _TOKEN.findall(b)
+    dr, dh = set(r), set(h)
+    hits = []
+    for n in range(1, M.BLEU_ORDERS + 1):
+        grams = [Counter(zip(*(words[i:] for i in range(n)))) for words in (r, h)]
+        hits.append(sum(min(c, grams[1][g]) for g, c in grams[0].items() if g in grams[1]))
+    return _character_edits(a, b, long), edits_between(r, h), len(r), len(h), len(dr & dh), len(dr), len(dh), hits
+
+
+def measured(pairs: DataFrame, reference: str = REFERENCE, hypothesis: str = HYPOTHESIS, long: int = LONG) -> DataFrame:
+    """:func:`with_metrics` for many pairs: the same seven columns in a fraction of the time.
+
+    All whole numbers are counted in Arrow batches, and the same formulas make shares of them. A pair with a
+    null text takes the built-in functions.
+    """
+    sides = (reference, hypothesis)
+
+    @F.pandas_udf(_COUNTS)
+    def count(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        empty = (None,) * 8
+        rows = [empty if x is None or y is None else _counted(x, y, long) for x, y in zip(a, b, strict=True)]
+        found = pd.DataFrame(rows, columns=[c.split()[0] for c in _COUNTS.split(", ")], index=a.index)
+        return found.astype({c: "Int32" for c in found.columns[:-1]})
+
+    def c(name: str) -> Column:
+        return F.col(f"__counts.{name}")
+
+    def share(of: str) -> Column:
+        return F.when(c(of) > 0, c("common") / c(of)).when(c(of) == 0, F.lit(0.0))
+
+    bleu = F.when(c("hits").isNotNull(), M.bleu_score([c("hits")[i] for i in range(M.BLEU_ORDERS)], c("r"), c("h")))
+    return pairs.withColumn("__counts", count(*sides)).withColumns({
+        "Levenshtein": F.coalesce(c("edits"), M.levenshtein(*sides)),
+        "WER": F.coalesce(c("words") / F.nullif(c("r"), F.lit(0)), M.wer(*sides)),
+        "Precision": F.coalesce(share("dr"), M.precision(*sides)), "Recall": F.coalesce(share("dh"), M.recall(*sides)),
+        "BLEU": F.coalesce(bleu, M.bleu(*sides)),
+    }).withColumns({
+        "CER": character_error_rate("Levenshtein", reference), "F1_Score": M.f1("Precision", "Recall"),
+    }).drop("__counts")
+
+
 def sample(metrics: DataFrame, order: str = "file", n: int = 5) -> DataFrame:
     """The first rows of the report: both texts and their BLEU."""
     return metrics.orderBy(order).limit(n).select(REFERENCE, HYPOTHESIS, "BLEU")

@@ -157,7 +157,7 @@ _ALL = f"""{_WER}, {_BLEU_TAIL}, {_SETS_TAIL}, metrics AS (
 
 @query(f"WITH RECURSIVE {_ALL} {_describe('metrics', {m: chr(34) + m + chr(34) for m in T.METRICS})}")
 def transcription_report(spark, d):
-    return _rounded(T.report(T.with_metrics(_pairs(spark, d))))
+    return _rounded(T.report(T.measured(_pairs(spark, d))))
 
 
 @query(f"""WITH {_PAIRS}, x AS (SELECT levenshtein({_bytes('m')}, {_bytes('l')})::DOUBLE AS x FROM pairs), lim AS (
@@ -168,7 +168,7 @@ def transcription_report(spark, d):
     FROM lim, unnest(range(1, 31)) AS u(b) LEFT JOIN n ON n.bin = b""")
 def levenshtein_histogram(spark, d):
     pairs = _pairs(spark, d)
-    return _rounded(T.levenshtein_histogram(pairs.withColumn("Levenshtein", M.levenshtein(T.REFERENCE, T.HYPOTHESIS))))
+    return _rounded(T.levenshtein_histogram(T.levenshtein(pairs)))
 
 
 @query(f"""WITH {_BLEU} SELECT m AS transcription_medium, l AS transcription_large, round(bleu, 6) AS "BLEU"

@@ -116,3 +116,32 @@ def test_long_texts_with_few_edits_take_no_time(spark):
     assert T.with_metrics(short, long=2).select(sorted(T.METRICS)).collect() == T.with_metrics(short).select(sorted(T.METRICS)).collect()
     got = {r.file: r.Levenshtein for r in T.levenshtein(df).select("file", "Levenshtein").collect()}
     assert got == {"a": 10, "b": 5, "c": 3, "d": None, "e": 3}
+
+
+def test_edits_between_equal_the_full_table():
+    rng = random.Random(14)
+    for _ in range(1500):
+        a, b = ("".join(rng.choices("abc é", k=rng.randrange(rng.choice([2, 12, 90])))) for _ in range(2))
+        assert T.edits_between(a, b) == edits(a, b)
+        assert T.edits_between(a.split(), b.split()) == edits(a.split(), b.split())
+
+
+def test_long_texts_with_many_edits_take_no_time(spark):
+    rng = random.Random(15)
+    a, b = ("".join(rng.choices("abcdefg é", k=20_000)) for _ in range(2))
+    begin = time.perf_counter()
+    T.edits_between(a, b)
+    assert time.perf_counter() - begin < 2  # 400 million places
+
+
+def test_measured_equals_the_built_in_metrics(spark):
+    from conftest import plan
+
+    odd = [(None, "a b"), ("a b", None), (None, ""), ("", None), (None, None), ("a\x1cb c", "a b\x1cc"), ("a\u00a0b", "a b"), ("a\u2003b\x0bc", "a c")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs() + odd)], f"file int, {T.REFERENCE} string, {T.HYPOTHESIS} string")
+    built_in, counted = T.with_metrics(df), T.measured(df)
+    assert "ArrowEvalPython" in plan(counted)
+    columns = ["file", *T.METRICS]
+    assert dict(counted.dtypes) == dict(built_in.dtypes)
+    assert counted.select(columns).orderBy("file").collect() == built_in.select(columns).orderBy("file").collect()
+    assert T.levenshtein(df).select("file", "Levenshtein").orderBy("file").collect() == built_in.select("file", "Levenshtein").orderBy("file").collect()
