@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from callspark.functions.text import column, let, token_count
 from callspark.operators.sentiment import LEXICON, label_text
-from callspark.operators.summarize import ACTION_WORDS, extract_summary, sentences_with
+from callspark.operators.summarize import ACTION_WORDS, extract_summary_and_main, sentences_with
 
 # Fields, sentinel, shortest text, value sets.
 FIELDS = (
@@ -102,15 +102,14 @@ def extract(
 
     @F.pandas_udf("summary string, main string")
     def scored(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({
-            "summary": texts.map(lambda t: None if t is None else extract_summary(t)),
-            "main": texts.map(lambda t: None if t is None else extract_summary(t, sentences=1)),
-        })
+        both = [(None, None) if t is None else extract_summary_and_main(t) for t in texts]
+        return pd.DataFrame(both, columns=["summary", "main"], index=texts.index)
 
-    df = df.withColumn("__scored", scored(body))
+    # Tokens are counted once for all fields.
+    df = df.withColumns({"__scored": scored(body), "__enough": token_count(body) >= min_tokens})
 
     def listed(words: Iterable[str]) -> Column:
-        return F.nullif(sentences_with(body, list(words)), F.lit(""))
+        return let(sentences_with(body, list(words)), lambda found: F.nullif(found, F.lit("")))
 
     fields = {
         "Summary": F.col("__scored.summary"),
@@ -119,11 +118,10 @@ def extract(
         "Sentiment": label_text(body, lexicon),
         "Follow-Up Actions": F.coalesce(listed(follow_up_words), none),
     }
-    enough = token_count(body) >= min_tokens
     return df.withColumns({
-        f: F.when(enough, fields.get(f, by_rules(body, f, rules, DEFAULTS.get(f)))).otherwise(F.lit(NOT_GENERATED))
+        f: F.when(F.col("__enough"), fields.get(f, by_rules(body, f, rules, DEFAULTS.get(f)))).otherwise(F.lit(NOT_GENERATED))
         for f in FIELDS
-    }).drop("__scored")
+    }).drop("__scored", "__enough")
 
 
 def parse(df: DataFrame, answer: str, fields: Sequence[str] = FIELDS) -> DataFrame:

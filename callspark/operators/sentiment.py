@@ -73,7 +73,7 @@ def majority_label(labels: Column) -> Column:
 
 def label_text(text: Column, lexicon: Mapping[str, float] = LEXICON) -> Column:
     """Label of a text: the majority over its sentences."""
-    return majority_label(F.transform(sentences_by_mark(text), lambda s: label(score(s, lexicon))))
+    return majority_label(F.transform(sentences_by_mark(text), lambda s: let(score(s, lexicon), label)))
 
 
 def segments(

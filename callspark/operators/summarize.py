@@ -36,12 +36,28 @@ def extract_summary(text: str, sentences: int = SUMMARY_SENTENCES, words: int |
     With ``words`` the last of them are left out as long as there are more words than that; no
     sentence is cut, and the first stays.
     """
-    parts = [p for p in re.split(r"[.!?]\s+", text) if p.split()]
-    counts = Counter(text.lower().split())
-    scored = sorted((-sum(counts[w] for w in p.lower().split()), i) for i, p in enumerate(parts))
-    chosen = sorted(i for _, i in scored[:sentences])
+    parts, ranked = _ranked(text)
+    chosen = sorted(ranked[:sentences])
     while words is not None and len(chosen) > 1 and sum(len(parts[i].split()) for i in chosen) > words:
         chosen.pop()
+    return _joined(parts, chosen)
+
+
+def extract_summary_and_main(text: str, sentences: int = SUMMARY_SENTENCES) -> tuple[str, str]:
+    """:func:`extract_summary` with ``sentences`` and with one sentence, by one scoring of the text."""
+    parts, ranked = _ranked(text)
+    return _joined(parts, sorted(ranked[:sentences])), _joined(parts, ranked[:1])
+
+
+def _ranked(text: str) -> tuple[list[str], list[int]]:
+    """The sentences, and their places by falling score."""
+    parts = [p for p in re.split(r"[.!?]\s+", text) if p.split()]
+    counts = Counter(text.lower().split())
+    scores = [-sum(map(counts.__getitem__, p.lower().split())) for p in parts]
+    return parts, sorted(range(len(parts)), key=scores.__getitem__)
+
+
+def _joined(parts: list[str], chosen: list[int]) -> str:
     return " ".join(". ".join(parts[i] for i in chosen).split())
 
 

@@ -262,3 +262,9 @@ def test_scorer_takes_texts_row_by_row(spark):
     kinds = set(re.findall(r"ArrowEvalPython \[.*\], \[.*\], (\d+)", plan(made)))
     assert kinds == {"250"}, plan(made)  # 200 would be a function of whole pandas columns
     assert {r.id: r.summary for r in made.collect()} == {1: "a b c. d e f"}
+
+
+def test_summary_and_main_issue_come_from_one_scoring():
+    for text in ("a b. a. a a a b. c", "", "x " * 200, "One two. two one! three? Two", ". . ."):
+        both = summarize.extract_summary_and_main(text)
+        assert both == (summarize.extract_summary(text), summarize.extract_summary(text, sentences=1))
