@@ -169,12 +169,106 @@ def _spans(text: str | None, patterns) -> list[tuple[str, int, int, float]]:
     ]
 
 
+#: Letters that match one of ASCII if case is ignored.
+_FOLDED = {"\u0130": "I", "\u0131": "i", "\u017f": "s", "\u212a": "K"}
+#: Gates that ask for a single character, and how many such there are from which on.
+_NEEDED = {r"\p{Nd}": (ord("0"), 10), "@": (ord("@"), 1)}
+#: Texts are looked through together, so many bytes at a time, and rows leave a task so many at a time.
+_BYTES, _ROWS = 1_000_000, 65_536
+
+
+def _stand_in(character: str) -> str:
+    """A character of ASCII that matches in known patterns where ``character`` does.
+
+    Letters, digits and white space by Unicode become such of ASCII, and what no pattern looks for ``~``.
+    Only a class that names digits or ``_`` tells them from their stand-ins.
+    """
+    if character in _FOLDED:
+        return _FOLDED[character]
+    if character.isspace():
+        return character if character in " \t\n\f\r" else "\t"
+    if character.isascii():
+        return character if character.isprintable() else "~"
+    if character.isdecimal():
+        return "0"
+    return "_" if character.isalnum() else "~"
+
+
+class _Spans:
+    """Spans of recognizers of :data:`_KNOWN` in many texts at once, by Arrow's matcher."""
+
+    def __init__(self, recognizers: Sequence[R.Recognizer]):
+        self.patterns = [
+            (f"(?i){r.regex}", r.gate if r.gate in _NEEDED else "",
+             re.compile(r.python or r.regex, re.IGNORECASE) if "0-9" in r.regex else None)
+            for r in recognizers
+        ]
+        self.stand_ins = np.zeros(0x110000, np.uint8)
+
+    def ascii(self, text: str) -> np.ndarray:
+        """A stand-in for each character."""
+        codes = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        made = self.stand_ins[codes]
+        if not made.all():
+            for code in np.unique(codes[made == 0]).tolist():
+                self.stand_ins[code] = ord(_stand_in(chr(code)))
+            made = self.stand_ins[codes]
+        return made
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The number of the text, the number of the recognizer, start and end of each span, text by text."""
+        # No match goes over "<", and it is no part of a word.
+        joined = "<".join([*texts, ""])
+        joined = np.concatenate([self.ascii(joined[i:i + _BYTES]) for i in range(0, len(joined), _BYTES)])
+        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+        begins = np.append(0, ends[:-1])
+        beyond = np.array([i for i, t in enumerate(texts) if not t.isascii()], np.int64)
+        looked_at = {"": (np.arange(len(texts)), begins, pa.array([joined.tobytes()], pa.large_binary()))}
+        parts = []
+        for k, (pattern, gate, own) in enumerate(self.patterns):
+            if gate not in looked_at:
+                looked_at[gate] = _having(joined, begins, ends, *_NEEDED[gate])
+            rows, at, together = looked_at[gate]
+            marked = pc.replace_substring_regex(together, pattern=pattern, replacement=rf"{_MARK}\0{_MARK}")
+            marks = np.flatnonzero(np.frombuffer(marked[0].as_py(), np.uint8) == ord(_MARK))
+            marks -= np.arange(len(marks))
+            start, end = marks[0::2], marks[1::2]
+            place = np.searchsorted(at, start, "right") - 1
+            row, start, end = rows[place], start - at[place], end - at[place]
+            if own and len(beyond):
+                kept = ~np.isin(row, beyond)
+                more = [(i, *m.span()) for i in np.intersect1d(rows, beyond).tolist() for m in own.finditer(texts[i])]
+                more = np.array(more, np.int64).reshape(-1, 3).T
+                row, start, end = (np.concatenate([x[kept], y]) for x, y in zip((row, start, end), more))
+            parts.append((row, np.full(len(row), k), start, end))
+        row, which, start, end = (np.concatenate(x).astype(np.int32) for x in zip(*parts))
+        order = np.argsort(row, kind="stable")
+        return row[order], which[order], start[order], end[order]
+
+
+def _having(joined: np.ndarray, begins: np.ndarray, ends: np.ndarray, first: int, many: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of joined texts those with one of some characters: their numbers, where they begin, and themselves, joined."""
+    has = np.logical_or.reduceat(joined - np.uint8(first) < many, begins)
+    lengths = (ends - begins)[has]
+    together = b"".join(joined[b:e].tobytes() for b, e in zip(begins[has].tolist(), ends[has].tolist()))
+    return np.flatnonzero(has), np.cumsum(lengths) - lengths, pa.array([together], pa.large_binary())
+
+
+def _slices(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of neighbours that have up to :data:`_BYTES` together, or of one that has more."""
+    at, ends = 0, np.cumsum(lengths, dtype=np.int64)
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - lengths[at] + _BYTES, "right")))
+        yield at, to
+        at = to
+
+
 def detect(df: DataFrame, text: str, recognizers: Sequence[R.Recognizer] = R.RECOGNIZERS) -> DataFrame:
     """One row per match of every recognizer: the columns of ``df`` but the text, entity, start, end, score.
 
     This runs in Arrow batches. Positions can be summed up from the gaps and matches that built-in
     functions give, but the nested lambdas take three times as long (10.2 s against 3.9 s on 16,000
-    texts).
+    texts). Known patterns go through many texts at once by Arrow's matcher; with others Python goes through each text.
     """
     others = [c for c in df.columns if c != text]
     schema = T.StructType([
@@ -194,6 +288,24 @@ def detect(df: DataFrame, text: str, recognizers: Sequence[R.Recognizer] = R.REC
                     "entity": entity, "start": start, "end": end, "score": score,
                 })
 
+    def fast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans = _Spans(recognizers)
+        scores = pa.array([r.score for r in recognizers], pa.float64())
+        for batch in batches:
+            entities = pa.array([R.tag(r)[1:-1] for r in recognizers], batch.column(text).type)
+            lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+            for at, to in _slices(lengths):
+                part = batch.slice(at, to - at)
+                found = spans([t or "" for t in part.column(text).to_pylist()])
+                for i in range(0, len(found[0]), _ROWS):
+                    row, which, start, end = (pa.array(x[i:i + _ROWS]) for x in found)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c).take(row) for c in others), entities.take(which), start, end, scores.take(which)],
+                        [*others, "entity", "start", "end", "score"],
+                    )
+
+    if recognizers and _KNOWN.issuperset(recognizers):
+        return df.mapInArrow(fast, schema)
     return df.mapInPandas(run, schema)
 
 

@@ -314,3 +314,50 @@ def test_counts_and_lists_in_arrow_equal_the_built_in_ones(spark):
         each = digested.select("t", F.explode(F.array_distinct(R.matches("t", r, F.col("d")))).alias("match"))
         own = found.filter(F.col("entity") == r.entity).select("t", "match")
         assert each.exceptAll(own).collect() == own.exceptAll(each).collect() == []
+
+
+def made_texts():
+    rng = random.Random(23)
+    parts = ["1", "12", "1234", "5 ", "12345678", "19101", " ", " ", ",", ", ", "-", "_", ".", "/", "(", ")", "@", "@x.com", "a", "b.c", "$", "<", ">", "~", '"', "é", "ß", "日", "😀", "٣", "²", "ı", "İ", "ſ", "\u212a", "\u0301", "\u00a0", "\n", "\x00",
+             "\x01", "\x0b", "\x1c", "\x7f", "\\1", "Mr.", "Miss", "Mıſs", "confirmation number ", "main st", "payment of $20", "Boston, MA 02134", "March 3, 1999", "AB1234567", "DL 123456789", "EIN123456789", "DE12", "A1B2C3D4E5F6", "http://a.b/", "192.168.", "4111-1111-"]
+    return [t or "" for t in TEXTS] + ["".join(rng.choice(parts) for _ in range(rng.randrange(16))) for _ in range(6000)]
+
+
+def test_spans_of_many_texts_equal_python():
+    made = made_texts()
+    for some in (made, [t for t in made if t.isascii()], [""], ["é", "none"], ["", "a@b.cc"], ["b" * 4_500_000 + " 1234 é", "5678"]):
+        for recognizers in (R.RECOGNIZERS + R.COMMON_RECOGNIZERS, R.RECOGNIZERS[:1], R.without("US_SSN_LAST4")):
+            row, which, start, end = redact._Spans(recognizers)(some)
+            plain = [(i, k, *m.span()) for i, t in enumerate(some) for k, r in enumerate(recognizers) for m in re.finditer(r.regex, t, re.IGNORECASE)]
+            assert list(zip(row.tolist(), which.tolist(), start.tolist(), end.tolist())) == plain
+
+
+def test_stand_ins_are_of_the_kind_of_their_characters():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for kind in (r"\w", r"\d", r"\s", "[a-z]", "[A-Z]", *"abcdefghijklmnopqrstuvwxyz", r"[^\s<>\"]", r"[.,$/\-]"):
+        pattern = re.compile(kind, re.IGNORECASE)
+        assert [c for c in every if bool(pattern.match(c)) != bool(pattern.match(redact._stand_in(c)))] == [], kind
+
+
+def test_slices_hold_every_text():
+    import numpy as np
+
+    most = redact._BYTES
+    lengths = np.array([0, most, 1, most - 1, most + 5, 0, 3, most // 2, most // 2, 0], np.int32)
+    assert list(redact._slices(lengths)) == [(0, 2), (2, 4), (4, 5), (5, 8), (8, 10)]
+    assert list(redact._slices(lengths[:0])) == []
+
+
+def test_spans_are_found_in_arrow(spark, sf):
+    from query_catalog import redaction
+
+    assert "MapInArrow" in plan(redaction.QUERIES["detect_spans"](spark, sf))
+    made = made_texts() + [None]
+    df = spark.createDataFrame([(None if i % 7 == 0 else i, t, [i]) for i, t in enumerate(made)], "id int, t string, more array<int>").repartition(3)
+    patterns = redact._patterns(R.RECOGNIZERS)
+    plain = [(None if i % 7 == 0 else i, [i], *span) for i, t in enumerate(made) for span in redact._spans(t, patterns)]
+    found = redact.detect(df, "t")
+    assert found.columns == ["id", "more", "entity", "start", "end", "score"]
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, plain))
+    own = R.from_config({"pattern_recognizers": {"word": {"name": "w", "regex": r"(?<=a)b++", "score": 0.5}}})
+    assert [tuple(r) for r in redact.detect(spark.createDataFrame([("abbc",)], "t string"), "t", own).collect()] == [("WORD", 1, 3, 0.5)]
